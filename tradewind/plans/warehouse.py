@@ -38,7 +38,7 @@ class Warehouse:
         return self._raw[name]
 
     def raw_all(self) -> dict[str, DataFrame]:
-        return {name: self.raw(name) for name in RAW}
+        return {name: self.raw(name).select(*RAW[name].fieldNames()) for name in RAW}
 
     def clean(self, name: str) -> DataFrame:
         return clean_table(name, self.raw(name))
