@@ -9,16 +9,21 @@ query. No pair of vectors is ever a row, and no side is broadcast.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.text_audit import SQL_OK, question_key, sql_message
+from tradewind.operators.text_audit import audit_sql_log, question_key
 from tradewind.session import materialize
 
+# The helpers below travel with the tasks, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 THRESHOLD = 0.10
 # Distances are rounded here, so a distance equal to the threshold is not taken for a smaller one.
 DIGITS = 9
@@ -222,7 +227,8 @@ def semantic_upsert(cache: DataFrame, answers: DataFrame) -> DataFrame:
     shuffle.
     """
     fresh = (
-        answers.where(sql_message(F.col("sql")) == SQL_OK)
+        audit_sql_log(answers)
+        .where("is_valid")
         .withColumn("id", question_key(F.col("question")))
         .groupBy("id")
         .agg(F.max_by(F.struct("question", "vector", "sql"), "position").alias("e"))

@@ -93,18 +93,25 @@ def _any_word(text: Column, words: Sequence[str]) -> Column:
     return has_word(text, "(?:" + "|".join(words) + ")")
 
 
-def sql_message(sql: Column, allowed: Collection[str] = tuple(MARTS)) -> Column:
-    """First rule the statement breaks, or the message that it is valid."""
-    text = strip(sql)
-    one = strip(F.regexp_replace(text, ";$", ""))
-    tables = table_refs(text)
-    ctes = cte_names(text)
-    base = F.filter(tables, lambda t: ~F.array_contains(ctes, F.lower(t)))
-    # isin on literals would not work inside filter() over another column, array_contains does.
+def audit_sql_log(
+    log: DataFrame, column: str = "sql", allowed: Collection[str] = tuple(MARTS)
+) -> DataFrame:
+    """The log with the message of the first rule each statement breaks, or that it is valid.
+
+    The parts several rules look at are columns of their own, so each is worked out once per row.
+    """
+    text, tables, ctes, base = (F.col(f"_{c}") for c in ("text", "tables", "ctes", "base"))
+    # A literal list inside filter() has to be an array; isin() only compares with a column.
     known = F.array(*(F.lit(t) for t in sorted(allowed)))
-    strangers = F.filter(base, lambda t: ~F.array_contains(known, F.lower(t)))
+    parts = (
+        log.withColumn("_text", strip(F.col(column)))
+        .withColumns({"_tables": table_refs(text), "_ctes": cte_names(text)})
+        .withColumn("_base", F.filter(tables, lambda t: ~F.array_contains(ctes, F.lower(t))))
+    )
+    one = strip(F.regexp_replace(text, ";$", ""))
+    stranger = F.get(F.filter(base, lambda t: ~F.array_contains(known, F.lower(t))), F.lit(0))
     start = F.upper(text)
-    return (
+    message = (
         F.when(text == "", SQL_EMPTY)
         .when(F.contains(one, F.lit(";")), SQL_MANY)
         .when(~(start.startswith("SELECT") | start.startswith("WITH")), SQL_NOT_SELECT)
@@ -113,19 +120,16 @@ def sql_message(sql: Column, allowed: Collection[str] = tuple(MARTS)) -> Column:
         .when(_any_word(text, SYSTEM_NAMES), SQL_SYSTEM)
         .when(F.size(tables) == 0, SQL_NO_TABLE)
         .when(
-            F.size(strangers) > 0,
-            F.concat(F.lit("Table '"), F.get(strangers, F.lit(0)), F.lit("' is not allowed.")),
+            stranger.isNotNull(),
+            F.concat(F.lit("Table '"), stranger, F.lit("' is not allowed.")),
         )
         .when(F.size(base) == 0, SQL_NO_BASE)
         .otherwise(SQL_OK)
     )
-
-
-def audit_sql_log(
-    log: DataFrame, column: str = "sql", allowed: Collection[str] = tuple(MARTS)
-) -> DataFrame:
-    return log.withColumn("message", sql_message(F.col(column), allowed)).withColumn(
-        "is_valid", F.col("message") == SQL_OK
+    return (
+        parts.withColumn("message", message)
+        .withColumn("is_valid", F.col("message") == SQL_OK)
+        .drop("_text", "_tables", "_ctes", "_base")
     )
 
 

@@ -55,6 +55,12 @@ def _sales(w: Warehouse) -> DataFrame:
     )
 
 
+def _top_categories(w: Warehouse) -> DataFrame:
+    return reports.top_categories_of_marts(
+        w.mart("fact_sales"), w.mart("fact_orders"), w.mart("dim_products")
+    )
+
+
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
@@ -103,7 +109,7 @@ def summaries(w: Warehouse) -> dict[str, DataFrame]:
     orders = reports.read_orders(w.mart("fact_orders"))
     return {
         "monthly_kpi": reports.monthly_kpi(orders),
-        "top_categories_revenue": reports.top_categories(_sales(w)),
+        "top_categories_revenue": _top_categories(w),
         "delivery_review_analysis": reports.delivery_review(orders),
         "weekday_vs_weekend": reports.weekday_weekend(orders),
         "customer_repeat_proxy": reports.customer_repeat(orders),
@@ -352,7 +358,7 @@ def build_queries() -> dict[str, Query]:
         "kpi_retention": _on_flat(kpis.retention),
         "kpi_late_impact": _on_flat(kpis.late_impact),
         "report_monthly_kpi": _on_orders(reports.monthly_kpi),
-        "report_top_categories": _on(lambda w: reports.top_categories(_sales(w))),
+        "report_top_categories": _on(_top_categories),
         "report_delivery_review": _on_orders(reports.delivery_review),
         "report_weekday_weekend": _on_orders(reports.weekday_weekend),
         "report_customer_repeat": _on_orders(reports.customer_repeat),

@@ -86,17 +86,10 @@ def monthly(flat: DataFrame) -> DataFrame:
     )
 
 
-def item_performance(flat: DataFrame, key: str) -> DataFrame:
-    """Revenue, orders and mean item revenue per key.
-
-    Items are first summed per (key, order), which spreads a frequent key over the tasks and turns
-    the distinct count of orders into a plain count.
-    """
+def performance(per_order: DataFrame, key: str) -> DataFrame:
+    """Revenue, orders and mean item revenue per key, from (key, order, revenue, items) rows."""
     return (
-        delivered_items(flat)
-        .groupBy(key, "order_id")
-        .agg(F.sum("revenue").alias("revenue"), F.count("revenue").alias("items"))
-        .groupBy(key)
+        per_order.groupBy(key)
         .agg(
             money_total("revenue").alias("total_revenue"),
             F.count("order_id").alias("total_orders"),
@@ -106,6 +99,20 @@ def item_performance(flat: DataFrame, key: str) -> DataFrame:
     )
 
 
+def item_performance(flat: DataFrame, key: str) -> DataFrame:
+    """Delivered items first summed per (key, order).
+
+    That spreads a frequent key over the tasks and turns the distinct count of orders into a plain
+    count.
+    """
+    per_order = (
+        delivered_items(flat)
+        .groupBy(key, "order_id")
+        .agg(F.sum("revenue").alias("revenue"), F.count("revenue").alias("items"))
+    )
+    return performance(per_order, key)
+
+
 def category(flat: DataFrame) -> DataFrame:
     return item_performance(flat, CATEGORY).orderBy(
         F.col("total_revenue").desc_nulls_first(), CATEGORY
