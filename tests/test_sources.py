@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import json
+import os
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from tests.helpers import bag
+from tradewind.operators.dedup import dedup_keep_first
+from tradewind.plans.pipeline import run_from_csv
+from tradewind.plans.warehouse import ITEM_SALES
+from tradewind.schemas import MARTS, POSITION, RAW
+from tradewind.sources import sinks
+from tradewind.sources.csv_files import extract_all, read_csv
+from tradewind.sources.testdata import raw_table
+
+
+def write(folder, name, text):
+    with open(f"{folder}/{name}", "w", encoding="utf-8") as file:
+        file.write(text)
+    return f"{folder}/{name}"
+
+
+def test_quoted_breaks_and_quotes(spark, scratch):
+    write(
+        scratch,
+        "reviews.csv",
+        'review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n'
+        'r1,o1,5,,"two\nlines, and ""quotes""",2017-01-01 00:00:00,not-a-date\n'
+        "r2,o2,bad,NA,null,,2017-01-02 10:00:00\n",
+    )
+    got = {r.review_id: r for r in extract_all(spark, scratch, {"order_reviews": "reviews.csv"})["order_reviews"].collect()}
+    assert got["r1"].review_comment_message == 'two\nlines, and "quotes"'
+    assert (got["r1"].review_score, got["r1"].review_comment_title, got["r1"].review_answer_timestamp) == (5, None, None)
+    assert got["r1"].review_creation_date == datetime(2017, 1, 1)
+    assert (got["r2"].review_score, got["r2"].review_comment_title, got["r2"].review_comment_message) == (None, None, None)
+
+
+def test_columns_are_taken_by_name(spark, scratch):
+    write(scratch, "s.csv", "seller_state,seller_id,seller_city,seller_zip_code_prefix\nSP,s1,x,01234\n")
+    row = extract_all(spark, scratch, {"sellers": "s.csv"})["sellers"].first()
+    # A prefix is a number, so its leading zero is lost.
+    assert (row.seller_id, row.seller_zip_code_prefix, row.seller_state) == ("s1", 1234, "SP")
+
+
+def test_numbers_and_short_rows(spark, scratch):
+    write(
+        scratch,
+        "i.csv",
+        "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+        "o1,1.0,p,s,2017-01-01 10:00:00,12.345,abc\no2,2\n",
+    )
+    got = {r.order_id: r for r in extract_all(spark, scratch, {"order_items": "i.csv"})["order_items"].collect()}
+    assert (got["o1"].order_item_id, got["o1"].price, got["o1"].freight_value) == (1, Decimal("12.35"), None)
+    assert got["o2"].product_id is None and got["o2"].order_item_id == 2
+
+
+def test_missing_empty_and_broken_files(spark, scratch):
+    write(scratch, "empty.csv", "")
+    with pytest.raises(FileNotFoundError, match="missing dataset file"):
+        extract_all(spark, scratch, {"sellers": "no.csv"})
+    with pytest.raises(ValueError, match="dataset file is empty"):
+        extract_all(spark, scratch, {"sellers": "empty.csv"})
+    wide = write(scratch, "wide.csv", "a,b\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="too many fields"):
+        read_csv(spark, wide).collect()
+
+
+def test_first_row_of_a_split_file_wins(spark, scratch):
+    """Rows of one file read in many splits keep their order in the file."""
+    lines = "".join(f"k{i % 500},{i}\n" for i in range(20000))
+    path = write(scratch, "big.csv", "key,n\n" + lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        rows = read_csv(spark, path)
+        assert rows.rdd.getNumPartitions() > 4
+        first = {r.key: int(r.n) for r in dedup_keep_first(rows, ["key"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == {f"k{i}": i for i in range(500)}
+
+
+def test_sinks(spark, scratch):
+    df = spark.createDataFrame([("a", 1, None)], "k string, n int, gap string")
+    sinks.write_quality_report(df, f"{scratch}/report")
+    part = next(f for f in os.listdir(f"{scratch}/report") if f.endswith(".json"))
+    with open(f"{scratch}/report/{part}", encoding="utf-8") as file:
+        assert json.loads(file.read()) == {"k": "a", "n": 1, "gap": None}
+    paths = sinks.write_summary_csv({"s": df}, f"{scratch}/summaries")
+    assert spark.read.option("header", True).csv(paths["s"]).columns == ["k", "n", "gap"]
+    paths = sinks.load_full_refresh({"category_translation": df}, f"{scratch}/db")
+    assert paths["category_translation"].endswith("/product_category_translation")
+    sinks.load_full_refresh({"category_translation": df.limit(0)}, f"{scratch}/db")
+    assert spark.read.parquet(paths["category_translation"]).count() == 0
+
+
+def test_pipeline_from_csv_equals_pipeline_from_tables(spark, folder, scratch):
+    """All eight tables through CSV files, cleaning, checks and marts."""
+    from tradewind.plans.catalog import open_warehouse
+
+    w = open_warehouse(spark, folder)
+    for name in RAW:
+        # One file per table, rows in the order of their position, so the first copy is the same.
+        raw = raw_table(spark, folder, name)
+        ordered = raw.orderBy(POSITION) if POSITION in raw.columns else raw
+        sinks.write_csv_table(ordered.coalesce(1).select(*RAW[name].fieldNames()), f"{scratch}/csv/{name}")
+    built = run_from_csv(spark, f"{scratch}/csv", {n: n for n in RAW}, f"{scratch}/out")
+    for name in [*MARTS, ITEM_SALES]:
+        assert bag(built.mart(name)) == bag(w.mart(name)), name
+    report = spark.read.json(f"{scratch}/out/quality_report")
+    removed = report.where("metric = 'rows_removed_by_cleaning' and table_name = 'order_items'").first().value
+    assert removed == w.raw("order_items").count() - w.cleaned("order_items").count() > 0
