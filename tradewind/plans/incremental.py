@@ -15,10 +15,11 @@ SALES_KEY = ("order_id", "order_item_id")
 
 
 def _only(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows of a detail table that belong to the batch.
+    """Rows that belong to the batch.
 
-    The batch is a stored table of known size: the optimizer broadcasts its keys if they are few, so
-    the detail table is filtered where it is read and only batch rows are shuffled.
+    Detail tables are aggregated before they come here. If the keys of the batch, a stored table of
+    known size, are few enough to broadcast, the optimizer moves this filter below the aggregate to
+    the scan; if not, the join reuses the partitioning of the aggregate and meets one row per order.
     """
     return df.join(wanted.select(key), key, "left_semi")
 
@@ -37,10 +38,11 @@ def fact_orders_batch(
 ) -> DataFrame:
     """Order fact of the lookback window, which starts at the newest purchase in the target."""
     recent = recent_orders(orders, target, PURCHASED)
-    return marts.fact_orders(
+    totals = (marts.order_items_agg(items), marts.payments_agg(payments), marts.reviews_agg(reviews))
+    return marts.fact_orders_from_totals(
         recent,
         _only(customers, recent, "customer_id"),
-        *(_only(df, recent, "order_id") for df in (items, payments, reviews)),
+        *(_only(df, recent, "order_id") for df in totals),
     )
 
 
@@ -49,9 +51,7 @@ def fact_sales_batch(
 ) -> DataFrame:
     """Item fact of the lookback window, which starts at the newest *day* in the target."""
     recent = recent_orders(orders, target, "order_date")
-    return marts.fact_sales(
-        _only(items, recent, "order_id"), recent, _only(customers, recent, "customer_id")
-    )
+    return marts.fact_sales(items, recent, _only(customers, recent, "customer_id"))
 
 
 def refresh_fact_orders(

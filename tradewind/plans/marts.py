@@ -86,9 +86,9 @@ def rfm_base(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataF
             F.sum(or_zero("order_revenue")).alias("monetary"),
         )
     )
-    return per_customer.select(
+    return per_customer.withColumn("newest", newest).select(
         "customer_unique_id",
-        days_between(newest, F.col("last_purchase")).alias("recency"),
+        days_between(F.col("newest"), F.col("last_purchase")).alias("recency"),
         "frequency",
         "monetary",
     )
@@ -198,16 +198,29 @@ def fact_orders(
     payments: DataFrame,
     reviews: DataFrame,
 ) -> DataFrame:
-    """One row per order.
+    """One row per order."""
+    return fact_orders_from_totals(
+        orders, customers, order_items_agg(items), payments_agg(payments), reviews_agg(reviews)
+    )
+
+
+def fact_orders_from_totals(
+    orders: DataFrame,
+    customers: DataFrame,
+    item_totals: DataFrame,
+    payment_totals: DataFrame,
+    review_scores: DataFrame,
+) -> DataFrame:
+    """One row per order, from the detail tables aggregated per order.
 
-    The three detail tables are aggregated per order before the join, so each join is one row to at
-    most one row and all of them share the partitioning by order.
+    Each join is one row to at most one row, and all but the customer join share the partitioning
+    the aggregates already have.
     """
     joined = (
         orders.join(customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
-        .join(order_items_agg(items), "order_id", "left")
-        .join(payments_agg(payments), "order_id", "left")
-        .join(reviews_agg(reviews), "order_id", "left")
+        .join(item_totals, "order_id", "left")
+        .join(payment_totals, "order_id", "left")
+        .join(review_scores, "order_id", "left")
     )
     zeros = (
         "order_revenue",

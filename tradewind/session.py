@@ -11,10 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# A shuffle partition should fit the memory of a task; far more partitions than this cost more in
+# bookkeeping than they save, so the largest shuffles spill instead.
+_PARTITION_BYTES = 192 << 20
+_MAX_PARTITIONS = 40_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Initial number of shuffle partitions; adaptive execution merges what turns out small."""
+    return max(cores, min(_MAX_PARTITIONS, input_bytes // _PARTITION_BYTES))
+
+
 def build_session(
-    app: str = "tradewind", master: str | None = None, **conf: str
+    app: str = "tradewind",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
 ) -> SparkSession:
-    """A session with the settings the plans are written for; cluster defaults win elsewhere."""
+    """A session with the settings the plans are written for; ``conf`` overrides them.
+
+    With ``input_bytes``, the size of the raw tables, the number of shuffle partitions follows it.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -27,7 +44,11 @@ def build_session(
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes is not None:
+        wanted = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
