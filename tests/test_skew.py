@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.helpers import bag, final_plan
 from tradewind.plans import kpis, marts, reports
 from tradewind.plans.cleaning import fact_order_item_sales
+from tradewind.schemas import RAW
 
 N = 60000
 SETTINGS = {
@@ -88,6 +89,28 @@ def test_item_joins_split_the_hot_key(tables):
     assert fact.count() == N
 
 
+def test_flat_items_split_the_hot_order(tables):
+    t = tables
+    spark = t["lines"].sparkSession
+    payments = spark.createDataFrame([], RAW["order_payments"])
+    reviews = spark.createDataFrame([], RAW["order_reviews"])
+    sellers = spark.range(200).select(
+        F.concat(F.lit("s"), F.col("id").cast("string")).alias("seller_id"),
+        F.lit("x").alias("seller_city"),
+        F.lit("y").alias("seller_state"),
+    )
+    people = t["people"].withColumns({"customer_city": F.lit("x"), "customer_state": F.lit("y")})
+    attributes = marts.order_attributes(t["placed"], people, t["lines"], payments, reviews)
+    flat = marts.flat_items(t["lines"], attributes, t["goods"], t["words"], sellers)
+    joins = [line for line in final_plan(flat).splitlines() if "skew=true" in line]
+    assert {k for k in ("order_id", "product_id", "seller_id") if any(f"[{k}#" in j for j in joins)} == {
+        "order_id",
+        "product_id",
+        "seller_id",
+    }
+    assert flat.count() == N
+
+
 def test_sums_shrink_the_hot_key_before_the_shuffle(tables, scratch):
     """A third of the rows in one product: the shuffle carries a row per key and task, not per item."""
     t = tables

@@ -330,17 +330,21 @@ def order_attributes(
     payments: DataFrame,
     reviews: DataFrame,
 ) -> DataFrame:
-    """What the flat table repeats on each item of an order; one row per order."""
+    """What the flat table repeats on each item of an order; one row per order.
+
+    Customers are joined last: the result is then not partitioned by order, so the join with the
+    items has a shuffle on both sides, which adaptive execution needs to split an order with very
+    many items.
+    """
     paid = payments_agg(payments).select("order_id", "order_total_payment_value")
+    people = customers.select(
+        "customer_id", "customer_unique_id", "customer_city", "customer_state"
+    )
     return (
-        orders.join(
-            customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state"),
-            "customer_id",
-            "left",
-        )
-        .join(paid, "order_id", "left")
+        orders.join(paid, "order_id", "left")
         .join(reviews_agg(reviews), "order_id", "left")
         .join(order_items_agg(items), "order_id", "left")
+        .join(people, "customer_id", "left")
     )
 
 
