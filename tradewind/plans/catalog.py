@@ -322,7 +322,7 @@ def build_queries() -> dict[str, Query]:
     )
     q["quality_report"] = _on(_quality_report)
     q["schema_contract"] = _on(
-        lambda w: quality.schema_contract({name: w.mart(name) for name in MARTS})
+        lambda w: quality.schema_contract(w.marts(list(MARTS)))
     )
     q["delivery_conflict"] = _on(lambda w: marts.delivery_conflict(w.stage("orders")))
 

@@ -27,8 +27,7 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str)
         quality_report(warehouse.raw_all(), {**cleaned, ITEM_SALES: fact}),
         f"{folder}/quality_report",
     )
-    for name in MARTS:
-        warehouse.mart(name)
+    warehouse.marts(list(MARTS))
     return warehouse
 
 

@@ -7,7 +7,9 @@ queries follow, and later plans start from tables with known sizes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,8 @@ from tradewind.schemas import RAW
 from tradewind.session import fresh_path
 
 ITEM_SALES = "fact_order_item_sales"
+# Independent tables built at the same time, so small ones fill the gaps of large ones.
+THREADS = 4
 
 
 class Warehouse:
@@ -29,6 +33,8 @@ class Warehouse:
         self.folder = folder or fresh_path(spark, "warehouse")
         self._raw: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = {}
+        self._lock = Lock()
 
     # --- layers, lazy ---
 
@@ -99,22 +105,32 @@ class Warehouse:
     # --- layers, stored on first use ---
 
     def _store(self, label: str, plan: Callable[[], DataFrame]) -> DataFrame:
-        if label not in self._stored:
-            path = f"{self.folder}/{label}"
-            df = plan()
-            df.write.mode("overwrite").parquet(path)
-            self._stored[label] = self.spark.read.schema(df.schema).parquet(path)
-        return self._stored[label]
+        with self._lock:
+            lock = self._locks.setdefault(label, Lock())
+        with lock:
+            if label not in self._stored:
+                path = f"{self.folder}/{label}"
+                df = plan()
+                df.write.mode("overwrite").parquet(path)
+                self._stored[label] = self.spark.read.schema(df.schema).parquet(path)
+            return self._stored[label]
+
+    def _together(self, store: Callable[[str], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(THREADS) as pool:
+            return dict(zip(names, pool.map(store, names)))
 
     def cleaned(self, name: str) -> DataFrame:
         return self._store(f"clean/{name}", lambda: self.clean(name))
 
     def cleaned_all(self) -> dict[str, DataFrame]:
-        return {name: self.cleaned(name) for name in RAW}
+        return self._together(self.cleaned, list(RAW))
 
     def mart(self, name: str) -> DataFrame:
         return self._store(f"marts/{name}", lambda: self.build(name))
 
+    def marts(self, names: Sequence[str]) -> dict[str, DataFrame]:
+        return self._together(self.mart, names)
+
 
 def from_bundle(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str | None = None
