@@ -19,8 +19,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
-            # Nothing may depend on the zone of the session; this one has clock changes.
-            "spark.sql.session.timeZone": "America/New_York",
+            # Nothing may depend on the zone of the session; this one has days without midnight.
+            "spark.sql.session.timeZone": "America/Sao_Paulo",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

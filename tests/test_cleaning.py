@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tests.helpers import items, orders, raw_table, rows, ts
+from tradewind.functions.columns import iso_text, month_label, month_start, weekday_name
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.cleaning import (
     clean_table,
@@ -52,9 +53,14 @@ def test_times(spark):
 
 
 def test_times_do_not_shift_at_clock_changes(spark):
-    """02:30 does not exist in New York on that day; a zone-less time must keep it."""
-    df = spark.createDataFrame([("2018-03-11 02:30:00",)], "t string")
-    assert rows(coerce_timestamp(df, ["t"])) == [(ts("2018-03-11 02:30:00"),)]
+    """00:30 does not exist in the session zone on that day; a zone-less time must keep it."""
+    df = spark.createDataFrame([("2018-11-04 00:30:00",)], "t string")
+    cleaned = coerce_timestamp(df, ["t"])
+    assert rows(cleaned) == [(ts("2018-11-04 00:30:00"),)]
+    assert rows(cleaned.select(iso_text(F.col("t")))) == [("2018-11-04 00:30:00",)]
+    assert rows(cleaned.select(weekday_name(F.col("t")), month_label(F.col("t")), month_start(F.col("t")))) == [
+        ("Sunday", "2018-11", ts("2018-11-01 00:00:00"))
+    ]
 
 
 def test_typed_times_lose_their_fraction(spark):

@@ -133,8 +133,8 @@ def test_delay_across_a_clock_change(spark):
         [
             {
                 "order_id": "a",
-                "order_delivered_customer_date": "2018-03-14 00:00:00",
-                "order_estimated_delivery_date": "2018-03-07 00:00:00",
+                "order_delivered_customer_date": "2018-11-07 00:00:00",
+                "order_estimated_delivery_date": "2018-10-31 00:00:00",
             }
         ],
     )

@@ -9,6 +9,7 @@ import pytest
 from tests.helpers import plan
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.catalog import build_queries, open_warehouse
+from tradewind.plans.incremental import fact_orders_batch
 
 QUERIES = build_queries()
 # Matrix products on blocks of vectors are the one place where Python runs inside tasks.
@@ -48,3 +49,16 @@ def test_delivered_filter_reaches_the_order_scan(spark, folder):
 def test_aggregates_start_before_the_shuffle(spark, folder, name):
     text = plan(QUERIES[name](spark, folder))
     assert "partial_sum" in text
+
+
+def test_batch_filter_reaches_the_detail_scan(spark, folder):
+    """With few batch keys the filter runs below the aggregate, so only batch rows are shuffled."""
+    w = open_warehouse(spark, folder)
+    s = w.stage
+    batch = fact_orders_batch(
+        w.mart("fact_orders"),
+        *(s(n) for n in ("orders", "customers", "order_items", "order_payments", "order_reviews")),
+    )
+    lines = plan(batch).splitlines()
+    aggregate = next(i for i, line in enumerate(lines) if "partial_sum(revenue" in line)
+    assert "LeftSemi" in lines[aggregate + 1]

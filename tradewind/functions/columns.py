@@ -42,8 +42,13 @@ def days_between(end: Column, start: Column) -> Column:
     return micros_between(end, start).cast("double") / F.lit(MICROS_PER_DAY)
 
 
+# English weekday names, Monday first.
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+
 def month_label(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+    """``yyyy-MM``. Taken from the text of the date, since date_format goes through the zone."""
+    return F.substring(day.cast("date").cast("string"), 1, 7)
 
 
 def month_start(ts: Column) -> Column:
@@ -52,7 +57,12 @@ def month_start(ts: Column) -> Column:
 
 
 def weekday_name(day: Column) -> Column:
-    return F.date_format(day, "EEEE")
+    return F.get(F.array(*(F.lit(d) for d in WEEKDAYS)), F.weekday(day.cast("date")))
+
+
+def iso_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, fractions of a second cut."""
+    return F.regexp_replace(ts.cast("string"), r"\.\d+$", "")
 
 
 def day_type(weekday: Column) -> Column:
@@ -93,7 +103,7 @@ def parse_money(text: Column) -> Column:
 
 def parse_timestamp(text: Column) -> Column:
     """Text to a zone-less timestamp cut to the second; unparsable text becomes null."""
-    return F.regexp_replace(text.cast("string"), r"\.\d+$", "").try_cast("timestamp_ntz")
+    return iso_text(text).try_cast("timestamp_ntz")
 
 
 def cut_to_second(ts: Column) -> Column:

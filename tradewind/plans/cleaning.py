@@ -29,11 +29,6 @@ def coerce_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def iso_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Timestamps as ``YYYY-MM-DD HH:MM:SS`` text, for text sinks."""
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
-
-
 def clean_table(name: str, raw: DataFrame) -> DataFrame:
     rules = RULES[name]
     unique = dedup_keep_first(raw, rules.key)

@@ -57,9 +57,13 @@ def read_sales(fact_sales: DataFrame, fact_orders: DataFrame, products: DataFram
     )
 
 
-def _delivered(orders: DataFrame) -> DataFrame:
-    """Delivered rows. The extract has one row per order, so orders are counted without a distinct."""
-    return orders.where(F.col("is_delivered") == 1)
+def _delivered(orders: DataFrame, key: str | None = None) -> DataFrame:
+    """Delivered rows; those without a value of the group key are left out of a report.
+
+    The extract has one row per order, so orders are counted without a distinct.
+    """
+    rows = orders.where(F.col("is_delivered") == 1)
+    return rows.where(F.col(key).isNotNull()) if key else rows
 
 
 def growth_pct(value: Column, previous: Column) -> Column:
@@ -69,7 +73,7 @@ def growth_pct(value: Column, previous: Column) -> Column:
 
 def monthly_kpi(orders: DataFrame) -> DataFrame:
     months = (
-        _delivered(orders)
+        _delivered(orders, "order_month")
         .groupBy("order_month")
         .agg(total_orders(), revenue_total(), avg_order_value(), avg_review(), late_rate())
     )
@@ -82,7 +86,7 @@ def monthly_kpi(orders: DataFrame) -> DataFrame:
 
 def top_categories(sales: DataFrame) -> DataFrame:
     return (
-        item_performance(sales, CATEGORY)
+        item_performance(sales.where(F.col(CATEGORY).isNotNull()), CATEGORY)
         .orderBy(F.col("total_revenue").desc_nulls_last(), CATEGORY)
         .limit(10)
     )
@@ -109,7 +113,7 @@ def top_categories_of_marts(
 
 def delivery_review(orders: DataFrame) -> DataFrame:
     return (
-        _delivered(orders)
+        _delivered(orders, "delivery_status")
         .groupBy("delivery_status")
         .agg(
             total_orders(),
@@ -131,10 +135,9 @@ def weekday_weekend(orders: DataFrame) -> DataFrame:
 
 def customer_repeat(orders: DataFrame) -> DataFrame:
     customers = (
-        _delivered(orders)
+        _delivered(orders, "customer_unique_id")
         .groupBy("customer_unique_id")
         .agg(total_orders(), money_total("order_revenue").alias("total_revenue"))
-        .where(F.col("customer_unique_id").isNotNull())
     )
     kind = F.when(F.col("total_orders") > 1, "Repeat").otherwise("One-time")
     return customers.groupBy(kind.alias("customer_type")).agg(

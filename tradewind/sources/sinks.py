@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tradewind.plans.cleaning import iso_text
+from tradewind.functions.columns import iso_text
 from tradewind.schemas import STORED_NAME
 
 
@@ -23,8 +24,9 @@ def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str
 
 def write_csv_table(df: DataFrame, path: str) -> None:
     """A table as CSV files with header, written in parallel; doubled quotes, ISO timestamps."""
-    stamps = [c for c, t in df.dtypes if t == "timestamp_ntz"]
-    iso_text(df, stamps).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    stamps = {c: iso_text(F.col(c)) for c, t in df.dtypes if t == "timestamp_ntz"}
+    text = df.withColumns(stamps) if stamps else df
+    text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_quality_report(report: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """Maps a TPC-H-like set of Parquet tables to the raw marketplace tables.
 
-Each function returns one raw table, with a source position where rows repeat. The two fixed-size
-lookup tables (25 nations, 5 regions) are broadcast; every other join is left to the optimizer.
+Each function returns one raw table, with a source position where rows repeat. How to join is left to
+the optimizer, which knows the sizes.
 """
 
 from __future__ import annotations
@@ -28,10 +28,8 @@ def _money(name: str) -> Column:
 def _places(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")
-    return F.broadcast(
-        nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
-            "n_nationkey", "n_name", "r_name"
-        )
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name"
     )
 
 
@@ -342,7 +340,7 @@ def purchase_text(spark: SparkSession, folder: str) -> DataFrame:
     """Purchase times as text: words, missing, with fractions of a second, plain."""
     k = F.col("o_orderkey")
     text = F.concat(
-        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.col("o_orderdate").cast("date").cast("string"),
         F.lit(" 10:30:"),
         F.lpad((k % 60).cast("string"), 2, "0"),
     )
