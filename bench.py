@@ -15,7 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tradewind.plans.catalog import build_queries, open_warehouse
+from tradewind.plans.catalog import build_queries, open_warehouse, stale_fact_orders
+from tradewind.plans.incremental import refresh_fact_orders
 from tradewind.plans.pipeline import run_pipeline
 from tradewind.session import build_session, fresh_path
 from tradewind.sources.testdata import READERS, raw_table
@@ -28,7 +29,6 @@ QUERIES = (
     "dim_customers",
     "fact_orders",
     "fact_sales",
-    "upsert_fact_orders",
     "flat_items",
     "kpi_monthly",
     "kpi_category",
@@ -68,6 +68,11 @@ def main() -> None:
     warehouse = open_warehouse(spark, FOLDER)
     warehouse.marts(["fact_orders", "fact_sales", "flat_items", "fact_order_item_sales"])
     queries = build_queries()
+    details = ("orders", "customers", "order_items", "order_payments", "order_reviews")
+    path = stale_fact_orders(warehouse)  # The target as it stood three days ago, not timed.
+    seconds["upsert_fact_orders"] = timed(
+        lambda: drain(refresh_fact_orders(path, *(warehouse.stage(n) for n in details)))
+    )
     for name in QUERIES:
         seconds[name] = timed(lambda n=name: drain(queries[n](spark, FOLDER)))
     print(

@@ -31,6 +31,8 @@ DIGITS = 9
 MAX_ANCHORS = 256
 ROWS_PER_ANCHOR = 2048
 BLOCK_ROWS = 8192
+# Queries compared at once inside a block, which bounds the matrix of distances in memory.
+_CHUNK = 256
 # Slack for rounding in the group filter, in radians; it can only add visits.
 _SLACK = 1e-5
 
@@ -168,16 +170,21 @@ def nearest_within(
         if asked.empty or known.empty:
             return pd.DataFrame({"query_id": [], "cache_id": [], "distance": []})
         known = known.sort_values("cache_id", ignore_index=True)
-        distance = np.round(1.0 - _unit(asked["vector"]) @ _unit(known["vector"]).T, DIGITS)
-        at = distance.argmin(axis=1)
-        found = pd.DataFrame(
-            {
-                "query_id": asked["query_id"].to_numpy(),
-                "cache_id": known["cache_id"].to_numpy()[at],
-                "distance": distance[np.arange(len(at)), at],
-            }
-        )
-        return found[found["distance"] < threshold]
+        ids, stored_units = known["cache_id"].to_numpy(), _unit(known["vector"]).T
+        found = []
+        for start in range(0, len(asked), _CHUNK):
+            part = asked.iloc[start : start + _CHUNK]
+            distance = np.round(1.0 - _unit(part["vector"]) @ stored_units, DIGITS)
+            at = distance.argmin(axis=1)
+            nearest = pd.DataFrame(
+                {
+                    "query_id": part["query_id"].to_numpy(),
+                    "cache_id": ids[at],
+                    "distance": distance[np.arange(len(at)), at],
+                }
+            )
+            found.append(nearest[nearest["distance"] < threshold])
+        return pd.concat(found)
 
     keys = ("cell", "cache_block", "query_block")
     matches = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, layout)

@@ -69,6 +69,7 @@ QUESTION_FORBIDDEN = (
     "Requests that modify or delete data are not allowed."
 )
 
+# How the guard recognises table names, CTE names and SELECT INTO.
 _NAME = "[a-zA-Z_][a-zA-Z0-9_]*"
 _TABLE = rf"(?iu)(?<![{WORD}])(?:from|join){SPACE}+(?:([a-zA-Z0-9_]+)\.)?({_NAME})"
 _CTE = (

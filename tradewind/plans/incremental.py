@@ -21,7 +21,7 @@ def _only(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     known size, are few enough to broadcast, the optimizer moves this filter below the aggregate to
     the scan; if not, the join reuses the partitioning of the aggregate and meets one row per order.
     """
-    return df.join(wanted.select(key), key, "left_semi")
+    return df.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def recent_orders(orders: DataFrame, target: DataFrame | None, target_column: str) -> DataFrame:
