@@ -21,6 +21,11 @@ def test_missing_lists_only_gaps(spark):
     ]
 
 
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (1.0,)], "v double")
+    assert rows(profiling.missing({"t": df})) == [("t", "v", 2, Decimal("66.67"))]
+
+
 def test_value_counts_skip_null(spark):
     df = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "k string")
     assert rows(profiling.value_counts(df, "k", "n")) == [("x", 2), ("y", 1)]

@@ -9,7 +9,7 @@ import pytest
 
 from tests.helpers import bag
 from tradewind.operators.dedup import dedup_keep_first
-from tradewind.plans.pipeline import run_from_csv
+from tradewind.plans.batch import run_from_csv
 from tradewind.plans.warehouse import ITEM_SALES
 from tradewind.schemas import MARTS, POSITION, RAW
 from tradewind.sources import sinks
@@ -96,7 +96,7 @@ def test_sinks(spark, scratch):
     assert spark.read.parquet(paths["category_translation"]).count() == 0
 
 
-def test_pipeline_from_csv_equals_pipeline_from_tables(spark, folder, scratch):
+def test_build_from_csv_equals_build_from_tables(spark, folder, scratch):
     """All eight tables through CSV files, cleaning, checks and marts."""
     from tradewind.plans.catalog import open_warehouse
 

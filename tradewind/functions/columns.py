@@ -3,8 +3,9 @@ neither on the session time zone nor on the ANSI setting."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.schemas import MONEY
 
@@ -97,6 +98,13 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
+def missing(df: DataFrame, name: str) -> Column:
+    """Null, or not a number in a float column."""
+    column = F.col(name)
+    floats = (T.DoubleType, T.FloatType)
+    return column.isNull() | F.isnan(column) if isinstance(df.schema[name].dataType, floats) else column.isNull()
+
+
 def parse_money(text: Column) -> Column:
     return text.try_cast(MONEY)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import count_where, mean_exact, round_half_up, share_pct
+from tradewind.functions.columns import missing as is_missing
 from tradewind.operators.quality import union_all
 from tradewind.schemas import MONEY_SUM
 
@@ -36,7 +37,7 @@ def missing(tables: Mapping[str, DataFrame]) -> DataFrame:
     def one(name: str, df: DataFrame) -> DataFrame:
         totals = df.agg(
             F.count("*").alias("rows"),
-            *(count_where(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)),
+            *(count_where(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)),
         )
         gaps = F.array(
             *(

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.columns import count_where
+from tradewind.functions.columns import count_where, missing
 from tradewind.schemas import FOREIGN_KEYS, ITEM_SALES_REQUIRED, MARTS, RULES
 
 
@@ -167,7 +167,8 @@ def check_fk(
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Rows of frames with the same columns in the same order."""
+    return reduce(DataFrame.union, frames)
 
 
 def validate_all(cleaned: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:
@@ -219,7 +220,7 @@ def _measures(df: DataFrame, table: str, source: str) -> DataFrame:
     columns = df.columns if source == "cleaned" else []
     totals = df.agg(
         F.count("*").alias("rows"),
-        *(count_where(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)),
+        *(count_where(missing(df, c)).alias(f"n{i}") for i, c in enumerate(columns)),
     )
     rows = F.array(
         F.struct(

@@ -13,7 +13,7 @@ from tradewind.sources.csv_files import extract_all
 from tradewind.sources.sinks import write_quality_report
 
 
-def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
+def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
     """Build everything under a fresh folder and return the warehouse.
 
     Cleaned tables are written once and checked as stored. Broken data raise before any mart is
@@ -34,4 +34,4 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str)
 def run_from_csv(
     spark: SparkSession, raw_folder: str, files: Mapping[str, str], folder: str
 ) -> Warehouse:
-    return run_pipeline(spark, extract_all(spark, raw_folder, files), folder)
+    return run_batch(spark, extract_all(spark, raw_folder, files), folder)
