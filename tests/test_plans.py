@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from tests.helpers import plan
+from tests.helpers import final_plan, plan
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.catalog import build_queries, open_warehouse
 from tradewind.plans.incremental import fact_orders_batch
@@ -62,3 +62,14 @@ def test_batch_filter_reaches_the_detail_scan(spark, folder):
     lines = plan(batch).splitlines()
     aggregate = next(i for i, line in enumerate(lines) if "partial_sum(revenue" in line)
     assert "LeftSemi" in lines[aggregate + 1]
+
+
+def test_recent_questions_prunes_before_the_shuffle(spark, folder):
+    text = plan(QUERIES["recent_questions"](spark, folder))
+    final, partial = text.index("Final"), text.index("Partial")
+    assert final < text.index("Exchange hashpartitioning(user_id") < partial
+
+
+def test_newest_purchase_is_computed_once(spark, folder):
+    text = final_plan(QUERIES["rfm_base"](spark, folder))
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", text))) == 1

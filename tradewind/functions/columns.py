@@ -101,8 +101,9 @@ def count_where(condition: Column) -> Column:
 def missing(df: DataFrame, name: str) -> Column:
     """Null, or not a number in a float column."""
     column = F.col(name)
-    floats = (T.DoubleType, T.FloatType)
-    return column.isNull() | F.isnan(column) if isinstance(df.schema[name].dataType, floats) else column.isNull()
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()
 
 
 def parse_money(text: Column) -> Column:

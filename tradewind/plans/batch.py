@@ -1,4 +1,4 @@
-"""The batch flow: ingest, clean, check, report, marts."""
+"""The batch flows: full build, incremental refresh, report files."""
 
 from __future__ import annotations
 
@@ -7,19 +7,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.quality import assert_valid, quality_report, validate_all
-from tradewind.plans.warehouse import ITEM_SALES, Warehouse, from_bundle
+from tradewind.plans import reports
+from tradewind.plans.incremental import refresh_fact_orders, refresh_fact_sales
+from tradewind.plans.warehouse import FACT_DATE, ITEM_SALES, Warehouse, from_bundle, stored_mart
 from tradewind.schemas import MARTS
 from tradewind.sources.csv_files import extract_all
-from tradewind.sources.sinks import write_quality_report
+from tradewind.sources.sinks import write_quality_report, write_summary_csv
 
+REPORT_MARTS = ("fact_orders", "fact_sales", "dim_products")
 
-def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
-    """Build everything under a fresh folder and return the warehouse.
 
-    Cleaned tables are written once and checked as stored. Broken data raise before any mart is
-    built, so a caller that publishes the folder on success never publishes them.
+def _checked(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
+    """Cleaned tables, stored once, checked as stored and reported on.
+
+    Broken data raise here, before any mart is built or touched.
     """
-    warehouse = from_bundle(spark, raw, folder)
+    warehouse = from_bundle(spark, raw, folder, monthly_facts=True)
     cleaned = warehouse.cleaned_all()
     fact = warehouse.mart(ITEM_SALES)
     assert_valid(validate_all(cleaned, fact))
@@ -27,11 +30,45 @@ def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) ->
         quality_report(warehouse.raw_all(), {**cleaned, ITEM_SALES: fact}),
         f"{folder}/quality_report",
     )
+    return warehouse
+
+
+def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
+    """Build everything under a fresh folder; a caller that publishes it on success never publishes
+    broken data."""
+    warehouse = _checked(spark, raw, folder)
     warehouse.marts(list(MARTS))
     return warehouse
 
 
+def run_refresh(
+    spark: SparkSession, raw: Mapping[str, DataFrame], built: str, folder: str
+) -> dict[str, DataFrame]:
+    """Clean and check newer raw tables under ``folder``, rebuild the dimensions there and bring the
+    facts of the earlier build in ``built`` up to date where they are. Returns all marts."""
+    warehouse = _checked(spark, raw, folder)
+    stage = warehouse.stage
+    marts = warehouse.marts([name for name in MARTS if name not in FACT_DATE])
+    lines, orders, people = stage("order_items"), stage("orders"), stage("customers")
+    marts["fact_orders"] = refresh_fact_orders(
+        f"{built}/marts/fact_orders",
+        orders,
+        people,
+        lines,
+        stage("order_payments"),
+        stage("order_reviews"),
+    )
+    marts["fact_sales"] = refresh_fact_sales(f"{built}/marts/fact_sales", lines, orders, people)
+    return marts
+
+
 def run_from_csv(
     spark: SparkSession, raw_folder: str, files: Mapping[str, str], folder: str
 ) -> Warehouse:
     return run_batch(spark, extract_all(spark, raw_folder, files), folder)
+
+
+def run_reports(spark: SparkSession, built: str, folder: str) -> dict[str, str]:
+    """The five report tables of an earlier build as CSV. Returns their paths."""
+    marts = (stored_mart(spark, built, name) for name in REPORT_MARTS)
+    return write_summary_csv(reports.summaries(*marts), folder)

@@ -12,6 +12,7 @@ from tradewind.operators import profiling, quality, shaping, similarity, text_au
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.operators.upsert import incremental_filter, write_partitioned
 from tradewind.plans import adhoc, incremental, kpis, marts, reports
+from tradewind.plans.batch import REPORT_MARTS
 from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
 from tradewind.plans.staging import stage
 from tradewind.plans.warehouse import ITEM_SALES, Warehouse
@@ -105,20 +106,10 @@ def write_quality_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(report.schema).json(path)
 
 
-def summaries(w: Warehouse) -> dict[str, DataFrame]:
-    orders = reports.read_orders(w.mart("fact_orders"))
-    return {
-        "monthly_kpi": reports.monthly_kpi(orders),
-        "top_categories_revenue": _top_categories(w),
-        "delivery_review_analysis": reports.delivery_review(orders),
-        "weekday_vs_weekend": reports.weekday_weekend(orders),
-        "customer_repeat_proxy": reports.customer_repeat(orders),
-    }
-
-
 def write_summary_csv(spark: SparkSession, folder: str) -> DataFrame:
     """First column and rows of each summary, read back from its CSV file."""
-    tables = summaries(open_warehouse(spark, folder))
+    w = open_warehouse(spark, folder)
+    tables = reports.summaries(*(w.mart(name) for name in REPORT_MARTS))
     paths = sinks.write_summary_csv(tables, fresh_path(spark, "summaries"))
 
     def back(name: str) -> DataFrame:

@@ -144,3 +144,17 @@ def customer_repeat(orders: DataFrame) -> DataFrame:
         F.count("customer_unique_id").alias("total_customers"),
         mean_exact(F.col("total_revenue")).alias("avg_customer_revenue"),
     )
+
+
+def summaries(
+    fact_orders: DataFrame, fact_sales: DataFrame, products: DataFrame
+) -> dict[str, DataFrame]:
+    """All reports by the name of their file."""
+    orders = read_orders(fact_orders)
+    return {
+        "monthly_kpi": monthly_kpi(orders),
+        "top_categories_revenue": top_categories_of_marts(fact_sales, fact_orders, products),
+        "delivery_review_analysis": delivery_review(orders),
+        "weekday_vs_weekend": weekday_weekend(orders),
+        "customer_repeat_proxy": customer_repeat(orders),
+    }

@@ -13,22 +13,32 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewind.operators.upsert import read_partitioned, write_partitioned
 from tradewind.plans import marts
 from tradewind.plans.cleaning import clean_table, fact_order_item_sales
 from tradewind.plans.staging import stage
-from tradewind.schemas import RAW
+from tradewind.schemas import MARTS, RAW
 from tradewind.session import fresh_path
 
 ITEM_SALES = "fact_order_item_sales"
 # Independent tables built at the same time, so small ones fill the gaps of large ones.
 THREADS = 4
+# Date column of the facts, which a refresh rewrites by month.
+FACT_DATE = {"fact_orders": "order_date", "fact_sales": "order_date"}
 
 
 class Warehouse:
+    """``monthly_facts`` stores the facts by month, as the incremental refresh needs them."""
+
     def __init__(
-        self, spark: SparkSession, read_raw: Callable[[str], DataFrame], folder: str | None = None
+        self,
+        spark: SparkSession,
+        read_raw: Callable[[str], DataFrame],
+        folder: str | None = None,
+        monthly_facts: bool = False,
     ) -> None:
         self.spark = spark
+        self.monthly_facts = monthly_facts
         self.read_raw = read_raw
         self.folder = folder or fresh_path(spark, "warehouse")
         self._raw: dict[str, DataFrame] = {}
@@ -104,17 +114,23 @@ class Warehouse:
 
     # --- layers, stored on first use ---
 
-    def _store(self, label: str, plan: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, label: str, store: Callable[[str], DataFrame]) -> DataFrame:
+        """The stored table; ``store`` writes it to a path when it is first asked for."""
         with self._lock:
             lock = self._locks.setdefault(label, Lock())
         with lock:
             if label not in self._stored:
-                path = f"{self.folder}/{label}"
-                df = plan()
-                df.write.mode("overwrite").parquet(path)
-                self._stored[label] = self.spark.read.schema(df.schema).parquet(path)
+                self._stored[label] = store(f"{self.folder}/{label}")
             return self._stored[label]
 
+    def _store(self, label: str, plan: Callable[[], DataFrame]) -> DataFrame:
+        def store(path: str) -> DataFrame:
+            df = plan()
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return self._once(label, store)
+
     def _together(self, store: Callable[[str], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
         with ThreadPoolExecutor(THREADS) as pool:
             return dict(zip(names, pool.map(store, names)))
@@ -126,13 +142,31 @@ class Warehouse:
         return self._together(self.cleaned, list(RAW))
 
     def mart(self, name: str) -> DataFrame:
+        if self.monthly_facts and name in FACT_DATE:
+            return self._monthly_fact(name)
         return self._store(f"marts/{name}", lambda: self.build(name))
 
+    def _monthly_fact(self, name: str) -> DataFrame:
+        def store(path: str) -> DataFrame:
+            write_partitioned(self.build(name), path, FACT_DATE[name])
+            layout = MARTS[name]
+            return read_partitioned(self.spark, path, layout).select(*layout.fieldNames())
+
+        return self._once(f"marts/{name}", store)
+
     def marts(self, names: Sequence[str]) -> dict[str, DataFrame]:
         return self._together(self.mart, names)
 
 
 def from_bundle(
-    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str | None = None
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    folder: str | None = None,
+    monthly_facts: bool = False,
 ) -> Warehouse:
-    return Warehouse(spark, raw.__getitem__, folder)
+    return Warehouse(spark, raw.__getitem__, folder, monthly_facts)
+
+
+def stored_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A mart of an earlier build; a month column, where there is one, is left out."""
+    return spark.read.schema(MARTS[name]).parquet(f"{folder}/marts/{name}")

@@ -228,7 +228,8 @@ STATEMENTS: tuple[str, ...] = (
     "  SELECT product_id FROM Dim_Products ;  ",
     "SELECT d.year FROM fact_orders, dim_date d WHERE d.year > {n}",
     "SELECT created_at, updated FROM FACT_ORDERS",
-    "WITH a AS (\n  SELECT * FROM fact_orders\n), b AS (SELECT * FROM a)\nSELECT * FROM b JOIN dim_date ON b.order_date = dim_date.date",
+    "WITH a AS (\n  SELECT * FROM fact_orders\n), b AS (SELECT * FROM a)\n"
+    "SELECT * FROM b JOIN dim_date ON b.order_date = dim_date.date",
     "WITH secret AS (SELECT {n}) SELECT * FROM fact_sales JOIN secret ON true",
     "WITH hidden AS (SELECT 1) SELECT * FROM hidden JOIN other_table ON true",
     "TRUNCATE TABLE fact_sales",
