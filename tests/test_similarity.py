@@ -89,6 +89,8 @@ def test_empty_sides_and_zero_vectors(spark):
     assert run(spark, some, []) == {}
     assert run(spark, [], some) == {}
     assert run(spark, zero, some + zero) == {}
+    holes = [(3, [float("nan"), 1.0])]
+    assert run(spark, some + [(9, holes[0][1])], holes + some) == {1: (1, 0.0)}
 
 
 def test_lookup_lists_every_query(spark):

@@ -47,8 +47,10 @@ def _angles(vectors: pd.Series, anchors: np.ndarray) -> np.ndarray:
 
 
 def _usable(vector: Column) -> Column:
-    """Vectors with a direction; a zero or missing vector is near to nothing."""
-    return F.exists(vector, lambda x: x != 0)
+    """Vectors with a direction; zero, missing or incomplete vectors are near to nothing."""
+    return F.exists(vector, lambda x: x != 0) & F.forall(
+        vector, lambda x: x.isNotNull() & ~F.isnan(x)
+    )
 
 
 def _anchors(stored: DataFrame, limit: int | None) -> np.ndarray | None:

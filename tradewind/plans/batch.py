@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,27 +19,35 @@ from tradewind.sources.sinks import write_quality_report, write_summary_csv
 REPORT_MARTS = ("fact_orders", "fact_sales", "dim_products")
 
 
-def _checked(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
-    """Cleaned tables, stored once, checked as stored and reported on.
+@contextmanager
+def _checked(
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str
+) -> Iterator[Warehouse]:
+    """Cleaned tables, stored once and checked as stored.
 
-    Broken data raise here, before any mart is built or touched.
+    Broken data raise here, before any mart is built or touched. The quality report is written while
+    the marts are built.
     """
     warehouse = from_bundle(spark, raw, folder, monthly_facts=True)
     cleaned = warehouse.cleaned_all()
     fact = warehouse.mart(ITEM_SALES)
     assert_valid(validate_all(cleaned, fact))
-    write_quality_report(
-        quality_report(warehouse.raw_all(), {**cleaned, ITEM_SALES: fact}),
-        f"{folder}/quality_report",
-    )
-    return warehouse
+
+    def report() -> None:
+        measures = quality_report(warehouse.raw_all(), {**cleaned, ITEM_SALES: fact})
+        write_quality_report(measures, f"{folder}/quality_report")
+
+    with ThreadPoolExecutor(1) as aside:
+        written = aside.submit(report)
+        yield warehouse
+        written.result()
 
 
 def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> Warehouse:
     """Build everything under a fresh folder; a caller that publishes it on success never publishes
     broken data."""
-    warehouse = _checked(spark, raw, folder)
-    warehouse.marts(list(MARTS))
+    with _checked(spark, raw, folder) as warehouse:
+        warehouse.marts(list(MARTS))
     return warehouse
 
 
@@ -46,19 +56,21 @@ def run_refresh(
 ) -> dict[str, DataFrame]:
     """Clean and check newer raw tables under ``folder``, rebuild the dimensions there and bring the
     facts of the earlier build in ``built`` up to date where they are. Returns all marts."""
-    warehouse = _checked(spark, raw, folder)
-    stage = warehouse.stage
-    marts = warehouse.marts([name for name in MARTS if name not in FACT_DATE])
-    lines, orders, people = stage("order_items"), stage("orders"), stage("customers")
-    marts["fact_orders"] = refresh_fact_orders(
-        f"{built}/marts/fact_orders",
-        orders,
-        people,
-        lines,
-        stage("order_payments"),
-        stage("order_reviews"),
-    )
-    marts["fact_sales"] = refresh_fact_sales(f"{built}/marts/fact_sales", lines, orders, people)
+    with _checked(spark, raw, folder) as warehouse:
+        stage = warehouse.stage
+        marts = warehouse.marts([name for name in MARTS if name not in FACT_DATE])
+        lines, orders, people = stage("order_items"), stage("orders"), stage("customers")
+        marts["fact_orders"] = refresh_fact_orders(
+            f"{built}/marts/fact_orders",
+            orders,
+            people,
+            lines,
+            stage("order_payments"),
+            stage("order_reviews"),
+        )
+        marts["fact_sales"] = refresh_fact_sales(
+            f"{built}/marts/fact_sales", lines, orders, people
+        )
     return marts
 
 
