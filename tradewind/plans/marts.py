@@ -259,7 +259,9 @@ def fact_sales(items: DataFrame, orders: DataFrame, customers: DataFrame) -> Dat
 
 # --- flat item table ------------------------------------------------------------------------------
 
+
 def conflict() -> Column:
+    """1 where the status says undelivered but a delivery time is recorded."""
     return flag(~delivered() & arrived())
 
 
