@@ -9,6 +9,8 @@ from decimal import Decimal
 import pytest
 
 import __spark_entry__ as entry_points
+from oracles import all_sql
+from tradewind.plans.catalog import build_queries
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -16,8 +18,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = build_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")

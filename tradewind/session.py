@@ -83,3 +83,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {os.path.dirname(name) for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
