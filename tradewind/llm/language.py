@@ -164,7 +164,9 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", space: Space
                 for at in range(0, len(packed), CHUNK_GRAMS):
                     part = slice(at, at + CHUNK_GRAMS)
                     vector += n[part] @ gram_vectors(packed[part], space).astype(np.int64)
-        yield pd.DataFrame({"label": list(total), "vector": [v.tolist() for v in total.values()]})
+        if total:
+            vectors = [v.tolist() for v in total.values()]
+            yield pd.DataFrame({"label": list(total), "vector": vectors})
 
     rows = docs.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
     parts = rows.dropna().mapInPandas(sums, "label string, vector array<long>")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradewind.llm import simhash_dedup
+from tradewind.llm import decontaminate, language, simhash_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,29 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the benchmark items they hold, the edits and the place."""
+    return decontaminate.leaks(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = language.held_out(docs["doc_id"])
+    model = language.train(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", language.held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    n_chars = F.length(F.coalesce("text", F.lit(""))).cast("long")
+    return token_counts.token_counts(docs.withColumn("n_chars", n_chars)).drop("text")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
@@ -22,6 +46,9 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op3_language_id": op3_language_id,
+        "op4_token_counts": op4_token_counts,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
