@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, language, simhash_dedup, token_counts
+from tradewind.llm import (
+    decontaminate,
+    fingerprints,
+    language,
+    secret_scan,
+    simhash_dedup,
+    token_counts,
+)
+from tradewind.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +31,31 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def fingerprint_digest(found: DataFrame) -> DataFrame:
+    digits = fingerprints.hex_digits
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        digits(F.col("print")).alias("fingerprint"),
+        digits(F.col("edited_print")).alias("edited_fingerprint"),
+        fingerprints.likeness("print", "edited_print").alias("near_edited"),
+        fingerprints.likeness("print", "next_print").alias("near_next"),
+    )
+
+
+def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of texts and edited texts; ``n_near`` for ids divisible by 100 is the number of
+    distinct fingerprints of the table within 3 bits, the own one included."""
+    docs = _table(spark, folder, "documents")
+    found = materialize(fingerprints.with_edits(docs), "fingerprints")
+    asked = found.where("doc_id % 100 = 0")
+    near = fingerprints.within_radius(asked, found, "print", 3).groupBy("query")
+    near = near.agg(F.count("*").alias("n_near")).withColumnRenamed("query", "print")
+    near = asked.select("doc_id", "print").distinct().join(near, "print").drop("print")
+    return fingerprint_digest(found).join(near, "doc_id", "left")
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held_out = language.held_out(docs["doc_id"])
@@ -39,6 +72,19 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs.withColumn("n_chars", n_chars)).drop("text")
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    found = secret_scan.scan(docs, model)
+    of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind))
+    return found.select(
+        "doc_id",
+        *(of_kind(kind).cast("long").alias(f"n_{kind}") for kind, *_ in secret_scan.BASE),
+        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
@@ -47,8 +93,10 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op2_document_fingerprints": op2_document_fingerprints,
         "op3_language_id": op3_language_id,
         "op4_token_counts": op4_token_counts,
+        "op5_secret_scan": op5_secret_scan,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
