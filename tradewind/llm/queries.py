@@ -10,13 +10,27 @@ from pyspark.sql import functions as F
 from tradewind.llm import (
     decontaminate,
     fingerprints,
+    html_extract,
     language,
+    packing,
     secret_scan,
+    sharding,
     simhash_dedup,
     token_counts,
+    url_filter,
 )
+from tradewind.llm.statements import STATEMENTS
 from tradewind.session import materialize
 
+#: Action, host, path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -85,6 +99,46 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_digest(_table(spark, folder, "documents"))
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids and their place."""
+    pieces = packing.tokenize(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces)
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    found = url_filter.judge(
+        pages.select("page_id", "url"),
+        url_filter.rules_table(spark, URL_RULES),
+        url_filter.html_edges(pages),
+    )
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages).drop("html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.interleave(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "source",
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
@@ -97,9 +151,13 @@ def llm_queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op4_token_counts": op4_token_counts,
         "op5_secret_scan": op5_secret_scan,
+        "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_url_filter": op7_url_filter,
+        "op8_html_extraction": op8_html_extraction,
+        "op9_sharding": op9_sharding,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return dict(STATEMENTS)
