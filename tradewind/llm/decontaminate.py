@@ -20,14 +20,15 @@ are cut into segments, each of which counts as a passage, which bounds an alignm
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -298,3 +299,31 @@ def leaks(
 
         found = found.union(rows.mapInArrow(scan, schema))
     return found
+
+
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    rules: Rules = Rules(),
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    The decision is taken row by row in the scan, so it needs no id and no shuffle.
+    """
+    sc = docs.sparkSession.sparkContext
+    for block in _blocks(benchmark, item_col, item_text, rules):
+        docs = docs.where(_clean(sc.broadcast(block), rules)(F.col(text_col)))
+    return docs
+
+
+def _clean(block: Broadcast, rules: Rules) -> Callable[[Column], Column]:
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Index(*block.value, rules)
+        for batch in batches:
+            yield pd.Series([not index.leaks(text) for text in batch], dtype=bool)
+
+    return clean

@@ -219,6 +219,19 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
 
 
+def accepted(
+    found: DataFrame, text: str = "text", least: float = 0.08, letters_: int = 64
+) -> DataFrame:
+    """Rows of ``identify`` in a learned language.
+
+    Rejected are texts without a letter, and texts of at least ``letters_`` characters that resemble no
+    learned language: a cosine below ``least``. Unrelated texts have cosines around zero with a
+    spread of 1 / sqrt(dimensions); shorter texts hold too few n-grams to reject them.
+    """
+    judged = (F.col("score") >= least) | (F.length(text) < letters_)
+    return found.where((F.col("lang_pred") != UNDETERMINED) & judged)
+
+
 def held_out(key: Column) -> Column:
     """A quarter of the keys, by checksum; a null key is not held out."""
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))

@@ -30,6 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm.components import connected_components
 from tradewind.session import materialize
@@ -304,3 +305,25 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def one_per_group(
+    docs: DataFrame, named: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The document with the smallest id of every component of ``named`` (see ``near_duplicates``).
+
+    Of several rows with that id the one with the smallest text stays, then that with the smallest other
+    columns. Rows without an id cannot be named by a component and stay as they are.
+    """
+    simple = (T.AtomicType, T.NullType)
+    rest = [f.name for f in docs.schema if isinstance(f.dataType, simple) and f.name != text_col]
+    kept = named.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    order = F.struct(F.col(text_col), *(F.col(f"`{c}`") for c in rest))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = (
+        docs.join(kept, id_col, "left_semi")
+        .groupBy(F.col(id_col).alias("_id"))
+        .agg(F.min_by(whole, order).alias("_row"))
+        .select("_row.*")
+    )
+    return chosen.unionByName(docs.where(F.col(id_col).isNull()))
