@@ -220,7 +220,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def accepted(
-    found: DataFrame, text: str = "text", least: float = 0.08, letters_: int = 64
+    found: DataFrame, text: str = "text", least: float = 0.1, letters_: int = 100
 ) -> DataFrame:
     """Rows of ``identify`` in a learned language.
 
