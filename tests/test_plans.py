@@ -73,3 +73,23 @@ def test_recent_questions_prunes_before_the_shuffle(spark, folder):
 def test_newest_purchase_is_computed_once(spark, folder):
     text = final_plan(QUERIES["rfm_base"](spark, folder))
     assert len(set(re.findall(r"Subquery subquery#(\d+)", text))) == 1
+
+
+ORDER_KPIS = ["kpi_monthly_revenue", "kpi_monthly", "kpi_customer_summary", "kpi_review_delivery", "kpi_weekday_weekend", "kpi_retention", "kpi_late_impact"]
+ROLLUPS = ["order_level_rollup", "headline_kpis", "grain_bias", "profile_monthly_kpi", "profile_delivery_review", "profile_weekday_weekend", "profile_customer_repeat"]
+
+
+@pytest.mark.parametrize("name", ORDER_KPIS)
+def test_delivered_filter_reaches_the_item_scan(spark, folder, name):
+    text = plan(QUERIES[name](spark, folder))
+    assert "EqualTo(is_delivered,1)" in text
+
+
+@pytest.mark.parametrize("name", ORDER_KPIS + ROLLUPS)
+def test_no_sort_of_all_items(spark, folder, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, folder))
+
+
+def test_histogram_reads_the_reviews_once(spark, folder):
+    text = plan(QUERIES["profile_review_histogram"](spark, folder))
+    assert "orders.parquet" not in text and "/values-" in text

@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tradewind.functions.columns import count_where, mean_exact, round_half_up, share_pct
 from tradewind.functions.columns import missing as is_missing
 from tradewind.operators.quality import union_all
 from tradewind.schemas import MONEY_SUM
+from tradewind.session import materialize
 
 
 def overview(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -77,12 +79,14 @@ def score_counts(reviews: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 5) -> DataFrame:
     """Equal-width bins over min..max, the last one closed; empty bins are listed with zero rows.
 
-    Values are counted first, so the bins are cut from one row per distinct value.
+    Values are counted first and stored, so the table is read once and the bounds and bins come
+    from one row per distinct value.
     """
-    values = (
+    values = materialize(
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("rows"))
+        .agg(F.count("*").alias("rows")),
+        "values",
     )
     span = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).where(
         F.col("lo").isNotNull()
@@ -215,17 +219,23 @@ FIRST_OF_ORDER: tuple[str, ...] = (
 
 
 def order_level_rollup(flat: DataFrame, first: Sequence[str] = FIRST_OF_ORDER) -> DataFrame:
-    """Per order: the first non-null value by item number, whether delivered or late, revenue."""
+    """Per order: the first non-null value by item number, whether delivered or late, revenue.
+
+    Text columns of ``first`` are attributes of the order, equal on all its items, and are grouped by:
+    an aggregate that carries text would sort all items.
+    """
+    texts = [c for c in first if isinstance(flat.schema[c].dataType, StringType)]
 
     def first_known(name: str) -> Column:
         return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("order_item_id"))).alias(name)
 
-    return flat.groupBy("order_id").agg(
-        *(first_known(c) for c in first),
+    per_order = flat.groupBy("order_id", *texts).agg(
+        *(first_known(c) for c in first if c not in texts),
         F.max("is_delivered").alias("is_delivered"),
         F.max("is_late_delivery").alias("is_late_delivery"),
         F.sum("revenue").cast(MONEY_SUM).alias("order_revenue"),
     )
+    return per_order.select("order_id", *first, "is_delivered", "is_late_delivery", "order_revenue")
 
 
 def headline_kpis(flat: DataFrame, orders: DataFrame) -> DataFrame:
