@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from oracles.rules import (
+    FOREIGN_KEYS,
+    ITEM_SALES,
+    KEYS,
+    MARTS,
+    NON_NEGATIVE,
+    RANGES,
+    RAW,
+    REQUIRED,
+    STORED_NAME,
+    columns,
+)
 from oracles.views import DELIVERY, STATEMENT_COUNT, STATEMENT_LIST
-from tradewind.schemas import FOREIGN_KEYS, ITEM_SALES, MARTS, RAW, RULES, STORED_NAME
 
 ITEM_FACT = "fact_order_item_sales"
 FACT_REQUIRED = (
@@ -28,7 +39,7 @@ def pct(part: str, whole: str) -> str:
 
 
 def total(column: str) -> str:
-    return f"sum({column})::DECIMAL(22,2)"
+    return f"sum({column})::DECIMAL(26,2)"
 
 
 def union(parts: list[str]) -> str:
@@ -39,32 +50,72 @@ S: dict[str, str] = {}
 
 # --- sources and sinks ----------------------------------------------------------------------------
 
-S["ingest_csv"] = """
-SELECT * REPLACE (NULL::VARCHAR AS review_comment_title,
-  review_comment_message || chr(10) || 'said "fine", twice' AS review_comment_message)
-FROM raw_order_reviews
-"""
-S["read_mart_orders"] = "SELECT * FROM mart_orders"
-S["read_mart_sales"] = "SELECT * FROM mart_sales"
-S["load_full_refresh"] = union(
+FORMS = {
+    "text": "{0}",
+    "int": "{0}::VARCHAR",
+    "double": "floor({0} * 1e6::DOUBLE)::BIGINT::VARCHAR",  # In millionths.
+    "money": "{0}::DECIMAL(26,2)::VARCHAR",
+    "time": "strftime({0}, '%Y-%m-%d %H:%M:%S')",
+}
+
+
+def as_text(label: str, name: str, fields: list[tuple[str, str]], relation: str) -> str:
+    """Every row as one text of all its values, by column name."""
+    texts = ", ".join(f"coalesce({FORMS[kind].format(c)}, '~')" for c, kind in sorted(fields))
+    return f"SELECT '{name}' AS {label}, concat_ws('|', {texts}) AS fields FROM {relation}"
+
+
+# What the files hold in place of the tables' values, as it is read back.
+CSV_VALUES = {
+    "order_items": """order_id::BIGINT % 7 AS seventh, * REPLACE (
+  CASE WHEN order_id::BIGINT % 7 <> 0 THEN order_item_id END AS order_item_id,
+  CASE WHEN order_id::BIGINT % 11 = 0 THEN 98765432109.87 ELSE price END AS price)""",
+    "order_payments": """* REPLACE (
+  CASE WHEN order_id::BIGINT % 13 <> 0 THEN payment_value END AS payment_value)""",
+    "order_reviews": """* REPLACE (NULL::VARCHAR AS review_comment_title,
+  review_comment_message || chr(10) || 'said "fine", twice' AS review_comment_message,
+  CASE WHEN order_id::BIGINT % 17 = 0 THEN review_score + 0.9 ELSE review_score END AS review_score)""",
+}
+S["ingest_csv"] = union(
     [
-        f"SELECT '{STORED_NAME.get(t, t)}' AS table_name, count(*) AS rows,"
-        f" count(DISTINCT {RAW[t].fieldNames()[0]}) AS first_column_values FROM clean_{t}"
+        as_text("table_name", t, RAW[t], f"(SELECT {CSV_VALUES.get(t, '*')} FROM raw_{t})")
         for t in RAW
     ]
-    + [
-        f"SELECT '{ITEM_FACT}', count(*), count(DISTINCT order_id) FROM item_sales"
+)
+S["csv_unreadable"] = union(
+    [
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, ({count}) AS \"values\""
+        for t, c, count in [
+            (
+                t,
+                c,
+                {
+                    ("order_items", "order_item_id"): "SELECT count(*) FROM raw_order_items"
+                    " WHERE order_id::BIGINT % 7 = 0",
+                    ("order_payments", "payment_value"): "SELECT count(*) FROM raw_order_payments"
+                    " WHERE order_id::BIGINT % 13 = 0",
+                }.get((t, c), "0"),
+            )
+            for t in RAW
+            for c in columns(t)
+        ]
     ]
 )
+S["read_mart_orders"] = "SELECT * FROM mart_orders"
+S["read_mart_sales"] = "SELECT * FROM mart_sales"
+S["load_full_refresh"] = union(
+    [as_text("table_name", STORED_NAME.get(t, t), RAW[t], f"clean_{t}") for t in RAW]
+    + [as_text("table_name", ITEM_FACT, ITEM_SALES, "item_sales")]
+)
 
 # --- cleaning -------------------------------------------------------------------------------------
 
 S["dedup_keep_first"] = "SELECT * FROM clean_order_items"
 S["coerce_numeric"] = """
 SELECT l_orderkey, l_linenumber, CASE l_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL
-    WHEN 2 THEN (cents + 1) / 100::DECIMAL(12,2) ELSE price END::DECIMAL(12,2) AS price
-FROM (SELECT *, l_extendedprice::DECIMAL(12,2) AS price,
-        (l_extendedprice::DECIMAL(12,2) * 100)::BIGINT AS cents FROM lineitem)
+    WHEN 2 THEN (cents + 1) / 100::DECIMAL(16,2) ELSE price END::DECIMAL(16,2) AS price
+FROM (SELECT *, l_extendedprice::DECIMAL(16,2) AS price,
+        (l_extendedprice::DECIMAL(16,2) * 100)::BIGINT AS cents FROM lineitem)
 """
 S["coerce_timestamp"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 1
@@ -77,7 +128,7 @@ for _t in RAW:
     S[f"clean_{_t}"] = f"SELECT * FROM clean_{_t}"
     S[f"stg_{STORED_NAME.get(_t, _t)}"] = f"SELECT * FROM clean_{_t}"
 S["stg_order_items"] = """
-SELECT *, (price + freight_value)::DECIMAL(13,2) AS revenue FROM clean_order_items
+SELECT *, (price + freight_value)::DECIMAL(17,2) AS revenue FROM clean_order_items
 """
 S["stg_products"] = """
 SELECT * EXCLUDE (product_name_lenght, product_description_lenght),
@@ -100,12 +151,15 @@ def check(order: int, name: str, table: str, columns: str, count: str, text: str
     )
 
 
-def source(table: str) -> str:
-    return "item_sales" if table == ITEM_FACT else f"clean_{table}"
+def source(table: str, state: str = "clean") -> str:
+    """A table as cleaned, or with rows that break the rules."""
+    if table == ITEM_FACT:
+        return "item_sales" if state == "clean" else "broken_item_sales"
+    return f"{state}_{table}"
 
 
 def not_null(order: int, table: str, column: str) -> str:
-    count = f"SELECT count(*) FROM {source(table)} WHERE {column} IS NULL"
+    count = f"SELECT count(*) FROM {source(table, 'broken')} WHERE {column} IS NULL"
     return check(
         order, "not_null", table, column, count, f"{table}.{column} contains %s null values"
     )
@@ -121,8 +175,8 @@ def unique(order: int, table: str, key: tuple[str, ...], relation: str) -> str:
 
 def fk(order: int, child: str, column: str, parent: str, parent_column: str) -> str:
     count = (
-        f"SELECT count(DISTINCT {column}) FROM clean_{child} c WHERE NOT EXISTS"
-        f" (SELECT 1 FROM clean_{parent} p WHERE p.{parent_column} = c.{column})"
+        f"SELECT count(DISTINCT {column}) FROM broken_{child} c WHERE NOT EXISTS"
+        f" (SELECT 1 FROM broken_{parent} p WHERE p.{parent_column} = c.{column})"
     )
     text = (
         f"Foreign key check failed: {child}.{column} -> {parent}.{parent_column}."
@@ -132,43 +186,43 @@ def fk(order: int, child: str, column: str, parent: str, parent_column: str) ->
 
 
 def non_negative(order: int, table: str, column: str) -> str:
-    count = f"SELECT count(*) FROM clean_{table} WHERE {column} < 0"
+    count = f"SELECT count(*) FROM broken_{table} WHERE {column} < 0"
     return check(
         order, "non_negative", table, column, count, f"{table}.{column} contains %s negative values"
     )
 
 
 def in_range(order: int, table: str, column: str, lo: int, hi: int) -> str:
-    count = f"SELECT count(*) FROM clean_{table} WHERE {column} NOT BETWEEN {lo} AND {hi}"
+    count = f"SELECT count(*) FROM broken_{table} WHERE {column} NOT BETWEEN {lo} AND {hi}"
     text = f"{table}.{column} contains %s values outside allowed range [{lo}, {hi}]"
     return check(order, "range", table, column, count, text)
 
 
 def fact_timestamp(order: int) -> str:
     column = "order_purchase_timestamp"
-    count = f"SELECT count(*) FROM item_sales WHERE {column} IS NULL"
+    count = f"SELECT count(*) FROM broken_item_sales WHERE {column} IS NULL"
     text = f"{ITEM_FACT}.{column} contains null values after joins"
     return check(order, "fact_timestamp", ITEM_FACT, column, count, text)
 
 
 S["check_not_null"] = union(
-    [not_null(i, t, c) for t, r in RULES.items() for i, c in enumerate(r.required)]
+    [not_null(i, t, c) for t, required in REQUIRED.items() for i, c in enumerate(required)]
 )
-S["check_unique"] = union([unique(0, t, r.key, f"raw_{t}") for t, r in RULES.items()])
+S["check_unique"] = union([unique(0, t, key, f"raw_{t}") for t, key in KEYS.items()])
 S["check_fk"] = union([fk(0, *edge) for edge in FOREIGN_KEYS])
 S["check_non_negative"] = union(
-    [non_negative(i, t, c) for t, r in RULES.items() for i, c in enumerate(r.non_negative)]
+    [non_negative(i, t, c) for t, signed in NON_NEGATIVE.items() for i, c in enumerate(signed)]
 )
-S["check_range"] = union([in_range(0, t, *x) for t, r in RULES.items() for x in r.ranges])
+S["check_range"] = union([in_range(0, *x) for x in RANGES])
 S["check_fact_timestamp"] = fact_timestamp(0)
 
 
 def _suite() -> str:
-    makers = [(not_null, (t, c)) for t, r in RULES.items() for c in r.required]
-    makers += [(unique, (t, r.key, f"clean_{t}")) for t, r in RULES.items()]
+    makers = [(not_null, (t, c)) for t, required in REQUIRED.items() for c in required]
+    makers += [(unique, (t, key, f"broken_{t}")) for t, key in KEYS.items()]
     makers += [(fk, edge) for edge in FOREIGN_KEYS]
-    makers += [(non_negative, (t, c)) for t, r in RULES.items() for c in r.non_negative]
-    makers += [(in_range, (t, *x)) for t, r in RULES.items() for x in r.ranges]
+    makers += [(non_negative, (t, c)) for t, signed in NON_NEGATIVE.items() for c in signed]
+    makers += [(in_range, x) for x in RANGES]
     makers += [(not_null, (ITEM_FACT, c)) for c in FACT_REQUIRED]
     makers += [(fact_timestamp, ())]
     return union([make(i, *args) for i, (make, args) in enumerate(makers)])
@@ -194,11 +248,11 @@ def _report() -> str:
             row(t, "raw_row_counts", None, rows(f"raw_{t}")),
             row(t, "rows_removed_by_cleaning", None, f"{rows(f'raw_{t}')} - {rows(f'clean_{t}')}"),
         ]
-    for t, layout in [*RAW.items(), (ITEM_FACT, ITEM_SALES)]:
+    for t, fields in [*RAW.items(), (ITEM_FACT, ITEM_SALES)]:
         parts.append(row(t, "cleaned_row_counts", None, rows(source(t))))
         parts += [
             row(t, "null_counts", c, f"SELECT count(*) FROM {source(t)} WHERE {c} IS NULL")
-            for c in layout.fieldNames()
+            for c, _ in fields
         ]
     return union(parts)
 
@@ -207,11 +261,11 @@ S["quality_report"] = _report()
 S["write_quality_report"] = _report()
 S["schema_contract"] = union(
     [
-        f"SELECT '{t}' AS table_name, '{f.name}' AS column_name,"
-        f" '{f.dataType.simpleString()}' AS declared, '{f.dataType.simpleString()}' AS actual,"
-        f" count({f.name}) AS filled, 'ok' AS verdict FROM {'m_' + t if t != 'dim_sellers' else 'clean_sellers'}"
-        for t, layout in MARTS.items()
-        for f in layout
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name,"
+        f" '{kind}' AS declared, '{kind}' AS actual,"
+        f" count({c}) AS filled, 'ok' AS verdict FROM {'m_' + t if t != 'dim_sellers' else 'clean_sellers'}"
+        for t, fields in MARTS.items()
+        for c, kind in fields
     ]
 )
 S["delivery_conflict"] = """
@@ -260,7 +314,7 @@ FROM {fact} f, (
 S["upsert_fact_orders"] = _refreshed(
     "m_fact_orders", "order_purchase_timestamp", "delivery_status", "'outdated'"
 )
-S["upsert_fact_sales"] = _refreshed("m_fact_sales", "order_date", "price", "-1::DECIMAL(12,2)")
+S["upsert_fact_sales"] = _refreshed("m_fact_sales", "order_date", "price", "-1::DECIMAL(16,2)")
 
 # --- KPIs on the flat items -----------------------------------------------------------------------
 
@@ -371,20 +425,40 @@ _reports = reports("mart_orders", "mart_sales")
 S |= {f"report_{k}": v for k, v in _reports.items()}
 S |= {f"profile_{k}": v for k, v in reports("flat_orders", "flat").items()}
 
+_FIGURES = {
+    "total_orders": "int",
+    "total_customers": "int",
+    "total_revenue": "money",
+}
 _FILES = {
-    "monthly_kpi": ("monthly_kpi", "order_month", 7),
-    "top_categories_revenue": ("top_categories", CATEGORY, 4),
-    "delivery_review_analysis": ("delivery_review", "delivery_status", 5),
-    "weekday_vs_weekend": ("weekday_weekend", "day_type", 5),
-    "customer_repeat_proxy": ("customer_repeat", "customer_type", 3),
+    "monthly_kpi": (
+        "monthly_kpi",
+        "order_month total_orders total_revenue avg_order_value avg_review_score"
+        " late_delivery_rate mom_revenue_growth_pct",
+    ),
+    "top_categories_revenue": (
+        "top_categories", f"{CATEGORY} total_revenue total_orders avg_item_revenue",
+    ),
+    "delivery_review_analysis": (
+        "delivery_review",
+        "delivery_status total_orders avg_review_score avg_delivery_delay_days avg_order_value",
+    ),
+    "weekday_vs_weekend": (
+        "weekday_weekend", "day_type total_orders total_revenue avg_order_value avg_review_score",
+    ),
+    "customer_repeat_proxy": (
+        "customer_repeat", "customer_type total_customers avg_customer_revenue",
+    ),
 }
-S["write_summary_csv"] = union(
-    [
-        f"SELECT '{name}' AS summary, {label} AS label, {width} AS columns"
-        f" FROM ({_reports[report]})"
-        for name, (report, label, width) in _FILES.items()
-    ]
-)
+
+
+def _summary(name: str, report: str, names: str) -> str:
+    label, *figures = names.split()
+    fields = [(label, "text")] + [(c, _FIGURES.get(c, "double")) for c in figures]
+    return as_text("summary", name, fields, f"({_reports[report]})")
+
+
+S["write_summary_csv"] = union([_summary(name, *parts) for name, parts in _FILES.items()])
 
 # --- ad-hoc queries and example questions ---------------------------------------------------------
 
@@ -462,7 +536,7 @@ FROM m_fact_orders GROUP BY ALL
 
 
 def raw(table: str) -> str:
-    return f"(SELECT {', '.join(RAW[table].fieldNames())} FROM raw_{table})"
+    return f"(SELECT {', '.join(columns(table))} FROM raw_{table})"
 
 
 S["profile_overview"] = union(
@@ -480,7 +554,7 @@ S["profile_missing"] = (
             f"SELECT '{t}' AS dataset, '{c}' AS \"column\", count(*) AS rows,"
             f" count(*) - count({c}) AS missing_count FROM raw_{t}"
             for t in RAW
-            for c in RAW[t].fieldNames()
+            for c in columns(t)
         ]
     )
     + ") WHERE missing_count > 0"
@@ -675,24 +749,27 @@ LEFT JOIN (
   WHERE distance < 0.10 GROUP BY query_id) b
   ON b.query_id = q.query_id
 """
+# All elements, in millionths.
+VECTOR = """array_to_string(
+      list_transform(embedding, lambda x: floor(x::DOUBLE * 1e6)::BIGINT::VARCHAR), ',')"""
 S["semantic_upsert"] = f"""
 WITH stored AS (
   SELECT 'question ' || vec_id AS question, {STATEMENT_LIST}[vec_id % {STATEMENT_COUNT} + 1] AS sql,
-    embedding[1]::DOUBLE AS vector_head
+    {VECTOR} AS vector
   FROM embeddings),
 offered AS (
   SELECT vec_id AS position, CASE WHEN vec_id % 3 = 0 THEN ' Question ' || (vec_id // 2)
       ELSE 'follow-up ' || (vec_id // 4) END AS question,
-    {STATEMENT_LIST}[(vec_id + 1) % {STATEMENT_COUNT} + 1] AS sql, embedding[1]::DOUBLE AS vector_head
+    {STATEMENT_LIST}[(vec_id + 1) % {STATEMENT_COUNT} + 1] AS sql, {VECTOR} AS vector
   FROM embeddings),
 fresh AS (
   SELECT DISTINCT ON (id) * EXCLUDE (position) FROM (
-    SELECT sha256(lower(trim(question))) AS id, position, question, sql, vector_head
+    SELECT sha256(lower(trim(question))) AS id, position, question, sql, vector
     FROM ({AUDIT.replace("__log__", "offered")}) WHERE is_valid)
   ORDER BY id, position DESC)
 SELECT * FROM fresh
 UNION ALL
-SELECT sha256(question) AS id, question, sql, vector_head FROM stored
+SELECT sha256(question) AS id, question, sql, vector FROM stored
 WHERE sha256(question) NOT IN (SELECT id FROM fresh)
 """
 S["recent_questions"] = """

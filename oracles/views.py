@@ -54,7 +54,7 @@ JOIN region ON r_regionkey = n_regionkey
 SELECT l_orderkey::VARCHAR AS order_id, l_linenumber AS order_item_id,
   l_partkey::VARCHAR AS product_id, l_suppkey::VARCHAR AS seller_id,
   l_shipdate AS shipping_limit_date,
-  l_extendedprice::DECIMAL(12,2) AS price, l_quantity::DECIMAL(12,2) AS freight_value,
+  l_extendedprice::DECIMAL(16,2) AS price, l_quantity::DECIMAL(16,2) AS freight_value,
   lineitem AS line
 FROM lineitem
 """,
@@ -64,13 +64,13 @@ SELECT l_orderkey::VARCHAR AS order_id, l_linenumber AS payment_sequential,
     AS payment_type,
   l_quantity::INTEGER AS payment_installments,
   round(l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(12,2))
-        * (1 + l_tax::DECIMAL(12,2)), 2)::DECIMAL(12,2) AS payment_value,
+        * (1 + l_tax::DECIMAL(12,2)), 2)::DECIMAL(16,2) AS payment_value,
   lineitem AS line
 FROM lineitem
 """,
     "raw_order_reviews": """
 SELECT prefix || o_orderkey AS review_id, o_orderkey::VARCHAR AS order_id,
-  CASE prefix WHEN 'r' THEN 6 - digit ELSE digit END AS review_score,
+  (CASE prefix WHEN 'r' THEN 6 - digit ELSE digit END)::DOUBLE AS review_score,
   NULL::VARCHAR AS review_comment_title,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS review_comment_message,
   o_orderdate + to_days((10 + o_orderkey % 20)::INTEGER) AS review_creation_date,
@@ -128,20 +128,82 @@ SELECT DISTINCT ON (product_category_name) * FROM raw_category_translation
     "item_sales": """
 SELECT i.order_id, i.order_item_id, i.seller_id, i.product_id, t.product_category_name_english,
   o.order_purchase_timestamp, i.price, i.freight_value,
-  (i.price + i.freight_value)::DECIMAL(13,2) AS revenue
+  (i.price + i.freight_value)::DECIMAL(17,2) AS revenue
 FROM clean_order_items i
 LEFT JOIN clean_orders o ON o.order_id = i.order_id
 LEFT JOIN clean_products p ON p.product_id = i.product_id
 LEFT JOIN clean_category_translation t ON t.product_category_name = p.product_category_name
+""",
+    # Copies of the cleaned tables in which some rows break each rule.
+    "broken_customers": """
+SELECT * REPLACE (CASE WHEN customer_id::BIGINT % 139 <> 0 THEN customer_id END AS customer_id)
+FROM clean_customers
+""",
+    "broken_orders": """
+SELECT * REPLACE (
+  CASE WHEN order_id::BIGINT % 149 <> 0 THEN order_id END AS order_id,
+  CASE WHEN order_id::BIGINT % 101 = 0 THEN NULL WHEN order_id::BIGINT % 103 = 0 THEN 'nobody ' || customer_id
+    ELSE customer_id END AS customer_id)
+FROM clean_orders
+""",
+    "broken_order_items": """
+SELECT * REPLACE (
+  CASE WHEN order_id::BIGINT % 137 <> 0 THEN order_item_id END AS order_item_id,
+  CASE WHEN order_id::BIGINT % 131 = 0 THEN NULL WHEN order_id::BIGINT % 113 = 0 THEN '-1' ELSE order_id END AS order_id,
+  CASE WHEN order_id::BIGINT % 109 = 0 THEN NULL WHEN order_id::BIGINT % 127 = 0 THEN 'none' ELSE product_id END AS product_id,
+  CASE WHEN order_id::BIGINT % 127 = 0 THEN NULL WHEN order_id::BIGINT % 109 = 0 THEN 'none' ELSE seller_id END AS seller_id,
+  CASE WHEN order_id::BIGINT % 107 = 0 THEN -price ELSE price END AS price,
+  CASE WHEN order_id::BIGINT % 109 = 0 THEN -freight_value ELSE freight_value END AS freight_value)
+FROM clean_order_items
+""",
+    "broken_order_payments": """
+SELECT * REPLACE (
+  CASE WHEN order_id::BIGINT % 131 = 0 THEN NULL WHEN order_id::BIGINT % 113 = 0 THEN '-1' ELSE order_id END AS order_id,
+  CASE WHEN order_id::BIGINT % 137 <> 0 THEN payment_sequential END AS payment_sequential,
+  CASE WHEN order_id::BIGINT % 107 = 0 THEN -payment_value ELSE payment_value END AS payment_value)
+FROM clean_order_payments
+""",
+    "broken_order_reviews": """
+SELECT * REPLACE (
+  CASE WHEN order_id::BIGINT % 137 <> 0 THEN review_id END AS review_id,
+  CASE WHEN order_id::BIGINT % 131 = 0 THEN NULL WHEN order_id::BIGINT % 113 = 0 THEN '-1' ELSE order_id END AS order_id,
+  CASE WHEN order_id::BIGINT % 107 = 0 THEN 0 WHEN order_id::BIGINT % 109 = 0 THEN 5.9
+    WHEN order_id::BIGINT % 127 = 0 THEN NULL ELSE review_score END::DOUBLE AS review_score)
+FROM clean_order_reviews
+""",
+    "broken_products": """
+SELECT * REPLACE (CASE WHEN product_id::BIGINT % 17 <> 0 THEN product_id END AS product_id)
+FROM clean_products
+""",
+    "broken_sellers": """
+SELECT * REPLACE (CASE WHEN seller_id::BIGINT % 3 <> 0 THEN seller_id END AS seller_id)
+FROM clean_sellers
+""",
+    "broken_category_translation": """
+SELECT * REPLACE (CASE WHEN product_category_name NOT LIKE 'S%' THEN product_category_name END
+  AS product_category_name)
+FROM clean_category_translation
+""",
+    "broken_item_sales": """
+SELECT * REPLACE (
+  CASE WHEN order_id::BIGINT % 131 <> 0 THEN order_id END AS order_id,
+  CASE WHEN order_id::BIGINT % 137 <> 0 THEN order_item_id END AS order_item_id,
+  CASE WHEN order_id::BIGINT % 109 <> 0 THEN product_id END AS product_id,
+  CASE WHEN order_id::BIGINT % 127 <> 0 THEN seller_id END AS seller_id,
+  CASE WHEN order_id::BIGINT % 107 <> 0 THEN price END AS price,
+  CASE WHEN order_id::BIGINT % 113 <> 0 THEN freight_value END AS freight_value,
+  CASE WHEN order_id::BIGINT % 103 <> 0 THEN revenue END AS revenue,
+  CASE WHEN order_id::BIGINT % 101 <> 0 THEN order_purchase_timestamp END AS order_purchase_timestamp)
+FROM item_sales
 """,
     "revenue_per_order": """
-SELECT order_id, sum(price + freight_value)::DECIMAL(23,2) AS order_revenue
+SELECT order_id, sum(price + freight_value)::DECIMAL(27,2) AS order_revenue
 FROM clean_order_items GROUP BY order_id
 """,
     "payments_per_order": """
 SELECT order_id, max(payment_installments) AS payment_installments_max,
   count(DISTINCT payment_type) AS payment_type_nunique,
-  sum(payment_value)::DECIMAL(22,2) AS order_total_payment_value
+  sum(payment_value)::DECIMAL(26,2) AS order_total_payment_value
 FROM clean_order_payments GROUP BY order_id
 """,
     "reviews_per_order": """
@@ -167,7 +229,7 @@ SELECT c.customer_unique_id,
   {days("(SELECT max(order_purchase_timestamp) FROM clean_orders)",
         "max(o.order_purchase_timestamp)")} AS recency,
   count(DISTINCT o.order_id) AS frequency,
-  sum(coalesce(r.order_revenue, 0))::DECIMAL(33,2) AS monetary
+  sum(coalesce(r.order_revenue, 0))::DECIMAL(37,2) AS monetary
 FROM clean_orders o
 JOIN clean_customers c ON c.customer_id = o.customer_id
 LEFT JOIN revenue_per_order r ON r.order_id = o.order_id
@@ -194,7 +256,7 @@ FROM rfm_scores_v
 """,
     "m_dim_customers": """
 SELECT a.*, coalesce(s.recency, -1) AS recency, coalesce(s.frequency, 0) AS frequency,
-  coalesce(s.monetary, 0)::DECIMAL(33,2) AS monetary, coalesce(s.r_score, 0) AS r_score,
+  coalesce(s.monetary, 0)::DECIMAL(37,2) AS monetary, coalesce(s.r_score, 0) AS r_score,
   coalesce(s.f_score, 0) AS f_score, coalesce(s.m_score, 0) AS m_score,
   coalesce(s.rfm_score, '000') AS rfm_score, coalesce(s.rfm_segment, 'Non-Active') AS rfm_segment
 FROM (SELECT DISTINCT customer_unique_id, customer_city, customer_state FROM clean_customers) a
@@ -205,9 +267,9 @@ SELECT o.order_id, o.customer_id, c.customer_unique_id, o.order_status,
   (o.order_status = 'delivered')::INTEGER AS is_delivered,
   (o.order_status = 'canceled')::INTEGER AS is_canceled,
   o.order_purchase_timestamp, o.order_purchase_timestamp::DATE AS order_date,
-  coalesce(r.order_revenue, 0)::DECIMAL(23,2) AS order_revenue, v.review_score,
+  coalesce(r.order_revenue, 0)::DECIMAL(27,2) AS order_revenue, v.review_score,
   {DELIVERY},
-  coalesce(p.order_total_payment_value, 0)::DECIMAL(22,2) AS order_total_payment_value,
+  coalesce(p.order_total_payment_value, 0)::DECIMAL(26,2) AS order_total_payment_value,
   coalesce(p.payment_installments_max, 0) AS payment_installments_max,
   coalesce(p.payment_type_nunique, 0) AS payment_type_nunique
 FROM clean_orders o
@@ -219,7 +281,7 @@ LEFT JOIN reviews_per_order v ON v.order_id = o.order_id
     "m_fact_sales": """
 SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, c.customer_unique_id,
   o.order_purchase_timestamp::DATE AS order_date, i.price, i.freight_value,
-  (i.price + i.freight_value)::DECIMAL(13,2) AS revenue
+  (i.price + i.freight_value)::DECIMAL(17,2) AS revenue
 FROM clean_order_items i
 JOIN clean_orders o ON o.order_id = i.order_id
 JOIN clean_customers c ON c.customer_id = o.customer_id
@@ -227,7 +289,7 @@ JOIN clean_customers c ON c.customer_id = o.customer_id
     "flat": f"""
 SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, i.shipping_limit_date,
   i.price, i.freight_value, i.price AS item_revenue, i.freight_value AS shipping_revenue,
-  (i.price + i.freight_value)::DECIMAL(13,2) AS revenue, r.order_revenue,
+  (i.price + i.freight_value)::DECIMAL(17,2) AS revenue, r.order_revenue,
   p.product_category_name,
   coalesce(t.product_category_name_english, 'unknown') AS product_category_name_english,
   (t.product_category_name_english IS NULL)::INTEGER AS missing_product_category_flag,
@@ -265,7 +327,7 @@ SELECT order_id, any_value(order_month) AS order_month, any_value(order_weekday)
   any_value(review_score) AS review_score, any_value(is_late_delivery) AS is_late_delivery,
   any_value(delivery_status) AS delivery_status,
   any_value(delivery_delay_days) AS delivery_delay_days, any_value(is_delivered) AS is_delivered,
-  sum(revenue)::DECIMAL(22,2) AS order_revenue
+  sum(revenue)::DECIMAL(26,2) AS order_revenue
 FROM flat GROUP BY order_id
 """,
     "mart_orders": """

@@ -31,7 +31,13 @@ def bag(df: DataFrame) -> Counter:
 def raw_table(spark, name: str, records: list[dict]) -> DataFrame:
     """A raw table from partial records; what a record leaves out is null."""
     layout = RAW[name]
-    full = [tuple(r.get(f.name) for f in layout) for r in records]
+    doubles = {f.name for f in layout if f.dataType.simpleString() == "double"}
+
+    def value(record: dict, name: str):
+        found = record.get(name)
+        return float(found) if found is not None and name in doubles else found
+
+    full = [tuple(value(r, f.name) for f in layout) for r in records]
     return spark.createDataFrame(full, layout)
 
 

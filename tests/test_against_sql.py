@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -57,3 +59,31 @@ def test_query(spark, folder, database, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["check_not_null", "check_unique", "check_fk", "check_non_negative", "check_range", "check_fact_timestamp", "validate_all"])
+def test_checks_see_violations(spark, name):
+    """On tables large enough for every kind of broken row."""
+    checks = QUERIES[name](spark, "/root/testdata/sf0.01").collect()
+    found = {(c.check_name, c.table_name): c.violations for c in checks if c.violations}
+    assert found
+    if name != "check_unique":
+        assert {c.check_name for c in checks} == {k for k, _ in found}
+
+
+def test_statements_take_nothing_from_the_package():
+    """Only the texts of the logged statements are shared."""
+    for file in Path(__file__).parents[1].glob("oracles/*.py"):
+        shared = re.findall(r"^(?:from|import) tradewind.*$", file.read_text(), re.M)
+        assert shared in ([], ["from tradewind.sources.testdata import STATEMENTS"])
+
+
+def test_contract_of_another_type_is_noticed(spark, folder, database, monkeypatch):
+    from pyspark.sql import types as T
+
+    from tradewind.schemas import MARTS
+
+    changed = T.StructType([T.StructField(f.name, T.StringType() if f.name == "review_score" else f.dataType) for f in MARTS["fact_orders"]])
+    monkeypatch.setitem(MARTS, "fact_orders", changed)
+    got = {(r.table_name, r.column_name): r.verdict for r in QUERIES["schema_contract"](spark, folder).collect()}
+    assert got["fact_orders", "review_score"] == "other type"

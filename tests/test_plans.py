@@ -36,7 +36,7 @@ def test_scans_read_only_what_is_used(spark, folder):
     w = open_warehouse(spark, folder)
     w.mart("flat_items")
     text = plan(QUERIES["kpi_total_revenue"](spark, folder))
-    assert "ReadSchema: struct<revenue:decimal(13,2),is_delivered:int>" in text
+    assert "ReadSchema: struct<revenue:decimal(17,2),is_delivered:int>" in text
     assert "PushedFilters: [IsNotNull(is_delivered), EqualTo(is_delivered,1)]" in text
 
 

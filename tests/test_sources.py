@@ -139,3 +139,45 @@ def test_build_then_refresh_equals_full_build(spark, folder, scratch):
     assert set(marts) == set(MARTS)
     for name, df in marts.items():
         assert bag(df) == bag(w.mart(name)), name
+
+
+ITEMS = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+
+
+def test_files_may_order_their_columns_differently(spark, scratch):
+    os.mkdir(f"{scratch}/sellers")
+    write(scratch, "sellers/a.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")
+    write(scratch, "sellers/b.csv", "seller_state,seller_city,seller_id,seller_zip_code_prefix\nRJ,y,s2,2\n")
+    got = extract_all(spark, scratch, {"sellers": "sellers"})["sellers"].orderBy("seller_id").collect()
+    assert [tuple(r)[:4] for r in got] == [("s1", 1, "x", "SP"), ("s2", 2, "y", "RJ")]
+    write(scratch, "sellers/c.csv", "seller_id,town\ns3,z\n")
+    with pytest.raises(RuntimeError, match="different columns"):
+        extract_all(spark, scratch, {"sellers": "sellers"})
+
+
+def test_fractions_are_no_whole_numbers(spark, scratch):
+    """Neither moved onto another row's key nor into an allowed range."""
+    from tradewind.operators.quality import check_range
+    from tradewind.plans.cleaning import clean_table
+    from tradewind.sources.csv_files import extract_text, unreadable
+
+    write(scratch, "i.csv", ITEMS + "o1,1,p,s,,5,1\no1,1.5,p,s,,6,1\no1,2.0,p,s,,7,1\no1,1e0,q,s,,8,1\n")
+    items = extract_all(spark, scratch, {"order_items": "i.csv"})["order_items"]
+    assert [r.order_item_id for r in items.orderBy("price").collect()] == [1, None, 2, 1]
+    assert clean_table("order_items", items).count() == 3
+    lost = unreadable(extract_text(spark, scratch, {"order_items": "i.csv"})["order_items"], "order_items")
+    assert {r.column_name: r["values"] for r in lost.collect() if r["values"]} == {"order_item_id": 1}
+    header = ",".join(RAW["order_reviews"].fieldNames())
+    write(scratch, "r.csv", header + "\nr1,o,5.9,,,,\nr2,o,4.7,,,,\nr3,o,0,,,,\nr4,o,5,,,,\n")
+    reviews = clean_table("order_reviews", extract_all(spark, scratch, {"order_reviews": "r.csv"})["order_reviews"])
+    assert sorted(r.review_score for r in reviews.collect()) == [0.0, 4.7, 5.0, 5.9]
+    assert check_range(reviews, "order_reviews", "review_score", 1, 5).first().violations == 2
+
+
+def test_large_amounts(spark, scratch):
+    write(scratch, "i.csv", ITEMS + "o1,1,p,s,,12345678901.23,inf\n")
+    row = extract_all(spark, scratch, {"order_items": "i.csv"})["order_items"].first()
+    assert (row.price, row.freight_value) == (Decimal("12345678901.23"), None)
+    write(scratch, "j.csv", ITEMS + "o1,1,p,s,,1e15,1\n")
+    with pytest.raises(Exception, match="amount beyond"):
+        extract_all(spark, scratch, {"order_items": "j.csv"})["order_items"].collect()

@@ -107,7 +107,23 @@ def missing(df: DataFrame, name: str) -> Column:
 
 
 def parse_money(text: Column) -> Column:
-    return text.try_cast(MONEY)
+    """Text or number as an amount; what is no number becomes null, a number too large is an error."""
+    amount = text.try_cast(MONEY)
+    number = text.try_cast("double")
+    large = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    too_large = F.raise_error(
+        F.concat(F.lit(f"amount beyond {MONEY.simpleString()}: "), text.cast("string"))
+    )
+    return F.when(amount.isNull() & large, too_large.cast(MONEY)).otherwise(amount)
+
+
+def parse_whole(text: Column) -> Column:
+    """Text as a whole number. "3.0" is one, which once shared a column with missing values; a
+    fraction is not, and becomes null like any text that is no number."""
+    exact = text.try_cast("decimal(38,10)")
+    rough = text.try_cast("double").try_cast("decimal(38,10)")  # "1e3"
+    number = F.coalesce(exact, rough)
+    return F.when(number == F.floor(number), number).try_cast("int")
 
 
 def parse_timestamp(text: Column) -> Column:

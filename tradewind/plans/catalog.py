@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradewind.functions.columns import plus_days
+from tradewind.functions.columns import iso_text, plus_days
 from tradewind.operators import profiling, quality, shaping, similarity, text_audit
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.operators.upsert import incremental_filter, write_partitioned
@@ -16,10 +17,10 @@ from tradewind.plans.batch import REPORT_MARTS
 from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
 from tradewind.plans.staging import stage
 from tradewind.plans.warehouse import ITEM_SALES, Warehouse
-from tradewind.schemas import MARTS, RAW, RULES, STORED_NAME
+from tradewind.schemas import MARTS, POSITION, RAW, RULES, STORED_NAME
 from tradewind.session import fresh_path
 from tradewind.sources import sinks, testdata
-from tradewind.sources.csv_files import extract_all
+from tradewind.sources.csv_files import extract_all, extract_text, unreadable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,33 +66,64 @@ def _top_categories(w: Warehouse) -> DataFrame:
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
-def ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Reviews with line breaks, quotes and missing-value words in their text, through CSV files."""
-    w, out = open_warehouse(spark, folder), fresh_path(spark, "csv")
-    tricky = F.concat(F.col("review_comment_message"), F.lit('\nsaid "fine", twice'))
-    reviews = w.raw("order_reviews").withColumns(
-        {"review_comment_title": F.lit("n/a"), "review_comment_message": tricky}
+def _as_text(df: DataFrame, label: str, name: str) -> DataFrame:
+    """Every row as one text of all its values, by column name, so tables can be compared whole."""
+
+    def text(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DoubleType):
+            column = F.floor(column * 1e6)  # In millionths.
+        elif isinstance(field.dataType, T.TimestampNTZType):
+            column = iso_text(column)
+        return F.coalesce(column.cast("string"), F.lit("~"))
+
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    return df.select(
+        F.lit(name).alias(label), F.concat_ws("|", *(text(f) for f in fields)).alias("fields")
     )
-    sinks.write_csv_table(reviews, f"{out}/order_reviews")
-    return extract_all(spark, out, {"order_reviews": "order_reviews"})["order_reviews"].select(
-        *RAW["order_reviews"].fieldNames()
+
+
+def _raw_files(spark: SparkSession, folder: str) -> str:
+    """All raw tables as CSV files, each in two parts whose headers name the columns in another order."""
+    w, out = open_warehouse(spark, folder), fresh_path(spark, "csv")
+    for name, layout in RAW.items():
+        columns = layout.fieldNames()
+        rows = testdata.as_file_text(name, w.raw(name)).select(*columns)
+        half = F.pmod(F.xxhash64(*columns), F.lit(2))
+        sinks.write_csv_table(rows.where(half == 0), f"{out}/{name}/first")
+        sinks.write_csv_table(rows.where(half == 1).select(*columns[::-1]), f"{out}/{name}/second")
+    return out
+
+
+def ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """All eight raw tables through CSV files with awkward values, in full."""
+    tables = extract_all(spark, _raw_files(spark, folder), {name: name for name in RAW})
+    return quality.union_all(
+        [_as_text(df.drop(POSITION), "table_name", name) for name, df in tables.items()]
     )
 
 
+def csv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts per column of the same files that their type cannot hold."""
+    tables = extract_text(spark, _raw_files(spark, folder), {name: name for name in RAW})
+    return quality.union_all([unreadable(df, name) for name, df in tables.items()])
+
+
 def load_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and key values of every stored table after a full refresh."""
+    """Contents of every stored table after a full refresh."""
     w = open_warehouse(spark, folder)
     bundle = {**w.cleaned_all(), ITEM_SALES: w.mart(ITEM_SALES)}
     paths = sinks.load_full_refresh(bundle, fresh_path(spark, "load"))
 
-    def count(name: str) -> DataFrame:
-        first = bundle[name].columns[0]
-        stored = spark.read.schema(bundle[name].schema).parquet(paths[name])
-        return stored.agg(
-            F.count("*").alias("rows"), F.count_distinct(first).alias("first_column_values")
-        ).select(F.lit(STORED_NAME.get(name, name)).alias("table_name"), "*")
+    def stored(name: str) -> DataFrame:
+        rows = spark.read.schema(bundle[name].schema).parquet(paths[name])
+        return _as_text(rows, "table_name", STORED_NAME.get(name, name))
 
-    return quality.union_all([count(name) for name in bundle])
+    return quality.union_all([stored(name) for name in bundle])
+
+
+def _broken(w: Warehouse, name: str) -> DataFrame:
+    return testdata.broken(name, w.mart(name) if name == ITEM_SALES else w.cleaned(name))
 
 
 def _quality_report(w: Warehouse) -> DataFrame:
@@ -107,19 +139,14 @@ def write_quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_summary_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """First column and rows of each summary, read back from its CSV file."""
+    """Contents of each summary, read back from its CSV file."""
     w = open_warehouse(spark, folder)
     tables = reports.summaries(*(w.mart(name) for name in REPORT_MARTS))
     paths = sinks.write_summary_csv(tables, fresh_path(spark, "summaries"))
 
     def back(name: str) -> DataFrame:
-        layout = ", ".join(f"{c} string" for c in tables[name].columns)
-        rows = spark.read.schema(layout).option("header", True).csv(paths[name])
-        return rows.select(
-            F.lit(name).alias("summary"),
-            F.col(rows.columns[0]).alias("label"),
-            F.lit(len(rows.columns)).alias("columns"),
-        )
+        rows = spark.read.schema(tables[name].schema).option("header", True).csv(paths[name])
+        return _as_text(rows, "summary", name)
 
     return quality.union_all([back(name) for name in tables])
 
@@ -243,7 +270,13 @@ def semantic_upsert(spark: SparkSession, folder: str) -> DataFrame:
     cache = stored.withColumn("id", text_audit.question_key(F.col("question")))
     merged = similarity.semantic_upsert(cache, testdata.answered_questions(spark, folder))
     return merged.select(
-        "id", "question", "sql", F.get("vector", F.lit(0)).cast("double").alias("vector_head")
+        "id",
+        "question",
+        "sql",
+        # All elements, in millionths.
+        F.array_join(
+            F.transform("vector", lambda x: F.floor(x.cast("double") * 1e6).cast("string")), ","
+        ).alias("vector"),
     )
 
 
@@ -259,6 +292,7 @@ def _log(plan: Callable[[DataFrame], DataFrame]) -> Query:
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "ingest_csv": ingest_csv,
+        "csv_unreadable": csv_unreadable,
         "read_mart_orders": _on_orders(lambda orders: orders),
         "read_mart_sales": _on(_sales),
         "load_full_refresh": load_full_refresh,
@@ -278,12 +312,12 @@ def build_queries() -> dict[str, Query]:
         q[f"clean_{name}"] = _on(lambda w, n=name: w.clean(n))
         q[f"stg_{STORED_NAME.get(name, name)}"] = _on(lambda w, n=name: stage(n, w.cleaned(n)))
 
-    # data quality
+    # data quality, on copies in which some rows break each rule
     def over_tables(check: Callable[[Warehouse, str], list[DataFrame]]) -> Query:
         return _on(lambda w: quality.union_all([f for t in RULES for f in check(w, t)]))
 
     q["check_not_null"] = over_tables(
-        lambda w, t: [quality.check_not_null(w.cleaned(t), t, RULES[t].required)]
+        lambda w, t: [quality.check_not_null(_broken(w, t), t, RULES[t].required)]
     )
     # On raw tables, where repeated keys exist.
     q["check_unique"] = over_tables(
@@ -292,24 +326,26 @@ def build_queries() -> dict[str, Query]:
     q["check_fk"] = _on(
         lambda w: quality.union_all(
             [
-                quality.check_fk(w.cleaned(c), c, cc, w.cleaned(p), p, pc)
+                quality.check_fk(_broken(w, c), c, cc, _broken(w, p), p, pc)
                 for c, cc, p, pc in quality.FOREIGN_KEYS
             ]
         )
     )
     q["check_non_negative"] = over_tables(
-        lambda w, t: [quality.check_non_negative(w.cleaned(t), t, RULES[t].non_negative)]
+        lambda w, t: [quality.check_non_negative(_broken(w, t), t, RULES[t].non_negative)]
         if RULES[t].non_negative
         else []
     )
     q["check_range"] = over_tables(
-        lambda w, t: [quality.check_range(w.cleaned(t), t, *r) for r in RULES[t].ranges]
+        lambda w, t: [quality.check_range(_broken(w, t), t, *r) for r in RULES[t].ranges]
     )
     q["check_fact_timestamp"] = _on(
-        lambda w: quality.check_fact_timestamp(w.mart(ITEM_SALES), ITEM_SALES)
+        lambda w: quality.check_fact_timestamp(_broken(w, ITEM_SALES), ITEM_SALES)
     )
     q["validate_all"] = _on(
-        lambda w: quality.validate_all(w.cleaned_all(), w.mart(ITEM_SALES))
+        lambda w: quality.validate_all(
+            {t: _broken(w, t) for t in w.cleaned_all()}, _broken(w, ITEM_SALES)
+        )
     )
     q["quality_report"] = _on(_quality_report)
     q["schema_contract"] = _on(

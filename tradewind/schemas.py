@@ -9,9 +9,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
-# Sums of money; wide enough for a customer or category that holds a third of a huge fact.
-MONEY_SUM = T.DecimalType(22, 2)
+# Amounts up to 10^14, wider than the NUMERIC(12,2) of the declared model, and still one machine word.
+# Sums take ten digits more, as Spark's decimal sums do, so a huge customer or category cannot overflow.
+MONEY = T.DecimalType(16, 2)
+ITEM_REVENUE = T.DecimalType(17, 2)
+MONEY_SUM = T.DecimalType(26, 2)
 
 # Column that carries the order in which rows were read, so "first row wins" is well defined.
 POSITION = "_source_position"
@@ -66,7 +68,7 @@ RAW: dict[str, T.StructType] = {
     "order_reviews": _struct(
         ("review_id", _STR),
         ("order_id", _STR),
-        ("review_score", _INT),
+        ("review_score", _DBL),
         ("review_comment_title", _STR),
         ("review_comment_message", _STR),
         ("review_creation_date", _TS),
@@ -163,7 +165,7 @@ ITEM_SALES = _struct(
     ("order_purchase_timestamp", _TS),
     ("price", MONEY),
     ("freight_value", MONEY),
-    ("revenue", T.DecimalType(13, 2)),
+    ("revenue", ITEM_REVENUE),
 )
 ITEM_SALES_REQUIRED = (
     "order_id",
@@ -183,7 +185,7 @@ MARTS: dict[str, T.StructType] = {
         ("customer_state", _STR),
         ("recency", _DBL),
         ("frequency", T.LongType()),
-        ("monetary", T.DecimalType(33, 2)),
+        ("monetary", T.DecimalType(37, 2)),
         ("r_score", _INT),
         ("f_score", _INT),
         ("m_score", _INT),
@@ -213,8 +215,8 @@ MARTS: dict[str, T.StructType] = {
         ("is_canceled", _INT),
         ("order_purchase_timestamp", _TS),
         ("order_date", _DATE),
-        ("order_revenue", T.DecimalType(23, 2)),
-        ("review_score", _INT),
+        ("order_revenue", T.DecimalType(27, 2)),
+        ("review_score", _DBL),
         ("is_late_delivery", _INT),
         ("delivery_status", _STR),
         ("delivery_delay_days", _DBL),
@@ -231,7 +233,7 @@ MARTS: dict[str, T.StructType] = {
         ("order_date", _DATE),
         ("price", MONEY),
         ("freight_value", MONEY),
-        ("revenue", T.DecimalType(13, 2)),
+        ("revenue", ITEM_REVENUE),
     ),
 }
 

@@ -3,43 +3,73 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.columns import parse_timestamp
+from tradewind.functions.columns import parse_money, parse_timestamp, parse_whole
 from tradewind.schemas import NA_WORDS, POSITION, RAW, RULES
 
 _OVERFLOW = "_overflow"
+#: First lines read at a time.
+THREADS = 16
 
 
-def _size(spark: SparkSession, path: str) -> int:
-    """Bytes under a file or folder; one call to the file system per table."""
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files with content under a file or folder, hidden ones left out."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(where):
         raise FileNotFoundError(f"missing dataset file: {path}")
-    return files.getContentSummary(where).getLength()
+    found, listing = [], files.listFiles(where, True)
+    while listing.hasNext():
+        status = listing.next()
+        if status.getLen() and status.getPath().getName()[0] not in "._":
+            found.append(status.getPath().toString())
+    if not found:
+        raise ValueError(f"dataset file is empty: {path}")
+    return sorted(found)
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """Text of the first line, decompressed as Spark does by the file's extension."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(file)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        plain = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their first line. One small read per file; data are not touched."""
+    files = _data_files(spark, path)
+    with ThreadPoolExecutor(THREADS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        groups.setdefault(line, []).append(file)
+    return groups
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, named by the header, words for missing values as null.
 
-    Rows with more fields than the header stop the job when they are read; rows with fewer are
-    filled with nulls. The source position orders rows as they stand in the files: by file, by start
-    of the split, then by running number inside the split.
+    Every file's own header names its columns, so files may order them differently; files that name
+    other columns stop the job. So do rows with more fields than their header, when they are read;
+    rows with fewer are filled with nulls. The source position orders rows as they stand in the
+    files: by file, by start of the split, then by running number inside the split.
     """
-    if _size(spark, path) == 0:
-        raise ValueError(f"dataset file is empty: {path}")
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
-    try:
-        header = spark.read.options(**options).csv(path).columns
-    except Exception as error:
-        raise RuntimeError(f"failed to read csv {path}: {error}") from error
-    layout = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _OVERFLOW]])
-    rows = spark.read.options(**options).schema(layout).csv(path)
     wide = F.raise_error(F.lit(f"failed to read csv {path}: a row has too many fields"))
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
@@ -47,32 +77,79 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
         F.monotonically_increasing_id().alias("row"),
     )
     fits = F.when(F.col(_OVERFLOW).isNull(), F.lit(True)).otherwise(wide.cast("boolean"))
-    return rows.withColumn(POSITION, position).where(fits).select(
-        *(F.when(~F.col(c).isin(*NA_WORDS), F.col(c)).alias(c) for c in header), POSITION
-    )
+
+    def read(files: list[str]) -> DataFrame:
+        try:
+            header = spark.read.options(**options).csv(files[0]).columns
+        except Exception as error:
+            raise RuntimeError(f"failed to read csv {path}: {error}") from error
+        layout = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _OVERFLOW]])
+        rows = spark.read.options(**options).schema(layout).csv(files)
+        return rows.withColumn(POSITION, position).where(fits).select(
+            *(F.when(~F.col(c).isin(*NA_WORDS), F.col(c)).alias(c) for c in header), POSITION
+        )
+
+    parts = [read(files) for files in _by_header(spark, path).values()]
+    for part in parts[1:]:
+        if set(part.columns) != set(parts[0].columns):
+            raise RuntimeError(
+                f"failed to read csv {path}: files name different columns, "
+                f"{sorted(set(part.columns) ^ set(parts[0].columns))}"
+            )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _typed(field: T.StructField) -> Column:
+    text = F.col(field.name)
     if isinstance(field.dataType, T.TimestampNTZType):
-        return parse_timestamp(F.col(field.name)).alias(field.name)
+        return parse_timestamp(text)
     if isinstance(field.dataType, T.IntegerType):
-        # "3.0" is an integer that once shared a column with missing values.
-        return F.col(field.name).try_cast("double").try_cast("int").alias(field.name)
-    return F.col(field.name).try_cast(field.dataType).alias(field.name)
+        return parse_whole(text)
+    if isinstance(field.dataType, T.DecimalType):
+        return parse_money(text)
+    return text.try_cast(field.dataType)
 
 
 def typed_table(rows: DataFrame, name: str) -> DataFrame:
-    """Text rows of a known table cast to its declared types; bad values become null."""
-    return rows.select(*(_typed(f) for f in RAW[name]), POSITION)
+    """Text rows of a known table cast to its declared types.
 
+    Text that is no value of its type becomes null (``unreadable`` counts it); an amount too large for
+    the money type stops the job, since it is a number that would be lost.
+    """
+    return rows.select(*(_typed(f).alias(f.name) for f in RAW[name]), POSITION)
+
+
+def unreadable(rows: DataFrame, name: str) -> DataFrame:
+    """(table_name, column_name, values): texts per column that their declared type cannot hold."""
+    lost = [
+        F.count(F.when(F.col(f.name).isNotNull() & _typed(f).isNull(), 1)).alias(f.name)
+        for f in RAW[name]
+    ]
+    totals = rows.agg(*lost)
+    pairs = F.array(
+        *(
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("values"))
+            for f in RAW[name]
+        )
+    )
+    return totals.select(F.lit(name).alias("table_name"), F.explode(pairs).alias("c")).select(
+        "table_name", "c.*"
+    )
 
-def extract_all(
+
+def extract_text(
     spark: SparkSession, folder: str, files: Mapping[str, str]
 ) -> dict[str, DataFrame]:
-    """Bundle of raw tables from one file or folder per table."""
+    """Tables as text, from one file or folder per table."""
     return {
-        name: typed_table(
-            read_csv(spark, f"{folder}/{file}", name in RULES and RULES[name].multiline), name
-        )
+        name: read_csv(spark, f"{folder}/{file}", name in RULES and RULES[name].multiline)
         for name, file in files.items()
     }
+
+
+def extract_all(
+    spark: SparkSession, folder: str, files: Mapping[str, str]
+) -> dict[str, DataFrame]:
+    """Bundle of raw tables from one file or folder per table."""
+    text = extract_text(spark, folder, files)
+    return {name: typed_table(rows, name) for name, rows in text.items()}

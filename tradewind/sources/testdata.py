@@ -15,6 +15,7 @@ from tradewind.functions.columns import plus_days, plus_seconds
 from tradewind.schemas import MONEY, POSITION
 
 DAY = 86400
+ITEM_FACT = "fact_order_item_sales"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -104,7 +105,10 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    value = _money("l_extendedprice") * (1 - _money("l_discount")) * (1 + _money("l_tax"))
+    price, discount, tax = (
+        F.col(c).cast("decimal(12,2)") for c in ("l_extendedprice", "l_discount", "l_tax")
+    )
+    value = price * (1 - discount) * (1 + tax)
     kind = (
         F.when(F.col("l_returnflag") == "R", "credit_card")
         .when(F.col("l_returnflag") == "A", "boleto")
@@ -127,7 +131,7 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     def review(prefix: str, score: Column) -> Column:
         return F.struct(
             F.concat(F.lit(prefix), k.cast("string")).alias("review_id"),
-            score.alias("review_score"),
+            score.cast("double").alias("review_score"),
         )
 
     estimate = plus_days(F.col("o_orderdate"), 10 + k % 20)
@@ -318,6 +322,102 @@ def stored_questions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- broken rows and files ------------------------------------------------------------------------
+
+
+def _every(n: int, key: str = "order_id") -> Column:
+    return F.col(key).cast("bigint") % n == 0
+
+
+def _without(column: str, gone: Column) -> Column:
+    return F.when(~gone, F.col(column))
+
+
+def _lost_order() -> Column:
+    """Some orders without id, some with an id that no order has."""
+    return F.when(_every(131), None).when(_every(113), "-1").otherwise(F.col("order_id"))
+
+
+def _signed(column: str, wrong: Column) -> Column:
+    return F.when(wrong, -F.col(column)).otherwise(F.col(column))
+
+
+def broken(name: str, cleaned: DataFrame) -> DataFrame:
+    """A cleaned table, or the item fact, in which some rows break each of its rules."""
+    made: dict[str, dict[str, Column]] = {
+        "customers": {"customer_id": _without("customer_id", _every(139, "customer_id"))},
+        "orders": {
+            "order_id": _without("order_id", _every(149)),
+            "customer_id": F.when(_every(101), None)
+            .when(_every(103), F.concat(F.lit("nobody "), F.col("customer_id")))
+            .otherwise(F.col("customer_id")),
+        },
+        "order_items": {
+            "order_item_id": _without("order_item_id", _every(137)),
+            "order_id": _lost_order(),
+            "product_id": F.when(_every(109), None).when(_every(127), "none").otherwise(F.col("product_id")),
+            "seller_id": F.when(_every(127), None).when(_every(109), "none").otherwise(F.col("seller_id")),
+            "price": _signed("price", _every(107)),
+            "freight_value": _signed("freight_value", _every(109)),
+        },
+        "order_payments": {
+            "order_id": _lost_order(),
+            "payment_sequential": _without("payment_sequential", _every(137)),
+            "payment_value": _signed("payment_value", _every(107)),
+        },
+        "order_reviews": {
+            "review_id": _without("review_id", _every(137)),
+            "order_id": _lost_order(),
+            "review_score": F.when(_every(107), 0.0).when(_every(109), 5.9).when(_every(127), None)
+            .otherwise(F.col("review_score")),
+        },
+        "products": {"product_id": _without("product_id", _every(17, "product_id"))},
+        "sellers": {"seller_id": _without("seller_id", _every(3, "seller_id"))},
+        "category_translation": {
+            "product_category_name": _without(
+                "product_category_name", F.col("product_category_name").startswith("S")
+            )
+        },
+        ITEM_FACT: {
+            column: _without(column, _every(n))
+            for column, n in (
+                ("order_id", 131), ("order_item_id", 137), ("product_id", 109), ("seller_id", 127),
+                ("price", 107), ("freight_value", 113), ("revenue", 103),
+                ("order_purchase_timestamp", 101),
+            )
+        },
+    }
+    return cleaned.withColumns(made[name])
+
+
+def as_file_text(name: str, raw: DataFrame) -> DataFrame:
+    """A raw table as a file may hold it: whole numbers and scores with a fraction, amounts beyond ten
+    digits, words in place of numbers, quotes, line breaks and words for missing values."""
+    def with_end(column: str, end: str) -> Column:
+        return F.concat(F.col(column).cast("int").cast("string"), F.lit(end))
+
+    made: dict[str, dict[str, Column]] = {
+        "order_items": {
+            "order_item_id": F.when(_every(7), with_end("order_item_id", ".5"))
+            .when(_every(2), with_end("order_item_id", ".0"))
+            .otherwise(F.col("order_item_id").cast("string")),
+            "price": F.when(_every(11), "98765432109.87").otherwise(F.col("price").cast("string")),
+        },
+        "order_payments": {
+            "payment_value": F.when(_every(13), "abc").otherwise(F.col("payment_value").cast("string"))
+        },
+        "order_reviews": {
+            "review_score": F.when(_every(17), with_end("review_score", ".9"))
+            .otherwise(F.col("review_score").cast("string")),
+            "review_comment_title": F.lit("n/a"),
+            "review_comment_message": F.concat(
+                F.col("review_comment_message"), F.lit('\nsaid "fine", twice')
+            ),
+        },
+    }
+    return raw.withColumns(made.get(name, {}))
+
+
 # --- text columns with bad values, for the coercions ----------------------------------------------
 
 
