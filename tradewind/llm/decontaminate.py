@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -32,8 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Characters of text searched at a time within a task, and cells of one batch of alignments.
+from tradewind.llm.worker import remembered, travels_with_tasks
+
+travels_with_tasks(__name__)
+
+#: Characters of text searched at a time within a task; shared q-grams from which on a stretch is halved
+#: (repetitive texts share very many), down to the shortest; cells of one batch of alignments.
 WINDOW = 1 << 18
+SHARED = 1 << 20
 CELLS = 1 << 22
 _FAR = 1 << 20
 
@@ -56,9 +61,7 @@ class Rules:
         return max(0, min(int(length * self.edit_rate), length // self.q - 1))
 
 
-@cache
-def _folding() -> np.ndarray:
-    """Lower-case code point of letters and digits, a blank for all else."""
+def _make_folding() -> np.ndarray:
     fold = np.full(0x110000, 32, np.uint32)
     for code in range(0x110000):
         char = chr(code)
@@ -68,6 +71,11 @@ def _folding() -> np.ndarray:
     return fold
 
 
+def _folding() -> np.ndarray:
+    """Lower-case code point of letters and digits, a blank for all else."""
+    return remembered(("letters and digits",), _make_folding)
+
+
 def folded(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Folded code points and the place of each in the original."""
     raw = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
@@ -134,8 +142,8 @@ class Index:
         self.present = np.zeros(1 << self.bits, bool)
         self.present[self.gram >> np.uint64(64 - self.bits)] = True
 
-    def candidates(self, codes: np.ndarray) -> np.ndarray:
-        """Rows (segment, first diagonal of the band) that pass the filter."""
+    def candidates(self, codes: np.ndarray, most: int | None = None) -> np.ndarray | None:
+        """Rows (segment, first diagonal of the band) that pass the filter; None beyond ``most`` hits."""
         none = np.empty((0, 2), np.int64)
         own = hashes(codes, self.rules.q)
         if not self.items or not len(own):
@@ -147,6 +155,8 @@ class Index:
         if not len(at):
             return none
         n = self.count[slot]
+        if most is not None and n.sum() > most:
+            return None
         entry = np.repeat(self.first[slot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         owner, place = self.owner[entry], self.place[entry]
         # Diagonals from zero on: the earliest start lies one passage before the text.
@@ -213,9 +223,17 @@ class Index:
         codes, origin = folded(text)
         best: dict = {}
         overlap = 2 * (self.rules.segment + self.rules.edits(self.rules.segment) + 1)
-        for at in range(0, max(1, len(codes) - overlap), WINDOW):
-            part = codes[at : at + WINDOW + overlap]
-            found = self.candidates(part)
+        todo = [
+            (at, min(WINDOW, len(codes) - at)) for at in range(0, max(1, len(codes) - overlap), WINDOW)
+        ]
+        while todo:
+            at, width = todo.pop()
+            part = codes[at : at + width + overlap]
+            found = self.candidates(part, SHARED if width > overlap else None)
+            if found is None:
+                half = width // 2
+                todo += [(at, half), (at + half, width - half)]
+                continue
             if not len(found):
                 continue
             for segment, edits, start, end in self.align(part, found):

@@ -22,6 +22,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.worker import travels_with_tasks
+
+travels_with_tasks(__name__)
+
 #: Lines on either side that the smoothing sees, and its width.
 RADIUS, SIGMA = 2, 1.0
 #: Share of a line's text in links from which on it is a list of links.

@@ -13,13 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.worker import remembered, travels_with_tasks
+
+travels_with_tasks(__name__)
+
 UNDETERMINED = "und"
 #: Bits of a code point; a packed n-gram of three fits 63 bits.
 CODE_BITS = 21
@@ -45,9 +48,7 @@ class Model:
     prototypes: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
 
 
-@cache
-def _folding() -> np.ndarray:
-    """Lower-case code point of every letter, zero for all else (the gap between words)."""
+def _make_folding() -> np.ndarray:
     fold = np.zeros(0x110000, np.int64)
     for code in range(0x110000):
         char = chr(code)
@@ -57,6 +58,11 @@ def _folding() -> np.ndarray:
     return fold
 
 
+def _folding() -> np.ndarray:
+    """Lower-case code point of every letter, zero for all else (the gap between words)."""
+    return remembered(("letters",), _make_folding)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 

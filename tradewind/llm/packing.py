@@ -15,15 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.llm.worker import remembered, travels_with_tasks
 from tradewind.session import materialize
 
+travels_with_tasks(__name__)
+
 END_ID = 2
 CAPACITY = 1024
 #: Bytes of ids per batch that a task hands on.
@@ -80,9 +82,9 @@ def _byte_alphabet(decoder) -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """Loaded once per Python worker."""
+    return remembered(("ids", path), lambda: Encoder(path))
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.components import connected_components
+from tradewind.llm.worker import travels_with_tasks
 from tradewind.session import materialize
 
+travels_with_tasks(__name__)
+
 BITS = 64
 BLOCK = 8
 SEED = 42

@@ -17,13 +17,16 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from functools import cache
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.worker import remembered, travels_with_tasks
+
+travels_with_tasks(__name__)
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words remembered per Python worker.
@@ -107,9 +110,12 @@ class Vocabulary:
         return score, pieces
 
 
-@cache
 def load(path: str) -> Vocabulary:
     """The pieces and published scores of a piece model; loaded once per Python worker."""
+    return remembered(("pieces", path), lambda: _read(path))
+
+
+def _read(path: str) -> Vocabulary:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
