@@ -1,17 +1,17 @@
 from __future__ import annotations
 
-import os
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from tests.helpers import bag, orders
+from tests.helpers import bag, orders, plan
 from tradewind.operators.upsert import (
+    MonthlyTable,
     incremental_filter,
     lookback_start,
-    read_partitioned,
+    read_monthly,
     upsert,
-    write_partitioned,
+    write_monthly,
 )
 from tradewind.plans import incremental, marts
 from tradewind.plans.catalog import open_warehouse
@@ -65,94 +65,156 @@ def test_start_is_a_literal_that_reaches_the_scan(spark, scratch):
 
 
 def stored(spark, path, rows):
-    df = spark.createDataFrame(rows, LAYOUT)
-    write_partitioned(df, path, "day")
-    return df.schema
+    return write_monthly(spark.createDataFrame(rows, LAYOUT), path, "day")
 
 
-def state(spark, path, layout):
-    rows = [tuple(r)[:3] for r in read_partitioned(spark, path, layout).collect()]
-    return sorted(rows, key=lambda r: (r[0], r[2]))
+def state(table):
+    return sorted((tuple(r) for r in table.table().collect()), key=lambda r: (r[0], r[2]))
 
 
 def test_delete_and_insert(spark, scratch):
-    path = f"{scratch}/t"
     d1, d2, d3 = date(2017, 1, 5), date(2017, 2, 5), date(2017, 3, 5)
-    layout = stored(spark, path, [("a", d1, 1), ("b", d2, 1), ("c", d2, 1), ("e", d3, 1), ("n", None, 1)])
-    untouched = os.stat(f"{path}/_month=2017-01").st_mtime_ns
+    before = [("a", d1, 1), ("b", d2, 1), ("c", d2, 1), ("e", d3, 1), ("n", None, 1)]
+    old = stored(spark, f"{scratch}/old", before)
+    table = old
     batch = spark.createDataFrame([("b", d3, 2), ("d", d2, 2), ("d", d2, 3)], LAYOUT)
     for _ in range(2):  # The second run changes nothing.
-        upsert(spark, path, layout, batch, ["id"], "day")
+        table = upsert(table, f"{scratch}/new", batch, ["id"], "day")
         # b moved to another month; a key that occurs twice in the batch is inserted twice.
         dated = [("a", d1, 1), ("b", d3, 2), ("c", d2, 1), ("d", d2, 2), ("d", d2, 3), ("e", d3, 1)]
-        assert state(spark, path, layout) == [*dated, ("n", None, 1)]
-    assert os.stat(f"{path}/_month=2017-01").st_mtime_ns == untouched
+        assert state(table) == [*dated, ("n", None, 1)]
+        assert state(read_monthly(spark, f"{scratch}/new", old.layout)) == state(table)
+    # The untouched month is listed where it was, and the old version is as it was.
+    assert table.folders["2017-01"] == old.folders["2017-01"]
+    assert state(read_monthly(spark, f"{scratch}/old", old.layout)) == before
 
 
 def test_month_that_loses_its_last_row(spark, scratch):
-    path = f"{scratch}/t"
-    old, new = date(2017, 1, 5), date(2017, 2, 5)
-    layout = stored(spark, path, [("a", old, 1), ("b", new, 1)])
-    upsert(spark, path, layout, spark.createDataFrame([("a", new, 2)], LAYOUT), ["id"], "day")
-    assert state(spark, path, layout) == [("a", new, 2), ("b", new, 1)]
+    first, new = date(2017, 1, 5), date(2017, 2, 5)
+    old = stored(spark, f"{scratch}/t", [("a", first, 1), ("b", new, 1)])
+    got = upsert(old, f"{scratch}/t", spark.createDataFrame([("a", new, 2)], LAYOUT), ["id"], "day")
+    assert state(got) == [("a", new, 2), ("b", new, 1)] and set(got.folders) == {"2017-02"}
 
 
 def test_empty_batch_changes_nothing(spark, scratch):
-    path = f"{scratch}/t"
-    layout = stored(spark, path, [("a", date(2017, 1, 5), 1)])
-    upsert(spark, path, layout, spark.createDataFrame([], LAYOUT), ["id"], "day")
-    assert state(spark, path, layout) == [("a", date(2017, 1, 5), 1)]
+    old = stored(spark, f"{scratch}/t", [("a", date(2017, 1, 5), 1)])
+    got = upsert(old, f"{scratch}/t", spark.createDataFrame([], LAYOUT), ["id"], "day")
+    assert got.folders == old.folders and len(state(got)) == 1
+
+
+def test_failed_write_leaves_the_table(spark, scratch):
+    old = stored(spark, f"{scratch}/t", [("a", date(2017, 1, 5), 1)])
+    bad = spark.createDataFrame([("a", date(2017, 1, 6), 2)], LAYOUT).withColumn(
+        "v", F.raise_error(F.lit("broken")).cast("int")
+    )
+    for path in ("t", "new"):
+        try:
+            upsert(old, f"{scratch}/{path}", bad, ["id"], "day")
+        except Exception as error:
+            assert "broken" in str(error)
+    assert state(read_monthly(spark, f"{scratch}/t", old.layout)) == [("a", date(2017, 1, 5), 1)]
+    assert read_monthly(spark, f"{scratch}/new", old.layout) is None
+
+
+def test_no_target_is_a_first_build(spark, scratch):
+    batch = spark.createDataFrame([("a", date(2017, 1, 5), 1), ("n", None, 2)], LAYOUT)
+    assert state(upsert(None, f"{scratch}/t", batch, ["id"], "day")) == [("a", date(2017, 1, 5), 1), ("n", None, 2)]
 
 
 def test_newest_value_comes_from_the_last_month_only(spark, scratch):
-    path = f"{scratch}/t"
-    layout = stored(spark, path, [("a", date(2017, 1, 5), 1), ("b", date(2017, 3, 9), 1), ("n", None, 1)])
-    start = lookback_start(read_partitioned(spark, path, layout), "day")
-    assert str(spark.range(1).select(start.cast("string")).first()[0]) == "2017-03-06 00:00:00"
+    rows = [("a", date(2017, 1, 5), 1), ("b", date(2017, 3, 9), 1), ("n", None, 1)]
+    table = stored(spark, f"{scratch}/t", rows)
+    assert str(spark.range(1).select(lookback_start(table, "day").cast("string")).first()[0]) == "2017-03-06 00:00:00"
+    # No other folder is opened: without them the result is the same.
+    only = MonthlyTable(spark, table.layout, {"2017-01": f"{scratch}/gone/_month=2017-01", "2017-03": table.folders["2017-03"]})
+    assert str(spark.range(1).select(lookback_start(only, "day").cast("string")).first()[0]) == "2017-03-06 00:00:00"
+
+
+def details(w):
+    return [w.stage(n) for n in ("customers", "order_items", "order_payments", "order_reviews")]
+
+
+def by_month(w, scratch):
+    return write_monthly(w.stage("orders"), f"{scratch}/orders", "order_purchase_timestamp").rows()
 
 
 def test_cut_plus_refresh_equals_full_build(spark, folder, scratch):
     """Building up to a day and refreshing gives the same fact as building everything at once."""
     w = open_warehouse(spark, folder)
-    s = w.stage
-    tables = [s(n) for n in ("orders", "customers", "order_items", "order_payments", "order_reviews")]
-    full = marts.fact_orders(*tables)
-    path = f"{scratch}/fact"
-    write_partitioned(full.where("order_date < date'2000-06-01'"), path, "order_date")
-    assert bag(incremental.refresh_fact_orders(path, *tables)) == bag(full)
+    source, s = by_month(w, scratch), w.stage
+    full = marts.fact_orders(s("orders"), *details(w))
+    old = write_monthly(full.where("order_date < date'2000-06-01'"), f"{scratch}/fact", "order_date")
+    new = incremental.refresh_fact_orders(old, f"{scratch}/fact2", source, *details(w))
+    assert bag(new.table()) == bag(full)
     sales = marts.fact_sales(s("order_items"), s("orders"), s("customers"))
-    path = f"{scratch}/sales"
-    write_partitioned(sales.where("order_date < date'2000-06-01'"), path, "order_date")
-    refreshed = incremental.refresh_fact_sales(path, s("order_items"), s("orders"), s("customers"))
-    assert bag(refreshed) == bag(sales)
+    old = write_monthly(sales.where("order_date < date'2000-06-01'"), f"{scratch}/sales", "order_date")
+    new = incremental.refresh_fact_sales(old, f"{scratch}/sales2", s("order_items"), source, s("customers"))
+    assert bag(new.table()) == bag(sales)
 
 
-def test_refresh_of_an_empty_target(spark, folder, scratch):
+def test_refresh_of_an_empty_and_of_no_target(spark, folder, scratch):
     w = open_warehouse(spark, folder)
-    tables = [w.stage(n) for n in ("orders", "customers", "order_items", "order_payments", "order_reviews")]
-    layout = MARTS["fact_orders"]
-    path = f"{scratch}/fact"
-    write_partitioned(spark.createDataFrame([], layout), path, "order_date")
-    assert incremental.refresh_fact_orders(path, *tables).count() == w.stage("orders").count()
+    source = by_month(w, scratch)
+    empty = write_monthly(spark.createDataFrame([], MARTS["fact_orders"]), f"{scratch}/a", "order_date")
+    for target in (empty, None):
+        got = incremental.refresh_fact_orders(target, f"{scratch}/b", source, *details(w))
+        assert got.table().count() == w.stage("orders").count()
+
+
+def test_refresh_reads_recent_months_and_batch_items_only(spark, folder, scratch):
+    w = open_warehouse(spark, folder)
+    source = by_month(w, scratch)
+    sales = write_monthly(w.mart("fact_sales"), f"{scratch}/sales", "order_date")
+    recent = incremental_filter(source, "order_purchase_timestamp", sales, "order_date")
+    assert "PartitionFilters: [isnotnull(_month" in plan(recent)
+    batch = plan(incremental.fact_sales_batch(sales, w.stage("order_items"), source, w.stage("customers")))
+    # The filter by the batch's orders sits right on the scan of the items, below any exchange.
+    lines = batch.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "order_item_id" in line)
+    above = "".join(lines[scan - 3 : scan])
+    assert "LeftSemi" in above and "Exchange" not in above
 
 
 def test_order_feed(spark, folder, scratch):
     """Orders arriving in files end up in the fact; a corrected order replaces its row."""
-    from tradewind.streaming.order_feed import follow_orders
+    from tradewind.streaming.order_feed import TOO_OLD, follow_orders
 
     w = open_warehouse(spark, folder)
-    details = {n: w.stage(n) for n in ("customers", "order_items", "order_payments", "order_reviews")}
+    tables = {n: w.stage(n) for n in ("customers", "order_items", "order_payments", "order_reviews")}
     path, inbox = f"{scratch}/fact", f"{scratch}/inbox"
     full = w.mart("fact_orders")
     cut = F.col("order_date") < F.date_sub(full.agg(F.max("order_date")).scalar(), 2)
     old = full.where(cut).withColumn("order_status", F.lit("outdated"))
-    write_partitioned(old, path, "order_date")
+    write_monthly(old, path, "order_date")
     newest = old.agg(F.max("order_purchase_timestamp")).first()[0]
     w.stage("orders").write.parquet(inbox)
     for _ in range(2):  # Nothing new the second time.
-        follow_orders(spark, inbox, details, path, f"{scratch}/progress").awaitTermination()
-        fact = read_partitioned(spark, path, MARTS["fact_orders"])
+        follow_orders(spark, inbox, tables, path, f"{scratch}/progress").awaitTermination()
+        fact = read_monthly(spark, path, MARTS["fact_orders"]).table()
         assert fact.count() == full.count()
         recent = F.col("order_purchase_timestamp") >= F.lit(newest).cast("timestamp_ntz") - F.expr("interval 3 days")
         assert fact.where(recent & (F.col("order_status") == "outdated")).count() == 0
         assert fact.where(~recent & (F.col("order_status") != "outdated")).count() == 0
+    late = spark.read.parquet(f"{path}/{TOO_OLD}")
+    assert late.count() == w.stage("orders").where(~recent).count() > 0
+
+
+def test_feed_does_not_depend_on_how_files_fall_into_batches(spark, folder, scratch):
+    from tradewind.streaming.order_feed import follow_orders
+
+    w = open_warehouse(spark, folder)
+    tables = {n: w.stage(n) for n in ("customers", "order_items", "order_payments", "order_reviews")}
+    full = w.mart("fact_orders")
+    newest = full.agg(F.max("order_purchase_timestamp").alias("t")).first().t
+    old = full.where(F.col("order_purchase_timestamp") < F.lit(newest).cast("timestamp_ntz") - F.expr("interval 30 days"))
+    recent = w.stage("orders").join(old.select("order_id"), "order_id", "left_anti")
+    found = []
+    for files in (1, 4):
+        path, inbox = f"{scratch}/fact{files}", f"{scratch}/inbox{files}"
+        write_monthly(old, path, "order_date")
+        # The newest orders arrive first.
+        for n, part in enumerate(recent.orderBy(F.desc("order_purchase_timestamp")).randomSplit([1.0] * files, 5)):
+            part.coalesce(1).write.parquet(f"{inbox}/{n}")
+            follow_orders(spark, f"{inbox}/*", tables, path, f"{scratch}/progress{files}").awaitTermination()
+        found.append(bag(read_monthly(spark, path, MARTS["fact_orders"]).table()))
+    assert sum(found[0].values()) >= sum(found[1].values()) > old.count()

@@ -116,29 +116,50 @@ def test_build_from_csv_equals_build_from_tables(spark, folder, scratch):
     assert removed == w.raw("order_items").count() - w.cleaned("order_items").count() > 0
 
 
-def test_build_then_refresh_equals_full_build(spark, folder, scratch):
-    """A build of the older orders, refreshed with all raw tables, gives the marts of a full build."""
+def test_build_refresh_refresh_report(spark, folder, scratch):
+    """Two refreshes of a build of older orders give the marts of a full build, each version complete."""
     from tradewind.operators.quality import DataValidationError
     from tradewind.plans.catalog import open_warehouse
+    from tradewind.plans.warehouse import stored_mart
 
     w = open_warehouse(spark, folder)
     raw = {name: w.raw(name) for name in RAW}
-    old = raw["orders"].where("order_purchase_timestamp < timestamp_ntz'2000-06-01 00:00:00'")
-    kept = old.select("order_id")
-    cut = {
-        name: df.join(kept, "order_id", "left_semi") if "order_id" in df.columns else df
-        for name, df in raw.items()
-    }
-    run_batch(spark, cut, f"{scratch}/v1")
+
+    def until(day):
+        kept = raw["orders"].where(f"order_purchase_timestamp < timestamp_ntz'{day} 00:00:00'")
+        ids = kept.select("order_id")
+        return {
+            name: df.join(ids, "order_id", "left_semi") if "order_id" in df.columns else df
+            for name, df in raw.items()
+        }
+
+    v1, v2, v3 = (f"{scratch}/v{n}" for n in (1, 2, 3))
+    run_batch(spark, until("2000-05-01"), v1)
+    before = {name: bag(stored_mart(spark, v1, name)) for name in MARTS}
     broken = {**raw, "customers": raw["customers"].where("customer_id <> '1'")}
-    before = spark.read.parquet(f"{scratch}/v1/marts/fact_orders").count()
     with pytest.raises(DataValidationError, match="orders.customer_id"):
-        run_refresh(spark, broken, f"{scratch}/v1", f"{scratch}/broken")
-    assert spark.read.parquet(f"{scratch}/v1/marts/fact_orders").count() == before == old.count()
-    marts = run_refresh(spark, raw, f"{scratch}/v1", f"{scratch}/v2")
+        run_refresh(spark, broken, v1, f"{scratch}/broken")
+    with pytest.raises(FileNotFoundError, match="no published fact_orders"):
+        stored_mart(spark, f"{scratch}/broken", "fact_orders")
+    run_refresh(spark, until("2000-06-15"), v1, v2)
+    assert stored_mart(spark, v2, "fact_orders").count() == until("2000-06-15")["orders"].count()
+    marts = run_refresh(spark, raw, v2, v3)
     assert set(marts) == set(MARTS)
     for name, df in marts.items():
         assert bag(df) == bag(w.mart(name)), name
+        assert bag(stored_mart(spark, v3, name)) == bag(w.mart(name)), name
+        assert bag(stored_mart(spark, v1, name)) == before[name], name
+    for version in (v1, v2, v3):
+        paths = run_reports(spark, version, f"{version}-reports")
+    assert spark.read.option("header", True).csv(paths["monthly_kpi"]).count() == 80
+
+
+def test_refresh_without_facts_builds_them(spark, folder, scratch):
+    from tradewind.plans.catalog import open_warehouse
+
+    w = open_warehouse(spark, folder)
+    marts = run_refresh(spark, {name: w.raw(name) for name in RAW}, f"{scratch}/nothing", f"{scratch}/v1")
+    assert bag(marts["fact_sales"]) == bag(w.mart("fact_sales"))
 
 
 ITEMS = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"

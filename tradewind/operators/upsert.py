@@ -1,16 +1,27 @@
-"""Incremental load: lookback filter and delete-and-insert into a partitioned table."""
+"""Incremental load: lookback filter, tables by month, delete-and-insert into a new version.
+
+A table by month is a set of month folders, which may lie in different places, and a list that names
+them. An upsert writes the months it changes to fresh folders and publishes a new list; folders are
+never changed, so readers of the old list and a failed run see the table as it was. A version that
+lists folders of an earlier one needs that one's folders to stay.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import os
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.columns import month_label
-from tradewind.session import materialize
+from tradewind.session import file_system, materialize
 
 LOOKBACK_DAYS = 3
 # Fixed value: where an empty target starts.
@@ -20,26 +31,127 @@ PARTITION = "_month"
 # Rows without a date share a partition of their own.
 NO_MONTH = "none"
 
+_LISTS = "_months"
+
+
+@dataclass(frozen=True)
+class MonthlyTable:
+    """Folder of every month. One entry per calendar month, so the list is small."""
+
+    spark: SparkSession
+    layout: T.StructType
+    folders: Mapping[str, str]
+
+    def rows(self, months: Sequence[str] | None = None) -> DataFrame:
+        """All rows, or those of some months, with the month as text; other folders are not touched."""
+        stored = T.StructType([*self.layout.fields, T.StructField(PARTITION, T.StringType())])
+        roots: dict[str, list[str]] = {}
+        for month in self.folders if months is None else months:
+            if month in self.folders:
+                folder = self.folders[month]
+                roots.setdefault(os.path.dirname(folder), []).append(folder)
+        if not roots:
+            return self.spark.createDataFrame([], stored)
+        reader = self.spark.read.schema(stored)
+        return reduce(
+            DataFrame.union,
+            (reader.option("basePath", root).parquet(*paths) for root, paths in roots.items()),
+        )
+
+    def table(self) -> DataFrame:
+        return self.rows().select(*self.layout.fieldNames())
+
+    def last(self) -> DataFrame:
+        """Rows of the newest month, which the list tells without reading data."""
+        dated = [m for m in self.folders if m != NO_MONTH]
+        return self.rows([max(dated)] if dated else [])
+
+
+def _with_month(rows: DataFrame, date_column: str) -> DataFrame:
+    return rows.withColumn(
+        PARTITION, F.coalesce(month_label(F.col(date_column)), F.lit(NO_MONTH))
+    )
+
+
+def _write_months(rows: DataFrame, path: str) -> dict[str, str]:
+    """Write rows with a month to a fresh folder below ``path``; the months written.
 
-def lookback_start(target: DataFrame, column: str, days: int = LOOKBACK_DAYS) -> Column:
+    The rebalance hint lets adaptive execution merge small months and split large ones, so neither
+    many small files nor one task with a whole month result.
+    """
+    fresh = f"{path}/data-{uuid.uuid4().hex}"
+    rows.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(fresh)
+    files, where = file_system(rows.sparkSession, fresh)
+    found = {}
+    for status in files.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith(f"{PARTITION}="):
+            found[name.removeprefix(f"{PARTITION}=")] = f"{fresh}/{name}"
+    return found
+
+
+def _publish(spark: SparkSession, path: str, folders: Mapping[str, str]) -> None:
+    """Name the months of the table at ``path`` in a new list; the last list counts."""
+    files, where = file_system(spark, f"{path}/{_LISTS}")
+    numbers = [int(s.getPath().getName()) for s in files.listStatus(where)] if files.exists(where) else []
+    target = f"{path}/{_LISTS}/{max(numbers, default=0) + 1}"
+    aside = f"{path}/_next-{uuid.uuid4().hex}"
+    files, where = file_system(spark, aside)
+    stream = files.create(where)
+    stream.write(bytearray(json.dumps(dict(folders)), "utf-8"))
+    stream.close()
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files.mkdirs(path_of(target).getParent())
+    if not files.rename(where, path_of(target)):
+        raise RuntimeError(f"another run has published {target}")
+
+
+def write_monthly(rows: DataFrame, path: str, date_column: str) -> MonthlyTable:
+    """First build of a table by month at a fresh path, published when it is complete."""
+    folders = _write_months(_with_month(rows, date_column), path)
+    _publish(rows.sparkSession, path, folders)
+    return MonthlyTable(rows.sparkSession, rows.schema, folders)
+
+
+def read_monthly(spark: SparkSession, path: str, layout: T.StructType) -> MonthlyTable | None:
+    """The table as published last; None if there is none."""
+    files, where = file_system(spark, f"{path}/{_LISTS}")
+    if not files.exists(where):
+        return None
+    number = max(int(s.getPath().getName()) for s in files.listStatus(where))
+    text = spark.read.option("wholetext", True).text(f"{path}/{_LISTS}/{number}").first()[0]
+    return MonthlyTable(spark, layout, json.loads(text))
+
+
+def lookback_start(
+    target: DataFrame | MonthlyTable, column: str, days: int = LOOKBACK_DAYS
+) -> Column:
     """Literal start of the window: newest value in the target minus the lookback.
 
-    One value is read, from the column alone. As a literal it can prune partitions and row groups
-    of the source, which a join with the maximum could not.
+    One value is read, from the column alone, and of a table by month from its last month. As a
+    literal it can prune partitions and row groups of the source, which a join with the maximum
+    could not.
     """
-    if PARTITION in target.columns:
-        # Month folders are known without reading data; the newest value lies in the last of them.
-        months = target.where(F.col(PARTITION) != NO_MONTH)
-        target = months.where(F.col(PARTITION) == months.agg(F.max(PARTITION)).first()[0])
-    newest = target.agg(F.max(F.col(column).cast("timestamp_ntz")).alias("newest")).first()["newest"]
+    rows = target.last() if isinstance(target, MonthlyTable) else target
+    newest = rows.agg(F.max(F.col(column).cast("timestamp_ntz")).alias("newest")).first()["newest"]
     start = EPOCH if newest is None else (newest - timedelta(days=days)).isoformat(sep=" ")
     return F.lit(start).cast("timestamp_ntz")
 
 
+def since(source: DataFrame, column: str, start: Column) -> DataFrame:
+    """Rows from a start on; a source by month is read from the start's month on."""
+    kept = source.where(F.col(column) >= start)
+    if PARTITION in source.columns:
+        # Literal text, so the scan lists no earlier month.
+        month = source.sparkSession.range(1).select(month_label(start)).first()[0]
+        kept = kept.where((F.col(PARTITION) >= month) & (F.col(PARTITION) != NO_MONTH))
+    return kept
+
+
 def incremental_filter(
     source: DataFrame,
     source_column: str,
-    target: DataFrame | None,
+    target: DataFrame | MonthlyTable | None,
     target_column: str,
     days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
@@ -50,83 +162,38 @@ def incremental_filter(
     """
     if target is None:
         return source
-    return source.where(F.col(source_column) >= lookback_start(target, target_column, days))
-
-
-def _with_month(rows: DataFrame, date_column: str) -> DataFrame:
-    return rows.withColumn(
-        PARTITION, F.coalesce(month_label(F.col(date_column)), F.lit(NO_MONTH))
-    )
-
-
-def write_partitioned(rows: DataFrame, path: str, date_column: str) -> None:
-    """First build of a target, one folder per month.
-
-    The rebalance hint lets adaptive execution merge small months and split large ones, so neither
-    many small files nor one task with a whole month result.
-    """
-    (
-        _with_month(rows, date_column)
-        .hint("rebalance", PARTITION)
-        .write.mode("overwrite")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
-
-
-def read_partitioned(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    """The stored target with its month column, which stays text."""
-    stored = T.StructType([*layout.fields, T.StructField(PARTITION, T.StringType())])
-    return spark.read.schema(stored).parquet(path)
+    return since(source, source_column, lookback_start(target, target_column, days))
 
 
 def upsert(
-    spark: SparkSession,
+    target: MonthlyTable | None,
     path: str,
-    layout: T.StructType,
     batch: DataFrame,
     key: Sequence[str],
     date_column: str,
-) -> None:
-    """Delete the target rows whose key is in the batch, insert the batch.
+) -> MonthlyTable:
+    """Delete the target rows whose key is in the batch, insert the batch; published at ``path``.
 
-    Only months that gain or lose rows are rewritten. Which months lose rows is found by reading key
+    Only months that gain or lose rows are written. Which months lose rows is found by reading key
     and month of the target against the keys of the batch; the list has one entry per calendar
-    month, so it may pass through the driver. Untouched months are neither read in full nor written.
-    Running the same batch twice gives the same table, so a failed run can simply be repeated.
+    month, so it may pass through the driver. Untouched months are listed where they are, and neither
+    read in full nor written. Running the same batch twice gives the same table, so a failed run can
+    simply be repeated. Without a target the batch is the table.
     """
-    target = read_partitioned(spark, path, layout)
+    if target is None:
+        return write_monthly(batch, path, date_column)
     # Read three times below and small against the target, so it is computed once.
-    fresh = materialize(_with_month(batch, date_column), "batch")
+    fresh = materialize(_with_month(batch.select(*target.layout.fieldNames()), date_column), "batch")
     keys = fresh.select(*key).distinct()
 
     def months(rows: DataFrame) -> set[str]:
         return {r[0] for r in rows.select(PARTITION).distinct().collect()}
 
-    losing = months(target.join(keys, list(key), "left_semi"))
-    gaining = months(fresh)
-    kept = target.where(F.col(PARTITION).isin(losing | gaining)).join(keys, list(key), "left_anti")
-    # A month whose last rows leave has nothing to write, so overwriting would not clear it.
-    emptied = losing - gaining
-    if emptied:
-        emptied -= months(kept.where(F.col(PARTITION).isin(emptied)))
-    if losing | gaining:
-        _overwrite_months(kept.unionByName(fresh), path)
-    for month in emptied:
-        _drop_folder(spark, f"{path}/{PARTITION}={month}")
-
-
-def _overwrite_months(rows: DataFrame, path: str) -> None:
-    (
-        rows.hint("rebalance", PARTITION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
-
-
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    changed = months(target.rows().join(keys, list(key), "left_semi")) | months(fresh)
+    folders = {m: f for m, f in target.folders.items() if m not in changed}
+    if changed:
+        kept = target.rows(sorted(changed)).join(keys, list(key), "left_anti")
+        # A month whose last rows leave is not written, and so not listed any more.
+        folders |= _write_months(kept.unionByName(fresh), path)
+    _publish(target.spark, path, folders)
+    return MonthlyTable(target.spark, target.layout, folders)

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewind.operators.upsert import MonthlyTable, read_monthly
 from tradewind.operators.quality import assert_valid, quality_report, validate_all
 from tradewind.plans import reports
 from tradewind.plans.incremental import refresh_fact_orders, refresh_fact_sales
@@ -28,7 +29,7 @@ def _checked(
     Broken data raise here, before any mart is built or touched. The quality report is written while
     the marts are built.
     """
-    warehouse = from_bundle(spark, raw, folder, monthly_facts=True)
+    warehouse = from_bundle(spark, raw, folder, monthly=True)
     cleaned = warehouse.cleaned_all()
     fact = warehouse.mart(ITEM_SALES)
     assert_valid(validate_all(cleaned, fact))
@@ -54,23 +55,34 @@ def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) ->
 def run_refresh(
     spark: SparkSession, raw: Mapping[str, DataFrame], built: str, folder: str
 ) -> dict[str, DataFrame]:
-    """Clean and check newer raw tables under ``folder``, rebuild the dimensions there and bring the
-    facts of the earlier build in ``built`` up to date where they are. Returns all marts."""
+    """A new version of everything under the fresh ``folder``, from newer raw tables and the version in
+    ``built``. Returns all marts.
+
+    Tables are cleaned and checked, dimensions rebuilt, and the facts brought up to date: months that
+    change are written to the new version, the others listed where they are. ``built`` is not
+    touched, so a failure leaves it as it was; it must be kept as long as later versions list its
+    months. A fact that ``built`` lacks is built in full.
+    """
     with _checked(spark, raw, folder) as warehouse:
         stage = warehouse.stage
         marts = warehouse.marts([name for name in MARTS if name not in FACT_DATE])
-        lines, orders, people = stage("order_items"), stage("orders"), stage("customers")
+        lines, orders, people = stage("order_items"), warehouse.orders_by_month(), stage("customers")
+
+        def old(name: str) -> MonthlyTable | None:
+            return read_monthly(spark, f"{built}/marts/{name}", MARTS[name])
+
         marts["fact_orders"] = refresh_fact_orders(
-            f"{built}/marts/fact_orders",
+            old("fact_orders"),
+            f"{folder}/marts/fact_orders",
             orders,
             people,
             lines,
             stage("order_payments"),
             stage("order_reviews"),
-        )
+        ).table()
         marts["fact_sales"] = refresh_fact_sales(
-            f"{built}/marts/fact_sales", lines, orders, people
-        )
+            old("fact_sales"), f"{folder}/marts/fact_sales", lines, orders, people
+        ).table()
     return marts
 
 

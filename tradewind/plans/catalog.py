@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tradewind.functions.columns import iso_text, plus_days
 from tradewind.operators import profiling, quality, shaping, similarity, text_audit
 from tradewind.operators.dedup import dedup_keep_first
-from tradewind.operators.upsert import incremental_filter, write_partitioned
+from tradewind.operators.upsert import MonthlyTable, incremental_filter, write_monthly
 from tradewind.plans import adhoc, incremental, kpis, marts, reports
 from tradewind.plans.batch import REPORT_MARTS
 from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
@@ -184,12 +184,16 @@ def lookback_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stale_fact_orders(w: Warehouse) -> str:
-    path = fresh_path(w.spark, "fact_orders")
+def stale_fact_orders(w: Warehouse) -> MonthlyTable:
     fact = w.mart("fact_orders")
     old = _yesterday(fact, "order_purchase_timestamp", "delivery_status", "outdated")
-    write_partitioned(old, path, "order_date")
-    return path
+    return write_monthly(old, fresh_path(w.spark, "fact_orders"), "order_date")
+
+
+def monthly_orders(w: Warehouse) -> DataFrame:
+    """Cleaned orders by month, as a warehouse that is refreshed stores them."""
+    path = fresh_path(w.spark, "orders")
+    return write_monthly(w.stage("orders"), path, "order_purchase_timestamp").rows()
 
 
 def upsert_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,21 +201,26 @@ def upsert_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
     s = w.stage
     return incremental.refresh_fact_orders(
         stale_fact_orders(w),
-        s("orders"),
+        fresh_path(spark, "fact_orders"),
+        monthly_orders(w),
         s("customers"),
         s("order_items"),
         s("order_payments"),
         s("order_reviews"),
-    )
+    ).table()
 
 
 def upsert_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     w = open_warehouse(spark, folder)
-    path = fresh_path(spark, "fact_sales")
-    write_partitioned(_yesterday(w.mart("fact_sales"), "order_date", "price", -1), path, "order_date")
+    old = _yesterday(w.mart("fact_sales"), "order_date", "price", -1)
+    target = write_monthly(old, fresh_path(spark, "fact_sales"), "order_date")
     return incremental.refresh_fact_sales(
-        path, w.stage("order_items"), w.stage("orders"), w.stage("customers")
-    )
+        target,
+        fresh_path(spark, "fact_sales"),
+        w.stage("order_items"),
+        monthly_orders(w),
+        w.stage("customers"),
+    ).table()
 
 
 # --- shaping --------------------------------------------------------------------------------------

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tradewind.operators.upsert import incremental_filter, read_partitioned, upsert
+from pyspark.sql import functions as F
+
+from tradewind.operators.upsert import MonthlyTable, incremental_filter, upsert
 from tradewind.plans import marts
 from tradewind.schemas import MARTS
 from tradewind.session import materialize
@@ -14,22 +16,30 @@ ORDERS_KEY = ("order_id",)
 SALES_KEY = ("order_id", "order_item_id")
 
 
+# Keys of a batch that are sent to every task, at most; about 64 MB.
+BROADCAST_KEYS = 1_000_000
+
+
 def _only(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows that belong to the batch.
+    """Rows that belong to the batch, a stored table that is counted first.
 
-    Detail tables are aggregated before they come here. If the keys of the batch, a stored table of
-    known size, are few enough to broadcast, the optimizer moves this filter below the aggregate to
-    the scan; if not, the join reuses the partitioning of the aggregate and meets one row per order.
+    Keys few enough to broadcast filter at the scan, below an aggregate of ``df``, so nothing older is
+    shuffled. With more of them the join shuffles both sides, or reuses the aggregate's partitioning.
     """
-    return df.join(wanted.select(key).distinct(), key, "left_semi")
+    keys = wanted.select(key).distinct()
+    if wanted.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_semi")
 
 
-def recent_orders(orders: DataFrame, target: DataFrame | None, target_column: str) -> DataFrame:
+def recent_orders(
+    orders: DataFrame, target: DataFrame | MonthlyTable | None, target_column: str
+) -> DataFrame:
     return materialize(incremental_filter(orders, PURCHASED, target, target_column), "recent")
 
 
 def fact_orders_batch(
-    target: DataFrame | None,
+    target: DataFrame | MonthlyTable | None,
     orders: DataFrame,
     customers: DataFrame,
     items: DataFrame,
@@ -37,7 +47,19 @@ def fact_orders_batch(
     reviews: DataFrame,
 ) -> DataFrame:
     """Order fact of the lookback window, which starts at the newest purchase in the target."""
-    recent = recent_orders(orders, target, PURCHASED)
+    return fact_orders_of(
+        recent_orders(orders, target, PURCHASED), customers, items, payments, reviews
+    )
+
+
+def fact_orders_of(
+    recent: DataFrame,
+    customers: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+) -> DataFrame:
+    """Order fact of some orders, a stored table."""
     totals = (marts.order_items_agg(items), marts.payments_agg(payments), marts.reviews_agg(reviews))
     return marts.fact_orders_from_totals(
         recent,
@@ -47,35 +69,51 @@ def fact_orders_batch(
 
 
 def fact_sales_batch(
-    target: DataFrame | None, items: DataFrame, orders: DataFrame, customers: DataFrame
+    target: DataFrame | MonthlyTable | None,
+    items: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
 ) -> DataFrame:
     """Item fact of the lookback window, which starts at the newest *day* in the target."""
     recent = recent_orders(orders, target, "order_date")
-    return marts.fact_sales(items, recent, _only(customers, recent, "customer_id"))
+    return marts.fact_sales(
+        _only(items, recent, "order_id"), recent, _only(customers, recent, "customer_id")
+    )
 
 
 def refresh_fact_orders(
+    target: MonthlyTable | None,
     path: str,
     orders: DataFrame,
     customers: DataFrame,
     items: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
-) -> DataFrame:
-    """Bring a stored order fact up to date and return it."""
-    spark, layout = orders.sparkSession, MARTS["fact_orders"]
-    target = read_partitioned(spark, path, layout)
-    batch = fact_orders_batch(target, orders, customers, items, payments, reviews)
-    upsert(spark, path, layout, batch, ORDERS_KEY, "order_date")
-    return read_partitioned(spark, path, layout).select(*layout.fieldNames())
+) -> MonthlyTable:
+    """A stored order fact brought up to date, as a new version at ``path``; without one, a full build."""
+    batch = (
+        marts.fact_orders(orders, customers, items, payments, reviews)
+        if target is None
+        else fact_orders_batch(target, orders, customers, items, payments, reviews)
+    )
+    return upsert(target, path, _as(batch, "fact_orders"), ORDERS_KEY, "order_date")
 
 
 def refresh_fact_sales(
-    path: str, items: DataFrame, orders: DataFrame, customers: DataFrame
-) -> DataFrame:
-    """Bring a stored item fact up to date and return it."""
-    spark, layout = orders.sparkSession, MARTS["fact_sales"]
-    target = read_partitioned(spark, path, layout)
-    batch = fact_sales_batch(target, items, orders, customers)
-    upsert(spark, path, layout, batch, SALES_KEY, "order_date")
-    return read_partitioned(spark, path, layout).select(*layout.fieldNames())
+    target: MonthlyTable | None,
+    path: str,
+    items: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+) -> MonthlyTable:
+    """A stored item fact brought up to date, as a new version at ``path``; without one, a full build."""
+    batch = (
+        marts.fact_sales(items, orders, customers)
+        if target is None
+        else fact_sales_batch(target, items, orders, customers)
+    )
+    return upsert(target, path, _as(batch, "fact_sales"), SALES_KEY, "order_date")
+
+
+def _as(batch: DataFrame, name: str) -> DataFrame:
+    return batch.select(*MARTS[name].fieldNames())

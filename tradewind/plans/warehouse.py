@@ -13,7 +13,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.operators.upsert import read_partitioned, write_partitioned
+from tradewind.operators.upsert import MonthlyTable, read_monthly, write_monthly
 from tradewind.plans import marts
 from tradewind.plans.cleaning import clean_table, fact_order_item_sales
 from tradewind.plans.staging import stage
@@ -28,17 +28,18 @@ FACT_DATE = {"fact_orders": "order_date", "fact_sales": "order_date"}
 
 
 class Warehouse:
-    """``monthly_facts`` stores the facts by month, as the incremental refresh needs them."""
+    """``monthly`` stores facts and cleaned orders by month, as the incremental refresh needs them."""
 
     def __init__(
         self,
         spark: SparkSession,
         read_raw: Callable[[str], DataFrame],
         folder: str | None = None,
-        monthly_facts: bool = False,
+        monthly: bool = False,
     ) -> None:
         self.spark = spark
-        self.monthly_facts = monthly_facts
+        self.monthly = monthly
+        self._by_month: dict[str, MonthlyTable] = {}
         self.read_raw = read_raw
         self.folder = folder or fresh_path(spark, "warehouse")
         self._raw: dict[str, DataFrame] = {}
@@ -136,21 +137,38 @@ class Warehouse:
             return dict(zip(names, pool.map(store, names)))
 
     def cleaned(self, name: str) -> DataFrame:
+        if self.monthly and name == "orders":
+            return self.cleaned_orders().table()
         return self._store(f"clean/{name}", lambda: self.clean(name))
 
+    def cleaned_orders(self) -> MonthlyTable:
+        """Orders by month of purchase, so that a refresh reads the last months only."""
+        label = "clean/orders"
+
+        def store(path: str) -> DataFrame:
+            self._by_month[label] = write_monthly(
+                self.clean("orders"), path, "order_purchase_timestamp"
+            )
+            return self._by_month[label].table()
+
+        self._once(label, store)
+        return self._by_month[label]
+
+    def orders_by_month(self) -> DataFrame:
+        """Staged orders with their month."""
+        return self.cleaned_orders().rows()
+
     def cleaned_all(self) -> dict[str, DataFrame]:
         return self._together(self.cleaned, list(RAW))
 
     def mart(self, name: str) -> DataFrame:
-        if self.monthly_facts and name in FACT_DATE:
+        if self.monthly and name in FACT_DATE:
             return self._monthly_fact(name)
         return self._store(f"marts/{name}", lambda: self.build(name))
 
     def _monthly_fact(self, name: str) -> DataFrame:
         def store(path: str) -> DataFrame:
-            write_partitioned(self.build(name), path, FACT_DATE[name])
-            layout = MARTS[name]
-            return read_partitioned(self.spark, path, layout).select(*layout.fieldNames())
+            return write_monthly(self.build(name), path, FACT_DATE[name]).table()
 
         return self._once(f"marts/{name}", store)
 
@@ -162,11 +180,17 @@ def from_bundle(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
     folder: str | None = None,
-    monthly_facts: bool = False,
+    monthly: bool = False,
 ) -> Warehouse:
-    return Warehouse(spark, raw.__getitem__, folder, monthly_facts)
+    return Warehouse(spark, raw.__getitem__, folder, monthly)
 
 
 def stored_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A mart of an earlier build; a month column, where there is one, is left out."""
-    return spark.read.schema(MARTS[name]).parquet(f"{folder}/marts/{name}")
+    """A mart of an earlier build or refresh, complete as published."""
+    path = f"{folder}/marts/{name}"
+    if name in FACT_DATE:
+        fact = read_monthly(spark, path, MARTS[name])
+        if fact is None:
+            raise FileNotFoundError(f"no published {name} in {folder}")
+        return fact.table()
+    return spark.read.schema(MARTS[name]).parquet(path)

@@ -85,10 +85,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path and the path as it knows it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table that ``materialize`` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {os.path.dirname(name) for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, where = file_system(df.sparkSession, folder)
+        files.delete(where, True)
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a complete folder in the place of another, which stays as it was until then."""
+    files, where = file_system(spark, path)
+    files.delete(where, True)
+    files.mkdirs(where.getParent())
+    if not files.rename(file_system(spark, fresh)[1], where):
+        raise RuntimeError(f"cannot move {fresh} to {path}")

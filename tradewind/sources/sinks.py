@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -9,16 +10,21 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.columns import iso_text
 from tradewind.schemas import STORED_NAME
+from tradewind.session import replace_folder
 
 
 def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     """Replace every stored table; each is written by all tasks in parallel. Returns the paths.
 
-    Without enforced foreign keys the order of the tables does not matter.
+    All tables are written aside before the first is put in its place, so a failed load changes
+    nothing. Without enforced foreign keys the order of the tables does not matter.
     """
     paths = {name: f"{folder}/{STORED_NAME.get(name, name)}" for name in cleaned}
+    aside = {name: f"{folder}/_load-{uuid.uuid4().hex}" for name in cleaned}
     for name, df in cleaned.items():
-        df.write.mode("overwrite").parquet(paths[name])
+        df.write.parquet(aside[name])
+    for name, df in cleaned.items():
+        replace_folder(df.sparkSession, aside[name], paths[name])
     return paths
 
 
