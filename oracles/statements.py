@@ -749,6 +749,7 @@ LEFT JOIN (
   WHERE distance < 0.10 GROUP BY query_id) b
   ON b.query_id = q.query_id
 """
+S["semantic_lookup_blocks"] = S["semantic_lookup"]
 # All elements, in millionths.
 VECTOR = """array_to_string(
       list_transform(embedding, lambda x: floor(x::DOUBLE * 1e6)::BIGINT::VARCHAR), ',')"""

@@ -13,7 +13,7 @@ from tradewind.plans.incremental import fact_orders_batch
 
 QUERIES = build_queries()
 # Matrix products on blocks of vectors are the one place where Python runs inside tasks.
-WITH_PYTHON = {"semantic_lookup"}
+WITH_PYTHON = {"semantic_lookup", "semantic_lookup_blocks"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -93,6 +93,22 @@ def test_empty_sides_and_zero_vectors(spark):
     assert run(spark, some + [(9, holes[0][1])], holes + some) == {1: (1, 0.0)}
 
 
+def test_repeated_queries_are_compared_once_and_all_answered(spark):
+    cache = [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    queries = [(i, [1.0, 0.05]) for i in range(300)] + [(900, [-1.0, 0.0])]
+    got = run(spark, queries, cache, block_rows=10)
+    assert got.keys() == set(range(300)) and {c for c, _ in got.values()} == {1}
+
+
+def test_many_near_entries_in_one_block(spark):
+    rng = np.random.default_rng(2)
+    cache = [(i, [1.0, *(0.01 * rng.normal(size=3))]) for i in range(600)]
+    queries = [(i, [1.0, *(0.01 * rng.normal(size=3))]) for i in range(500)]
+    got = run(spark, queries, cache)
+    expected = brute_force(queries, cache)
+    assert {q: c for q, (c, _) in got.items()} == {q: c for q, (c, _) in expected.items()}
+
+
 def test_lookup_lists_every_query(spark):
     cache = frame(spark, "cache_id", [(1, [1.0, 0.0]), (2, [0.0, 1.0])]).withColumn("sql", F.concat(F.lit("q"), "cache_id"))
     queries = frame(spark, "query_id", [(10, [2.0, 0.1]), (11, [1.0, 1.0])])

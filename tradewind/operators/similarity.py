@@ -1,10 +1,15 @@
 """Similarity cache: nearest stored question within a cosine distance, and cache upsert.
 
-The lookup is exact and works on partitions of both sides. Angles between vectors obey the triangle
-inequality, so stored vectors are grouped around anchors and a query only visits the groups that can
-hold a vector within the threshold angle. Groups of any size are cut into blocks; a block of stored
-vectors meets a block of queries in one task as a matrix product that returns at most one row per
-query. No pair of vectors is ever a row, and no side is broadcast.
+The lookup is exact and works on blocks of both sides. Equal vectors of a side are one entry. A block of
+stored vectors meets a block of queries in one task as a matrix product that returns at most one row
+per query; no pair of vectors is ever a row, and no side is broadcast. So a vector is shuffled once
+per block of the other side that it has to meet, and blocks hold as many vectors as a task's memory
+allows.
+
+With more stored vectors than fit one block, they are grouped around anchors, one per block's worth.
+Angles between vectors obey the triangle inequality, so a query only visits the groups that can hold a
+vector within the threshold angle. That saves most visits where vectors form clusters and none where
+they do not; it never costs more than comparing everything.
 """
 
 from __future__ import annotations
@@ -28,13 +33,14 @@ THRESHOLD = 0.10
 # Distances are rounded here, so a distance equal to the threshold is not taken for a smaller one.
 DIGITS = 9
 
-MAX_ANCHORS = 256
-ROWS_PER_ANCHOR = 2048
-BLOCK_ROWS = 8192
-# Queries compared at once inside a block, which bounds the matrix of distances in memory.
-_CHUNK = 256
+# Bytes of vectors in a block, counted as 8 per number.
+BLOCK_BYTES = 32 << 20
+# Distances computed at once inside a block, which bounds their matrix in memory.
+_CHUNK = 1 << 18
 # Slack for rounding in the group filter, in radians; it can only add visits.
 _SLACK = 1e-5
+# Slack for single precision in the first comparison; what passes is compared in double precision.
+_ROUGH = 1e-4
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -53,11 +59,10 @@ def _usable(vector: Column) -> Column:
     )
 
 
-def _anchors(stored: DataFrame, limit: int | None) -> np.ndarray | None:
-    """A few stored vectors picked by hash; their number is fixed from above."""
-    wanted = limit or max(1, min(MAX_ANCHORS, stored.count() // ROWS_PER_ANCHOR))
+def _anchors(stored: DataFrame, wanted: int) -> np.ndarray:
+    """Stored vectors picked by hash, one per block's worth of them."""
     picked = stored.orderBy(F.xxhash64("vector"), "cache_id").limit(wanted).collect()
-    return _unit(pd.Series([r["vector"] for r in picked])) if picked else None
+    return _unit(pd.Series([r["vector"] for r in picked]))
 
 
 def _assign(stored: DataFrame, anchors: np.ndarray) -> DataFrame:
@@ -108,93 +113,115 @@ def _every_block(blocks: str) -> Column:
     return F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int")))
 
 
+def _distinct(rows: DataFrame, identity: str) -> DataFrame:
+    """Usable vectors, each once under its smallest id; one that occurs very often is no heavy group."""
+    return materialize(
+        rows.where(_usable(F.col("vector")))
+        .groupBy("vector")
+        .agg(F.min(identity).alias(identity))
+        .select(identity, "vector"),
+        "vectors",
+    )
+
+
 def nearest_within(
     queries: DataFrame,
     cache: DataFrame,
     threshold: float = THRESHOLD,
     anchor_limit: int | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, cache_id, distance) of the nearest stored vector closer than the threshold.
 
     ``queries`` has (query_id, vector), ``cache`` has (cache_id, vector). Equal distances go to the
-    smaller id. Queries without such a vector are absent.
+    smaller id. Queries without such a vector are absent. ``anchor_limit`` sets the number of anchors,
+    ``block_rows`` the vectors of a block; by default a block has ``BLOCK_BYTES``.
     """
     angle = float(np.arccos(1.0 - threshold))
-    # Copies of a vector are one entry, so a vector stored very often is no heavy group.
-    stored = materialize(
-        cache.where(_usable(F.col("vector")))
-        .groupBy("vector")
-        .agg(F.min("cache_id").alias("cache_id"))
-        .select("cache_id", "vector"),
-        "vectors",
-    )
-    anchors = _anchors(stored, anchor_limit)
-    empty = cache.sparkSession.createDataFrame([], "query_id bigint, cache_id bigint, distance double")
-    if anchors is None:
-        return empty
-    assigned = materialize(_assign(stored, anchors), "assigned")
-    cells = assigned.groupBy("cell").agg(
-        F.count("*").alias("rows"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
-    )
-    # One row per anchor.
-    reach = {r["cell"]: (r["lo"], r["hi"]) for r in cells.collect()}
-    usable = queries.where(_usable(F.col("vector"))).select("query_id", "vector")
-    visits = materialize(_visits(usable, anchors, reach, angle), "visits")
-
-    def blocks(rows: str) -> Column:
-        return F.ceil(F.col(rows) / block_rows)
-
-    # One row per anchor again, so it can be broadcast to both sides.
-    grid = F.broadcast(
-        cells.select("cell", blocks("rows").alias("cache_blocks")).join(
-            visits.groupBy("cell")
-            .agg(F.count("*").alias("visits"))
-            .select("cell", blocks("visits").alias("query_blocks")),
-            "cell",
+    stored, asked = _distinct(cache, "cache_id"), _distinct(queries, "query_id")
+    size = stored.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
+    if not size["n"]:
+        return cache.sparkSession.createDataFrame(
+            [], "query_id bigint, cache_id bigint, distance double"
         )
-    )
+    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * size["width"]))
+    wanted = anchor_limit or -(-size["n"] // block_rows)
+
+    def blocks(rows: Column) -> Column:
+        return F.ceil(rows / block_rows)
+
+    if wanted == 1:
+        here = {
+            "cell": F.lit(0),
+            "cache_blocks": blocks(F.lit(size["n"])),
+            "query_blocks": blocks(F.lit(max(1, asked.count()))),
+        }
+        visits, assigned = asked.withColumns(here), stored.withColumns(here)
+    else:
+        anchors = _anchors(stored, wanted)
+        assigned = materialize(_assign(stored, anchors), "assigned")
+        cells = assigned.groupBy("cell").agg(
+            F.count("*").alias("rows"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
+        )
+        # One row per anchor.
+        reach = {r["cell"]: (r["lo"], r["hi"]) for r in cells.collect()}
+        visits = materialize(_visits(asked, anchors, reach, angle), "visits")
+        # One row per anchor again, that is, per block's worth of stored vectors.
+        grid = F.broadcast(
+            cells.select("cell", blocks(F.col("rows")).alias("cache_blocks")).join(
+                visits.groupBy("cell")
+                .agg(F.count("*").alias("visits"))
+                .select("cell", blocks(F.col("visits")).alias("query_blocks")),
+                "cell",
+            )
+        )
+        visits, assigned = visits.join(grid, "cell"), assigned.join(grid, "cell")
     left = (
-        visits.join(grid, "cell")
-        .withColumn("query_block", _block("query_id", "query_blocks"))
+        visits.withColumn("query_block", _block("query_id", "query_blocks"))
         .withColumn("cache_block", _every_block("cache_blocks"))
         .select("cell", "cache_block", "query_block", "query_id", "vector")
     )
     right = (
-        assigned.join(grid, "cell")
-        .withColumn("cache_block", _block("cache_id", "cache_blocks"))
+        assigned.withColumn("cache_block", _block("cache_id", "cache_blocks"))
         .withColumn("query_block", _every_block("query_blocks"))
         .select("cell", "cache_block", "query_block", "cache_id", "vector")
     )
     layout = "query_id bigint, cache_id bigint, distance double"
 
     def best(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or known.empty:
-            return pd.DataFrame({"query_id": [], "cache_id": [], "distance": []})
-        known = known.sort_values("cache_id", ignore_index=True)
-        ids, stored_units = known["cache_id"].to_numpy(), _unit(known["vector"]).T
-        found = []
-        for start in range(0, len(asked), _CHUNK):
-            part = asked.iloc[start : start + _CHUNK]
-            distance = np.round(1.0 - _unit(part["vector"]) @ stored_units, DIGITS)
-            at = distance.argmin(axis=1)
-            nearest = pd.DataFrame(
-                {
-                    "query_id": part["query_id"].to_numpy(),
-                    "cache_id": ids[at],
-                    "distance": distance[np.arange(len(at)), at],
-                }
-            )
-            found.append(nearest[nearest["distance"] < threshold])
-        return pd.concat(found)
+        found = {"query_id": [], "cache_id": [], "distance": []}
+        if len(asked) and len(known):
+            known = known.sort_values("cache_id", ignore_index=True)
+            names, cached = asked["query_id"].to_numpy(), known["cache_id"].to_numpy()
+            left, right = _unit(asked["vector"]), _unit(known["vector"])
+            rough = right.astype(np.float32).T
+            step = max(1, _CHUNK // len(cached))
+            for start in range(0, len(names), step):
+                part = left[start : start + step]
+                near = part.astype(np.float32) @ rough > 1.0 - threshold - _ROUGH
+                row, column = np.nonzero(near)
+                distance = np.round(1.0 - np.einsum("ij,ij->i", part[row], right[column]), DIGITS)
+                hit = distance < threshold
+                row, column, distance = row[hit], column[hit], distance[hit]
+                # The nearest of each query; of equally near ones the smallest id.
+                order = np.lexsort((column, distance, row))
+                row, column, distance = row[order], column[order], distance[order]
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                found["query_id"].append(names[start + row[first]])
+                found["cache_id"].append(cached[column[first]])
+                found["distance"].append(distance[first])
+        return pd.DataFrame({k: np.concatenate(v) if v else [] for k, v in found.items()})
 
     keys = ("cell", "cache_block", "query_block")
     matches = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, layout)
-    return (
+    nearest = (
         matches.groupBy("query_id")
         .agg(F.min(F.struct("distance", "cache_id")).alias("m"))
         .select("query_id", "m.cache_id", "m.distance")
     )
+    # Back from each distinct vector to all queries that have it.
+    named = nearest.join(asked, "query_id").select("vector", "cache_id", "distance")
+    return queries.join(named, "vector").select("query_id", "cache_id", "distance")
 
 
 def semantic_lookup(
@@ -202,7 +229,7 @@ def semantic_lookup(
     cache: DataFrame,
     threshold: float = THRESHOLD,
     anchor_limit: int | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Every query with 'hit' and the stored SQL of its nearest entry, or 'miss'."""
     near = nearest_within(

@@ -265,9 +265,9 @@ def question_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def semantic_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def semantic_lookup(spark: SparkSession, folder: str, **sizes: int) -> DataFrame:
     found = similarity.semantic_lookup(
-        testdata.similarity_queries(spark, folder), testdata.similarity_cache(spark, folder)
+        testdata.similarity_queries(spark, folder), testdata.similarity_cache(spark, folder), **sizes
     )
     return found.withColumns(
         {c: F.round(c, 6) for c in ("distance", "similarity")}
@@ -501,6 +501,8 @@ def build_queries() -> dict[str, Query]:
         "strip_fences": strip_fences,
         "question_key": question_key,
         "semantic_lookup": semantic_lookup,
+        # The same with many groups and blocks, as far larger tables have.
+        "semantic_lookup_blocks": lambda s, d: semantic_lookup(s, d, anchor_limit=24, block_rows=40),
         "semantic_upsert": semantic_upsert,
         "recent_questions": recent_questions,
     }
