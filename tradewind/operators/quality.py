@@ -65,12 +65,17 @@ def _fact_timestamp(table: str) -> _Count:
 
 
 def _result(
-    order: Column, check: Column, table: str, columns: Column, violations: Column, text: Column
+    order: Column,
+    check: Column,
+    table: str | Column,
+    columns: Column,
+    violations: Column,
+    text: Column,
 ) -> list[Column]:
     return [
         order.cast("int").alias("check_order"),
         check.alias("check_name"),
-        F.lit(table).alias("table_name"),
+        (F.lit(table) if isinstance(table, str) else table).alias("table_name"),
         columns.alias("column_names"),
         violations.cast("bigint").alias("violations"),
         F.when(violations > 0, F.replace(text, F.lit("%s"), violations.cast("string"))).alias(
@@ -166,6 +171,44 @@ def check_fk(
     )
 
 
+def check_fks(
+    edges: Sequence[tuple[int, DataFrame, str, str]],
+    parent: DataFrame,
+    parent_table: str,
+    parent_column: str,
+) -> DataFrame:
+    """``check_fk`` for several (position, child, table, column) with one parent, which is read and
+    shuffled once."""
+    values = union_all(
+        [
+            child.select(F.lit(at).alias("at"), F.col(column).alias("value")).dropna().distinct()
+            for at, child, _, column in edges
+        ]
+    )
+    known = parent.select(F.col(parent_column).alias("value"))
+    totals = values.join(known, "value", "left_anti").agg(
+        *(count_where(F.col("at") == at).alias(f"n{i}") for i, (at, *_) in enumerate(edges))
+    )
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(at).alias("o"),
+                F.lit(table).alias("t"),
+                F.lit(column).alias("c"),
+                F.col(f"n{i}").alias("v"),
+            )
+            for i, (at, _, table, column) in enumerate(edges)
+        )
+    )
+    text = F.concat(
+        F.lit("Foreign key check failed: "), F.col("r.t"), F.lit("."), F.col("r.c"),
+        F.lit(f" -> {parent_table}.{parent_column}. Missing references: %s"),
+    )
+    return totals.select(F.explode(rows).alias("r")).select(
+        *_result(F.col("r.o"), F.lit("fk"), F.col("r.t"), F.col("r.c"), F.col("r.v"), text)
+    )
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of frames with the same columns in the same order."""
     return reduce(DataFrame.union, frames)
@@ -190,13 +233,13 @@ def validate_all(cleaned: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame
     for table, rules in RULES.items():
         parts.append(check_unique(cleaned[table], table, rules.key, position))
         position += 1
+    parents: dict[tuple[str, str], list[tuple[int, DataFrame, str, str]]] = {}
     for child, column, parent, parent_column in FOREIGN_KEYS:
-        parts.append(
-            check_fk(
-                cleaned[child], child, column, cleaned[parent], parent, parent_column, position
-            )
-        )
+        edge = (position, cleaned[child], child, column)
+        parents.setdefault((parent, parent_column), []).append(edge)
         position += 1
+    for (parent, parent_column), edges in parents.items():
+        parts.append(check_fks(edges, cleaned[parent], parent, parent_column))
     for table, rules in RULES.items():
         add(table, _non_negative(table, rules.non_negative))
     for table, rules in RULES.items():

@@ -18,18 +18,27 @@ from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
 from tradewind.plans.staging import stage
 from tradewind.plans.warehouse import ITEM_SALES, Warehouse
 from tradewind.schemas import MARTS, POSITION, RAW, RULES, STORED_NAME
-from tradewind.session import fresh_path
+from tradewind.session import file_system, fresh_path
 from tradewind.sources import sinks, testdata
 from tradewind.sources.csv_files import extract_all, extract_text, unreadable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_OPEN: dict[tuple[str, str], Warehouse] = {}
+_OPEN: dict[tuple, Warehouse] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder."""
+    files, where = file_system(spark, folder)
+    return tuple(
+        sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(where))
+    )
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """One warehouse per session and source folder, so stored layers are shared by the queries."""
-    key = (spark.sparkContext.applicationId, folder)
+    """One warehouse per session and state of the source folder, so stored layers are shared by the
+    queries and changed source files are seen."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _OPEN:
         _OPEN[key] = Warehouse(spark, lambda name: testdata.raw_table(spark, folder, name))
     return _OPEN[key]

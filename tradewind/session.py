@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+from contextlib import suppress
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-# A shuffle partition should fit the memory of a task; far more partitions than this cost more in
-# bookkeeping than they save, so the largest shuffles spill instead.
+# A shuffle partition should fit the memory of a task.
 _PARTITION_BYTES = 192 << 20
-_MAX_PARTITIONS = 40_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """Initial number of shuffle partitions; adaptive execution merges what turns out small."""
-    return max(cores, min(_MAX_PARTITIONS, input_bytes // _PARTITION_BYTES))
+    return max(cores, -(-input_bytes // _PARTITION_BYTES))
 
 
 def build_session(
@@ -56,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session without that setting
     gets a temporary folder; on a cluster the absence is an error, since a folder on one machine
-    would be lost with it.
+    would be lost with it. The application's part of the folder is deleted when the driver ends.
     """
     base = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
         _CHECKPOINT_KEY, None
@@ -66,7 +66,20 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tradewind-")
         spark.conf.set(_CHECKPOINT_KEY, base)
-    return os.path.join(base, f"tradewind-{spark.sparkContext.applicationId}")
+    folder = os.path.join(base, f"tradewind-{spark.sparkContext.applicationId}")
+    if folder not in _CLEARED_AT_EXIT:
+        _CLEARED_AT_EXIT.add(folder)
+        atexit.register(_clear, *file_system(spark, folder))
+    return folder
+
+
+_CLEARED_AT_EXIT: set[str] = set()
+
+
+def _clear(files: object, where: object) -> None:
+    # The JVM may be gone already, after a crash or a kill.
+    with suppress(Exception):
+        files.delete(where, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
