@@ -78,4 +78,98 @@ SELECT page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.ru
 FROM pages LEFT JOIN judged j ON j.url = pages.url LEFT JOIN inherited i ON i.node = j.node
 """
 
-STATEMENTS = {"op7_url_filter": URL_FILTER}
+# The assignment pattern once more; quotes are doubled for SQL.
+_ASSIGN = (
+    "((?i:password|passwd|secret|token|api_?key))"
+    """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+
+
+def _places(kind: str, rank: int, pattern: str, group: int, least: int, source: str = "docs") -> str:
+    """Every match with its place: the lengths of what lies before it."""
+    return f"""
+SELECT id, {rank} AS rank, '{kind}' AS kind, value, start_, start_ + length(found) AS end_
+FROM (
+  SELECT id, f[i] AS found, v[i] AS value,
+    list_sum(list_transform(g[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS start_
+  FROM (
+    SELECT id, string_split_regex(text, '{pattern}') AS g,
+      regexp_extract_all(text, '{pattern}', 0) AS f, regexp_extract_all(text, '{pattern}', {group}) AS v
+    FROM {source} WHERE regexp_matches(text, '{pattern}')
+  ), LATERAL (SELECT unnest(generate_series(1, len(f))) AS i)
+)
+WHERE length(value) >= {least}"""
+
+
+def _steps(tokens: str) -> str:
+    """(token's columns, previous, next): places of neighbouring characters in the alphabet."""
+    return f"""
+SELECT * EXCLUDE (token, c), c[i] AS next, CASE WHEN i = 1 THEN 0 ELSE c[i - 1] END AS previous
+FROM (
+  SELECT *, list_transform(string_split(lower(token), ''), lambda x: instr('{_CHARACTERS}', x)) AS c
+  FROM ({tokens})
+), LATERAL (SELECT unnest(generate_series(1, len(c))) AS i)"""
+
+
+#: Learns from every document, as the query does up to its bound of 20,000 documents.
+SECRETS = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents
+),
+base AS MATERIALIZED (
+  {_places("assign", 0, _ASSIGN, 2, 12)}
+  UNION ALL {_places("access", 1, "AKIA[A-Z0-9]+", 0, 18)}
+  UNION ALL {_places("hex", 2, "[0-9a-f]+", 0, 16)}
+),
+rest AS (
+  SELECT regexp_replace(regexp_replace(regexp_replace(text, '{_ASSIGN}', ' ', 'g'),
+    'AKIA[A-Z0-9]{{14,}}', ' ', 'g'), '[0-9a-f]{{16,}}', ' ', 'g') AS text FROM docs
+),
+samples AS (
+  SELECT value AS token, true AS random FROM base
+  UNION ALL
+  SELECT unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_]{{5,}}', 0)), false FROM rest
+),
+pairs AS MATERIALIZED (
+  SELECT random, previous, next, count(*) AS n FROM ({_steps("SELECT token, random FROM samples")}) GROUP BY ALL
+),
+totals AS (SELECT random, previous, sum(n) AS n FROM pairs GROUP BY ALL),
+places AS (SELECT unnest(generate_series(0, {len(_CHARACTERS)})) AS place),
+ratios AS MATERIALIZED (
+  SELECT p.place AS previous, q.place AS next,
+    ln((coalesce(a.n, 0) + 0.5) / (coalesce(s.n, 0) + 0.5 * {len(_CHARACTERS) + 1}))
+      - ln((coalesce(b.n, 0) + 0.5) / (coalesce(t.n, 0) + 0.5 * {len(_CHARACTERS) + 1})) AS ratio
+  FROM places p CROSS JOIN places q
+  LEFT JOIN pairs a ON a.random AND a.previous = p.place AND a.next = q.place
+  LEFT JOIN pairs b ON NOT b.random AND b.previous = p.place AND b.next = q.place
+  LEFT JOIN totals s ON s.random AND s.previous = p.place
+  LEFT JOIN totals t ON NOT t.random AND t.previous = p.place
+),
+runs AS MATERIALIZED ({_places("random", 3, "[A-Za-z0-9+/_=-]{16,}", 0, 0)}),
+scored AS (
+  SELECT r.id, r.rank, r.kind, r.start_, r.end_
+  FROM ({_steps("SELECT id, rank, kind, start_, end_, value AS token FROM runs")}) r
+  JOIN ratios USING (previous, next)
+  GROUP BY ALL HAVING sum(ratio) >= 12
+),
+spans AS (
+  SELECT id, rank, kind, start_, end_ FROM base
+  UNION ALL
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.id = s.id AND b.start_ < s.end_ AND s.start_ < b.end_)
+),
+listed AS (
+  SELECT id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+    count(*) FILTER (rank = 2) AS n_hex,
+    coalesce(string_agg(span, ',' ORDER BY start_, rank) FILTER (rank < 3), '') AS own,
+    string_agg(span, ',' ORDER BY start_, rank) AS spans
+  FROM (SELECT *, kind || ':' || start_ || ':' || end_ AS span FROM spans) GROUP BY id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (id)
+"""
+
+STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER}

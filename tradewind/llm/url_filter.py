@@ -61,22 +61,17 @@ def html_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     canonical = lambda t: t.rlike(r"""(?is)^<link\b.*[\s"']rel\s*=\s*["']?[^"'>]*\bcanonical\b""")
     refresh = lambda t: t.rlike(r"""(?is)^<meta\b.*[\s"']http-equiv\s*=\s*["']?\s*refresh\b""")
     named = F.filter(tags, lambda t: canonical(t) | refresh(t))
-    tag, base, link, origin = map(F.col, ("tag", "source", "link", "origin"))
-    # One step after the other: an expression used in several places would be repeated in each.
+    given = F.transform(
+        named,
+        lambda t: F.when(canonical(t), _attribute(t, "href")).otherwise(
+            F.regexp_extract(_attribute(t, "content"), r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
+        ),
+    )
+    links = F.transform(given, lambda v: F.trim(F.regexp_replace(v, "(?i)&amp;", "&")))
+    base, link, origin = map(F.col, ("source", "link", "origin"))
     found = (
         pages.where(F.col(html).contains("<"))
-        .select(F.col(url).alias("source"), F.explode(named).alias("tag"))
-        .select("source", "tag", canonical(tag).alias("canonical"))
-        .withColumn(
-            "value", F.when(F.col("canonical"), _attribute(tag, "href")).otherwise(_attribute(tag, "content"))
-        )
-        .withColumn(
-            "link",
-            F.when(F.col("canonical"), F.col("value")).otherwise(
-                F.regexp_extract("value", r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
-            ),
-        )
-        .withColumn("link", F.trim(F.regexp_replace("link", "(?i)&amp;", "&")))
+        .select(F.col(url).alias("source"), F.explode(links).alias("link"))
         .withColumn("origin", F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*", 0))
         .withColumn("folder", F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*([^?#]*/)", 1))
     )
