@@ -676,7 +676,28 @@ CTES = (
     rf"regexp_extract_all(sql, '(?:(?:^|{EDGE})with\s+|,\s*)([a-zA-Z_][a-zA-Z0-9_]*)\s+as\s*\(',"
     " 1, 'i')"
 )
+# What a statement may not contain.
+FORBIDDEN_WORDS = (
+    "INSERT",
+    "UPDATE",
+    "DELETE",
+    "DROP",
+    "ALTER",
+    "TRUNCATE",
+    "CREATE",
+    "GRANT",
+    "REVOKE",
+)
+SYSTEM_NAMES = (
+    "information_schema",
+    "pg_catalog",
+    "pg_tables",
+    "pg_class",
+    "pg_attribute",
+    "pg_indexes",
+)
 ALLOWED = "[" + ", ".join(f"'{t}'" for t in MARTS) + "]"
+# The messages of the guard.
 AUDIT = rf"""
 SELECT * EXCLUDE (text, one, tables, ctes, base, strangers), message = 'SQL is valid.' AS is_valid
 FROM (
@@ -684,10 +705,10 @@ FROM (
     WHEN text = '' THEN 'SQL is empty.'
     WHEN contains(one, ';') THEN 'Multiple SQL statements are not allowed.'
     WHEN NOT regexp_matches(text, '^(select|with)', 'i') THEN 'Only SELECT queries are allowed.'
-    WHEN {word('text', 'insert|update|delete|drop|alter|truncate|create|grant|revoke')}
+    WHEN {word('text', '|'.join(FORBIDDEN_WORDS))}
       THEN 'SQL contains forbidden keywords.'
     WHEN {word('text', f'select({EDGE}|{EDGE}.*{EDGE})into', 'is')} THEN 'SELECT INTO is not allowed.'
-    WHEN {word('text', 'information_schema|pg_catalog|pg_tables|pg_class|pg_attribute|pg_indexes')}
+    WHEN {word('text', '|'.join(SYSTEM_NAMES))}
       THEN 'Access to system tables is not allowed.'
     WHEN len(tables) = 0 THEN 'SQL must reference at least one allowed table.'
     WHEN len(strangers) > 0 THEN 'Table ''' || strangers[1] || ''' is not allowed.'
@@ -717,11 +738,24 @@ FROM (SELECT unnest(list_distinct(list_transform({CTES}, lambda t: lower(t)))) A
       FROM sql_log)
 GROUP BY ALL
 """
+# What a question may not ask for.
+FORBIDDEN_REQUESTS = (
+    "delete",
+    "drop",
+    "truncate",
+    "update",
+    "insert",
+    "alter",
+    "remove",
+    "modify",
+    "create table",
+    "delete all rows",
+    "write sql that deletes",
+)
 S["audit_questions"] = rf"""
 SELECT *, message = 'Question is valid.' AS is_valid FROM (
   SELECT *, CASE WHEN {strip('text')} = '' THEN 'Please enter a business analytics question.'
-    WHEN {word('text', 'delete|drop|truncate|update|insert|alter|remove|modify|create table')}
-      OR {word('text', 'delete all rows|write sql that deletes')}
+    WHEN {word('text', '|'.join(FORBIDDEN_REQUESTS))}
     THEN 'This application only supports read-only analytics questions. Requests that modify or delete data are not allowed.'
     ELSE 'Question is valid.' END AS message
   FROM user_questions)

@@ -15,6 +15,7 @@ def days(end: str, start: str) -> str:
     return f"(date_diff('microsecond', {start}, {end})::DOUBLE / 86400e6)"
 
 
+# The words of the delivery status.
 DELIVERY = f"""
     CASE WHEN order_status = 'delivered'
           AND order_delivered_customer_date > order_estimated_delivery_date
@@ -244,14 +245,16 @@ FROM (SELECT *,
         (ntile(5) OVER (ORDER BY monetary ASC NULLS LAST, customer_unique_id))::INTEGER AS m_score
       FROM rfm_base_v)
 """,
+    # Segment names, first match wins.
     "rfm_segments_v": """
 SELECT *, CASE
-    WHEN f_score >= 3 AND r_score >= 4 THEN 'Champions'
-    WHEN f_score >= 3 AND r_score = 3 THEN 'Loyal Customers'
-    WHEN f_score >= 3 THEN 'At Risk'
-    WHEN r_score >= 4 THEN 'Recent Customers'
-    WHEN r_score = 3 THEN 'About to Sleep'
-    ELSE 'Lost' END AS rfm_segment
+    WHEN r_score >= 4 AND f_score >= 3 THEN 'Champions'
+    WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal Customers'
+    WHEN r_score >= 4 AND f_score = 1 THEN 'Recent Customers'
+    WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
+    WHEN r_score <= 2 AND f_score = 1 THEN 'Lost'
+    WHEN r_score = 3 AND f_score = 1 THEN 'About to Sleep'
+    ELSE 'Others' END AS rfm_segment
 FROM rfm_scores_v
 """,
     "m_dim_customers": """

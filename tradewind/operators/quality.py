@@ -32,6 +32,7 @@ class _Count:
     text: str
 
 
+# The messages of the checks, here and in check_unique and check_fk.
 def _not_null(table: str, columns: Sequence[str]) -> list[_Count]:
     return [
         _Count("not_null", c, F.col(c).isNull(), f"{table}.{c} contains %s null values")

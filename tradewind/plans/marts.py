@@ -173,6 +173,7 @@ def reviews_agg(reviews: DataFrame) -> DataFrame:
 
 def delivery_columns() -> dict[str, Column]:
     """Lateness of an order. An unknown status counts as neither late nor undelivered."""
+    # The words of the delivery status.
     return {
         "is_late_delivery": flag(delivered() & late()),
         "delivery_status": F.when(~delivered(), "not_delivered")

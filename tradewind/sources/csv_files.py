@@ -18,6 +18,7 @@ _OVERFLOW = "_overflow"
 THREADS = 16
 
 
+# The messages for missing, empty and unreadable files.
 def _data_files(spark: SparkSession, path: str) -> list[str]:
     """Files with content under a file or folder, hidden ones left out."""
     jvm = spark.sparkContext._jvm
