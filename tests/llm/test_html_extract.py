@@ -46,6 +46,8 @@ CASES = {
         f"<section id=comments><p>{LONG}</p></section><p>End.</p></article>",
         f"{LONG} End.",
     ),
+    "declared by role": (f"<div class=main-menu>{MENU}</div><div role=main><p>{LONG}</p><p>So.</p></div><div>{LONG}</div>", f"{LONG} So."),
+    "header of the article": (f"<header><h1>Site</h1></header><main><article><header><h2>T</h2></header><p>{LONG}</p></article></main>", f"T {LONG}"),
     "scripts": (f"<style>p{{}}</style><main><script>var a='<p>x</p>';</script><p>{LONG}</p><!-- {LONG} --></main>", LONG),
     "inline and blocks": ("<article>a<b>b</b>c<br>d\n\t e<p>f<i>g</i> &amp;&lt;&eacute;&#233;&#x1F600; h&nbsp;i</article>", "abc d e fg &<éé😀 h i"),
     "unclosed": (f"<article><p><b>{LONG}<br><p>More", f"{LONG} More"),

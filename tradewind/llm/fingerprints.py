@@ -223,7 +223,12 @@ def within_radius(queries: DataFrame, stored: DataFrame, column: str, radius: in
         masks.append(mask - (1 << BITS) if mask >> 63 else mask)
 
     def tables(rows: DataFrame, name: str) -> DataFrame:
-        keyed = F.array(*(F.struct(F.lit(i).alias("t"), F.col(name).bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)))
+        keyed = F.array(
+            *(
+                F.struct(F.lit(i).alias("t"), F.col(name).bitwiseAND(F.lit(m)).alias("k"))
+                for i, m in enumerate(masks)
+            )
+        )
         return rows.select(name, F.explode(keyed).alias("e")).select("e.t", "e.k", name)
 
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))

@@ -45,8 +45,17 @@ NEVER = frozenset(
     "search select style svg template textarea title video".split()
 )
 DECLARED = frozenset(("article", "main"))
+DECLARING = frozenset((("role", "main"), ("role", "article"), ("itemprop", "articleBody")))
 #: Start tags that end an open paragraph, and items that end an open one of their kind.
-ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+ENDS_ITSELF = {
+    "li": ("li",),
+    "dt": ("dt", "dd"),
+    "dd": ("dt", "dd"),
+    "tr": ("tr", "td", "th"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+    "option": ("option",),
+}
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Words of classes and ids that mark what is no part of an article, and such as only do outside of one.
 MARKED = frozenset(
@@ -62,6 +71,10 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def declares(tag: str, attrs: list) -> bool:
+    return tag in DECLARED or bool(attrs) and not DECLARING.isdisjoint(attrs)
+
+
 class Lines(HTMLParser):
     """Collects (text, tags, text in links, number of the declared region or -1)."""
 
@@ -84,7 +97,7 @@ class Lines(HTMLParser):
     def refused(self, tag: str, attrs: list) -> bool:
         if tag in NEVER:
             return True
-        if tag in ("html", "body") or tag in DECLARED and not self.inside:
+        if tag in ("html", "body") or not self.inside and declares(tag, attrs):
             return False
         if tag == "header":
             return not self.inside
@@ -110,7 +123,7 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         refused = not self.skipped and self.refused(tag, attrs)
-        declared = tag in DECLARED and not self.skipped and not refused
+        declared = not self.skipped and not refused and declares(tag, attrs)
         if declared:
             if not self.inside:
                 self.region += 1
