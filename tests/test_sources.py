@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from tests.helpers import bag
+from tests.helpers import bag, plan
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.batch import run_batch, run_from_csv, run_refresh, run_reports
 from tradewind.plans.warehouse import ITEM_SALES
@@ -109,6 +109,8 @@ def test_build_from_csv_equals_build_from_tables(spark, folder, scratch):
     built = run_from_csv(spark, f"{scratch}/csv", {n: n for n in RAW}, f"{scratch}/out")
     for name in [*MARTS, ITEM_SALES]:
         assert bag(built.mart(name)) == bag(w.mart(name)), name
+    # The text is parsed once: what was built on reads columns.
+    assert all("FileScan csv" not in plan(built.raw(name)) for name in RAW)
     paths = run_reports(spark, f"{scratch}/out", f"{scratch}/reports")
     assert spark.read.option("header", True).csv(paths["monthly_kpi"]).count() == 80
     report = spark.read.json(f"{scratch}/out/quality_report")

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 import argparse
 
-from tradewind.plans.batch import run_from_csv, run_refresh, run_reports
+from tradewind.plans.batch import refresh_from_csv, run_from_csv, run_reports
 from tradewind.schemas import RAW
 from tradewind.session import build_session
-from tradewind.sources.csv_files import extract_all
 
 
 def main() -> None:
@@ -43,7 +42,7 @@ def main() -> None:
         if args.command == "build":
             run_from_csv(spark, args.raw, files, args.out)
         else:
-            run_refresh(spark, extract_all(spark, args.raw, files), args.built, args.out)
+            refresh_from_csv(spark, args.raw, files, args.built, args.out)
     spark.stop()
 
 
