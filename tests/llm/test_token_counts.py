@@ -47,8 +47,10 @@ def test_odd_texts(vocabulary):
 
 
 @pytest.mark.parametrize("spelled", [True, False])
-def test_ties_and_unknown_runs(spelled):
+@pytest.mark.parametrize("long", [4096, 0])
+def test_ties_and_unknown_runs(spelled, long, monkeypatch):
     """Small whole-number scores make most paths tie."""
+    monkeypatch.setattr(T, "LONG_WORD", long)
     rng = random.Random(7)
     for _ in range(60):
         pieces = {"".join(rng.choices("ab▁", k=rng.randrange(1, 4))): float(-rng.randrange(1, 4)) for _ in range(9)}
@@ -59,10 +61,20 @@ def test_ties_and_unknown_runs(spelled):
             assert vocabulary.count(text)[1] == expected(tokenizer, text), (pieces, text)
 
 
+def test_few_remembered_words(vocabulary, monkeypatch):
+    """Forgetting changes nothing."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["the", "of", "tion", "xé", "heand", "q" * 90], k=30)) for _ in range(40)]
+    want = [vocabulary.count(t) for t in texts]
+    monkeypatch.setattr(T, "CACHE_WORDS", 2)
+    fresh = T.Vocabulary(vocabulary.scores, vocabulary.lowest, True)
+    assert [fresh.count(t) for t in texts] == want
+
+
 def test_odd_rows(spark, vocabulary):
     two, one = vocabulary.count("the the")[1], vocabulary.count("the")[1]
     rows = [(1, None, "x"), (2, "", None), (3, "the the", "x"), (3, "the the", "x"), (None, "the", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
-    got = T.token_counts(docs.withColumn("score", docs["doc_id"])).collect()
+    got = T.token_counts(docs.withColumns({"score": docs["doc_id"], "found": docs["doc_id"], "a.b": docs["doc_id"]})).collect()
     assert [(r.doc_id, r.n_tokens) for r in got] == [(1, 0), (2, 0), (3, two), (3, two), (None, one)]
     assert T.token_counts(docs.limit(0)).count() == 0

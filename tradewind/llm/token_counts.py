@@ -23,16 +23,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.names import quoted, unused
 from tradewind.llm.worker import remembered, travels_with_tasks
 
 travels_with_tasks(__name__)
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words remembered per Python worker.
-CACHE_WORDS = 400_000
+#: Words remembered per Python worker, twice over.
+CACHE_WORDS = 300_000
 #: Longest word that is remembered.
 CACHE_LENGTH = 64
+#: Longest word whose path is kept place by place.
+LONG_WORD = 4096
 
 
 @dataclass
@@ -44,6 +47,7 @@ class Vocabulary:
     bytes: bool
     longest: int = 0
     seen: dict[str, tuple[float, int]] = field(default_factory=dict)
+    older: dict[str, tuple[float, int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -63,6 +67,39 @@ class Vocabulary:
 
     def best(self, word: str) -> tuple[float, int]:
         """Score and number of pieces of the best path."""
+        if len(word) > LONG_WORD or not self.bytes or not self.scores:
+            return self._best(word)
+        unknown = self.lowest - UNKNOWN_PENALTY
+        score, count = [0.0] * (len(word) + 1), [0] * (len(word) + 1)
+        place, single = 0, True
+        for end, (length, value) in self.automaton.iter(word):
+            end += 1
+            if end != place:
+                # Places without a match, and the last one if its character is no piece by itself.
+                for at in range(place if not single else place + 1, end):
+                    self._unknown(word, at, unknown, score, count, at == place)
+                place, single = end, False
+                score[end] = score[end - length] + value
+                count[end] = count[end - length] + 1
+            elif score[end - length] + value > score[end]:
+                score[end] = score[end - length] + value
+                count[end] = count[end - length] + 1
+            if length == 1:
+                single = True
+        for at in range(place if not single else place + 1, len(word) + 1):
+            self._unknown(word, at, unknown, score, count, at == place)
+        return score[-1], count[-1]
+
+    @staticmethod
+    def _unknown(word, at, unknown, score, count, reached) -> None:
+        """The path through an unknown character before this place, if it is the better one."""
+        total = score[at - 1] + unknown
+        if not reached or total > score[at]:
+            score[at] = total
+            count[at] = count[at - 1] + len(word[at - 1].encode("utf-8", "surrogatepass"))
+
+    def _best(self, word: str) -> tuple[float, int]:
+        """The same in memory that follows the longest piece, for words of any length."""
         ending: dict[int, list] = {}
         if self.scores:
             for end, piece in self.automaton.iter(word):
@@ -100,10 +137,12 @@ class Vocabulary:
         for word in self.words.findall(marked):
             found = seen.get(word)
             if found is None:
-                found = self.best(word)
+                found = self.older.get(word) or self.best(word)
                 if len(word) <= CACHE_LENGTH:
                     if len(seen) >= CACHE_WORDS:
-                        seen.clear()
+                        # The words of this round are kept for another one.
+                        self.older, self.seen = seen, {}
+                        seen = self.seen
                     seen[word] = found
             score += found[0]
             pieces += found[1]
@@ -146,7 +185,8 @@ def counted(text: Column, path: str | None = None) -> Column:
 
 def token_counts(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with ``n_tokens`` and the ``score`` of the best path, replacing columns of these names."""
+    found = unused(docs, "found")
     kept = docs.drop("score", "n_tokens")
-    return kept.withColumn("_found", counted(F.col(text), path)).select(
-        *(f"`{c}`" for c in kept.columns), "_found.n_tokens", "_found.score"
+    return docs.withColumn(found, counted(F.col(text), path)).select(
+        *quoted(kept.columns), f"{found}.n_tokens", f"{found}.score"
     )
