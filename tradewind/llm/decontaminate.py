@@ -20,6 +20,7 @@ are cut into segments, each of which counts as a passage, which bounds an alignm
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tradewind.llm.worker import remembered, travels_with_tasks
+from tradewind.llm.worker import latest, remembered, travels_with_tasks
 
 travels_with_tasks(__name__)
 
@@ -268,6 +269,17 @@ def _blocks(benchmark: DataFrame, item: str, text: str, rules: Rules) -> Iterato
             yield [r["item"] for r in part], [r["text"] for r in part]
 
 
+class _Block:
+    """A block of passages on its way to the tasks; a worker builds its index once."""
+
+    def __init__(self, passages: Broadcast, rules: Rules) -> None:
+        self.passages, self.rules, self.name = passages, rules, uuid.uuid4().hex
+
+    def index(self) -> Index:
+        make = lambda: Index(*self.passages.value, self.rules)
+        return latest("benchmark block", self.name, make)
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -291,13 +303,13 @@ def leaks(
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for items, texts in _blocks(benchmark, item_col, item_text, rules):
-        block = sc.broadcast((items, texts))
+    for passages in _blocks(benchmark, item_col, item_text, rules):
+        shipped = _Block(sc.broadcast(passages), rules)
 
         def scan(
-            batches: Iterator[pa.RecordBatch], block: Broadcast = block
+            batches: Iterator[pa.RecordBatch], block: _Block = shipped
         ) -> Iterator[pa.RecordBatch]:
-            index = Index(*block.value, rules)
+            index = block.index()
             for batch in batches:
                 hits = [
                     (row, item, *hit)
@@ -333,14 +345,14 @@ def without_leaks(
     """
     sc = docs.sparkSession.sparkContext
     for block in _blocks(benchmark, item_col, item_text, rules):
-        docs = docs.where(_clean(sc.broadcast(block), rules)(F.col(text_col)))
+        docs = docs.where(_clean(_Block(sc.broadcast(block), rules))(F.col(text_col)))
     return docs
 
 
-def _clean(block: Broadcast, rules: Rules) -> Callable[[Column], Column]:
+def _clean(block: _Block) -> Callable[[Column], Column]:
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*block.value, rules)
+        index = block.index()
         for batch in batches:
             yield pd.Series([not index.leaks(text) for text in batch], dtype=bool)
 
