@@ -63,7 +63,7 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     model = L.train(docs)
     assert model.names == ["de", "en"]
-    got = L.identify(docs.withColumn("score", docs["source"]), model).collect()
+    got = L.identify(docs.withColumns({"score": docs["source"], "found": docs["doc_id"], "a.b": docs["doc_id"]}), model).collect()
     assert [r.lang_pred for r in got] == ["en", "de", "und", "und", "und", "en", "en", "de", "de"]
     assert all((r.score == 0) == (r.lang_pred == "und") for r in got)
     # No learned language.

@@ -102,7 +102,7 @@ def test_odd_rows(spark):
     long = "the " * 9000
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, "x"), (5, "the " * 1023), (6, "the " * 1024)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for name in ("sequence_id", "piece", "_rank", "_length"):
+    for name in ("sequence_id", "piece", "_rank", "_length", "_row"):
         docs = docs.withColumn(name, docs["text"])
     packed = K.pack(K.tokenize(docs).repartition(5))
     got = packed.collect()
@@ -119,6 +119,15 @@ def test_odd_rows(spark):
     assert K.pack(K.tokenize(docs.limit(0))).count() == 0
 
 
+def test_clashing_names(spark):
+    rows = [(f"p{i}", 1 + i % 5, i) for i in range(40)]
+    pieces = spark.createDataFrame(rows, "name string, length int, n int")
+    extra = {c: pieces["n"] for c in ("_row", "_length", "_task", "_at", "_rank", "_n", "offset", "a.b")}
+    got = K.pack(pieces.withColumns(extra), 7).collect()
+    assert {(r["name"], r["length"], r["_length"], r["_task"], r["a.b"]) for r in got} == {(a, b, c, c, c) for a, b, c in rows}
+    assert check_layout([(r.sequence_id, r["offset"], r["length"]) for r in got], 7) == best_fit([r[1] for r in rows], 7)
+
+
 def test_first_piece_takes_the_rest():
     assert K.cuts(1, 4) == [(0, 1)] and K.cuts(4, 4) == [(0, 4)]
     assert K.cuts(9, 4) == [(0, 1), (1, 4), (5, 4)] and K.cuts(8, 4) == [(0, 4), (4, 4)]

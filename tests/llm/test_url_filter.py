@@ -80,7 +80,7 @@ def test_edges_equal_brute_force_and_sql(spark, seed):
     edges = U.html_edges(pages)
     pairs = [tuple(r) for r in edges.collect()]
     rows = pages.collect()
-    got = U.judge(pages.withColumn("rule", pages["url"]), U.rules_table(spark, URL_RULES), edges).collect()
+    got = U.judge(pages.withColumns({c: pages["url"] for c in ("rule", "resource", "action", "a.b")}), U.rules_table(spark, URL_RULES), edges).collect()
     key = lambda t: tuple(map(str, t))
     want = by_hand([p.url for p in rows], pairs, URL_RULES)
     assert sorted(((r.url, r.host, r.path, r.rule, r.verdict) for r in got), key=key) == sorted(want, key=key)

@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.names import quoted
 from tradewind.llm.worker import travels_with_tasks
 
 travels_with_tasks(__name__)
@@ -246,4 +247,4 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFra
     their bytes cost.
     """
     kept = [c for c in pages.columns if c != into]
-    return pages.select(*(f"`{c}`" for c in kept), extracted(F.col(html)).alias(into))
+    return pages.select(*quoted(kept), extracted(F.col(html)).alias(into))

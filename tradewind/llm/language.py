@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.names import quoted, unused
 from tradewind.llm.worker import remembered, travels_with_tasks
 
 travels_with_tasks(__name__)
@@ -218,10 +219,10 @@ def predict(text: Column, model: Model) -> Column:
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with the columns ``lang_pred`` and ``score``, replacing columns of these names."""
+    found = unused(docs, "found")
     kept = docs.drop("lang_pred", "score")
-    found = predict(F.col(text), model)
-    return kept.withColumn("_found", found).select(
-        *(f"`{c}`" for c in kept.columns), "_found.lang_pred", "_found.score"
+    return docs.withColumn(found, predict(F.col(text), model)).select(
+        *quoted(kept.columns), f"{found}.lang_pred", f"{found}.score"
     )
 
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.llm.names import quoted
 from tradewind.llm.worker import remembered, travels_with_tasks
 from tradewind.session import materialize
 
@@ -200,12 +201,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     """
     spark = pieces.sparkSession
     kept = pieces.drop("sequence_id", "offset")
+    # The caller's columns ride in a struct, so their names clash with none of those below.
     stored = materialize(
-        kept.withColumns({"_task": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
+        pieces.select(
+            F.struct(*quoted(kept.columns)).alias("_row"),
+            F.col(length).cast("long").alias("_length"),
+            F.spark_partition_id().alias("_task"),
+            F.monotonically_increasing_id().alias("_at"),
+        ),
         "pieces",
     )
-    size = F.col(length).cast("long")
-    per_task = stored.groupBy(size.alias("_length"), "_task").agg(F.count("*").alias("_n"))
+    per_task = stored.groupBy("_length", "_task").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shift = per_task.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     histogram = per_task.groupBy("_length").agg(F.sum("_n").alias("n")).collect()
@@ -215,7 +221,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
         "_length long, _low long, _high long, _each long, _sequence long, _offset long",
     )
     order = Window.partitionBy("_length", "_task").orderBy("_at")
-    ranked = stored.withColumn("_length", size).withColumn("_rank", F.row_number().over(order) - 1)
+    ranked = stored.withColumn("_rank", F.row_number().over(order) - 1)
     shifted = ranked.join(shift.drop("_n"), ["_length", "_task"]).withColumn(
         "_rank", F.col("_rank") + F.col("_shift")
     )
@@ -223,7 +229,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     placed = shifted.join(F.broadcast(table), "_length").where("_rank >= _low AND _rank < _high")
     nth = F.col("_rank") - F.col("_low")
     return placed.select(
-        *(f"`{c}`" for c in kept.columns),
+        "_row.*",
         (F.col("_sequence") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + nth % F.col("_each") * F.col("_length")).cast("long").alias("offset"),
     )

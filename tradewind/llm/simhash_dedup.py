@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.components import connected_components
+from tradewind.llm.names import quoted
 from tradewind.llm.worker import travels_with_tasks
 from tradewind.session import materialize
 
@@ -321,8 +322,8 @@ def one_per_group(
     simple = (T.AtomicType, T.NullType)
     rest = [f.name for f in docs.schema if isinstance(f.dataType, simple) and f.name != text_col]
     kept = named.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    order = F.struct(F.col(text_col), *(F.col(f"`{c}`") for c in rest))
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    order = F.struct(F.col(text_col), *quoted(rest))
+    whole = F.struct(*quoted(docs.columns))
     chosen = (
         docs.join(kept, id_col, "left_semi")
         .groupBy(F.col(id_col).alias("_id"))

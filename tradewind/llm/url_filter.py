@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import connected_components
+from tradewind.llm.names import quoted, unused
 from tradewind.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
@@ -127,15 +128,16 @@ def judge(
     made = ("host", "path", "rule", "verdict")
     kept = [c for c in pages.columns if c not in made]
     host, path = host_and_path(F.col(url))
-    pages = pages.select(*(f"`{c}`" for c in kept), host.alias("host"), path.alias("path"))
-    pages = pages.withColumn("_resource", F.concat("host", "path"))
+    key = unused(pages, "resource")
+    pages = pages.select(*quoted(kept), host.alias("host"), path.alias("path"))
+    pages = pages.withColumn(key, F.concat("host", "path"))
     if edges is None:
         edges = pages.sparkSession.createDataFrame([], "source string, target string")
     links = edges.select(
         resource(F.col("source")).alias("a"), resource(F.col("target")).alias("b")
     ).where("a <> '' AND b <> ''")
     links = materialize(links.distinct(), "aliases")
-    own = pages.select(F.col("_resource").alias("resource"), "host", "path")
+    own = pages.select(F.col(key).alias("resource"), "host", "path")
     ends = links.select(F.explode(F.array("a", "b")).alias("resource"))
     ends = ends.select(
         "resource",
@@ -157,6 +159,6 @@ def judge(
         .otherwise(F.lit(ALLOW)),
     )
     decided = placed.join(inherited, "component").select(
-        F.col("resource").alias("_resource"), "rule", verdict.alias("verdict")
+        F.col("resource").alias(key), "rule", verdict.alias("verdict")
     )
-    return pages.join(decided, "_resource").drop("_resource")
+    return pages.join(decided, key).drop(key)
