@@ -125,26 +125,29 @@ def read_monthly(spark: SparkSession, path: str, layout: T.StructType) -> Monthl
 
 def lookback_start(
     target: DataFrame | MonthlyTable, column: str, days: int = LOOKBACK_DAYS
-) -> Column:
-    """Literal start of the window: newest value in the target minus the lookback.
+) -> str:
+    """Start of the window as text: newest value in the target minus the lookback.
 
-    One value is read, from the column alone, and of a table by month from its last month. As a
-    literal it can prune partitions and row groups of the source, which a join with the maximum
-    could not.
+    One value is read, from the column alone, and of a table by month from its last month.
     """
     rows = target.last() if isinstance(target, MonthlyTable) else target
     newest = rows.agg(F.max(F.col(column).cast("timestamp_ntz")).alias("newest")).first()["newest"]
-    start = EPOCH if newest is None else (newest - timedelta(days=days)).isoformat(sep=" ")
+    return EPOCH if newest is None else (newest - timedelta(days=days)).isoformat(sep=" ")
+
+
+def at_time(start: str) -> Column:
     return F.lit(start).cast("timestamp_ntz")
 
 
-def since(source: DataFrame, column: str, start: Column) -> DataFrame:
-    """Rows from a start on; a source by month is read from the start's month on."""
-    kept = source.where(F.col(column) >= start)
+def since(source: DataFrame, column: str, start: str) -> DataFrame:
+    """Rows from a start on; a source by month is read from the start's month on.
+
+    As a literal the start prunes partitions and row groups of the source, which a join with the
+    maximum could not.
+    """
+    kept = source.where(F.col(column) >= at_time(start))
     if PARTITION in source.columns:
-        # Literal text, so the scan lists no earlier month.
-        month = source.sparkSession.range(1).select(month_label(start)).first()[0]
-        kept = kept.where((F.col(PARTITION) >= month) & (F.col(PARTITION) != NO_MONTH))
+        kept = kept.where((F.col(PARTITION) >= start[:7]) & (F.col(PARTITION) != NO_MONTH))
     return kept
 
 
@@ -186,10 +189,9 @@ def upsert(
     fresh = materialize(_with_month(batch.select(*target.layout.fieldNames()), date_column), "batch")
     keys = fresh.select(*key).distinct()
 
-    def months(rows: DataFrame) -> set[str]:
-        return {r[0] for r in rows.select(PARTITION).distinct().collect()}
-
-    changed = months(target.rows().join(keys, list(key), "left_semi")) | months(fresh)
+    losing = target.rows().select(*key, PARTITION).join(keys, list(key), "left_semi")
+    months = losing.select(PARTITION).union(fresh.select(PARTITION)).distinct()
+    changed = {r[0] for r in months.collect()}
     folders = {m: f for m, f in target.folders.items() if m not in changed}
     if changed:
         kept = target.rows(sorted(changed)).join(keys, list(key), "left_anti")

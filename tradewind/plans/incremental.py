@@ -20,16 +20,19 @@ SALES_KEY = ("order_id", "order_item_id")
 BROADCAST_KEYS = 1_000_000
 
 
-def _only(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows that belong to the batch, a stored table that is counted first.
+def _only(df: DataFrame, wanted: DataFrame, key: str, few: bool) -> DataFrame:
+    """Rows that belong to the batch.
 
     Keys few enough to broadcast filter at the scan, below an aggregate of ``df``, so nothing older is
     shuffled. With more of them the join shuffles both sides, or reuses the aggregate's partitioning.
     """
-    keys = wanted.select(key).distinct()
-    if wanted.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
+    keys = wanted.select(key)
+    return df.join(F.broadcast(keys) if few else keys.distinct(), key, "left_semi")
+
+
+def _few(recent: DataFrame) -> bool:
+    """Whether a stored batch has few enough orders to send their keys to every task."""
+    return recent.count() <= BROADCAST_KEYS
 
 
 def recent_orders(
@@ -60,11 +63,12 @@ def fact_orders_of(
     reviews: DataFrame,
 ) -> DataFrame:
     """Order fact of some orders, a stored table."""
+    few = _few(recent)
     totals = (marts.order_items_agg(items), marts.payments_agg(payments), marts.reviews_agg(reviews))
     return marts.fact_orders_from_totals(
         recent,
-        _only(customers, recent, "customer_id"),
-        *(_only(df, recent, "order_id") for df in totals),
+        _only(customers, recent, "customer_id", few),
+        *(_only(df, recent, "order_id", few) for df in totals),
     )
 
 
@@ -76,8 +80,9 @@ def fact_sales_batch(
 ) -> DataFrame:
     """Item fact of the lookback window, which starts at the newest *day* in the target."""
     recent = recent_orders(orders, target, "order_date")
+    few = _few(recent)
     return marts.fact_sales(
-        _only(items, recent, "order_id"), recent, _only(customers, recent, "customer_id")
+        _only(items, recent, "order_id", few), recent, _only(customers, recent, "customer_id", few)
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.operators.dedup import dedup_keep_first
-from tradewind.operators.upsert import lookback_start, read_monthly, since, upsert
+from tradewind.operators.upsert import at_time, lookback_start, read_monthly, since, upsert
 from tradewind.plans import marts
 from tradewind.plans.incremental import ORDERS_KEY, PURCHASED, fact_orders_of
 from tradewind.plans.staging import stage
@@ -46,7 +46,7 @@ def follow_orders(
         if start is None:
             fresh = marts.fact_orders(orders, *tables)
         else:
-            late = orders.where(F.col(PURCHASED).isNull() | (F.col(PURCHASED) < start))
+            late = orders.where(F.col(PURCHASED).isNull() | (F.col(PURCHASED) < at_time(start)))
             late.write.mode("overwrite").parquet(f"{path}/{TOO_OLD}/batch={batch}")
             fresh = fact_orders_of(materialize(since(orders, PURCHASED, start), "recent"), *tables)
         upsert(target, path, fresh, ORDERS_KEY, "order_date")
