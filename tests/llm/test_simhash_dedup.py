@@ -102,3 +102,31 @@ def test_odd_rows(spark):
     assert {r.doc_id: r.fingerprint for r in got}[9] == 0
     empty = spark.createDataFrame([], SCHEMA)
     assert S.near_duplicates(empty).count() == 0
+
+
+def test_hot_groups(spark):
+    """A third of all rows are copies of one text, another third are near copies of each other."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(400)]
+    make = lambda n: " ".join(rng.choice(words, n))
+    copy, base = make(80), make(300).split()
+    rows = [(i, copy) for i in range(0, 600, 3)]
+    for i in range(1, 600, 3):
+        near = list(base)
+        near[int(rng.integers(0, 300))] = str(rng.choice(words))
+        rows.append((i, " ".join(near)))
+    rows += [(i, make(int(rng.integers(1, 120)))) for i in range(2, 600, 3)]
+    want = components([(i, by_hand(t)) for i, t in rows], 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    for task_size in (30, 100_000):
+        got = S.near_duplicates(docs, task_size=task_size).collect()
+        assert {r.doc_id: r.component_id for r in got} == want
+    kept = S.one_per_group(docs, S.near_duplicates(docs)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+def test_one_per_group_prefers_the_smallest_text_of_an_id(spark):
+    rows = [(1, "same text here", "b"), (1, "same text here", "a"), (2, "same text here", "c"), (None, "z", "d"), (None, "z", "d"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = S.one_per_group(docs, S.near_duplicates(docs)).collect()
+    assert sorted(map(str, (tuple(r) for r in kept))) == sorted(map(str, [(1, "same text here", "a"), (3, None, None), (None, "z", "d"), (None, "z", "d")]))
