@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import bag, orders, plan
@@ -138,8 +139,11 @@ def by_month(w, scratch):
     return write_monthly(w.stage("orders"), f"{scratch}/orders", "order_purchase_timestamp").rows()
 
 
-def test_cut_plus_refresh_equals_full_build(spark, folder, scratch):
-    """Building up to a day and refreshing gives the same fact as building everything at once."""
+@pytest.mark.parametrize("limit", [incremental.BROADCAST_BYTES, 0])
+def test_cut_plus_refresh_equals_full_build(spark, folder, scratch, limit, monkeypatch):
+    """Building up to a day and refreshing gives the same fact as building everything at once, with
+    batches that are sent to every task and larger ones."""
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
     w = open_warehouse(spark, folder)
     source, s = by_month(w, scratch), w.stage
     full = marts.fact_orders(s("orders"), *details(w))

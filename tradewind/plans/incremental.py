@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 from tradewind.operators.upsert import MonthlyTable, incremental_filter, upsert
 from tradewind.plans import marts
 from tradewind.schemas import MARTS
-from tradewind.session import materialize
+from tradewind.session import materialize, stored_bytes
 
 PURCHASED = "order_purchase_timestamp"
 ORDERS_KEY = ("order_id",)
 SALES_KEY = ("order_id", "order_item_id")
 
 
-# Keys of a batch that are sent to every task, at most; about 64 MB.
-BROADCAST_KEYS = 1_000_000
+# Stored size of a batch up to which its keys, a small part of it, are sent to every task.
+BROADCAST_BYTES = 64 << 20
 
 
 def _only(df: DataFrame, wanted: DataFrame, key: str, few: bool) -> DataFrame:
@@ -32,7 +32,7 @@ def _only(df: DataFrame, wanted: DataFrame, key: str, few: bool) -> DataFrame:
 
 def _few(recent: DataFrame) -> bool:
     """Whether a stored batch has few enough orders to send their keys to every task."""
-    return recent.count() <= BROADCAST_KEYS
+    return stored_bytes(recent) <= BROADCAST_BYTES
 
 
 def recent_orders(

@@ -104,6 +104,15 @@ def file_system(spark: SparkSession, path: str) -> tuple:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files of a stored table; no job runs for it."""
+    total = 0
+    for folder in {os.path.dirname(name) for name in df.inputFiles()}:
+        files, where = file_system(df.sparkSession, folder)
+        total += files.getContentSummary(where).getLength()
+    return total
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table that ``materialize`` wrote, once nothing reads it any more."""
     for folder in {os.path.dirname(name) for name in df.inputFiles()}:
