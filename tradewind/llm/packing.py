@@ -13,6 +13,7 @@ other. Token ids are made once, before the numbering, and stay out of its shuffl
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,28 +53,37 @@ class Encoder:
     def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        from tokenizers.decoders import ByteLevel
 
-        self.reference = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.reference.get_added_tokens_decoder().values()]
-        byte_of = _byte_alphabet(ByteLevel())
+        self.path, self._reference = path, None
+        with open(path, encoding="utf-8") as file:
+            layout = json.load(file)
+        self.added = [token["content"] for token in layout.get("added_tokens") or []]
+        byte_of = _byte_alphabet()
         ranks = {
             bytes(byte_of[c] for c in token): number
-            for token, number in self.reference.get_vocab(with_added_tokens=False).items()
+            for token, number in layout["model"]["vocab"].items()
             if token not in self.added
         }
         self.fast = tiktoken.Encoding(
             "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @property
+    def reference(self):
+        """The tokenizer of the library, loaded for the first text that needs it."""
+        if self._reference is None:
+            from tokenizers import Tokenizer
+
+            self._reference = Tokenizer.from_file(self.path)
+        return self._reference
+
     def __call__(self, text: str) -> list[int]:
         if any(token in text for token in self.added):
             return self.reference.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
 
-def _byte_alphabet(decoder) -> dict[str, int]:
+def _byte_alphabet() -> dict[str, int]:
     """Byte of each character that byte-level vocabularies write bytes with.
 
     Printable Latin-1 bytes stand for themselves, the others for the code points from 256 on in order.
