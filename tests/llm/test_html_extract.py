@@ -86,3 +86,22 @@ def test_odd_rows(spark):
     want = ["", "", "", LONG, LONG, LONG, LONG * 30_000]
     assert [r.text for r in got] == want
     assert X.extract(pages.limit(0)).count() == 0
+
+
+WRAPPERS = ("id=page class=site", "class=site-content", "class=no-sidebar", "class=layout-with-sidebar", "id=top", "class='page sidebar'",
+            "class=header", "class='ad promo'", "class=search-results")
+
+
+@pytest.mark.parametrize("attrs", WRAPPERS)
+def test_wrappers_keep_the_article(attrs):
+    article = f"<article><h1>T</h1><p>{LONG}</p><section id=discussion><p>{LONG}</p></section><div id=related-work>So.</div><p id=responses>End.</p></article>"
+    assert X.main_text(f"<body><div {attrs}>{MENU}{article}<div class=sidebar>{LONG}</div></div><footer>{LONG}") == f"T {LONG} {LONG} So. End."
+    if "ad" not in attrs.split("'")[-2:][0].split():
+        assert X.main_text(f"<body><div {attrs}>{MENU}<p>{LONG}</p><p>{LONG}</p></div><div class=sidebar>{LONG}</div>") == f"{LONG} {LONG}"
+
+
+def test_forms_and_held_parts():
+    assert X.main_text(f"<form id=aspnetForm>{MENU}<main><p>{LONG}</p><div class=widget>x</div></main></form>") == LONG
+    assert X.main_text(f"<form>{MENU}<p>{LONG}</p><p>{LONG}</p></form>") == f"{LONG} {LONG}"
+    assert X.main_text(f"<article><p>{LONG}</p></article><div class=modal><article><p>{LONG} {LONG}</p></article></div>") == LONG
+    assert X.main_text(f"<div><p>{LONG}</p></div><div class=comments><article><p>{LONG} {LONG}</p></article></div>") == LONG

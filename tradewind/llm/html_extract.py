@@ -6,8 +6,9 @@ is high where there is running text and low in menus and lists of links. Lines w
 reaches the threshold, the standard deviation over the page, cluster into content regions (Weninger, Hsu
 and Han, 2010).
 
-Elements that never are content (menus, forms, scripts, adverts, reader comments, told by tag, role, class
-or id) give no lines. If the page declares its article, a declared region is content as a whole once
+Elements that never are content (menus, scripts, adverts, reader comments, told by tag, role, or a whole
+word of class or id) give no lines. Words for parts of a layout decide nothing about an element around the
+declared article or most of the text. If the page declares its article, a declared region is content as a whole once
 the clustering finds running text in it, so its short paragraphs stay; otherwise the clustered
 lines are the content.
 """
@@ -15,6 +16,8 @@ lines are the content.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -42,7 +45,7 @@ BLOCKS = frozenset(
     "optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 NEVER = frozenset(
-    "aside audio button canvas dialog footer form head iframe input menu nav noscript object script "
+    "aside audio button canvas dialog footer head iframe input menu nav noscript object script "
     "search select style svg template textarea title video".split()
 )
 DECLARED = frozenset(("article", "main"))
@@ -58,16 +61,19 @@ ENDS_ITSELF = {
     "option": ("option",),
 }
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
-#: Words of classes and ids that mark what is no part of an article, and such as only do outside of one.
+#: Classes and ids, as whole words between blanks, of reader comments, of other parts that no article has, and
+#: of parts of a layout, which may also name what stands around the article.
+COMMENTS = frozenset("comment comments commentlist comment-list disqus disqus_thread replies reply".split())
 MARKED = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment "
-    "comments commentlist consent cookie cookies dialog discussion disqus disclaimer feedback form gdpr login "
-    "menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup "
-    "promo promotion recommendations related replies reply respond responses search share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising adbox breadcrumb breadcrumbs consent cookie cookies "
+    "cookie-banner cookie-consent cookie-notice gdpr newsletter pager pagination promo promotion share sharing "
+    "signup sponsor sponsored subscribe subscription".split()
 )
-MARKED_OUTSIDE = MARKED | {"header", "footer", "masthead", "top", "topbar", "bottom", "copyright", "legal", "site"}
-_WORDS = re.compile(r"[a-z]+")
+LAYOUT = frozenset(
+    "banner dialog login menu main-menu modal nav navbar navigation notification notifications overlay popup "
+    "sidebar toolbar widget widgets".split()
+)
+LAYOUT_OUTSIDE = LAYOUT | {"footer", "header", "masthead", "site-footer", "site-header", "topbar"}
 _CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -76,41 +82,88 @@ def declares(tag: str, attrs: list) -> bool:
     return tag in DECLARED or bool(attrs) and not DECLARING.isdisjoint(attrs)
 
 
+@dataclass
+class Open:
+    """An open element: what closing it ends."""
+
+    tag: str
+    refused: bool = False
+    declared: bool = False
+    linked: bool = False
+    held: bool = False
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, text in links, number of the declared region or -1)."""
+    """Collects (text, tags, text in links, number of the declared region or -1).
+
+    Parts that a class, an id or a form marks are read and held: only the whole page tells whether the mark
+    names a part beside the article or the element around it (``free``).
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # Tag, starts a skipped part, declared region.
+        self.open: list[Open] = []
         self.skipped = self.links = self.inside = 0
         self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
         self.region = -1
+        self.marks: list[tuple[bool, int]] = []  # By number: of a layout, region it lies in or -1.
+        self.holding: tuple[int, ...] = ()
+        self.held: list[tuple[int, ...]] = []  # Marks around each line.
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.lines.append((text, max(1, self.tags), self.linked, self.region if self.inside else -1))
+            self.held.append(self.holding)
             self.tags = 0
         self.parts, self.linked = [], 0
 
-    def refused(self, tag: str, attrs: list) -> bool:
+    def judged(self, tag: str, attrs: list) -> tuple[bool, bool | None]:
+        """Whether an element is refused, and if it is held, whether as a part of a layout."""
         if tag in NEVER:
-            return True
+            return True, None
         if tag in ("html", "body") or not self.inside and declares(tag, attrs):
-            return False
-        if tag == "header":
-            return not self.inside
-        if not attrs:
-            return False
+            return False, None
+        layout = tag == "form" or tag == "header" and not self.inside
         given = dict(attrs)
         if "hidden" in given or (given.get("aria-hidden") or "").lower() == "true":
-            return True
-        if (given.get("role") or "").lower() in ROLES or _HIDDEN.search(given.get("style") or ""):
-            return True
-        names = _WORDS.findall(f"{given.get('class') or ''} {given.get('id') or ''}".lower())
-        return not (MARKED if self.inside else MARKED_OUTSIDE).isdisjoint(names)
+            return True, None
+        role = (given.get("role") or "").lower()
+        if role in ROLES or _HIDDEN.search(given.get("style") or ""):
+            return True, None
+        names = f"{given.get('class') or ''} {given.get('id') or ''}".lower().split()
+        if not COMMENTS.isdisjoint(names):
+            return True, None
+        if not MARKED.isdisjoint(names):
+            return bool(self.inside), False
+        layout = layout or not (LAYOUT if self.inside else LAYOUT_OUTSIDE).isdisjoint(names)
+        return False, True if layout else None
+
+    def free(self) -> list[tuple[str, int, int, int]]:
+        """Lines without the held parts.
+
+        A held element around all declared regions is no part beside the article, nor is one of a layout
+        that has most of the text of its region, or of a page that declares none.
+        """
+        if not self.marks:
+            return self.lines
+        size: Counter = Counter()
+        around: Counter = Counter()
+        outer = []
+        for (text, _, linked, region), held in zip(self.lines, self.held, strict=True):
+            size[region] += max(0, len(text) - linked)
+            for mark in held:
+                around[mark] += max(0, len(text) - linked)
+            if region >= 0:
+                outer.append({m for m in held if self.marks[m][1] < 0})
+        lifted = set().union(*outer) if all(outer) else set()
+        declared = bool(outer)
+        for mark, (layout, region) in enumerate(self.marks):
+            if layout and (region >= 0 or not declared) and 2 * around[mark] > size[region]:
+                lifted.add(mark)
+        return [line for line, held in zip(self.lines, self.held, strict=True) if lifted.issuperset(held)]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -123,18 +176,32 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        refused = not self.skipped and self.refused(tag, attrs)
+        refused, layout = (False, None) if self.skipped else self.judged(tag, attrs)
         declared = not self.skipped and not refused and declares(tag, attrs)
+        held = not refused and layout is not None
+        if refused or held:
+            self.flush()
         if declared:
             if not self.inside:
                 self.region += 1
             self.inside += 1
-        if refused:
-            self.flush()
-            self.skipped += 1
+        if held:
+            self.holding += (len(self.marks),)
+            self.marks.append((layout, self.region if self.inside - declared else -1))
+        self.skipped += refused
+        linked = tag == "a" and any(name == "href" for name, _ in attrs)
         if tag == "a":
-            self.links += 1
-        self.open.append((tag, refused, declared))
+            self.end_link()
+        self.links += linked
+        self.open.append(Open(tag, refused, declared, linked, held))
+
+    def end_link(self) -> None:
+        """A link ends an open one."""
+        for element in reversed(self.open):
+            if element.linked:
+                element.linked = False
+                self.links -= 1
+                return
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -145,44 +212,50 @@ class Lines(HTMLParser):
 
     def close_paragraph(self) -> None:
         for at in range(len(self.open) - 1, -1, -1):
-            tag, refused, _ = self.open[at]
-            if tag == "p":
+            element = self.open[at]
+            if element.tag == "p":
                 self.leave(at)
                 return
-            if refused or tag in BLOCKS or tag == "button":
+            if element.refused or element.tag in BLOCKS or element.tag == "button":
                 return
 
     def close_open(self, kinds: tuple) -> None:
         for at in range(len(self.open) - 1, -1, -1):
-            tag, refused, _ = self.open[at]
-            if tag in kinds:
+            element = self.open[at]
+            if element.tag in kinds:
                 self.leave(at)
                 return
-            if refused or tag in ("ul", "ol", "dl", "table", "menu", "select"):
+            if element.refused or element.tag in ("ul", "ol", "dl", "table", "menu", "select"):
                 return
 
     def leave(self, at: int) -> None:
         """Close the open elements from this one on."""
         self.flush_unless_skipped()
-        for tag, refused, declared in self.open[at:]:
-            self.skipped -= refused
-            self.inside -= declared
-            self.links -= tag == "a"
+        held = 0
+        for element in self.open[at:]:
+            self.skipped -= element.refused
+            self.inside -= element.declared
+            self.links -= element.linked
+            held += element.held
+        self.holding = self.holding[: len(self.holding) - held]
         del self.open[at:]
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         inline = tag not in BLOCKS
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                if inline and not self.open[at][1]:
+            if self.open[at].tag == tag:
+                if inline and not self.open[at].refused:
                     # An inline end tag does not end blocks opened since.
-                    if all(t not in BLOCKS for t, *_ in self.open[at:]):
-                        self.links -= sum(t == "a" for t, *_ in self.open[at:])
-                        if any(r for _, r, _ in self.open[at:]):
+                    if all(e.tag not in BLOCKS for e in self.open[at:]):
+                        if any(e.refused or e.held or e.declared for e in self.open[at:]):
                             self.leave(at)
                         else:
+                            self.links -= sum(e.linked for e in self.open[at:])
                             del self.open[at:]
+                    elif self.open[at].linked:
+                        self.open[at].linked = False
+                        self.links -= 1
                     return
                 self.leave(at)
                 return
@@ -229,7 +302,7 @@ def main_text(html: str | None) -> str:
     parser.feed(_CUT_TAG.sub("", html))
     parser.close()
     parser.flush()
-    return " ".join(content(parser.lines))
+    return " ".join(content(parser.free()))
 
 
 def extracted(html: Column) -> Column:
