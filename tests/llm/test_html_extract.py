@@ -105,3 +105,19 @@ def test_forms_and_held_parts():
     assert X.main_text(f"<form>{MENU}<p>{LONG}</p><p>{LONG}</p></form>") == f"{LONG} {LONG}"
     assert X.main_text(f"<article><p>{LONG}</p></article><div class=modal><article><p>{LONG} {LONG}</p></article></div>") == LONG
     assert X.main_text(f"<div><p>{LONG}</p></div><div class=comments><article><p>{LONG} {LONG}</p></article></div>") == LONG
+
+
+def test_links_within_the_article():
+    share = "<p>Share: <a href=/f>Facebook</a> <a href=/t>Twitter</a> <a href=/m>Mail</a></p>"
+    one = "<p><a href=/r>See the whole report of the commission here</a></p>"
+    table = "<table><tr><th>n<td>1<tr><th>m<td>2</table>"
+    page = f"<article><h1>T</h1>{share}<p>{LONG}</p>{one}<p>{LONG}</p>{share}<p>So.</p>{MENU}<p>{LONG}</p>{table}{MENU}{share}</article>"
+    want = f"T {LONG} See the whole report of the commission here {LONG} So. {LONG} n 1 m 2"
+    assert X.main_text(page) == want
+    assert X.main_text(f"<main>{share}</main><div><p>{LONG}</p><p>{LONG}</p></div>{MENU}") == f"{LONG} {LONG}"
+    assert X.main_text(f"<article><a href=/x><p>{LONG}</p></a></article>") == LONG
+    assert X.main_text(f"<article><a name=x><p>{LONG}</p><p>So.</p></article>") == f"{LONG} So."
+
+
+def test_short_region_beside_a_dense_one():
+    assert X.main_text(f"<article><p>Brief.</p></article><article><p>{LONG * 20}</p><p>{LONG * 20}</p><p>{LONG * 20}</p></article>") == " ".join(["Brief."] + [LONG * 20] * 3)

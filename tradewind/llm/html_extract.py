@@ -8,9 +8,9 @@ and Han, 2010).
 
 Elements that never are content (menus, scripts, adverts, reader comments, told by tag, role, or a whole
 word of class or id) give no lines. Words for parts of a layout decide nothing about an element around the
-declared article or most of the text. If the page declares its article, a declared region is content as a whole once
-the clustering finds running text in it, so its short paragraphs stay; otherwise the clustered
-lines are the content.
+declared article or most of the text. If the page declares its article, the declaration stands in for the
+threshold on running text, so its short paragraphs, lists and tables stay, and ratios, smoothing and clusters
+judge its lines of links. Otherwise the clustered lines are the content.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ travels_with_tasks(__name__)
 RADIUS, SIGMA = 2, 1.0
 #: Share of a line's text in links from which on it is a list of links.
 LINKS = 0.5
+#: Least ratio, about a word a tag, of a line of links within an article.
+WORD_A_TAG = 5.0
 
 # Element names of HTML.
 VOID = frozenset(
@@ -277,18 +279,53 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def dense(ratios: np.ndarray) -> np.ndarray:
+    """Lines whose smoothed ratio reaches the threshold."""
+    ratios = smoothed(ratios)
+    return ratios >= min(ratios.std(), ratios.max())
+
+
+def of_region(lines: list[tuple[str, int, int, int]]) -> list[str]:
+    """Texts of the content of one declared region.
+
+    Running text outside of links is content by the declaration. Lines of links have to be dense, in a
+    cluster of running text on both sides, no longer than the smoothing sees, and not lists of
+    short links by their own ratio.
+    """
+    free = np.array([len(text) - linked for text, _, linked, _ in lines], float)
+    tags = np.array([tags for _, tags, _, _ in lines], float)
+    size = np.array([len(text) for text, *_ in lines], float)
+    running = free > (1 - LINKS) * size
+    if running.all() or not running.any():
+        return [line[0] for line, kept in zip(lines, running, strict=True) if kept]
+    likely = dense(free / tags) & (size / tags >= WORD_A_TAG)
+    places = np.flatnonzero(running)
+    kept = running.copy()
+    for before, after in zip(places[:-1], places[1:], strict=True):
+        if 1 < after - before <= RADIUS + 1:
+            kept[before + 1 : after] = likely[before + 1 : after]
+    return [line[0] for line, keep in zip(lines, kept, strict=True) if keep]
+
+
 def content(lines: list[tuple[str, int, int, int]]) -> list[str]:
-    """Texts of the lines that belong to the content, in page order."""
+    """Texts of the lines that belong to the content, in page order.
+
+    Each declared region is judged by its own lines, so a short one counts beside a long one. If no
+    region has running text, the clusters of the page count, and at last regions that are all links.
+    """
     if not lines:
         return []
-    ratios = smoothed(np.array([len(text) / tags for text, tags, _, _ in lines], float))
-    dense = ratios >= min(ratios.std(), ratios.max())
-    running = dense & np.array([linked < LINKS * len(text) for text, _, linked, _ in lines])
-    regions = np.array([region for *_, region in lines])
-    if (regions >= 0).any():
-        chosen = set(regions[running & (regions >= 0)]) or set(regions[regions >= 0])
-        return [line[0] for line in lines if line[3] in chosen]
-    return [line[0] for line, kept in zip(lines, running, strict=True) if kept]
+    regions: dict[int, list] = {}
+    for line in lines:
+        if line[3] >= 0:
+            regions.setdefault(line[3], []).append(line)
+    found = [text for region in regions.values() for text in of_region(region)]
+    if found:
+        return found
+    clustered = dense(np.array([len(text) / tags for text, tags, _, _ in lines], float))
+    running = clustered & np.array([linked < LINKS * len(text) for text, _, linked, _ in lines])
+    found = [line[0] for line, kept in zip(lines, running, strict=True) if kept]
+    return found or [line[0] for region in regions.values() for line in region]
 
 
 def main_text(html: str | None) -> str:
