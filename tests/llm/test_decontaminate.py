@@ -81,6 +81,16 @@ def test_places_and_long_passages():
     assert index.leaks(passage[:200]) == {}
 
 
+def test_excerpts_of_long_passages():
+    """Any verbatim excerpt of 512 + 127 - 51 characters is found, wherever it starts."""
+    rng = random.Random(5)
+    passage = fold("".join(rng.choices("abcdefgh ", k=3000)))
+    index = D.Index(["x"], [passage], D.Rules())
+    for size in (588, 900):
+        for at in (*range(0, len(passage) - size, 37), 60, len(passage) - size):
+            assert index.leaks(passage[at : at + size]).keys() == {"x"}, at
+
+
 def test_hashes_tell_qgrams_apart():
     rng = np.random.default_rng(0)
     codes = rng.integers(97, 100, 5000).astype(np.uint32)

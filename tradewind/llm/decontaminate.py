@@ -15,7 +15,9 @@ are reported in the original text, in code points.
 The benchmark is the stated query set. It is split by hash into blocks of bounded size, each shipped
 to the tasks as arrays; documents are scanned once per block and never shuffled, so a hot source or a
 passage that very many documents share changes nothing. Passages longer than ``segment`` characters
-are cut into segments, each of which counts as a passage, which bounds an alignment.
+are cut into overlapping segments, one each ``stride`` characters, each of which counts as a passage. That
+bounds an alignment, and any excerpt of segment + stride - 1 characters, less the budget, is found.
+A passage up to a segment long is found as a whole only.
 """
 
 from __future__ import annotations
@@ -55,6 +57,7 @@ class Rules:
     q: int = 8
     edit_rate: float = 0.1
     segment: int = 512
+    stride: int = 128
     block_chars: int = 1 << 21
 
     def edits(self, length: int) -> int:
@@ -119,7 +122,7 @@ class Index:
         self.items, self.codes, grams, owners, places = [], [], [], [], []
         for item, text in zip(items, texts, strict=True):
             codes = folded(text)[0]
-            starts = range(0, max(1, len(codes) - rules.segment + 1), rules.segment)
+            starts = range(0, max(1, len(codes) - rules.segment + 1), rules.stride)
             starts = {*starts, max(0, len(codes) - rules.segment)}
             for at in sorted(starts):
                 part = codes[at : at + rules.segment]
