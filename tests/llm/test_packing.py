@@ -98,6 +98,14 @@ def test_encoder_equals_the_library():
         assert encode(text) == encode.reference.encode(text, add_special_tokens=False).ids
 
 
+def test_very_long_white_space(spark):
+    encode = K.encoder(K.default_path())
+    for text in (" " * 2_000_000, "a" + "\n " * 1_000_000 + "word"):
+        assert encode(text) == encode.reference.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, " " * 2_000_000)], "doc_id long, text string")
+    assert K.tokenize(docs).agg({"length": "sum"}).first()[0] == len(encode(" " * 2_000_000)) + 1
+
+
 def test_odd_rows(spark):
     long = "the " * 9000
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, "x"), (5, "the " * 1023), (6, "the " * 1024)]

@@ -14,6 +14,7 @@ other. Token ids are made once, before the numbering, and stay out of its shuffl
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,9 @@ END_ID = 2
 CAPACITY = 1024
 #: Bytes of ids per batch that a task hands on.
 BATCH_BYTES = 16 << 20
+#: White space from which on a text goes to the library: the fast engine's stack ends at about a million.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 # --- token ids ------------------------------------------------------------------------------------
@@ -47,7 +51,8 @@ class Encoder:
     """Ids of a byte-level BPE file, as the ``tokenizers`` library gives them.
 
     The merges run in the faster ``tiktoken`` engine on the same vocabulary; a text that holds one of
-    the file's added tokens goes to ``tokenizers``, which treats those strings apart.
+    the file's added tokens goes to ``tokenizers``, which treats those strings apart, and so does one with a
+    very long run of white space.
     """
 
     def __init__(self, path: str) -> None:
@@ -78,7 +83,8 @@ class Encoder:
         return self._reference
 
     def __call__(self, text: str) -> list[int]:
-        if any(token in text for token in self.added):
+        spaced = len(text) >= LONG_SPACE and _LONG_SPACE.search(text)
+        if spaced or any(token in text for token in self.added):
             return self.reference.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
