@@ -123,3 +123,25 @@ def test_models_tell_random_from_ordinary(spark, model):
 def test_training_without_samples(spark):
     empty = spark.createDataFrame([], "token string, random boolean")
     assert set(S.train(empty).ratios) == {0.0}
+
+
+CLEAN = ["978-3-16-148410-0", "2024-05-17/2024-06-18", "0044-20-7946-0958", "state-of-the-art-technology", "mother-in-law/father-in-law",
+         "2023-11-30_2023-12-31", "1234567-890123-45678", "and/or/neither/nor/both", "=" * 40, "anti-inflammatory-treatment"]
+
+
+def test_clean_numbers_and_joined_words(spark, model):
+    rng = random.Random(3)
+    draw = lambda chars, n: "".join(rng.choices(chars, k=n))
+    names = [(draw("etaoinshrdlu", rng.randrange(6, 14)), False) for _ in range(20_000)]
+    keys = [(draw(string.ascii_letters + string.digits + "-/+", 32), True) for _ in range(1000)]
+    other = S.train(spark.createDataFrame(names + keys, "token string, random boolean"))
+    for m in (model, other):
+        assert [t for t in CLEAN if llr(t, m) >= m.threshold] == []
+    found = [llr(draw(string.ascii_letters + string.digits, 32), m) >= m.threshold for _ in range(200) for m in (model, other)]
+    assert sum(found) >= 380
+
+
+def test_rest_of_a_run_beside_a_base_span(spark, model):
+    text = "Xk2Qw8Zr5Tn1Vb7Lp3Jd9/deadbeefdeadbeef012345/Hs6Gy4Fc0MxR1z8Kq5W end"
+    row = S.scan(spark.createDataFrame([(text,)], "text string"), model).select(S.redacted(S.F.col("text"), S.F.col("spans")).alias("r")).first()
+    assert row.r == "[SECRET] end"

@@ -1,9 +1,11 @@
 """Secrets in texts: fixed patterns, and character Markov models for strings no pattern knows.
 
 Three patterns give base spans. Beyond them, every long run of key characters is scored by two
-first-order Markov models over folded characters, one of random strings, one of ordinary identifiers;
-a run whose log-likelihood ratio is high enough and that touches no base span becomes a span of its
-own. The models are counted from labelled samples: what the patterns caught, and words outside it.
+first-order Markov models over folded characters, one of random strings, one of ordinary words and numbers;
+a run outside the base spans whose log-likelihood ratio is high enough becomes a span of its own. The
+models are counted from labelled samples: what the patterns caught, and shorter runs of the same characters
+outside it. A share of the ordinary steps is given to shapes of numbers, dates and joined words, so that
+what few texts hold is no evidence of a secret.
 
 Everything is a row-local expression over the text: no shuffle, no Python worker. Java's regular
 expressions give matches but no places, so a place is the running length of the stretches between
@@ -32,11 +34,20 @@ BASE = (
     ("hex", "[0-9a-f]{16,}", 0, 16),
 )
 RANDOM = "random"
-#: Runs the models judge, and words they take as ordinary.
+#: Runs the models judge, and runs they take as ordinary.
 RUN = "[A-Za-z0-9+/_=-]{16,}"
-WORD = "[A-Za-z][A-Za-z0-9_]{5,}"
+WORD = "[A-Za-z0-9+/_=-]{6,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET) + 1
+#: Share of the ordinary steps that shapes take, and how likely a class follows another in them.
+SHAPES = 0.04
+FOLLOWS = {
+    "start": {"letter": 0.5, "digit": 0.5},
+    "letter": {"letter": 0.5, "join": 0.5},
+    "digit": {"digit": 0.7, "join": 0.3},
+    "join": {"letter": 0.5, "digit": 0.4, "join": 0.1},
+}
+CLASSES = {"letter": ALPHABET[:26], "digit": ALPHABET[26:36], "join": "/_=-+"}
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 
 
@@ -100,6 +111,15 @@ def _steps(token: Column) -> Column:
     )
 
 
+def _shaped(previous: int, following: int) -> float:
+    """Probability of a step within the shapes, by places in the alphabet."""
+    of = lambda place: next(k for k, chars in CLASSES.items() if ALPHABET[place - 1] in chars)
+    if not following:
+        return 0.0
+    after = of(following)
+    return FOLLOWS[of(previous) if previous else "start"].get(after, 0.0) / len(CLASSES[after])
+
+
 def train(samples: DataFrame, threshold: float = 12.0, smoothing: float = 0.5) -> Model:
     """Models from ``(token string, random boolean)``.
 
@@ -115,16 +135,22 @@ def train(samples: DataFrame, threshold: float = 12.0, smoothing: float = 0.5) -
 
     def log(kind: bool, previous: int, following: int) -> float:
         n = seen.get((kind, previous, following), 0) + smoothing
-        return math.log(n / (total[kind, previous] + smoothing * SIZE))
+        counted = n / (total[kind, previous] + smoothing * SIZE)
+        if kind or not any(total.values()):
+            return math.log(counted)
+        return math.log((1 - SHAPES) * counted + SHAPES * (_shaped(previous, following) + 1 / SIZE) / 2)
 
     places = range(SIZE)
-    return Model(tuple(log(True, p, c) - log(False, p, c) for p in places for c in places), threshold)
+    ratios = {(p, c): log(True, p, c) - log(False, p, c) for p in places for c in places}
+    # Rules and fillings repeat a character, so that is no evidence of a secret.
+    ratios |= {(p, p): min(0.0, ratios[p, p]) for p in places}
+    return Model(tuple(ratios[p, c] for p in places for c in places), threshold)
 
 
 def labelled_samples(
     docs: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = 20_000
 ) -> DataFrame:
-    """``(token, random)``: values the base patterns caught, and words of the rest of the texts.
+    """``(token, random)``: values the base patterns caught, and runs of the rest of the texts.
 
     Taken from about ``max_docs`` documents, chosen by a hash of key and text, so that fitting costs
     the same at every size; with fewer documents, from all.
@@ -157,10 +183,26 @@ def log_ratio(token: Column, model: Model) -> Column:
 
 
 def random_spans(text: Column, base: Column, model: Model) -> Column:
-    """Runs that look random and overlap no base span."""
-    runs = _matches(F.coalesce(text, F.lit("")), len(BASE), RANDOM, RUN, 0, 0)
-    apart = lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    return F.filter(runs, lambda r: apart(r) & (log_ratio(r["value"], model) >= model.threshold))
+    """Runs outside the base spans that look random; a base span ends a run."""
+    runs = _matches(blanked(F.coalesce(text, F.lit("")), base), len(BASE), RANDOM, RUN, 0, 0)
+    return F.filter(runs, lambda r: log_ratio(r["value"], model) >= model.threshold)
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans, so places stay."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        from_ = F.least(F.greatest(s["start"], state["at"]), s["end"])
+        between = F.substr(text, state["at"].cast("int") + 1, (from_ - state["at"]).cast("int"))
+        blanks = F.repeat(F.lit(" "), (s["end"] - from_).cast("int"))
+        out = F.concat(state["out"], between, blanks)
+        return F.when(
+            s["end"] > state["at"], F.struct(s["end"].alias("at"), out.alias("out"))
+        ).otherwise(state)
+
+    rest = lambda state: F.concat(state["out"], F.substr(text, state["at"].cast("int") + 1))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
