@@ -122,3 +122,11 @@ def test_clean_documents_stay(spark, folder):
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     leaks = decontaminate.leaks(docs, benchmark).select("doc_id").distinct().count()
     assert pipeline.decontamination(spark, docs, folder).count() == total - leaks
+
+
+def test_packed_sequences_can_be_built(spark, folder, odd):
+    got = pipeline.STAGES[-1][1](spark, odd, folder)
+    rows = got.collect()
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    whole = {r.sequence_id: bytes(r.ids) for r in packing.assemble(got).collect()}
+    assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids) for r in rows)

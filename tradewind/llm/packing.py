@@ -8,7 +8,8 @@ the slot of its rank within its length.
 
 Ranks come without gathering a length in one task: pieces are numbered within (length, writing task) and
 shifted by the counts of earlier tasks, so a length that holds a third of all pieces is spread like any
-other. Token ids are made once, before the numbering, and stay out of its shuffles.
+other. Only lengths and row numbers are numbered; the rows with their token ids, made and stored once
+before, meet their places in one join by row number.
 """
 
 from __future__ import annotations
@@ -218,7 +219,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     spark = pieces.sparkSession
     kept = pieces.drop("sequence_id", "offset")
     # The caller's columns ride in a struct, so their names clash with none of those below.
-    stored = materialize(
+    rows = materialize(
         pieces.select(
             F.struct(*quoted(kept.columns)).alias("_row"),
             F.col(length).cast("long").alias("_length"),
@@ -227,6 +228,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
         ),
         "pieces",
     )
+    stored = rows.drop("_row")
     per_task = stored.groupBy("_length", "_task").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shift = per_task.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
@@ -244,10 +246,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     # Bounded by the capacity, whatever the number of pieces.
     placed = shifted.join(F.broadcast(table), "_length").where("_rank >= _low AND _rank < _high")
     nth = F.col("_rank") - F.col("_low")
-    return placed.select(
-        "_row.*",
-        (F.col("_sequence") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
-        (F.col("_offset") + nth % F.col("_each") * F.col("_length")).cast("long").alias("offset"),
+    places = placed.select(
+        "_at",
+        (F.col("_sequence") + F.floor(nth / F.col("_each"))).cast("long").alias("_in"),
+        (F.col("_offset") + nth % F.col("_each") * F.col("_length")).cast("long").alias("_from"),
+    )
+    return rows.select("_at", "_row").join(places, "_at").select(
+        "_row.*", F.col("_in").alias("sequence_id"), F.col("_from").alias("offset")
     )
 
 
