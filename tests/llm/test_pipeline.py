@@ -130,3 +130,17 @@ def test_packed_sequences_can_be_built(spark, folder, odd):
     assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
     whole = {r.sequence_id: bytes(r.ids) for r in packing.assemble(got).collect()}
     assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["de", "en", "es", "fr"])
+def test_documents_in_unlearned_languages_go(spark, name):
+    """Without the labels of a language, long texts of it go, and unlabelled texts of the others stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) >= 400")
+    hide = (docs["lang"] == name) | (docs["doc_id"] % 10 == 0)
+    planted = docs.withColumns({"source": docs["lang"], "lang": packing.F.when(~hide, docs["lang"])})
+    kept = pipeline.language_id(spark, planted, "").select("doc_id").collect()
+    kept = {r.doc_id for r in kept}
+    rows = planted.select("doc_id", "lang", "source").collect()
+    foreign = [r.doc_id in kept for r in rows if r.source == name]
+    own = [r.doc_id in kept for r in rows if r.source != name and r.lang is None]
+    assert sum(foreign) <= 0.02 * len(foreign) and sum(own) >= 0.95 * len(own)
