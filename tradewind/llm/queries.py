@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from tradewind.llm import (
     fingerprints,
     html_extract,
     language,
+    merkle,
     packing,
     secret_scan,
     sharding,
@@ -144,6 +146,25 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests, proofs, and whether a row that may have been tampered with still gives the root."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(tampered, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    found = [text if c == "text" else F.col(c) for c in columns]
+    rows = merkle.manifest(_table(spark, folder, "documents"), columns, "lang", "doc_id", found)
+    rows = rows.withColumn("folded_root", merkle.folded(F.col("found_leaf"), F.col("path")))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
@@ -156,6 +177,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_sharding": op9_sharding,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 

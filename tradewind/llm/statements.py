@@ -172,4 +172,81 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (id)
 """
 
-STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER}
+#: The tree level by level, then every row folded upwards beside its run.
+MERKLE = """
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, source, lang, n_chars, text,
+    list_reduce(
+      list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+        lambda v, step: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))) AS crc
+  FROM documents
+),
+spelled AS (
+  SELECT id, doc_id, lang, xor(crc, 4294967295::UBIGINT) % 3 = 0 AS tampered, text,
+    coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-')
+      || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+    coalesce(octet_length(encode(text)) || ':', '-') AS size
+  FROM docs
+),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM (
+    SELECT id, doc_id, lang, sha256(head || size || coalesce(text, '')) AS leaf,
+      CASE WHEN tampered THEN sha256(head || size || coalesce(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''))
+      ELSE sha256(head || size || coalesce(text, '')) END AS found
+    FROM spelled)
+),
+nodes(level, lang, pos, n, h) AS (
+  SELECT 0, lang, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY level, lang, pos // 8, n
+),
+subroots AS MATERIALIZED (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+tops(level, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 8, n
+),
+runs AS MATERIALIZED (
+  SELECT level, lang, pos // 8 AS run, list(h ORDER BY pos) AS members FROM nodes WHERE n > 1 GROUP BY ALL
+),
+top_runs AS MATERIALIZED (
+  SELECT level, pos // 8 AS run, list(h ORDER BY pos) AS members FROM tops WHERE n > 1 GROUP BY ALL
+),
+climb(id, lang, level, pos, node, proof) AS (
+  SELECT id, lang, 0, pos, found, '' FROM leaves
+  UNION ALL
+  SELECT id, c.lang, c.level + 1, run,
+    sha256(array_to_string(list_concat(members[:pos % 8], [node], members[pos % 8 + 2:]), '')),
+    proof || array_to_string(list_concat(members[:pos % 8], members[pos % 8 + 2:]), '')
+  FROM climb c JOIN runs r ON r.level = c.level AND r.lang IS NOT DISTINCT FROM c.lang AND r.run = c.pos // 8
+),
+arrived AS (
+  SELECT id, s.pos, c.node, proof, s.h AS subroot FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang
+  QUALIFY level = max(level) OVER (PARTITION BY id)
+),
+finish(id, level, pos, node, proof, subroot) AS (
+  SELECT id, 0, pos, node, proof, subroot FROM arrived
+  UNION ALL
+  SELECT id, f.level + 1, run,
+    sha256(array_to_string(list_concat(members[:pos % 8], [node], members[pos % 8 + 2:]), '')),
+    proof || array_to_string(list_concat(members[:pos % 8], members[pos % 8 + 2:]), ''), subroot
+  FROM finish f JOIN top_runs r ON r.level = f.level AND r.run = f.pos // 8
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM (SELECT * FROM finish QUALIFY level = max(level) OVER (PARTITION BY id))
+JOIN leaves USING (id) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
+"""
+
+STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER, "op13_merkle_manifest": MERKLE}
