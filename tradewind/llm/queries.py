@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import (
     decontaminate,
     fingerprints,
+    hard_negatives,
     html_extract,
     language,
     merkle,
@@ -146,6 +147,13 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of the vectors whose id is divisible by 100, against all others."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Digests, proofs, and whether a row that may have been tampered with still gives the root."""
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -177,6 +185,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_sharding": op9_sharding,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 

@@ -249,4 +249,31 @@ FROM (SELECT * FROM finish QUALIFY level = max(level) OVER (PARTITION BY id))
 JOIN leaves USING (id) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
 """
 
-STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER, "op13_merkle_manifest": MERKLE}
+#: Every anchor with every row.
+HARD_NEGATIVES = """
+WITH rows_ AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS whole
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS MATERIALIZED (
+  SELECT a.id AS anchor, a.vec_id AS anchor_id, b.id, b.vec_id, a.label = b.label AS same,
+    list_inner_product(a.whole, b.whole)::BIGINT AS score
+  FROM rows_ a JOIN rows_ b ON a.id <> b.id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor, anchor_id, id AS positive, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id) <= 10
+"""
+
+STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER, "op12_hard_negatives": HARD_NEGATIVES, "op13_merkle_manifest": MERKLE}
