@@ -13,6 +13,7 @@ from tradewind.llm import (
     fingerprints,
     hard_negatives,
     html_extract,
+    jaccard_join,
     language,
     merkle,
     packing,
@@ -147,6 +148,11 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash_dedup.hex_digits(found["fingerprint"]))
 
 
+def op11_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of five-word shingles have a similarity of 0.8 or more."""
+    return jaccard_join.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Hard negatives of the vectors whose id is divisible by 100, against all others."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -185,6 +191,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_sharding": op9_sharding,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
+        "op11_ngram_jaccard": op11_ngram_jaccard,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_merkle_manifest": op13_merkle_manifest,
     }

@@ -249,6 +249,31 @@ FROM (SELECT * FROM finish QUALIFY level = max(level) OVER (PARTITION BY id))
 JOIN leaves USING (id) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
 """
 
+#: Overlaps of all pairs with a shingle in common, then reachability.
+NGRAM_JACCARD = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT id, doc_id, list_distinct(list_transform(
+    generate_series(1, greatest(len(w) - 4, least(len(w), 1))), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words
+),
+shingles AS MATERIALIZED (SELECT id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT a.id AS x, b.id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach(x, y) AS (
+  SELECT id, id FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT any_value(own.doc_id) AS doc_id, any_value(len(own.s))::BIGINT AS n_shingles, min(other.doc_id) AS component_id
+FROM reach JOIN sets own ON own.id = reach.x JOIN sets other ON other.id = reach.y GROUP BY reach.x
+"""
+
 #: Every anchor with every row.
 HARD_NEGATIVES = """
 WITH rows_ AS MATERIALIZED (
@@ -276,4 +301,10 @@ FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
 QUALIFY row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id) <= 10
 """
 
-STATEMENTS = {"op5_secret_scan": SECRETS, "op7_url_filter": URL_FILTER, "op12_hard_negatives": HARD_NEGATIVES, "op13_merkle_manifest": MERKLE}
+STATEMENTS = {
+    "op5_secret_scan": SECRETS,
+    "op7_url_filter": URL_FILTER,
+    "op11_ngram_jaccard": NGRAM_JACCARD,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_merkle_manifest": MERKLE,
+}
