@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tests.helpers import items, money, orders, raw_table, ts
+from tests.helpers import bag, items, money, orders, plan, raw_table, ts
 from tradewind.operators.quality import (
     DataValidationError,
     assert_valid,
@@ -13,10 +13,14 @@ from tradewind.operators.quality import (
     check_unique,
     quality_report,
     schema_contract,
+    union_all,
     validate_all,
 )
-from tradewind.plans.cleaning import fact_order_item_sales
+from tradewind.plans.cleaning import clean_and_count, fact_order_item_sales
 from tradewind.plans.marts import dim_sellers
+from tradewind.plans.warehouse import ITEM_SALES, Warehouse
+from tradewind.schemas import RULES
+from tradewind.sources import testdata
 
 
 def valid_bundle(spark) -> dict:
@@ -142,3 +146,57 @@ def test_contract_names_drift(spark):
 
 def test_timestamps_in_bundle_are_zone_less(spark):
     assert valid_bundle(spark)["orders"].first()["order_purchase_timestamp"] == ts("2017-01-01 10:00:00")
+
+
+def counted(spark, scratch, name, raw):
+    watched, measured = clean_and_count(name, raw)
+    watched.write.parquet(f"{scratch}/{name}")
+    stored = spark.read.parquet(f"{scratch}/{name}")
+    return stored, measured(stored)
+
+
+def test_counts_taken_while_writing_equal_counts_by_reading(spark, folder):
+    """On the given tables, cleaned and stored, and with rows that break the rules."""
+    w = Warehouse(spark, lambda name: testdata.broken(name, testdata.raw_table(spark, folder, name)))
+    cleaned, fact = w.cleaned_all(), w.mart(ITEM_SALES)
+    assert set(w.measured) == {*RULES, ITEM_SALES}
+    by_reading = validate_all(cleaned, fact)
+    by_counts = validate_all(cleaned, fact, w.measured)
+    assert bag(by_counts) == bag(by_reading)
+    assert by_counts.where("violations > 0 and check_name <> 'fk'").count() > 10
+    assert by_counts.where("check_name = 'unique' and violations > 0").isEmpty()
+
+
+def test_key_made_unique_is_not_shuffled_again(spark, folder):
+    w = Warehouse(spark, lambda name: testdata.raw_table(spark, folder, name))
+    cleaned, fact = w.cleaned_all(), w.mart(ITEM_SALES)
+    shuffles = lambda checks: plan(checks).count("Exchange hashpartitioning")
+    by_reading, by_counts = validate_all(cleaned, fact), validate_all(cleaned, fact, w.measured)
+    assert shuffles(by_reading) - shuffles(by_counts) == len(RULES)
+
+
+def test_keys_that_cleaning_spells_alike_are_grouped_again(spark, scratch):
+    """Distinct as text, equal as numbers: the key of the written table is not the one made unique."""
+    layout = "order_id string, payment_sequential string, payment_type string, payment_installments int, payment_value string"
+    rows = [("o", "1", "a", 1, "5.00"), ("o", "01", "b", 1, "-6.00"), ("o", "2", "c", 1, "x"), ("p", "2", "d", 1, "7")]
+    stored, found = counted(spark, scratch, "order_payments", spark.createDataFrame(rows, layout))
+    assert found.rekeyed == 1 and found.violations[("non_negative", "payment_value")] == 1
+    bundle = {**valid_bundle(spark), "order_payments": stored}
+    fact = fact_order_item_sales(*(bundle[t] for t in ("order_items", "orders", "products", "category_translation")))
+    checks = validate_all(bundle, fact, {"order_payments": found})
+    unique = checks.where("check_name = 'unique' and table_name = 'order_payments'").first()
+    assert unique.violations == 1 and "duplicate rows on key [order_id, payment_sequential]" in unique.message
+
+
+def test_counts_that_do_not_fit_the_stored_table_are_not_used(spark, scratch):
+    """As after a stage that ran twice."""
+    watched, measured = clean_and_count("sellers", raw_table(spark, "sellers", [{"seller_id": "s1"}, {"seller_id": None}]))
+    watched.write.parquet(f"{scratch}/sellers")
+    stored = spark.read.parquet(f"{scratch}/sellers")
+    assert measured(stored).violations == {("not_null", "seller_id"): 1}
+    assert measured(stored.union(stored)) is None
+
+
+def test_union_of_many_frames_keeps_their_order_of_columns(spark):
+    frames = [spark.range(i, i + 1).selectExpr("id", "id * 2 AS twice") for i in range(7)]
+    assert sorted(map(tuple, union_all(frames).collect())) == [(i, 2 * i) for i in range(7)]

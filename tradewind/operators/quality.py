@@ -3,21 +3,28 @@
 Every check yields rows of (check_order, check_name, table_name, column_names, violations, message).
 All not-null, sign and range checks of a table share one scan. Uniqueness and references aggregate
 by key before anything moves, so neither frequent keys nor long tables gather rows in one place.
+
+A table that is being written can be counted in passing (``watch``): its rows then need no scan, and a key
+that the plan has just made unique no shuffle, to be checked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import count_where, missing
 from tradewind.schemas import FOREIGN_KEYS, ITEM_SALES_REQUIRED, MARTS, RULES
 
 
+FACT = "fact_order_item_sales"
+
+
 class DataValidationError(Exception):
     """Cleaned data break a declared rule."""
 
@@ -65,6 +72,52 @@ def _fact_timestamp(table: str) -> _Count:
     )
 
 
+def _rules(table: str) -> list[_Count]:
+    """Everything that is checked of a table's rows one by one."""
+    if table == FACT:
+        return [*_not_null(FACT, ITEM_SALES_REQUIRED), _fact_timestamp(FACT)]
+    rules = RULES[table]
+    return [
+        *_not_null(table, rules.required),
+        *_non_negative(table, rules.non_negative),
+        *(_in_range(table, *r) for r in rules.ranges),
+    ]
+
+
+@dataclass(frozen=True)
+class Measured:
+    """Counted while a table was written: violations by check and column, and rows whose key is not the
+    one by which the table was made unique."""
+
+    violations: Mapping[tuple[str, str], int]
+    rekeyed: int
+
+
+def watch(
+    df: DataFrame, table: str, rekeyed: Column
+) -> tuple[DataFrame, Callable[[DataFrame], Measured | None]]:
+    """``df`` with counters that run when it is written, and their values once it is stored.
+
+    ``rekeyed`` marks rows whose key may equal another's. A stage that lost executors run again can count rows
+    twice; the number of rows counted then differs from the stored table's, which its files tell, and
+    there is no result, so the table is checked by reading it.
+    """
+    observation, rules = Observation(f"{table}-{uuid.uuid4().hex}"), _rules(table)
+    counters = (count_where(r.condition).alias(f"n{i}") for i, r in enumerate(rules))
+    watched = df.observe(
+        observation, F.count(F.lit(1)).alias("rows"), count_where(rekeyed).alias("rekeyed"), *counters
+    )
+
+    def measured(stored: DataFrame) -> Measured | None:
+        found = observation.get
+        if found["rows"] != stored.count():
+            return None
+        violations = {(r.check, r.columns): found[f"n{i}"] for i, r in enumerate(rules)}
+        return Measured(violations, found["rekeyed"])
+
+    return watched, measured
+
+
 def _result(
     order: Column,
     check: Column,
@@ -85,6 +138,20 @@ def _result(
     ]
 
 
+def _known(
+    spark: SparkSession, counts: Sequence[tuple[int, str, str, str, int, str]]
+) -> DataFrame:
+    """Counts that are known already: position, check, table, columns, violations, text."""
+    names = ("o", "k", "b", "c", "v", "t")
+    rows = F.array(
+        *(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, count))) for count in counts)
+    )
+    r = F.col("r")
+    return spark.range(1).select(F.explode(rows).alias("r")).select(
+        *_result(r["o"], r["k"], r["b"], r["c"], r["v"], r["t"])
+    )
+
+
 def _scan(df: DataFrame, table: str, counts: Sequence[tuple[int, _Count]]) -> DataFrame:
     """All counters of one table in one pass, unpivoted to one row per counter."""
     totals = df.agg(*(count_where(c.condition).alias(f"n{i}") for i, (_, c) in enumerate(counts)))
@@ -124,10 +191,15 @@ def check_fact_timestamp(fact: DataFrame, table: str, at: int = 0) -> DataFrame:
     return _scan(fact, table, [(at, _fact_timestamp(table))])
 
 
+def _unique_text(table: str, key: Sequence[str]) -> tuple[str, str]:
+    names = ", ".join(key)
+    return names, f"{table} has %s duplicate rows on key [{names}]"
+
+
 def check_unique(df: DataFrame, table: str, key: Sequence[str], at: int = 0) -> DataFrame:
     """Rows beyond the first of their key; null keys equal each other."""
     repeats = F.coalesce(F.sum(F.col("rows") - 1), F.lit(0))
-    names = ", ".join(key)
+    names, text = _unique_text(table, key)
     return (
         df.groupBy(*key)
         .agg(F.count("*").alias("rows"))
@@ -139,7 +211,7 @@ def check_unique(df: DataFrame, table: str, key: Sequence[str], at: int = 0) ->
                 table,
                 F.lit(names),
                 F.col("v"),
-                F.lit(f"{table} has %s duplicate rows on key [{names}]"),
+                F.lit(text),
             )
         )
     )
@@ -211,28 +283,49 @@ def check_fks(
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """Rows of frames with the same columns in the same order."""
-    return reduce(DataFrame.union, frames)
-
+    """Rows of frames with the same columns in the same order, joined in pairs: every union looks through
+    the plan below it, so a chain of them would take time with the square of their number."""
+    while len(frames) > 1:
+        pairs = (frames[i : i + 2] for i in range(0, len(frames), 2))
+        frames = [reduce(DataFrame.union, pair) for pair in pairs]
+    return frames[0]
+
+
+def validate_all(
+    cleaned: Mapping[str, DataFrame],
+    fact: DataFrame,
+    measured: Mapping[str, Measured] | None = None,
+) -> DataFrame:
+    """Every rule of every table, numbered in the order in which a failure is reported.
 
-def validate_all(cleaned: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:
-    """Every rule of every table, numbered in the order in which a failure is reported."""
-    fact_table = "fact_order_item_sales"
+    Tables in ``measured`` were counted while they were written. They are read for references only, and if
+    no row has changed its key since it was made unique, that key is not grouped again.
+    """
+    measured = measured or {}
     # Reporting order: not null, unique, references, signs and ranges, then the fact.
     position = 0
     scans: dict[str, list[tuple[int, _Count]]] = {}
     parts: list[DataFrame] = []
+    known: list[tuple[int, str, str, str, int, str]] = []
 
     def add(table: str, counts: Sequence[_Count]) -> None:
         nonlocal position
         for count in counts:
-            scans.setdefault(table, []).append((position, count))
+            if table in measured:
+                violations = measured[table].violations[count.check, count.columns]
+                known.append((position, count.check, table, count.columns, violations, count.text))
+            else:
+                scans.setdefault(table, []).append((position, count))
             position += 1
 
     for table, rules in RULES.items():
         add(table, _not_null(table, rules.required))
     for table, rules in RULES.items():
-        parts.append(check_unique(cleaned[table], table, rules.key, position))
+        if table in measured and not measured[table].rekeyed:
+            names, text = _unique_text(table, rules.key)
+            known.append((position, "unique", table, names, 0, text))
+        else:
+            parts.append(check_unique(cleaned[table], table, rules.key, position))
         position += 1
     parents: dict[tuple[str, str], list[tuple[int, DataFrame, str, str]]] = {}
     for child, column, parent, parent_column in FOREIGN_KEYS:
@@ -245,10 +338,12 @@ def validate_all(cleaned: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame
         add(table, _non_negative(table, rules.non_negative))
     for table, rules in RULES.items():
         add(table, [_in_range(table, *r) for r in rules.ranges])
-    add(fact_table, _not_null(fact_table, ITEM_SALES_REQUIRED))
-    add(fact_table, [_fact_timestamp(fact_table)])
+    add(FACT, _not_null(FACT, ITEM_SALES_REQUIRED))
+    add(FACT, [_fact_timestamp(FACT)])
     for table, counts in scans.items():
-        parts.append(_scan(fact if table == fact_table else cleaned[table], table, counts))
+        parts.append(_scan(fact if table == FACT else cleaned[table], table, counts))
+    if known:
+        parts.append(_known(fact.sparkSession, known))
     return union_all(parts)
 
 

@@ -31,7 +31,7 @@ REPORT_MARTS = ("fact_orders", "fact_sales", "dim_products")
 def _checked(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str
 ) -> Iterator[Warehouse]:
-    """Cleaned tables, stored once and checked as stored.
+    """Cleaned tables, stored once, counted while they are written, and checked by these counts.
 
     Broken data raise here, before any mart is built or touched. The quality report is written while
     the marts are built.
@@ -39,7 +39,7 @@ def _checked(
     warehouse = from_bundle(spark, raw, folder, monthly=True)
     cleaned = warehouse.cleaned_all()
     fact = warehouse.mart(ITEM_SALES)
-    assert_valid(validate_all(cleaned, fact))
+    assert_valid(validate_all(cleaned, fact, warehouse.measured))
 
     def report() -> None:
         measures = quality_report(warehouse.raw_all(), {**cleaned, ITEM_SALES: fact})

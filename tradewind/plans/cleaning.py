@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import cut_to_second, parse_money, parse_timestamp
 from tradewind.operators.dedup import dedup_keep_first
+from tradewind.operators.quality import Measured, watch
 from tradewind.schemas import ITEM_SALES, RAW, RULES
 
+_REKEYED = "_rekeyed"
+
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text that is no number becomes null; columns the table lacks are skipped."""
@@ -29,19 +34,38 @@ def coerce_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def clean_table(name: str, raw: DataFrame) -> DataFrame:
+def _coerced(name: str, raw: DataFrame) -> DataFrame:
+    """A clean table, and whether a row's key is spelled otherwise than where it was made unique."""
     rules = RULES[name]
     unique = dedup_keep_first(raw, rules.key)
     coerced = coerce_timestamp(coerce_numeric(unique, rules.money), rules.timestamps)
     # Columns without a rule of their own take the declared type.
-    return coerced.select(
-        *(
-            F.col(f.name)
-            if f.name in rules.money + rules.timestamps
-            else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in RAW[name]
-        )
-    )
+    columns = {
+        f.name: F.col(f.name)
+        if f.name in rules.money + rules.timestamps
+        else F.col(f.name).try_cast(f.dataType)
+        for f in RAW[name]
+    }
+    types = dict(coerced.dtypes)
+    respelled = [
+        ~F.col(k).cast("string").eqNullSafe(columns[k].cast("string"))
+        for k in rules.key
+        if types[k] != RAW[name][k].dataType.simpleString()
+    ]
+    rekeyed = reduce(or_, respelled, F.lit(False)).alias(_REKEYED)
+    return coerced.select(*(column.alias(c) for c, column in columns.items()), rekeyed)
+
+
+def clean_table(name: str, raw: DataFrame) -> DataFrame:
+    return _coerced(name, raw).drop(_REKEYED)
+
+
+def clean_and_count(
+    name: str, raw: DataFrame
+) -> tuple[DataFrame, Callable[[DataFrame], Measured | None]]:
+    """``clean_table`` with the counts of its checks, which are taken while it is written."""
+    watched, measured = watch(_coerced(name, raw), name, F.col(_REKEYED))
+    return watched.drop(_REKEYED), measured
 
 
 def fact_order_item_sales(

@@ -12,14 +12,19 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.operators.upsert import MonthlyTable, read_monthly, write_monthly
 from tradewind.plans import marts
-from tradewind.plans.cleaning import clean_table, fact_order_item_sales
+from tradewind.operators.quality import Measured, watch
+from tradewind.plans.cleaning import clean_and_count, clean_table, fact_order_item_sales
 from tradewind.plans.staging import stage
 from tradewind.schemas import MARTS, RAW
 from tradewind.session import fresh_path
 
+#: A plan with counters, and their values once it is stored.
+Watched = tuple[DataFrame, Callable[[DataFrame], Measured | None]]
+
 ITEM_SALES = "fact_order_item_sales"
 # Independent tables built at the same time, so small ones fill the gaps of large ones.
 THREADS = 4
@@ -42,6 +47,8 @@ class Warehouse:
         self._by_month: dict[str, MonthlyTable] = {}
         self.read_raw = read_raw
         self.folder = folder or fresh_path(spark, "warehouse")
+        #: Counts of the checks, taken while the tables were written.
+        self.measured: dict[str, Measured] = {}
         self._raw: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._locks: dict[str, Lock] = {}
@@ -125,12 +132,21 @@ class Warehouse:
             return self._stored[label]
 
     def _store(self, label: str, plan: Callable[[], DataFrame]) -> DataFrame:
-        def store(path: str) -> DataFrame:
-            df = plan()
-            df.write.mode("overwrite").parquet(path)
-            return self.spark.read.schema(df.schema).parquet(path)
-
-        return self._once(label, store)
+        return self._once(label, lambda path: self._written(plan(), path))
+
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _counted(
+        self, name: str, plan: Watched, write: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """The stored table, whose counts are kept."""
+        watched, measured = plan
+        stored = write(watched)
+        if found := measured(stored):
+            self.measured[name] = found
+        return stored
 
     def _together(self, store: Callable[[str], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
         with ThreadPoolExecutor(THREADS) as pool:
@@ -139,18 +155,25 @@ class Warehouse:
     def cleaned(self, name: str) -> DataFrame:
         if self.monthly and name == "orders":
             return self.cleaned_orders().table()
-        return self._store(f"clean/{name}", lambda: self.clean(name))
+
+        def store(path: str) -> DataFrame:
+            plan = clean_and_count(name, self.raw(name))
+            return self._counted(name, plan, lambda rows: self._written(rows, path))
+
+        return self._once(f"clean/{name}", store)
 
     def cleaned_orders(self) -> MonthlyTable:
         """Orders by month of purchase, so that a refresh reads the last months only."""
         label = "clean/orders"
 
-        def store(path: str) -> DataFrame:
-            self._by_month[label] = write_monthly(
-                self.clean("orders"), path, "order_purchase_timestamp"
-            )
+        def write(path: str, rows: DataFrame) -> DataFrame:
+            self._by_month[label] = write_monthly(rows, path, "order_purchase_timestamp")
             return self._by_month[label].table()
 
+        def store(path: str) -> DataFrame:
+            plan = clean_and_count("orders", self.raw("orders"))
+            return self._counted("orders", plan, lambda rows: write(path, rows))
+
         self._once(label, store)
         return self._by_month[label]
 
@@ -164,8 +187,14 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         if self.monthly and name in FACT_DATE:
             return self._monthly_fact(name)
+        if name == ITEM_SALES:
+            return self._once(f"marts/{name}", self._item_sales)
         return self._store(f"marts/{name}", lambda: self.build(name))
 
+    def _item_sales(self, path: str) -> DataFrame:
+        plan = watch(self.item_sales(), ITEM_SALES, F.lit(False))
+        return self._counted(ITEM_SALES, plan, lambda rows: self._written(rows, path))
+
     def _monthly_fact(self, name: str) -> DataFrame:
         def store(path: str) -> DataFrame:
             return write_monthly(self.build(name), path, FACT_DATE[name]).table()

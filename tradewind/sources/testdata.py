@@ -344,15 +344,15 @@ def _signed(column: str, wrong: Column) -> Column:
 
 def broken(name: str, cleaned: DataFrame) -> DataFrame:
     """A cleaned table, or the item fact, in which some rows break each of its rules."""
-    made: dict[str, dict[str, Column]] = {
-        "customers": {"customer_id": _without("customer_id", _every(139, "customer_id"))},
-        "orders": {
+    made: dict[str, Callable[[], dict[str, Column]]] = {
+        "customers": lambda: {"customer_id": _without("customer_id", _every(139, "customer_id"))},
+        "orders": lambda: {
             "order_id": _without("order_id", _every(149)),
             "customer_id": F.when(_every(101), None)
             .when(_every(103), F.concat(F.lit("nobody "), F.col("customer_id")))
             .otherwise(F.col("customer_id")),
         },
-        "order_items": {
+        "order_items": lambda: {
             "order_item_id": _without("order_item_id", _every(137)),
             "order_id": _lost_order(),
             "product_id": F.when(_every(109), None).when(_every(127), "none").otherwise(F.col("product_id")),
@@ -360,25 +360,25 @@ def broken(name: str, cleaned: DataFrame) -> DataFrame:
             "price": _signed("price", _every(107)),
             "freight_value": _signed("freight_value", _every(109)),
         },
-        "order_payments": {
+        "order_payments": lambda: {
             "order_id": _lost_order(),
             "payment_sequential": _without("payment_sequential", _every(137)),
             "payment_value": _signed("payment_value", _every(107)),
         },
-        "order_reviews": {
+        "order_reviews": lambda: {
             "review_id": _without("review_id", _every(137)),
             "order_id": _lost_order(),
             "review_score": F.when(_every(107), 0.0).when(_every(109), 5.9).when(_every(127), None)
             .otherwise(F.col("review_score")),
         },
-        "products": {"product_id": _without("product_id", _every(17, "product_id"))},
-        "sellers": {"seller_id": _without("seller_id", _every(3, "seller_id"))},
-        "category_translation": {
+        "products": lambda: {"product_id": _without("product_id", _every(17, "product_id"))},
+        "sellers": lambda: {"seller_id": _without("seller_id", _every(3, "seller_id"))},
+        "category_translation": lambda: {
             "product_category_name": _without(
                 "product_category_name", F.col("product_category_name").startswith("S")
             )
         },
-        ITEM_FACT: {
+        ITEM_FACT: lambda: {
             column: _without(column, _every(n))
             for column, n in (
                 ("order_id", 131), ("order_item_id", 137), ("product_id", 109), ("seller_id", 127),
@@ -387,7 +387,7 @@ def broken(name: str, cleaned: DataFrame) -> DataFrame:
             )
         },
     }
-    return cleaned.withColumns(made[name])
+    return cleaned.withColumns(made[name]())
 
 
 def as_file_text(name: str, raw: DataFrame) -> DataFrame:
