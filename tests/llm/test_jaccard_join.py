@@ -74,7 +74,7 @@ def test_equals_all_pairs(spark, near_copies):
 
 def test_many_small_blocks_and_cells(spark, near_copies, monkeypatch):
     """Limits so small that messages, column blocks, large groups, bands and block pairs all occur."""
-    for name, value in (("SENT", 700), ("BLOCK", 300), ("CELL_ROWS", 8), ("CELL_SHINGLES", 2000), ("DENSE", 2), ("CHUNK", 64), ("WORDS", 10)):
+    for name, value in (("SENT", 700), ("BLOCK", 300), ("CELL_ROWS", 8), ("CELL_SHINGLES", 2000), ("DENSE", 2), ("CHUNK", 64), ("DOCS", 5), ("TEXT", 40)):
         monkeypatch.setattr(J, name, value)
     monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
     check(spark, near_copies)

@@ -38,16 +38,16 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.components import connected_components
 from tradewind.llm.simhash_dedup import Forest
-from tradewind.llm.worker import remembered, travels_with_tasks
+from tradewind.llm.worker import travels_with_tasks
 from tradewind.session import materialize
 
 travels_with_tasks(__name__)
 
 SEED = 61011
-#: Words whose hashes a Python worker remembers.
-WORDS = 1 << 18
+#: Documents and bytes of a text that are hashed at a time.
+DOCS, TEXT = 512, 1 << 20
 #: Shingles that a task gathers before it sends them, and shingles of a block of columns.
-SENT, BLOCK = 1 << 21, 1 << 20
+SENT, BLOCK = 1 << 20, 1 << 20
 #: Rows and shingles of a cell.
 CELL_ROWS, CELL_SHINGLES = 512, 1 << 20
 #: Columns with more rows than this are multiplied as dense matrices of at most so many numbers.
@@ -59,21 +59,40 @@ BAND = 1.3
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
+_BYTES = np.random.Generator(np.random.PCG64(SEED)).integers(0, 1 << 64, 256, dtype=np.uint64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _NOBODY = -1
 
 
 # --- shingles -------------------------------------------------------------------------------------
 
 
+def _letters_hashed(letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash per word: its bytes stand for random numbers and are weighed by their place."""
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(first, lengths)
+    power = np.full(int(lengths.max()), _MULTIPLIER)
+    power[0] = 1
+    found = np.add.reduceat(_BYTES[letters] * np.multiply.accumulate(power)[place], first)
+    found = (found ^ found >> np.uint64(32)) * _MULTIPLIER
+    return found ^ found >> _SHIFT
+
+
 def _words(text: str) -> np.ndarray:
     """Hashes of the words, in order; only A-Z are lower-cased, only ASCII white space separates."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    known = remembered(("word hashes", SEED), dict)
-    if len(known) > WORDS:
-        known.clear()
-    for word in set(words).difference(known):
-        known[word] = xxhash.xxh64_intdigest(word, SEED)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+    inside = np.concatenate(([False], ~_SPACE[data], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    out = np.empty(len(starts), np.uint64)
+    # Whole words of about TEXT bytes at a time, which bounds memory.
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + TEXT, "right")))
+        part = data[starts[at] : ends[to - 1]]
+        out[at:to] = _letters_hashed(part[~_SPACE[part]], ends[at:to] - starts[at:to])
+        at = to
+    return out
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -87,7 +106,9 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         found = (found + words[at : at + len(found)]) * _MULTIPLIER
         found ^= found >> _SHIFT
     found *= _MULTIPLIER
-    return np.unique(found ^ found >> np.uint64(32))
+    found ^= found >> np.uint64(32)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
 def _key(found: np.ndarray) -> int:
@@ -96,8 +117,10 @@ def _key(found: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[pd.DataFrame, list]]:
     for batch in batches:
-        # None and NaN stand for null.
-        yield batch, [shingles(t if isinstance(t, str) else None, size) for t in batch["text"]]
+        for at in range(0, len(batch), DOCS):
+            part = batch.iloc[at : at + DOCS]
+            # None and NaN stand for null.
+            yield part, [shingles(t if isinstance(t, str) else None, size) for t in part["text"]]
 
 
 def spare(n):
@@ -148,8 +171,8 @@ def _joined(column: pd.Series, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(column), kind), np.array([len(x) // width for x in column], np.int64)
 
 
-def _common_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per class, its shingles in this block that other classes have too."""
+def _common_counts(rows: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Per class, its shingles in this block that other classes have too; packed by part of the classes."""
     tokens, _ = _joined(rows["tokens"], np.uint64)
     owners, sent = _joined(rows["owners"], np.int32)
     keys, named = _joined(rows["keys"], np.int64)
@@ -168,7 +191,23 @@ def _common_counts(rows: pd.DataFrame) -> pd.DataFrame:
     # A class in several batches has the same count from each.
     most = np.zeros(len(names), np.int64)
     np.maximum.at(most, who, counts)
-    return pd.DataFrame({"key": names[most > 0], "common": most[most > 0]})
+    names, most = names[most > 0], most[most > 0]
+    part = names % parts
+    order = np.argsort(part, kind="stable")
+    names, most, part = names[order], most[order], part[order]
+    ends = np.flatnonzero(np.append(part[1:] != part[:-1], True))[: len(part)] + 1
+    cut = lambda x: [p.tobytes() for p in np.split(x, ends[:-1])] if len(x) else []
+    return pd.DataFrame({"part": part[ends - 1], "keys": cut(names), "counts": cut(most)})
+
+
+def _sums(rows: pd.DataFrame) -> pd.DataFrame:
+    """Per class, its common shingles over all blocks."""
+    keys, _ = _joined(rows["keys"], np.int64)
+    counts, _ = _joined(rows["counts"], np.int64)
+    names, who = np.unique(keys, return_inverse=True)
+    common = np.zeros(len(names), np.int64)
+    np.add.at(common, who, counts)
+    return pd.DataFrame({"key": names, "common": common})
 
 
 def _linkable(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -192,8 +231,10 @@ def _linkable(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     messages = docs.select("text").mapInPandas(
         send, "block long, tokens binary, owners binary, keys binary, credits binary"
     )
-    counts = messages.groupBy("block").applyInPandas(_common_counts, "key long, common long")
-    counts = counts.groupBy("key").agg(F.sum("common").alias("common"))
+    counted = messages.groupBy("block").applyInPandas(
+        lambda rows: _common_counts(rows, blocks), "part long, keys binary, counts binary"
+    )
+    counts = counted.groupBy("part").applyInPandas(_sums, "key long, common long")
     own = _sketch_size(F.col("n")) - F.col("common")
     return classes.join(counts, "key").where(own < _spare(F.col("n"))).select("key", "n", "least")
 
