@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind.operators import similarity
 from tradewind.operators.similarity import nearest_within, semantic_lookup, semantic_upsert
 from tradewind.operators.text_audit import question_key
 
@@ -140,3 +141,46 @@ def test_upsert_replaces_by_key_and_rejects_bad_sql(spark):
         " OLD ": ([3.0], good.format(3)),
         "new": ([5.0], good.format(5)),
     }
+
+
+def test_two_levels_of_anchors(spark, monkeypatch):
+    """The driver picks a square root of the anchors; a dense region gets no more inner ones than a task may
+    hold, and vectors along few directions are compared by bounds first."""
+    picked = []
+    choose = similarity._anchors
+    monkeypatch.setattr(similarity, "_anchors", lambda stored, wanted: picked.append(wanted) or choose(stored, wanted))
+    rng = np.random.default_rng(8)
+    cache, queries = clustered(rng, 300, dims=32, noise=0.1), clustered(rng, 150, dims=32, noise=0.1)
+    queries = [(i, v) for i, (_, v) in enumerate(queries + cache[:40])]
+    got = run(spark, queries, cache, anchor_limit=40, block_rows=9)
+    expected = brute_force(queries, cache)
+    assert picked == [7] and len(expected) >= 40
+    assert {q: c for q, (c, _) in got.items()} == {q: c for q, (c, _) in expected.items()}
+
+
+def test_collected_rows_follow_the_outer_anchors(spark, monkeypatch):
+    """Nothing that passes through the driver has a row per cell."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    sizes, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: sizes.append(len(rows := collect(df))) or rows)
+    rng = np.random.default_rng(4)
+    cache = frame(spark, "cache_id", [(i, rng.normal(size=4)) for i in range(400)])
+    asked = frame(spark, "query_id", [(i, rng.normal(size=4)) for i in range(50)])
+    nearest_within(asked, cache, anchor_limit=100, block_rows=4)
+    assert sizes and max(sizes) <= 10
+
+
+@pytest.mark.parametrize("dims,directions", [(8, 8), (64, 3), (64, 64)])
+def test_bounds_hold_and_are_tight_along_few_directions(dims, directions):
+    rng = np.random.default_rng(dims + directions)
+    basis = rng.normal(size=(directions, dims))
+    make = lambda n: rng.normal(size=(n, directions)) @ basis + 0.05 * rng.normal(size=(n, dims))
+    known, asked = make(200), make(50)
+    known, asked = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (known, asked))
+    bounds = similarity._Bounds(known)
+    above = bounds.of(asked) - asked @ known.T
+    assert above.min() > -1e-5
+    assert (bounds.basis is None) == (dims == 8)
+    if directions == 3:
+        assert bounds.basis.shape[1] <= 3 and above.max() < 0.3

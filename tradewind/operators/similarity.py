@@ -6,21 +6,29 @@ per query; no pair of vectors is ever a row, and no side is broadcast. So a vect
 per block of the other side that it has to meet, and blocks hold as many vectors as a task's memory
 allows.
 
-With more stored vectors than fit one block, they are grouped around anchors, one per block's worth.
-Angles between vectors obey the triangle inequality, so a query only visits the groups that can hold a
-vector within the threshold angle. That saves most visits where vectors form clusters and none where
-they do not; it never costs more than comparing everything.
+With more stored vectors than fit one block, they are grouped around anchors, one per block's worth, in two
+levels. A few outer anchors, the square root of that number, are known to every task; the inner anchors of
+each of them are a stored table, which meets the vectors and the queries of its outer anchor only. So
+neither the driver nor a task holds more than about the square root of the number of blocks.
+
+Angles between vectors obey the triangle inequality, so on either level a query only visits the groups that
+can hold a vector within the threshold angle. Inside a block, vectors are rotated to the block's main
+directions; the product over the first of them and the lengths of the residuals bound the cosine, and only
+pairs whose bound reaches the threshold are computed in full. That saves most work where vectors form
+clusters and none where they do not; no group that could hold a match is left out.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from math import ceil, isqrt
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradewind.operators.text_audit import audit_sql_log, question_key
@@ -37,6 +45,13 @@ DIGITS = 9
 BLOCK_BYTES = 32 << 20
 # Distances computed at once inside a block, which bounds their matrix in memory.
 _CHUNK = 1 << 18
+# Pairs computed in full at once.
+_EXACT = 1 << 15
+# Share of a block's squared length that the main directions hold; with fewer dimensions than this, or if
+# it takes more than half of them, the product is taken over all.
+_MAIN, _LEAST_DIMENSIONS = 0.9, 16
+# Inner anchors of an outer one, as a multiple of the number of outer ones: what a task may gather.
+_INNER = 4
 # Slack for rounding in the group filter, in radians; it can only add visits.
 _SLACK = 1e-5
 # Slack for single precision in the first comparison; what passes is compared in double precision.
@@ -65,44 +80,167 @@ def _anchors(stored: DataFrame, wanted: int) -> np.ndarray:
     return _unit(pd.Series([r["vector"] for r in picked]))
 
 
-def _assign(stored: DataFrame, anchors: np.ndarray) -> DataFrame:
-    """Stored vectors with their nearest anchor and the angle to it."""
+def _main_directions(vectors: np.ndarray) -> np.ndarray | None:
+    """Orthonormal columns with most of the squared length of the vectors; None if that takes too many."""
+    size = vectors.shape[1]
+    if size < _LEAST_DIMENSIONS:
+        return None
+    square, basis = np.linalg.eigh(vectors.T @ vectors)
+    held = np.cumsum(square[::-1]) / square.sum()
+    wanted = int(np.searchsorted(held, _MAIN)) + 1
+    return basis[:, ::-1][:, :wanted] if wanted <= size // 2 else None
+
+
+class _Bounds:
+    """Upper bounds of cosines between unit vectors, up to the rounding of single precision."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        self.basis = _main_directions(known)
+        self.head, self.rest = self._split(known)
+
+    def _split(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        if self.basis is None:
+            return vectors.astype(np.float32), None
+        head = vectors @ self.basis
+        rest = np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", head, head)))
+        return head.astype(np.float32), rest.astype(np.float32)
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        head, rest = self._split(asked)
+        product = head @ self.head.T
+        return product if rest is None else product + rest[:, None] * self.rest
+
+
+def _possible(
+    to_all: np.ndarray, nearest: np.ndarray, farthest: np.ndarray, angle: float
+) -> np.ndarray:
+    """Groups, by query, that may hold a match, from the angles to their anchors.
+
+    A match x in the group of anchor c has angle(x, c) between the smallest and the largest angle of
+    the group and has no nearer anchor. Both bounds carry over to the query within the threshold
+    angle, for the second one twice. A group without vectors has no angles, and none is possible.
+    """
+    return (
+        (to_all <= farthest + angle + _SLACK)
+        & (to_all >= nearest - angle - _SLACK)
+        & (to_all <= to_all.min(axis=1, keepdims=True) + 2 * angle + _SLACK)
+    )
+
+
+def _outer(stored: DataFrame, anchors: np.ndarray) -> DataFrame:
+    """Stored vectors with their nearest outer anchor and the angle to it."""
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             angle = _angles(batch["vector"], anchors)
             cell = angle.argmin(axis=1)
-            yield batch.assign(cell=cell, angle=angle[np.arange(len(cell)), cell])
+            yield batch.assign(outer=cell, angle=angle[np.arange(len(cell)), cell])
 
-    return stored.mapInPandas(nearest, "cache_id bigint, vector array<float>, cell int, angle double")
+    return stored.mapInPandas(nearest, "cache_id bigint, vector array<float>, outer int, angle double")
 
 
-def _visits(
-    queries: DataFrame, anchors: np.ndarray, reach: dict[int, tuple[float, float]], angle: float
+def _outer_visits(
+    asked: DataFrame, anchors: np.ndarray, reach: dict[int, tuple[float, float]], angle: float
 ) -> DataFrame:
-    """One row per query and group that may hold a match.
-
-    A match x in the group of anchor c has angle(x, c) between the smallest and the largest angle of
-    the group and has no nearer anchor. Both bounds carry over to the query within the threshold
-    angle, for the second one twice.
-    """
-    cells = np.array(sorted(reach))
-    nearest = np.array([reach[c][0] for c in cells])
-    farthest = np.array([reach[c][1] for c in cells])
+    """One row per query and outer anchor whose group may hold a match."""
+    ends = [reach.get(c, (np.inf, -np.inf)) for c in range(len(anchors))]
+    nearest, farthest = (np.array(side) for side in zip(*ends))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            to_all = _angles(batch["vector"], anchors)
-            to_cell = to_all[:, cells]
-            possible = (
-                (to_cell <= farthest + angle + _SLACK)
-                & (to_cell >= nearest - angle - _SLACK)
-                & (to_cell <= to_all.min(axis=1, keepdims=True) + 2 * angle + _SLACK)
-            )
-            row, column = np.nonzero(possible)
-            yield batch.iloc[row].assign(cell=cells[column])
+            row, column = np.nonzero(_possible(_angles(batch["vector"], anchors), nearest, farthest, angle))
+            yield batch.iloc[row].assign(outer=column)
+
+    return asked.mapInPandas(visit, "query_id bigint, vector array<float>, outer int")
 
-    return queries.mapInPandas(visit, "query_id bigint, vector array<float>, cell int")
+
+def _nothing(*columns: str) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in columns})
+
+
+def _with_inner(rows: DataFrame, identity: str, parts: dict[int, int], inner: DataFrame) -> tuple:
+    """Rows and inner anchors by outer anchor; rows of one with many are dealt to several parts."""
+    spark = rows.sparkSession
+
+    def cut(side: DataFrame) -> DataFrame:
+        # One row per outer anchor.
+        counts = spark.createDataFrame(sorted(parts.items()), "outer int, parts bigint")
+        return side.join(F.broadcast(counts), "outer")
+
+    left = cut(rows).withColumn("part", _block(identity, "parts"))
+    right = cut(inner).withColumn("part", _every_block("parts"))
+    return left.groupBy("outer", "part"), right.groupBy("outer", "part")
+
+
+def _cells(
+    stored: DataFrame, asked: DataFrame, rows: int, wanted: int, block_rows: int, angle: float
+) -> tuple[DataFrame, DataFrame]:
+    """Stored vectors with their cell, the group of an inner anchor, and queries with the cells to visit."""
+    spark = stored.sparkSession
+    anchors = _anchors(stored, isqrt(wanted - 1) + 1)
+    grouped = materialize(_outer(stored, anchors), "outer")
+    ends = grouped.groupBy("outer").agg(
+        F.count("*").alias("rows"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
+    )
+    # One row per outer anchor, as everything below that passes through the driver.
+    outer = {r["outer"]: r for r in ends.collect()}
+    share = {
+        c: min(_INNER * len(anchors), ceil(wanted * r["rows"] / rows)) for c, r in outer.items()
+    }
+    chosen = F.broadcast(
+        spark.createDataFrame(
+            [(c, r["rows"], share[c]) for c, r in outer.items()], "outer int, rows bigint, chosen bigint"
+        )
+    )
+    picked = grouped.join(chosen, "outer").where(F.pmod(F.xxhash64("vector", "outer"), "rows") < F.col("chosen"))
+    own = spark.createDataFrame([(c, anchors[c].tolist()) for c in outer], "outer int, vector array<float>")
+    inner = picked.select("outer", "vector").union(own)
+    inner = materialize(inner.withColumn("cell", F.monotonically_increasing_id()), "inner")
+
+    def assign(vectors: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if not len(vectors):
+            return _nothing("cache_id", "vector", "cell", "angle")
+        near = near.sort_values("cell", ignore_index=True)
+        to_all = _angles(vectors["vector"], _unit(near["vector"]))
+        nearest = to_all.argmin(axis=1)
+        found = vectors[["cache_id", "vector"]]
+        return found.assign(
+            cell=near["cell"].to_numpy()[nearest], angle=to_all[np.arange(len(found)), nearest]
+        )
+
+    parts = {c: ceil(r["rows"] / block_rows) for c, r in outer.items()}
+    left, right = _with_inner(grouped.drop("angle"), "cache_id", parts, inner)
+    layout = "cache_id bigint, vector array<float>, cell bigint, angle double"
+    assigned = materialize(left.cogroup(right).applyInPandas(assign, layout), "assigned")
+    sizes = assigned.groupBy("cell").agg(
+        F.count("*").alias("rows"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
+    )
+    reach = materialize(inner.join(sizes, "cell", "left"), "reach")
+
+    def visit(queries: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(near):
+            return _nothing("query_id", "vector", "cell")
+        to_all = _angles(queries["vector"], _unit(near["vector"]))
+        lo, hi = near["lo"].fillna(np.inf).to_numpy(), near["hi"].fillna(-np.inf).to_numpy()
+        row, column = np.nonzero(_possible(to_all, lo, hi, angle))
+        return queries[["query_id", "vector"]].iloc[row].assign(cell=near["cell"].to_numpy()[column])
+
+    met = materialize(
+        _outer_visits(asked, anchors, {c: (r["lo"], r["hi"]) for c, r in outer.items()}, angle), "outer-visits"
+    )
+    parts = {r["outer"]: ceil(r["n"] / block_rows) for r in met.groupBy("outer").agg(F.count("*").alias("n")).collect()}
+    left, right = _with_inner(met, "query_id", parts, reach.drop("rows"))
+    layout = "query_id bigint, vector array<float>, cell bigint"
+    visits = materialize(left.cogroup(right).applyInPandas(visit, layout), "visits")
+
+    blocks = lambda n: F.ceil(F.col(n) / block_rows)
+    counts = visits.groupBy("cell").agg(F.count("*").alias("visits"))
+    grid = counts.join(sizes, "cell").select(
+        "cell", blocks("rows").alias("cache_blocks"), blocks("visits").alias("query_blocks")
+    )
+    # As many rows as there are cells: joined by whatever its stored size allows.
+    grid = materialize(grid, "grid")
+    return assigned.drop("angle").join(grid, "cell"), visits.join(grid, "cell")
 
 
 def _block(identity: str, blocks: str) -> Column:
@@ -113,15 +251,19 @@ def _every_block(blocks: str) -> Column:
     return F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int")))
 
 
-def _distinct(rows: DataFrame, identity: str) -> DataFrame:
-    """Usable vectors, each once under its smallest id; one that occurs very often is no heavy group."""
-    return materialize(
+def _distinct(rows: DataFrame, identity: str) -> tuple[DataFrame, int, int]:
+    """Usable vectors, each once under its smallest id, their number and longest length; a vector that
+    occurs very often is no heavy group."""
+    found = Observation()
+    once = (
         rows.where(_usable(F.col("vector")))
         .groupBy("vector")
         .agg(F.min(identity).alias(identity))
-        .select(identity, "vector"),
-        "vectors",
+        .select(identity, "vector")
+        .observe(found, F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"))
     )
+    stored = materialize(once, "vectors")
+    return stored, found.get["n"], found.get["width"] or 0
 
 
 def nearest_within(
@@ -134,48 +276,29 @@ def nearest_within(
     """(query_id, cache_id, distance) of the nearest stored vector closer than the threshold.
 
     ``queries`` has (query_id, vector), ``cache`` has (cache_id, vector). Equal distances go to the
-    smaller id. Queries without such a vector are absent. ``anchor_limit`` sets the number of anchors,
-    ``block_rows`` the vectors of a block; by default a block has ``BLOCK_BYTES``.
+    smaller id. Queries without such a vector are absent. ``anchor_limit`` sets the number of inner
+    anchors, ``block_rows`` the vectors of a block; by default a block has ``BLOCK_BYTES`` and an anchor
+    one block's worth.
     """
     angle = float(np.arccos(1.0 - threshold))
-    stored, asked = _distinct(cache, "cache_id"), _distinct(queries, "query_id")
-    size = stored.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
-    if not size["n"]:
+    with ThreadPoolExecutor(2) as pool:
+        sides = (pool.submit(_distinct, cache, "cache_id"), pool.submit(_distinct, queries, "query_id"))
+        (stored, rows, width), (asked, many, _) = (side.result() for side in sides)
+    if not rows:
         return cache.sparkSession.createDataFrame(
             [], "query_id bigint, cache_id bigint, distance double"
         )
-    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * size["width"]))
-    wanted = anchor_limit or -(-size["n"] // block_rows)
-
-    def blocks(rows: Column) -> Column:
-        return F.ceil(rows / block_rows)
-
+    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * width))
+    wanted = anchor_limit or ceil(rows / block_rows)
     if wanted == 1:
         here = {
             "cell": F.lit(0),
-            "cache_blocks": blocks(F.lit(size["n"])),
-            "query_blocks": blocks(F.lit(max(1, asked.count()))),
+            "cache_blocks": F.lit(ceil(rows / block_rows)),
+            "query_blocks": F.lit(max(1, ceil(many / block_rows))),
         }
         visits, assigned = asked.withColumns(here), stored.withColumns(here)
     else:
-        anchors = _anchors(stored, wanted)
-        assigned = materialize(_assign(stored, anchors), "assigned")
-        cells = assigned.groupBy("cell").agg(
-            F.count("*").alias("rows"), F.min("angle").alias("lo"), F.max("angle").alias("hi")
-        )
-        # One row per anchor.
-        reach = {r["cell"]: (r["lo"], r["hi"]) for r in cells.collect()}
-        visits = materialize(_visits(asked, anchors, reach, angle), "visits")
-        # One row per anchor again, that is, per block's worth of stored vectors.
-        grid = F.broadcast(
-            cells.select("cell", blocks(F.col("rows")).alias("cache_blocks")).join(
-                visits.groupBy("cell")
-                .agg(F.count("*").alias("visits"))
-                .select("cell", blocks(F.col("visits")).alias("query_blocks")),
-                "cell",
-            )
-        )
-        visits, assigned = visits.join(grid, "cell"), assigned.join(grid, "cell")
+        assigned, visits = _cells(stored, asked, rows, wanted, block_rows, angle)
     left = (
         visits.withColumn("query_block", _block("query_id", "query_blocks"))
         .withColumn("cache_block", _every_block("cache_blocks"))
@@ -194,13 +317,16 @@ def nearest_within(
             known = known.sort_values("cache_id", ignore_index=True)
             names, cached = asked["query_id"].to_numpy(), known["cache_id"].to_numpy()
             left, right = _unit(asked["vector"]), _unit(known["vector"])
-            rough = right.astype(np.float32).T
+            bounds = _Bounds(right)
             step = max(1, _CHUNK // len(cached))
             for start in range(0, len(names), step):
                 part = left[start : start + step]
-                near = part.astype(np.float32) @ rough > 1.0 - threshold - _ROUGH
-                row, column = np.nonzero(near)
-                distance = np.round(1.0 - np.einsum("ij,ij->i", part[row], right[column]), DIGITS)
+                row, column = np.nonzero(bounds.of(part) > 1.0 - threshold - _ROUGH)
+                cosine = np.empty(len(row))
+                for at in range(0, len(row), _EXACT):
+                    some = slice(at, at + _EXACT)
+                    cosine[some] = np.einsum("ij,ij->i", part[row[some]], right[column[some]])
+                distance = np.round(1.0 - cosine, DIGITS)
                 hit = distance < threshold
                 row, column, distance = row[hit], column[hit], distance[hit]
                 # The nearest of each query; of equally near ones the smallest id.
