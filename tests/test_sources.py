@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from tests.helpers import bag, plan
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.batch import run_batch, run_from_csv, run_refresh, run_reports
 from tradewind.plans.warehouse import ITEM_SALES
-from tradewind.schemas import MARTS, POSITION, RAW
+from tradewind.schemas import MARTS, NA_WORDS, POSITION, RAW
 from tradewind.sources import sinks
 from tradewind.sources.csv_files import extract_all, read_csv
 from tradewind.sources.testdata import raw_table
@@ -204,3 +205,47 @@ def test_large_amounts(spark, scratch):
     write(scratch, "j.csv", ITEMS + "o1,1,p,s,,1e15,1\n")
     with pytest.raises(Exception, match="amount beyond"):
         extract_all(spark, scratch, {"order_items": "j.csv"})["order_items"].collect()
+
+
+def _quoted_file(path, rng, records, end="\n"):
+    """Texts with line breaks, doubled quotes, commas, carriage returns, and nothing at all."""
+    parts = ["a", "b c", ",", '""', "\n", "\n\n", "é", "\r\n", " ", "x" * 40]
+    with open(path, "w", newline="") as out:
+        out.write("review_id,text,order_id" + end)
+        for i in range(records):
+            text = "".join(rng.choice(parts) for _ in range(rng.randrange(6)))
+            out.write(f'r{i},"{text}",o{i}{end}' if rng.random() < 0.7 else f'r{i},{rng.choice(["plain", "5\" wide", "a\"\"b", ""])},{end}')
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_are_read_in_many_tasks(spark, scratch, end):
+    """As Spark's reader of whole files has it, row by row and in order, with splits inside of records."""
+    rng = random.Random(len(end))
+    for name in ("one", "two"):
+        _quoted_file(f"{scratch}/{name}.csv", rng, 400, end)
+    layout = "review_id string, text string, order_id string"
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True).schema(layout)
+    want = [tuple(r) for name in ("one", "two") for r in whole.csv(f"{scratch}/{name}.csv").collect()]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_csv(spark, scratch, multiline=True)
+        starts = rows.select(f"{POSITION}.file", f"{POSITION}.start").distinct().count()
+        got = [tuple(r) for r in rows.orderBy(POSITION).drop(POSITION).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert starts > 20 and len(got) == 800
+    missing = lambda v: None if v in NA_WORDS else v
+    assert got == [tuple(map(missing, r)) for r in want]
+
+
+def test_record_over_several_splits(spark, scratch):
+    with open(f"{scratch}/long.csv", "w") as out:
+        out.write('review_id,text\n1,"' + "line\n" * 600 + '"\n2,"x"\n3,y\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
+    try:
+        got = read_csv(spark, f"{scratch}/long.csv", multiline=True).orderBy(POSITION).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.review_id, r.text) for r in got] == [("1", "line\n" * 600), ("2", "x"), ("3", "y")]
