@@ -64,6 +64,20 @@ def test_query_equals_brute_force(spark, folder):
         assert r.n_near == (len(near) if r.doc_id % 100 == 0 else None)
 
 
+def test_query_keeps_the_rows_of_repeated_ids(spark, tmp_path):
+    """Each row counts the neighbours of its own fingerprint; no row is multiplied or lost."""
+    from tradewind.llm.queries import op2_document_fingerprints
+
+    rows = [(100, "a text of some words"), (100, "another one, quite different from it"), (101, "third"), (None, "fourth"), (200, None), (200, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op2_document_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    prints = {int(r.fingerprint, 16) for r in got}
+    for r in got:
+        near = sum((p ^ int(r.fingerprint, 16)).bit_count() <= 3 for p in prints)
+        assert r.n_near == (near if r.doc_id in (100, 200) else None)
+
+
 def test_no_python_and_one_shuffle_of_the_text(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     df = P.with_edits(docs)

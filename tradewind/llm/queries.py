@@ -49,7 +49,7 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
-def fingerprint_digest(found: DataFrame) -> DataFrame:
+def fingerprint_digest(found: DataFrame, *more: str) -> DataFrame:
     digits = fingerprints.hex_digits
     return found.select(
         "doc_id",
@@ -59,6 +59,7 @@ def fingerprint_digest(found: DataFrame) -> DataFrame:
         digits(F.col("edited_print")).alias("edited_fingerprint"),
         fingerprints.likeness("print", "edited_print").alias("near_edited"),
         fingerprints.likeness("print", "next_print").alias("near_next"),
+        *more,
     )
 
 
@@ -70,8 +71,11 @@ def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     asked = found.where("doc_id % 100 = 0")
     near = fingerprints.within_radius(asked, found, "print", 3).groupBy("query")
     near = near.agg(F.count("*").alias("n_near")).withColumnRenamed("query", "print")
-    near = asked.select("doc_id", "print").distinct().join(near, "print").drop("print")
-    return fingerprint_digest(found).join(near, "doc_id", "left")
+    # By fingerprint, since rows with one id may have several texts; other rows need no join.
+    counted = asked.join(materialize(near, "near"), "print", "left")
+    rest = found.where("doc_id % 100 <> 0 or doc_id is null")
+    rest = rest.withColumn("n_near", F.lit(None).cast("long"))
+    return fingerprint_digest(counted.unionByName(rest), "n_near")
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
