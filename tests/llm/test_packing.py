@@ -106,6 +106,17 @@ def test_very_long_white_space(spark):
     assert K.tokenize(docs).agg({"length": "sum"}).first()[0] == len(encode(" " * 2_000_000)) + 1
 
 
+def test_many_long_runs_are_searched_in_one_pass():
+    import time
+
+    encode = K.Encoder(K.default_path())
+    text = ("a" + " " * (K.LONG_SPACE - 1)) * 30
+    start = time.perf_counter()
+    assert not K._LONG_SPACE.search(text) and K._LONG_SPACE.search(text + "b" + " " * K.LONG_SPACE)
+    assert time.perf_counter() - start < 2
+    assert encode(text) == encode.reference.encode(text, add_special_tokens=False).ids
+
+
 def test_odd_rows(spark):
     long = "the " * 9000
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, "x"), (5, "the " * 1023), (6, "the " * 1024)]

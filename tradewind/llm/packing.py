@@ -36,7 +36,8 @@ CAPACITY = 1024
 BATCH_BYTES = 16 << 20
 #: White space from which on a text goes to the library: the fast engine's stack ends at about a million.
 LONG_SPACE = 100_000
-_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+# Tried where a run begins only, so that a search takes one pass over the text.
+_LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
 
 
 # --- token ids ------------------------------------------------------------------------------------
