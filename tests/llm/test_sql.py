@@ -16,7 +16,7 @@ duckdb = pytest.importorskip("duckdb")
 def test_query_equals_sql(spark, name, size):
     folder = f"/root/testdata/{size}"
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     df = llm_queries()[name](spark, folder)
     columns = sorted(df.columns)
