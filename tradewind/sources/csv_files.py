@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,6 @@ from tradewind.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _OVERFLOW = "_overflow"
-#: First lines read at a time.
-THREADS = 16
 
 
 # The messages for missing, empty and unreadable files.
@@ -51,30 +49,42 @@ def _data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
-def _first_line(spark: SparkSession, file: str) -> str:
-    """Text of the first line, decompressed as Spark does by the file's extension."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(file)
-    stream = where.getFileSystem(conf).open(where)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
-        plain = codec.createInputStream(stream) if codec else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
-
-
-def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by their first line. One small read per file; data are not touched."""
+def _first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(file, header)``: the first line of every file, read in tasks and decompressed by the file's extension.
+
+    A file is one split here, and a task stops after the first batch of its lines.
+    """
+    apart = spark.newSession()
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        apart.conf.set(f"spark.sql.files.{setting}", str(1 << 50))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = apart.read.option("lineSep", "\n").text(files)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.rtrim("value", F.lit("\r")).alias("header"))
+    return lines.mapInArrow(first, "file string, header string")
+
+
+def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files by their header.
+
+    The driver receives the number of headers, and the headers themselves only if there are several.
+    """
     files = _data_files(spark, path)
-    with ThreadPoolExecutor(THREADS) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    if len(files) == 1:
+        return [files]
+    lines = _first_lines(spark, files)
+    if lines.select("header").distinct().count() == 1:
+        return [files]
     groups: dict[str, list[str]] = {}
-    for file, line in zip(files, lines, strict=True):
-        groups.setdefault(line, []).append(file)
-    return groups
+    for file, header in sorted((unquote(r.file), r.header) for r in lines.collect()):
+        groups.setdefault(header, []).append(file)
+    return sorted(groups.values())
 
 
 # A line that begins outside of quoted values and ends inside of one: fields that are closed, then one that is
@@ -242,7 +252,7 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
             *(F.when(~F.col(c).isin(*NA_WORDS), F.col(c)).alias(c) for c in header), POSITION
         )
 
-    parts = [read(files) for files in _by_header(spark, path).values()]
+    parts = [read(files) for files in _by_header(spark, path)]
     for part in parts[1:]:
         if set(part.columns) != set(parts[0].columns):
             raise RuntimeError(
