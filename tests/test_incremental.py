@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 from datetime import date
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import bag, orders, plan
+from tradewind.operators import upsert as U
 from tradewind.operators.upsert import (
     MonthlyTable,
     incremental_filter,
@@ -73,34 +75,38 @@ def state(table):
     return sorted((tuple(r) for r in table.table().collect()), key=lambda r: (r[0], r[2]))
 
 
-def test_delete_and_insert(spark, scratch):
+@pytest.mark.parametrize("where", ["new", "old"])
+def test_delete_and_insert(spark, scratch, where):
     d1, d2, d3 = date(2017, 1, 5), date(2017, 2, 5), date(2017, 3, 5)
     before = [("a", d1, 1), ("b", d2, 1), ("c", d2, 1), ("e", d3, 1), ("n", None, 1)]
     old = stored(spark, f"{scratch}/old", before)
-    table = old
+    table, place = old, f"{scratch}/{where}"
     batch = spark.createDataFrame([("b", d3, 2), ("d", d2, 2), ("d", d2, 3)], LAYOUT)
-    for _ in range(2):  # The second run changes nothing.
-        table = upsert(table, f"{scratch}/new", batch, ["id"], "day")
-        # b moved to another month; a key that occurs twice in the batch is inserted twice.
-        dated = [("a", d1, 1), ("b", d3, 2), ("c", d2, 1), ("d", d2, 2), ("d", d2, 3), ("e", d3, 1)]
+    # b moved to another month; a key that occurs twice in the batch is inserted twice.
+    dated = [("a", d1, 1), ("b", d3, 2), ("c", d2, 1), ("d", d2, 2), ("d", d2, 3), ("e", d3, 1)]
+    untouched = set(glob(f"{scratch}/old/_month=2017-01/*"))
+    for _ in range(2):  # The second run, in place, changes nothing.
+        table = upsert(table, place, batch, ["id"], "day")
         assert state(table) == [*dated, ("n", None, 1)]
-        assert state(read_monthly(spark, f"{scratch}/new", old.layout)) == state(table)
-    # The untouched month is listed where it was, and the old version is as it was.
-    assert table.folders["2017-01"] == old.folders["2017-01"]
-    assert state(read_monthly(spark, f"{scratch}/old", old.layout)) == before
+        assert state(read_monthly(spark, place, old.layout)) == state(table)
+    # In place the other months keep their files; a new version leaves the old one as it was.
+    assert set(glob(f"{scratch}/old/_month=2017-01/*")) == untouched
+    if where == "new":
+        assert state(read_monthly(spark, f"{scratch}/old", old.layout)) == before
 
 
 def test_month_that_loses_its_last_row(spark, scratch):
     first, new = date(2017, 1, 5), date(2017, 2, 5)
     old = stored(spark, f"{scratch}/t", [("a", first, 1), ("b", new, 1)])
     got = upsert(old, f"{scratch}/t", spark.createDataFrame([("a", new, 2)], LAYOUT), ["id"], "day")
-    assert state(got) == [("a", new, 2), ("b", new, 1)] and set(got.folders) == {"2017-02"}
+    assert state(got) == [("a", new, 2), ("b", new, 1)] and got.months() == ["2017-02"]
 
 
 def test_empty_batch_changes_nothing(spark, scratch):
     old = stored(spark, f"{scratch}/t", [("a", date(2017, 1, 5), 1)])
-    got = upsert(old, f"{scratch}/t", spark.createDataFrame([], LAYOUT), ["id"], "day")
-    assert got.folders == old.folders and len(state(got)) == 1
+    for path in ("t", "new"):
+        got = upsert(old, f"{scratch}/{path}", spark.createDataFrame([], LAYOUT), ["id"], "day")
+        assert got.months() == ["2017-01"] and len(state(got)) == 1
 
 
 def test_failed_write_leaves_the_table(spark, scratch):
@@ -115,6 +121,8 @@ def test_failed_write_leaves_the_table(spark, scratch):
             assert "broken" in str(error)
     assert state(read_monthly(spark, f"{scratch}/t", old.layout)) == [("a", date(2017, 1, 5), 1)]
     assert read_monthly(spark, f"{scratch}/new", old.layout) is None
+    good = spark.createDataFrame([("a", date(2017, 1, 6), 2)], LAYOUT)
+    assert state(upsert(old, f"{scratch}/new", good, ["id"], "day")) == [("a", date(2017, 1, 6), 2)]
 
 
 def test_no_target_is_a_first_build(spark, scratch):
@@ -126,9 +134,36 @@ def test_newest_value_comes_from_the_last_month_only(spark, scratch):
     rows = [("a", date(2017, 1, 5), 1), ("b", date(2017, 3, 9), 1), ("n", None, 1)]
     table = stored(spark, f"{scratch}/t", rows)
     assert lookback_start(table, "day") == "2017-03-06 00:00:00"
-    # No other folder is opened: without them the result is the same.
-    only = MonthlyTable(spark, table.layout, {"2017-01": f"{scratch}/gone/_month=2017-01", "2017-03": table.folders["2017-03"]})
-    assert lookback_start(only, "day") == "2017-03-06 00:00:00"
+    # No other month is opened: with broken files there the result is the same.
+    for file in glob(f"{scratch}/t/_month=2017-01/*.parquet") + glob(f"{scratch}/t/_month=none/*.parquet"):
+        with open(file, "w", encoding="utf-8") as broken:
+            broken.write("broken")
+    assert lookback_start(MonthlyTable(spark, table.path, table.layout), "day") == "2017-03-06 00:00:00"
+
+
+def test_new_version_copies_other_months_without_a_shuffle(spark, scratch):
+    days = [date(2017, m, 5) for m in range(1, 7)]
+    old = stored(spark, f"{scratch}/old", [(f"k{i}", d, 1) for i, d in enumerate(days * 50)])
+    batch = spark.createDataFrame([("k5", days[5], 2)], LAYOUT)
+    new = upsert(old, f"{scratch}/new", batch, ["id"], "day")
+    assert new.months() == old.months()
+    # The version stands on its own files.
+    assert all("/new/" in name for name in new.rows().inputFiles())
+    assert new.table().where("v = 2").count() == 1 and new.table().count() == 300
+
+
+def test_ended_between_months_and_repeated(spark, scratch, monkeypatch):
+    """A run in place that ends after its first month is completed by the next one."""
+    d1, d2 = date(2017, 1, 30), date(2017, 2, 1)
+    old = stored(spark, f"{scratch}/t", [("a", d1, 1), ("b", d2, 1)])
+    batch = spark.createDataFrame([("a", d1, 2), ("c", d2, 2)], LAYOUT)
+    whole = U._replace_months
+    with monkeypatch.context() as patch:
+        patch.setattr(U, "_replace_months", lambda t, rows, months: whole(t, rows.where("_month = '2017-01'"), months[:1]))
+        upsert(old, f"{scratch}/t", batch, ["id"], "day")
+    half = read_monthly(spark, f"{scratch}/t", old.layout)
+    assert state(half) == [("a", d1, 2), ("b", d2, 1)] and lookback_start(half, "day") <= "2017-01-30 00:00:00"
+    assert state(upsert(half, f"{scratch}/t", batch, ["id"], "day")) == [("a", d1, 2), ("b", d2, 1), ("c", d2, 2)]
 
 
 def details(w):
@@ -139,11 +174,11 @@ def by_month(w, scratch):
     return write_monthly(w.stage("orders"), f"{scratch}/orders", "order_purchase_timestamp").rows()
 
 
-@pytest.mark.parametrize("limit", [incremental.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [U.BROADCAST_BYTES, 0])
 def test_cut_plus_refresh_equals_full_build(spark, folder, scratch, limit, monkeypatch):
     """Building up to a day and refreshing gives the same fact as building everything at once, with
     batches that are sent to every task and larger ones."""
-    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(U, "BROADCAST_BYTES", limit)
     w = open_warehouse(spark, folder)
     source, s = by_month(w, scratch), w.stage
     full = marts.fact_orders(s("orders"), *details(w))
@@ -160,8 +195,8 @@ def test_refresh_of_an_empty_and_of_no_target(spark, folder, scratch):
     w = open_warehouse(spark, folder)
     source = by_month(w, scratch)
     empty = write_monthly(spark.createDataFrame([], MARTS["fact_orders"]), f"{scratch}/a", "order_date")
-    for target in (empty, None):
-        got = incremental.refresh_fact_orders(target, f"{scratch}/b", source, *details(w))
+    for place, target in (("b", empty), ("c", None)):
+        got = incremental.refresh_fact_orders(target, f"{scratch}/{place}", source, *details(w))
         assert got.table().count() == w.stage("orders").count()
 
 

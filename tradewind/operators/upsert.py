@@ -1,27 +1,22 @@
-"""Incremental load: lookback filter, tables by month, delete-and-insert into a new version.
+"""Incremental load: lookback filter, tables by month, delete-and-insert.
 
-A table by month is a set of month folders, which may lie in different places, and a list that names
-them. An upsert writes the months it changes to fresh folders and publishes a new list; folders are
-never changed, so readers of the old list and a failed run see the table as it was. A version that
-lists folders of an earlier one needs that one's folders to stay.
+A table by month is a Parquet folder partitioned by month. An upsert reads keys and months, and in full
+only the months that gain or lose rows. It writes either a new version, a complete table at a fresh path
+that appears when its one job commits, or the months in place with Spark's dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.columns import month_label
-from tradewind.session import file_system, materialize
+from tradewind.session import file_system, materialize, stored_bytes
 
 LOOKBACK_DAYS = 3
 # Fixed value: where an empty target starts.
@@ -30,41 +25,36 @@ EPOCH = "1970-01-01 00:00:00"
 PARTITION = "_month"
 # Rows without a date share a partition of their own.
 NO_MONTH = "none"
-
-_LISTS = "_months"
+# Stored size of a batch up to which its keys, a small part of it, are sent to every task.
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class MonthlyTable:
-    """Folder of every month. One entry per calendar month, so the list is small."""
+    """A Parquet folder partitioned by month, with the columns of its rows."""
 
     spark: SparkSession
+    path: str
     layout: T.StructType
-    folders: Mapping[str, str]
 
-    def rows(self, months: Sequence[str] | None = None) -> DataFrame:
-        """All rows, or those of some months, with the month as text; other folders are not touched."""
+    def rows(self) -> DataFrame:
+        """All rows, with the month as text; a filter on it reads only the months it names."""
         stored = T.StructType([*self.layout.fields, T.StructField(PARTITION, T.StringType())])
-        roots: dict[str, list[str]] = {}
-        for month in self.folders if months is None else months:
-            if month in self.folders:
-                folder = self.folders[month]
-                roots.setdefault(os.path.dirname(folder), []).append(folder)
-        if not roots:
-            return self.spark.createDataFrame([], stored)
-        reader = self.spark.read.schema(stored)
-        return reduce(
-            DataFrame.union,
-            (reader.option("basePath", root).parquet(*paths) for root, paths in roots.items()),
-        )
+        return self.spark.read.schema(stored).parquet(self.path)
 
     def table(self) -> DataFrame:
         return self.rows().select(*self.layout.fieldNames())
 
+    def months(self) -> list[str]:
+        """Months with a partition; no data are read."""
+        files, where = file_system(self.spark, self.path)
+        names = [status.getPath().getName() for status in files.listStatus(where)]
+        return sorted(n.removeprefix(f"{PARTITION}=") for n in names if n.startswith(f"{PARTITION}="))
+
     def last(self) -> DataFrame:
-        """Rows of the newest month, which the list tells without reading data."""
-        dated = [m for m in self.folders if m != NO_MONTH]
-        return self.rows([max(dated)] if dated else [])
+        """Rows of the newest month."""
+        dated = [m for m in self.months() if m != NO_MONTH]
+        return self.rows().where(F.col(PARTITION) == (dated[-1] if dated else NO_MONTH))
 
 
 def _with_month(rows: DataFrame, date_column: str) -> DataFrame:
@@ -73,54 +63,29 @@ def _with_month(rows: DataFrame, date_column: str) -> DataFrame:
     )
 
 
-def _write_months(rows: DataFrame, path: str) -> dict[str, str]:
-    """Write rows with a month to a fresh folder below ``path``; the months written.
+def _even(rows: DataFrame) -> DataFrame:
+    """Rows dealt by month. The rebalance hint lets adaptive execution merge small months and split large
+    ones, so neither many small files nor one task with a whole month result."""
+    return rows.hint("rebalance", PARTITION)
 
-    The rebalance hint lets adaptive execution merge small months and split large ones, so neither
-    many small files nor one task with a whole month result.
-    """
-    fresh = f"{path}/data-{uuid.uuid4().hex}"
-    rows.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(fresh)
-    files, where = file_system(rows.sparkSession, fresh)
-    found = {}
-    for status in files.listStatus(where):
-        name = status.getPath().getName()
-        if name.startswith(f"{PARTITION}="):
-            found[name.removeprefix(f"{PARTITION}=")] = f"{fresh}/{name}"
-    return found
-
-
-def _publish(spark: SparkSession, path: str, folders: Mapping[str, str]) -> None:
-    """Name the months of the table at ``path`` in a new list; the last list counts."""
-    files, where = file_system(spark, f"{path}/{_LISTS}")
-    numbers = [int(s.getPath().getName()) for s in files.listStatus(where)] if files.exists(where) else []
-    target = f"{path}/{_LISTS}/{max(numbers, default=0) + 1}"
-    aside = f"{path}/_next-{uuid.uuid4().hex}"
-    files, where = file_system(spark, aside)
-    stream = files.create(where)
-    stream.write(bytearray(json.dumps(dict(folders)), "utf-8"))
-    stream.close()
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files.mkdirs(path_of(target).getParent())
-    if not files.rename(where, path_of(target)):
-        raise RuntimeError(f"another run has published {target}")
+
+def _write(rows: DataFrame, path: str) -> None:
+    """Write rows with a month in one job; what a failed run left at the path gives way."""
+    files, where = file_system(rows.sparkSession, f"{path}/_SUCCESS")
+    mode = "error" if files.exists(where) else "overwrite"
+    rows.write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
 def write_monthly(rows: DataFrame, path: str, date_column: str) -> MonthlyTable:
-    """First build of a table by month at a fresh path, published when it is complete."""
-    folders = _write_months(_with_month(rows, date_column), path)
-    _publish(rows.sparkSession, path, folders)
-    return MonthlyTable(rows.sparkSession, rows.schema, folders)
+    """First build of a table by month at a fresh path."""
+    _write(_even(_with_month(rows, date_column)), path)
+    return MonthlyTable(rows.sparkSession, path, rows.schema)
 
 
 def read_monthly(spark: SparkSession, path: str, layout: T.StructType) -> MonthlyTable | None:
-    """The table as published last; None if there is none."""
-    files, where = file_system(spark, f"{path}/{_LISTS}")
-    if not files.exists(where):
-        return None
-    number = max(int(s.getPath().getName()) for s in files.listStatus(where))
-    text = spark.read.option("wholetext", True).text(f"{path}/{_LISTS}/{number}").first()[0]
-    return MonthlyTable(spark, layout, json.loads(text))
+    """The table at a path; None if no write there was completed."""
+    files, where = file_system(spark, f"{path}/_SUCCESS")
+    return MonthlyTable(spark, path, layout) if files.exists(where) else None
 
 
 def lookback_start(
@@ -168,6 +133,24 @@ def incremental_filter(
     return since(source, source_column, lookback_start(target, target_column, days))
 
 
+def _replace_months(target: MonthlyTable, merged: DataFrame, changed: Sequence[str]) -> None:
+    """Put the months ``changed`` in the place of the target's, as ``merged`` holds them.
+
+    One month after another, the newest last, so that a run that ends between them leaves a target whose
+    lookback still covers what is missing. A month without rows any more is dropped.
+    """
+    rows = materialize(_even(merged), "merged")
+    left = {r[0] for r in rows.select(PARTITION).distinct().collect()}
+    for month in sorted(set(changed) - left):
+        files, where = file_system(target.spark, f"{target.path}/{PARTITION}={month}")
+        files.delete(where, True)
+    # Text order puts rows without a date last; they play no part in the lookback.
+    for month in sorted(left):
+        writer = rows.where(F.col(PARTITION) == month).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PARTITION).parquet(target.path)
+
+
 def upsert(
     target: MonthlyTable | None,
     path: str,
@@ -175,27 +158,32 @@ def upsert(
     key: Sequence[str],
     date_column: str,
 ) -> MonthlyTable:
-    """Delete the target rows whose key is in the batch, insert the batch; published at ``path``.
-
-    Only months that gain or lose rows are written. Which months lose rows is found by reading key
-    and month of the target against the keys of the batch; the list has one entry per calendar
-    month, so it may pass through the driver. Untouched months are listed where they are, and neither
-    read in full nor written. Running the same batch twice gives the same table, so a failed run can
-    simply be repeated. Without a target the batch is the table.
+    """Delete the target rows whose key is in the batch, insert the batch; the result is at ``path``.
+
+    Which months lose rows is found by reading key and month of the target against the keys of the
+    batch; there is one row per calendar month, so they may pass through the driver. With the target's
+    own path only the months that gain or lose rows are written. At another, fresh path a complete new
+    version is written by one job, which copies the other months as they are, without a shuffle; the
+    target stays as it was and is not needed any more. Running the same batch twice gives the same
+    table, so a failed run can simply be repeated. Without a target the batch is the table.
     """
     if target is None:
         return write_monthly(batch, path, date_column)
     # Read three times below and small against the target, so it is computed once.
     fresh = materialize(_with_month(batch.select(*target.layout.fieldNames()), date_column), "batch")
     keys = fresh.select(*key).distinct()
+    if stored_bytes(fresh) <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
 
     losing = target.rows().select(*key, PARTITION).join(keys, list(key), "left_semi")
     months = losing.select(PARTITION).union(fresh.select(PARTITION)).distinct()
-    changed = {r[0] for r in months.collect()}
-    folders = {m: f for m, f in target.folders.items() if m not in changed}
-    if changed:
-        kept = target.rows(sorted(changed)).join(keys, list(key), "left_anti")
-        # A month whose last rows leave is not written, and so not listed any more.
-        folders |= _write_months(kept.unionByName(fresh), path)
-    _publish(target.spark, path, folders)
-    return MonthlyTable(target.spark, target.layout, folders)
+    changed = sorted(r[0] for r in months.collect())
+    rows = target.rows()
+    here = F.col(PARTITION).isin(changed)
+    kept = rows.where(here).join(keys, list(key), "left_anti")
+    merged = kept.select(*rows.columns).unionByName(fresh)
+    if path == target.path:
+        _replace_months(target, merged, changed)
+    else:
+        _write(rows.where(~here).unionByName(_even(merged)), path)
+    return MonthlyTable(target.spark, path, target.layout)

@@ -66,9 +66,8 @@ def run_refresh(
     ``built``. Returns all marts.
 
     Tables are cleaned and checked, dimensions rebuilt, and the facts brought up to date: months that
-    change are written to the new version, the others listed where they are. ``built`` is not
-    touched, so a failure leaves it as it was; it must be kept as long as later versions list its
-    months. A fact that ``built`` lacks is built in full.
+    change are written anew, the others copied. ``built`` is not touched, so a failure leaves it as it
+    was, and the new version does not need it. A fact that ``built`` lacks is built in full.
     """
     with _checked(spark, raw, folder) as warehouse:
         stage = warehouse.stage

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
+from tradewind.operators import upsert as U
 from tradewind.operators.upsert import MonthlyTable, incremental_filter, upsert
 from tradewind.plans import marts
 from tradewind.schemas import MARTS
@@ -16,10 +17,6 @@ ORDERS_KEY = ("order_id",)
 SALES_KEY = ("order_id", "order_item_id")
 
 
-# Stored size of a batch up to which its keys, a small part of it, are sent to every task.
-BROADCAST_BYTES = 64 << 20
-
-
 def _only(df: DataFrame, wanted: DataFrame, key: str, few: bool) -> DataFrame:
     """Rows that belong to the batch.
 
@@ -32,7 +29,7 @@ def _only(df: DataFrame, wanted: DataFrame, key: str, few: bool) -> DataFrame:
 
 def _few(recent: DataFrame) -> bool:
     """Whether a stored batch has few enough orders to send their keys to every task."""
-    return stored_bytes(recent) <= BROADCAST_BYTES
+    return stored_bytes(recent) <= U.BROADCAST_BYTES
 
 
 def recent_orders(
