@@ -7,6 +7,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bag, plan
 from tradewind.operators.dedup import dedup_keep_first
@@ -91,10 +92,30 @@ def test_sinks(spark, scratch):
         assert json.loads(file.read()) == {"k": "a", "n": 1, "gap": None}
     paths = sinks.write_summary_csv({"s": df}, f"{scratch}/summaries")
     assert spark.read.option("header", True).csv(paths["s"]).columns == ["k", "n", "gap"]
-    paths = sinks.load_full_refresh({"category_translation": df}, f"{scratch}/db")
+
+
+def test_load_publishes_all_tables_at_once(spark, scratch):
+    folder, df = f"{scratch}/db", spark.createDataFrame([("a", 1)], "k string, n int")
+    assert sinks.loaded(spark, folder) == {}
+
+    def seen():
+        return {name: spark.read.parquet(path).first().n for name, path in sinks.loaded(spark, folder).items()}
+
+    sinks.load_full_refresh({"category_translation": df, "orders": df}, folder)
+    assert seen() == {"product_category_translation": 1, "orders": 1}
+    held = spark.read.parquet(sinks.loaded(spark, folder)["orders"])
+    # A load that ends after its first table leaves both as they were.
+    broken = df.withColumn("n", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.load_full_refresh({"category_translation": df.withColumn("n", F.lit(2)), "orders": broken}, folder)
+    assert seen() == {"product_category_translation": 1, "orders": 1}
+    # A reader of the load before goes on; what failed is gone after the next load.
+    paths = sinks.load_full_refresh({n: df.withColumn("n", F.lit(3)) for n in ("category_translation", "orders")}, folder)
+    assert seen() == {"product_category_translation": 3, "orders": 3} and held.first().n == 1
     assert paths["category_translation"].endswith("/product_category_translation")
-    sinks.load_full_refresh({"category_translation": df.limit(0)}, f"{scratch}/db")
-    assert spark.read.parquet(paths["category_translation"]).count() == 0
+    assert len([n for n in os.listdir(folder) if n.startswith("load-")]) == 2
+    sinks.load_full_refresh({"orders": df.limit(0)}, folder)
+    assert list(sinks.loaded(spark, folder)) == ["orders"] and spark.read.parquet(sinks.loaded(spark, folder)["orders"]).count() == 0
 
 
 def test_build_from_csv_equals_build_from_tables(spark, folder, scratch):
@@ -249,3 +270,26 @@ def test_record_over_several_splits(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [(r.review_id, r.text) for r in got] == [("1", "line\n" * 600), ("2", "x"), ("3", "y")]
+
+
+def test_headers_are_read_by_tasks(spark, scratch):
+    """Many files, plain and compressed, with two orders of columns and a blank in a name."""
+    import gzip
+
+    from tradewind.sources import csv_files
+
+    os.makedirs(f"{scratch}/many")
+    for i in range(40):
+        lines = f"a,b\r\n{i},x\r\n" if i % 2 else f"b,a\nx,{i}\n"
+        if i % 5:
+            write(f"{scratch}/many", f"part {i}.csv", lines)
+        else:
+            with gzip.open(f"{scratch}/many/{i}.csv.gz", "wt", newline="") as file:
+                file.write(lines)
+    groups = csv_files._by_header(spark, f"{scratch}/many")
+    assert sorted(map(len, groups)) == [20, 20]
+    rows = read_csv(spark, f"{scratch}/many")
+    assert sorted((int(r.a), r.b) for r in rows.collect()) == [(i, "x") for i in range(40)]
+    # One task for each file, and each stops after its first lines.
+    lines = csv_files._first_lines(spark, csv_files._data_files(spark, f"{scratch}/many"))
+    assert lines.rdd.getNumPartitions() == 40 and lines.count() == 40

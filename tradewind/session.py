@@ -118,12 +118,3 @@ def remove(df: DataFrame) -> None:
     for folder in {os.path.dirname(name) for name in df.inputFiles()}:
         files, where = file_system(df.sparkSession, folder)
         files.delete(where, True)
-
-
-def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put a complete folder in the place of another, which stays as it was until then."""
-    files, where = file_system(spark, path)
-    files.delete(where, True)
-    files.mkdirs(where.getParent())
-    if not files.rename(file_system(spark, fresh)[1], where):
-        raise RuntimeError(f"cannot move {fresh} to {path}")

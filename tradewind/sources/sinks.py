@@ -5,26 +5,61 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import iso_text
 from tradewind.schemas import STORED_NAME
-from tradewind.session import replace_folder
+from tradewind.session import file_system
+
+#: Table that names the loads which are complete, one row each; the newest counts.
+LOADS = "_loads"
+LOADS_LAYOUT = "load string, loaded_at timestamp, tables array<string>"
+
+
+def _stored_name(name: str) -> str:
+    return STORED_NAME.get(name, name)
+
+
+def loaded(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Paths of the tables of the newest complete load, by stored name; empty before the first one.
+
+    A reader that asks once reads all tables from the same load.
+    """
+    files, where = file_system(spark, f"{folder}/{LOADS}")
+    if not files.exists(where):
+        return {}
+    loads = spark.read.schema(LOADS_LAYOUT).parquet(f"{folder}/{LOADS}")
+    newest = loads.agg(F.max(F.struct("loaded_at", "load", "tables")).alias("n")).first().n
+    return {} if newest is None else {name: f"{folder}/{newest.load}/{name}" for name in newest.tables}
 
 
 def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    """Replace every stored table; each is written by all tasks in parallel. Returns the paths.
+    """Replace all stored tables at once; each is written by all tasks in parallel. Returns the paths.
 
-    All tables are written aside before the first is put in its place, so a failed load changes
-    nothing. Without enforced foreign keys the order of the tables does not matter.
+    The tables go to a folder of this load, and one row appended to the table of loads publishes them
+    together. So readers see all old or all new tables, and a load that ends before that row changes
+    nothing. The load before stays for those that still read it; older ones and the remains of failed
+    ones are deleted, so loads of one folder run one at a time. Without enforced foreign keys the order
+    of the tables does not matter.
     """
-    paths = {name: f"{folder}/{STORED_NAME.get(name, name)}" for name in cleaned}
-    aside = {name: f"{folder}/_load-{uuid.uuid4().hex}" for name in cleaned}
-    for name, df in cleaned.items():
-        df.write.parquet(aside[name])
+    if not cleaned:
+        return {}
+    spark = next(iter(cleaned.values())).sparkSession
+    before = {path.split("/")[-2] for path in loaded(spark, folder).values()}
+    load = f"load-{uuid.uuid4().hex}"
+    paths = {name: f"{folder}/{load}/{_stored_name(name)}" for name in cleaned}
     for name, df in cleaned.items():
-        replace_folder(df.sparkSession, aside[name], paths[name])
+        df.write.parquet(paths[name])
+    row = [(load, [_stored_name(name) for name in cleaned])]
+    row = spark.createDataFrame(row, "load string, tables array<string>").coalesce(1)
+    row = row.select("load", F.current_timestamp().alias("loaded_at"), "tables")
+    row.write.mode("append").parquet(f"{folder}/{LOADS}")
+    files, where = file_system(spark, folder)
+    for status in files.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith("load-") and name not in {load, *before}:
+            files.delete(status.getPath(), True)
     return paths
 
 
