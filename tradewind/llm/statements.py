@@ -78,9 +78,14 @@ SELECT page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.ru
 FROM pages LEFT JOIN judged j ON j.url = pages.url LEFT JOIN inherited i ON i.node = j.node
 """
 
-# The assignment pattern once more; quotes are doubled for SQL.
+# The assignment pattern once more; quotes are doubled for SQL. Both cases are spelled out, since DuckDB's
+# case-insensitive patterns also take letters outside of A-Z for s and k.
+_WORDS = "|".join(
+    "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    for word in ("password", "passwd", "secret", "token", "api_?key")
+)
 _ASSIGN = (
-    "((?i:password|passwd|secret|token|api_?key))"
+    f"({_WORDS})"
     """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 )
 _CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -130,24 +135,57 @@ rest AS (
 samples AS (
   SELECT value AS token, true AS random FROM base
   UNION ALL
-  SELECT unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_]{{5,}}', 0)), false FROM rest
+  SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9+/_=-]{{6,}}', 0)), false FROM rest
 ),
 pairs AS MATERIALIZED (
   SELECT random, previous, next, count(*) AS n FROM ({_steps("SELECT token, random FROM samples")}) GROUP BY ALL
 ),
 totals AS (SELECT random, previous, sum(n) AS n FROM pairs GROUP BY ALL),
-places AS (SELECT unnest(generate_series(0, {len(_CHARACTERS)})) AS place),
-ratios AS MATERIALIZED (
+places AS (
+  SELECT place, CASE WHEN place = 0 THEN 'start' WHEN place <= 26 THEN 'letter' WHEN place <= 36 THEN 'digit' ELSE 'join' END AS class,
+    CASE WHEN place <= 26 THEN 26 WHEN place <= 36 THEN 10 ELSE 5 END AS members
+  FROM (SELECT unnest(generate_series(0, {len(_CHARACTERS)})) AS place)
+),
+shapes(class, following, share) AS (
+  VALUES ('start', 'letter', 0.5::DOUBLE), ('start', 'digit', 0.5), ('letter', 'letter', 0.5), ('letter', 'join', 0.5),
+    ('digit', 'digit', 0.7), ('digit', 'join', 0.3), ('join', 'letter', 0.5), ('join', 'digit', 0.4), ('join', 'join', 0.1)
+),
+counted AS (
   SELECT p.place AS previous, q.place AS next,
-    ln((coalesce(a.n, 0) + 0.5) / (coalesce(s.n, 0) + 0.5 * {len(_CHARACTERS) + 1}))
-      - ln((coalesce(b.n, 0) + 0.5) / (coalesce(t.n, 0) + 0.5 * {len(_CHARACTERS) + 1})) AS ratio
+    (coalesce(a.n, 0) + 0.5::DOUBLE) / (coalesce(s.n, 0) + 0.5::DOUBLE * {len(_CHARACTERS) + 1}) AS random,
+    (coalesce(b.n, 0) + 0.5::DOUBLE) / (coalesce(t.n, 0) + 0.5::DOUBLE * {len(_CHARACTERS) + 1}) AS ordinary,
+    CASE WHEN q.place > 0 THEN coalesce(f.share, 0) / q.members ELSE 0 END AS shaped
   FROM places p CROSS JOIN places q
   LEFT JOIN pairs a ON a.random AND a.previous = p.place AND a.next = q.place
   LEFT JOIN pairs b ON NOT b.random AND b.previous = p.place AND b.next = q.place
   LEFT JOIN totals s ON s.random AND s.previous = p.place
   LEFT JOIN totals t ON NOT t.random AND t.previous = p.place
+  LEFT JOIN shapes f ON f.class = p.class AND f.following = q.class
+),
+ratios AS MATERIALIZED (
+  SELECT previous, next, CASE WHEN previous = next THEN least(0.0::DOUBLE, ratio) ELSE ratio END AS ratio
+  FROM (
+    SELECT previous, next, ln(random) - ln(CASE WHEN EXISTS (SELECT 1 FROM totals)
+      THEN 0.96::DOUBLE * ordinary + 0.04::DOUBLE * (shaped + 1.0::DOUBLE / {len(_CHARACTERS) + 1}) / 2 ELSE ordinary END) AS ratio
+    FROM counted)
+),
+whole AS MATERIALIZED ({_places("random", 3, "[A-Za-z0-9+/_=-]{16,}", 0, 0)}),
+cut AS (
+  SELECT w.id, w.start_, w.end_, b.start_ AS until, b.end_ AS again, b.rank
+  FROM whole w JOIN base b ON b.id = w.id AND b.start_ < w.end_ AND w.start_ < b.end_
+),
+pieces AS (
+  SELECT id, greatest(start_, coalesce(max(again) OVER (
+    PARTITION BY id, start_ ORDER BY until, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), start_)) AS start_, until AS end_
+  FROM cut
+  UNION ALL
+  SELECT w.id, greatest(w.start_, coalesce(max(again), w.start_)), w.end_
+  FROM whole w LEFT JOIN cut c ON c.id = w.id AND c.start_ = w.start_ GROUP BY w.id, w.start_, w.end_
+),
+runs AS MATERIALIZED (
+  SELECT id, 3 AS rank, 'random' AS kind, start_, end_, substr(text, start_::BIGINT + 1, (end_ - start_)::BIGINT) AS value
+  FROM pieces JOIN docs USING (id) WHERE end_ - start_ >= 16
 ),
-runs AS MATERIALIZED ({_places("random", 3, "[A-Za-z0-9+/_=-]{16,}", 0, 0)}),
 scored AS (
   SELECT r.id, r.rank, r.kind, r.start_, r.end_
   FROM ({_steps("SELECT id, rank, kind, start_, end_, value AS token FROM runs")}) r
@@ -157,8 +195,7 @@ scored AS (
 spans AS (
   SELECT id, rank, kind, start_, end_ FROM base
   UNION ALL
-  SELECT * FROM scored s WHERE NOT EXISTS (
-    SELECT 1 FROM base b WHERE b.id = s.id AND b.start_ < s.end_ AND s.start_ < b.end_)
+  SELECT * FROM scored
 ),
 listed AS (
   SELECT id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
