@@ -2,9 +2,10 @@
 
 Alternating large-star and small-star steps (Kiveris et al., 2014): every step replaces the edges by
 edges to the smallest known neighbour, until the graph is a set of stars. Both steps are a grouped
-minimum and a join back, so a node with very many neighbours is pre-aggregated in the grouping and
-split by adaptive execution in the join; no neighbourhood is ever gathered in one place. Each round's
-edges are a table in the shared folder, which lost executors can reread.
+minimum and a join back. A node with very many neighbours is pre-aggregated in the grouping. The minima
+are stored before they are joined, so both sides of the join come right from a shuffle, which is
+what adaptive execution needs to split such a node; no neighbourhood is ever gathered in one place.
+Each round's edges and minima are tables in the shared folder, which lost executors can reread.
 """
 
 from __future__ import annotations
@@ -19,28 +20,37 @@ def _signature(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.expr("bit_xor(xxhash64(hi, lo))")).first())
 
 
+def _stored(moved: DataFrame, least: DataFrame) -> DataFrame:
+    """The moved edges as a table; their minima are not needed after that."""
+    stored = materialize(moved, "links")
+    remove(least)
+    return stored
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
         links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
-    return (
+    least = materialize(least.select("u", F.least("u", "m").alias("m")), "minima")
+    moved = (
         both.join(least, "u")
         .where("v > u")
         .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         .distinct()
     )
+    return _stored(moved, least)
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = materialize(links.groupBy("hi").agg(F.min("lo").alias("m")), "minima")
     moved = links.join(least, "hi").where("lo <> m")
-    return (
+    moved = (
         moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         .union(least.select("hi", F.col("m").alias("lo")))
         .distinct()
     )
+    return _stored(moved, least)
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -58,9 +68,11 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
     seen = _signature(links)
     while seen[0]:
-        moved = materialize(_small_star(_large_star(links)), "links")
+        wide = _large_star(links)
+        moved = _small_star(wide)
         now = _signature(moved)
         remove(links)
+        remove(wide)
         links = moved
         if now == seen:
             break

@@ -306,7 +306,8 @@ def near_duplicates(
     rooted = distinct.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).withColumn("root", F.coalesce("component", "fingerprint"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored, so that the join can be split where one component has very many fingerprints.
+    smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     named = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
 

@@ -152,6 +152,8 @@ def judge(
     inherited = placed.groupBy("component").agg(
         F.max(F.col("action") == ALLOW).alias("allowed"), F.max(F.col("action") == BLOCK).alias("blocked")
     )
+    # Stored, so that the join below can be split where one resource has very many urls.
+    inherited = materialize(inherited, "inherited")
     verdict = F.coalesce(
         "action",
         F.when(F.coalesce("allowed", F.lit(False)), F.lit(ALLOW))
