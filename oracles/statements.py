@@ -14,7 +14,7 @@ from oracles.rules import (
     STORED_NAME,
     columns,
 )
-from oracles.views import DELIVERY, STATEMENT_COUNT, STATEMENT_LIST
+from oracles.views import DELIVERY, STATEMENT_COUNT, STATEMENT_LIST, VIEWS
 
 ITEM_FACT = "fact_order_item_sales"
 FACT_REQUIRED = (
@@ -425,6 +425,14 @@ _reports = reports("mart_orders", "mart_sales")
 S |= {f"report_{k}": v for k, v in _reports.items()}
 S |= {f"profile_{k}": v for k, v in reports("flat_orders", "flat").items()}
 
+# The order fact of a stream is that of a refresh; reports of partial sums are those of the refreshed fact.
+S["feed_fact_orders"] = S["upsert_fact_orders"]
+_upserted = VIEWS["mart_orders"].replace("m_fact_orders", f"({S['upsert_fact_orders']})")
+S |= {
+    f"kept_{k}": reports(f"({_upserted})", "")[k]
+    for k in ("monthly_kpi", "delivery_review", "weekday_weekend")
+}
+
 _FIGURES = {
     "total_orders": "int",
     "total_customers": "int",

@@ -9,9 +9,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import bag, plan
+from tests.helpers import bag, plan, rows
 from tradewind.operators.dedup import dedup_keep_first
-from tradewind.plans.batch import run_batch, run_from_csv, run_refresh, run_reports
+from tradewind.plans import kept_reports, reports
+from tradewind.plans.batch import ORDER_PARTS, run_batch, run_from_csv, run_refresh, run_reports
 from tradewind.plans.warehouse import ITEM_SALES
 from tradewind.schemas import MARTS, NA_WORDS, POSITION, RAW
 from tradewind.sources import sinks
@@ -173,6 +174,10 @@ def test_build_refresh_refresh_report(spark, folder, scratch):
         assert bag(df) == bag(w.mart(name)), name
         assert bag(stored_mart(spark, v3, name)) == bag(w.mart(name)), name
         assert bag(stored_mart(spark, v1, name)) == before[name], name
+    orders = reports.read_orders(w.mart("fact_orders"))
+    parts = kept_reports.read_parts(spark, f"{v3}/{ORDER_PARTS}")
+    for name in ("monthly_kpi", "delivery_review", "weekday_weekend"):
+        assert rows(getattr(kept_reports, name)(parts)) == rows(getattr(reports, name)(orders)), name
     for version in (v1, v2, v3):
         paths = run_reports(spark, version, f"{version}-reports")
     assert spark.read.option("header", True).csv(paths["monthly_kpi"]).count() == 80

@@ -31,11 +31,15 @@ BROADCAST_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class MonthlyTable:
-    """A Parquet folder partitioned by month, with the columns of its rows."""
+    """A Parquet folder partitioned by month, with the columns of its rows.
+
+    ``changed`` names the months that the upsert which gave the table wrote anew; None for any other table.
+    """
 
     spark: SparkSession
     path: str
     layout: T.StructType
+    changed: frozenset[str] | None = None
 
     def rows(self) -> DataFrame:
         """All rows, with the month as text; a filter on it reads only the months it names."""
@@ -186,4 +190,4 @@ def upsert(
         _replace_months(target, merged, changed)
     else:
         _write(rows.where(~here).unionByName(_even(merged)), path)
-    return MonthlyTable(target.spark, path, target.layout)
+    return MonthlyTable(target.spark, path, target.layout, frozenset(changed))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.quality import assert_valid, quality_report, validate_all
 from tradewind.operators.upsert import MonthlyTable, read_monthly
-from tradewind.plans import reports
+from tradewind.plans import kept_reports, reports
 from tradewind.plans.incremental import refresh_fact_orders, refresh_fact_sales
 from tradewind.plans.warehouse import (
     FACT_DATE,
@@ -24,6 +24,8 @@ from tradewind.schemas import MARTS
 from tradewind.sources.csv_files import extract_all
 from tradewind.sources.sinks import write_quality_report, write_summary_csv
 
+#: Folder, below a version's, of the partial sums that the order reports are made of.
+ORDER_PARTS = "parts/fact_orders"
 REPORT_MARTS = ("fact_orders", "fact_sales", "dim_products")
 
 
@@ -56,6 +58,8 @@ def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) ->
     broken data."""
     with _checked(spark, raw, folder) as warehouse:
         warehouse.marts(list(MARTS))
+        fact = read_monthly(spark, f"{folder}/marts/fact_orders", MARTS["fact_orders"])
+        kept_reports.refresh_parts(None, fact, f"{folder}/{ORDER_PARTS}")
     return warehouse
 
 
@@ -66,7 +70,7 @@ def run_refresh(
     ``built``. Returns all marts.
 
     Tables are cleaned and checked, dimensions rebuilt, and the facts brought up to date: months that
-    change are written anew, the others copied. ``built`` is not touched, so a failure leaves it as it
+    change are written anew, the others copied, and the partial sums of the order reports follow them. ``built`` is not touched, so a failure leaves it as it
     was, and the new version does not need it. A fact that ``built`` lacks is built in full.
     """
     with _checked(spark, raw, folder) as warehouse:
@@ -77,7 +81,7 @@ def run_refresh(
         def old(name: str) -> MonthlyTable | None:
             return read_monthly(spark, f"{built}/marts/{name}", MARTS[name])
 
-        marts["fact_orders"] = refresh_fact_orders(
+        fact = refresh_fact_orders(
             old("fact_orders"),
             f"{folder}/marts/fact_orders",
             orders,
@@ -85,7 +89,10 @@ def run_refresh(
             lines,
             stage("order_payments"),
             stage("order_reviews"),
-        ).table()
+        )
+        counted = kept_reports.read_parts(spark, f"{built}/{ORDER_PARTS}")
+        kept_reports.refresh_parts(counted, fact, f"{folder}/{ORDER_PARTS}")
+        marts["fact_orders"] = fact.table()
         marts["fact_sales"] = refresh_fact_sales(
             old("fact_sales"), f"{folder}/marts/fact_sales", lines, orders, people
         ).table()
@@ -121,6 +128,13 @@ def refresh_from_csv(
 
 
 def run_reports(spark: SparkSession, built: str, folder: str) -> dict[str, str]:
-    """The five report tables of an earlier build as CSV. Returns their paths."""
+    """The five report tables of an earlier build as CSV. Returns their paths.
+
+    Those that add up over months are made of the build's partial sums, if it has them.
+    """
     marts = (stored_mart(spark, built, name) for name in REPORT_MARTS)
-    return write_summary_csv(reports.summaries(*marts), folder)
+    tables = reports.summaries(*marts)
+    parts = kept_reports.read_parts(spark, f"{built}/{ORDER_PARTS}")
+    if parts is not None:
+        tables |= kept_reports.summaries(parts)
+    return write_summary_csv(tables, folder)

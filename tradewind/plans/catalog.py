@@ -12,7 +12,7 @@ from tradewind.functions.columns import iso_text, plus_days
 from tradewind.operators import profiling, quality, shaping, similarity, text_audit
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.operators.upsert import MonthlyTable, incremental_filter, write_monthly
-from tradewind.plans import adhoc, incremental, kpis, marts, reports
+from tradewind.plans import adhoc, incremental, kept_reports, kpis, marts, reports
 from tradewind.plans.batch import REPORT_MARTS
 from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
 from tradewind.plans.staging import stage
@@ -21,6 +21,7 @@ from tradewind.schemas import MARTS, POSITION, RAW, RULES, STORED_NAME
 from tradewind.session import file_system, fresh_path
 from tradewind.sources import sinks, testdata
 from tradewind.sources.csv_files import extract_all, extract_text, unreadable
+from tradewind.streaming import order_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,18 +206,46 @@ def monthly_orders(w: Warehouse) -> DataFrame:
     return write_monthly(w.stage("orders"), path, "order_purchase_timestamp").rows()
 
 
-def upsert_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
-    w = open_warehouse(spark, folder)
+def refreshed_orders(w: Warehouse, old: MonthlyTable) -> MonthlyTable:
     s = w.stage
     return incremental.refresh_fact_orders(
-        stale_fact_orders(w),
-        fresh_path(spark, "fact_orders"),
+        old,
+        fresh_path(w.spark, "fact_orders"),
         monthly_orders(w),
         s("customers"),
         s("order_items"),
         s("order_payments"),
         s("order_reviews"),
-    ).table()
+    )
+
+
+def upsert_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
+    w = open_warehouse(spark, folder)
+    return refreshed_orders(w, stale_fact_orders(w)).table()
+
+
+def _kept(report: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report made of partial sums that a refresh has brought up to date."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        w = open_warehouse(spark, folder)
+        old = stale_fact_orders(w)
+        counted = kept_reports.refresh_parts(None, old, fresh_path(spark, "parts"))
+        new = refreshed_orders(w, old)
+        return report(kept_reports.refresh_parts(counted, new, fresh_path(spark, "parts")))
+
+    return query
+
+
+def feed_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The order fact after a stream has read all orders, in several files, from an inbox."""
+    w = open_warehouse(spark, folder)
+    inbox, old = fresh_path(spark, "inbox"), stale_fact_orders(w)
+    w.cleaned("orders").write.parquet(inbox)
+    details = {n: w.stage(n) for n in ("customers", "order_items", "order_payments", "order_reviews")}
+    progress = fresh_path(spark, "progress")
+    order_feed.follow_orders(spark, inbox, details, old.path, progress).awaitTermination()
+    return old.table()
 
 
 def upsert_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -387,6 +416,10 @@ def build_queries() -> dict[str, Query]:
     q["incremental_filter"] = lookback_rows
     q["upsert_fact_orders"] = upsert_fact_orders
     q["upsert_fact_sales"] = upsert_fact_sales
+    q["feed_fact_orders"] = feed_fact_orders
+    q["kept_monthly_kpi"] = _kept(kept_reports.monthly_kpi)
+    q["kept_delivery_review"] = _kept(kept_reports.delivery_review)
+    q["kept_weekday_weekend"] = _kept(kept_reports.weekday_weekend)
 
     # KPIs on the flat items, reports on the marts
     q |= {

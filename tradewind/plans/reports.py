@@ -25,9 +25,10 @@ from tradewind.plans.kpis import (
 )
 
 
-def read_orders(fact_orders: DataFrame) -> DataFrame:
-    """Order-level extract of the reports: the fact with month and weekday spelled out."""
+def read_orders(fact_orders: DataFrame, *more: str) -> DataFrame:
+    """Order-level extract of the reports: the fact with month and weekday spelled out, and ``more`` columns."""
     return fact_orders.select(
+        *more,
         "order_id",
         month_label(F.col("order_date")).alias("order_month"),
         weekday_name(F.col("order_date")).alias("order_weekday"),
