@@ -121,3 +121,41 @@ def test_links_within_the_article():
 
 def test_short_region_beside_a_dense_one():
     assert X.main_text(f"<article><p>Brief.</p></article><article><p>{LONG * 20}</p><p>{LONG * 20}</p><p>{LONG * 20}</p></article>") == " ".join(["Brief."] + [LONG * 20] * 3)
+
+
+HOSTILE = ("<div class=sidebar>x", "<a ", "<a>", "<a href=\"", "<a x <", "<div></i>", "<div><li></li>", "<b><hr>", "<b><a href=x>", "<a href=x><div>z</a>")
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_broken_pages_take_time_in_proportion(unit):
+    import time
+
+    begun = time.process_time()
+    for end in ("", ">"):
+        X.main_text(f"<i>{unit * 50_000}{end}")
+    assert time.process_time() - begun < 20
+
+
+def test_text_after_an_unfinished_tag():
+    assert X.main_text(f"<article><p>{LONG}</p><a <a <b c") == LONG
+    assert X.main_text(f"<article><p>{LONG} 1 < 2") == f"{LONG} 1 < 2"
+
+
+def test_ratios_decide_in_a_declared_article(monkeypatch):
+    """Short lines after a list of links are no content, dense ones are, with what lies between."""
+    short, share = "<p>Printed on paper.</p>", "<p><a href=/f>F</a> <a href=/t>T</a></p>"
+    assert X.main_text(f"<article><h1>T</h1>{share}<p>{LONG}</p><p>So.</p>{MENU}{short}</article>") == f"T {LONG} So."
+    assert X.main_text(f"<article>{short}{MENU}<h1>T</h1><p>{LONG}</p></article>") == f"T {LONG}"
+    between = f"<article><p>{LONG}</p>{MENU}{short}{MENU}<p>{LONG}</p></article>"
+    assert X.main_text(between) == f"{LONG} Printed on paper. {LONG}"
+    monkeypatch.setattr(X, "dense", lambda ratios: X.np.ones(len(ratios), bool))
+    assert X.main_text(f"<article><p>{LONG}</p>{MENU}{short}</article>").endswith("Printed on paper.")
+    monkeypatch.setattr(X, "dense", lambda ratios: X.np.zeros(len(ratios), bool))
+    assert X.main_text(between) == "" == X.main_text(f"<p>{LONG}</p>")
+
+
+def test_marks_within_marks():
+    inner = f"<div class=widget><div class=sidebar>{LONG}</div><article><p>{LONG}</p><div class=widget>x</div></article></div>"
+    assert X.main_text(f"<div class='page sidebar'>{inner}</div><div class=share>{LONG}</div>") == LONG
+    two = f"<div class=sidebar><article><p>{LONG}</p></article></div>"
+    assert X.main_text(f"{two}<article><p>{LONG} b</p></article>") == f"{LONG} b"

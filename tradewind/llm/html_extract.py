@@ -8,15 +8,19 @@ and Han, 2010).
 
 Elements that never are content (menus, scripts, adverts, reader comments, told by tag, role, or a whole
 word of class or id) give no lines. Words for parts of a layout decide nothing about an element around the
-declared article or most of the text. If the page declares its article, the declaration stands in for the
-threshold on running text, so its short paragraphs, lists and tables stay, and ratios, smoothing and clusters
-judge its lines of links. Otherwise the clustered lines are the content.
+declared article or most of the text. If the page declares its article, the declaration lowers the threshold,
+to the deviation over the article's own lines, and bridges gaps: short running lines between its clusters
+stay, and those before and after them as far as no more lines of links stand between than the smoothing sees.
+Without a dense line nothing of an article is content. Otherwise the clustered lines of the page are the content.
+
+The work is linear in the page: stacks hold the places of open elements by tag, and marks around a line are
+a chain of parents.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -76,7 +80,7 @@ LAYOUT = frozenset(
     "sidebar toolbar widget widgets".split()
 )
 LAYOUT_OUTSIDE = LAYOUT | {"footer", "header", "masthead", "site-footer", "site-header", "topbar"}
-_CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
+_TAG_START = re.compile(r"<[A-Za-z/!?]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -84,14 +88,13 @@ def declares(tag: str, attrs: list) -> bool:
     return tag in DECLARED or bool(attrs) and not DECLARING.isdisjoint(attrs)
 
 
-@dataclass
+@dataclass(slots=True)
 class Open:
     """An open element: what closing it ends."""
 
     tag: str
     refused: bool = False
     declared: bool = False
-    linked: bool = False
     held: bool = False
 
 
@@ -100,25 +103,32 @@ class Lines(HTMLParser):
 
     Parts that a class, an id or a form marks are read and held: only the whole page tells whether the mark
     names a part beside the article or the element around it (``free``).
+
+    ``places`` holds the places of open elements, ascending: by tag, of BLOCK elements, of ENDS, which an end
+    of a paragraph does not pass, and of LISTS, which an end of an item does not pass.
     """
 
+    BLOCK, ENDS, LISTS = object(), object(), object()
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[Open] = []
-        self.skipped = self.links = self.inside = 0
+        self.skipped = self.inside = 0
         self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
         self.region = -1
-        self.marks: list[tuple[bool, int]] = []  # By number: of a layout, region it lies in or -1.
-        self.holding: tuple[int, ...] = ()
-        self.held: list[tuple[int, ...]] = []  # Marks around each line.
+        self.marks: list[tuple[bool, int, int]] = []  # Of a layout, region it lies in or -1, mark around it or -1.
+        self.mark = -1
+        self.held: list[int] = []  # Innermost mark around each line or -1.
+        self.places: defaultdict = defaultdict(list)
+        self.link: Open | None = None
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.lines.append((text, max(1, self.tags), self.linked, self.region if self.inside else -1))
-            self.held.append(self.holding)
+            self.held.append(self.mark)
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -152,20 +162,32 @@ class Lines(HTMLParser):
         if not self.marks:
             return self.lines
         size: Counter = Counter()
-        around: Counter = Counter()
-        outer = []
-        for (text, _, linked, region), held in zip(self.lines, self.held, strict=True):
+        around = [0] * len(self.marks)
+        lines = list(zip(self.lines, self.held, strict=True))
+        for (text, _, linked, region), mark in lines:
             size[region] += max(0, len(text) - linked)
-            for mark in held:
+            if mark >= 0:
                 around[mark] += max(0, len(text) - linked)
-            if region >= 0:
-                outer.append({m for m in held if self.marks[m][1] < 0})
-        lifted = set().union(*outer) if all(outer) else set()
-        declared = bool(outer)
-        for mark, (layout, region) in enumerate(self.marks):
-            if layout and (region >= 0 or not declared) and 2 * around[mark] > size[region]:
-                lifted.add(mark)
-        return [line for line, held in zip(self.lines, self.held, strict=True) if lifted.issuperset(held)]
+        outside = [False] * len(self.marks)  # Whether a mark outside of all regions is on the way up.
+        for mark, (_, region, parent) in enumerate(self.marks):
+            outside[mark] = region < 0 or parent >= 0 and outside[parent]
+        declared = [mark for line, mark in lines if line[3] >= 0]
+        around_declared = [False] * len(self.marks)
+        if all(mark >= 0 and outside[mark] for mark in declared):
+            for mark in declared:
+                around_declared[mark] = True
+        for mark in range(len(self.marks) - 1, -1, -1):  # Parents have smaller numbers.
+            parent = self.marks[mark][2]
+            if parent >= 0:
+                around[parent] += around[mark]
+                around_declared[parent] |= around_declared[mark]
+        lifted = [False] * len(self.marks)  # With all marks around it.
+        for mark, (layout, region, parent) in enumerate(self.marks):
+            free = region < 0 and around_declared[mark] or (
+                layout and (region >= 0 or not declared) and 2 * around[mark] > size[region]
+            )
+            lifted[mark] = free and (parent < 0 or lifted[parent])
+        return [line for line, mark in lines if mark < 0 or lifted[mark]]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -188,22 +210,31 @@ class Lines(HTMLParser):
                 self.region += 1
             self.inside += 1
         if held:
-            self.holding += (len(self.marks),)
-            self.marks.append((layout, self.region if self.inside - declared else -1))
+            self.marks.append((layout, self.region if self.inside - declared else -1, self.mark))
+            self.mark = len(self.marks) - 1
         self.skipped += refused
-        linked = tag == "a" and any(name == "href" for name, _ in attrs)
-        if tag == "a":
-            self.end_link()
-        self.links += linked
-        self.open.append(Open(tag, refused, declared, linked, held))
-
-    def end_link(self) -> None:
-        """A link ends an open one."""
-        for element in reversed(self.open):
-            if element.linked:
-                element.linked = False
-                self.links -= 1
-                return
+        element = Open(tag, refused, declared, held)
+        if tag == "a":  # A link ends an open one.
+            self.link = element if any(name == "href" for name, _ in attrs) else None
+        for kind in self.kinds(element):
+            self.places[kind].append(len(self.open))
+        self.open.append(element)
+
+    def kinds(self, element: Open) -> list:
+        """The stacks of places an element is in."""
+        tag, found = element.tag, [element.tag]
+        if tag in BLOCKS:
+            found.append(self.BLOCK)
+        if element.refused or tag in BLOCKS or tag == "button":
+            found.append(self.ENDS)
+        if element.refused or tag in ("ul", "ol", "dl", "table", "menu", "select"):
+            found.append(self.LISTS)
+        return found
+
+    def last(self, kind: object) -> int:
+        """Place of the innermost open element of a kind; -1 without one."""
+        found = self.places.get(kind)
+        return found[-1] if found else -1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -213,61 +244,58 @@ class Lines(HTMLParser):
             self.flush()
 
     def close_paragraph(self) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            element = self.open[at]
-            if element.tag == "p":
-                self.leave(at)
-                return
-            if element.refused or element.tag in BLOCKS or element.tag == "button":
-                return
+        at = self.last(self.ENDS)
+        if at >= 0 and self.open[at].tag == "p":
+            self.leave(at)
 
     def close_open(self, kinds: tuple) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            element = self.open[at]
-            if element.tag in kinds:
-                self.leave(at)
-                return
-            if element.refused or element.tag in ("ul", "ol", "dl", "table", "menu", "select"):
-                return
+        at = max(self.last(kind) for kind in kinds)
+        if at >= 0 and at >= self.last(self.LISTS):
+            self.leave(at)
 
     def leave(self, at: int) -> None:
         """Close the open elements from this one on."""
         self.flush_unless_skipped()
-        held = 0
-        for element in self.open[at:]:
+        while len(self.open) > at:
+            element = self.open.pop()
             self.skipped -= element.refused
             self.inside -= element.declared
-            self.links -= element.linked
-            held += element.held
-        self.holding = self.holding[: len(self.holding) - held]
-        del self.open[at:]
+            if element.held:
+                self.mark = self.marks[self.mark][2]
+            if element is self.link:
+                self.link = None
+            for kind in self.kinds(element):
+                self.places[kind].pop()
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        inline = tag not in BLOCKS
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at].tag == tag:
-                if inline and not self.open[at].refused:
-                    # An inline end tag does not end blocks opened since.
-                    if all(e.tag not in BLOCKS for e in self.open[at:]):
-                        if any(e.refused or e.held or e.declared for e in self.open[at:]):
-                            self.leave(at)
-                        else:
-                            self.links -= sum(e.linked for e in self.open[at:])
-                            del self.open[at:]
-                    elif self.open[at].linked:
-                        self.open[at].linked = False
-                        self.links -= 1
-                    return
-                self.leave(at)
-                return
-        if not inline:
-            self.flush_unless_skipped()
+        at = self.last(tag)
+        if at < 0:
+            if tag in BLOCKS:
+                self.flush_unless_skipped()
+        elif tag in BLOCKS or self.open[at].refused:
+            self.leave(at)
+        elif self.last(self.BLOCK) > at:
+            # An inline end tag does not end blocks opened since.
+            if self.open[at] is self.link:
+                self.link = None
+        else:
+            self.leave_inline(at)
+
+    def leave_inline(self, at: int) -> None:
+        """Close inline elements, which end a line only if they are judged for themselves."""
+        if any(e.refused or e.held or e.declared for e in self.open[at:]):
+            self.leave(at)
+            return
+        parts, self.parts = self.parts, []
+        linked, tags = self.linked, self.tags
+        self.leave(at)
+        self.parts, self.linked, self.tags = parts, linked, tags
 
     def handle_data(self, data: str) -> None:
         if not self.skipped:
             self.parts.append(data)
-            if self.links:
+            if self.link:
                 self.linked += len(data.strip())
 
 
@@ -288,19 +316,33 @@ def dense(ratios: np.ndarray) -> np.ndarray:
 def of_region(lines: list[tuple[str, int, int, int]]) -> list[str]:
     """Texts of the content of one declared region.
 
-    Running text outside of links is content by the declaration. Lines of links have to be dense, in a
-    cluster of running text on both sides, no longer than the smoothing sees, and not lists of
-    short links by their own ratio.
+    Dense lines, with the region's own threshold, are its clusters. Running text between two clusters is
+    content, and before the first and after the last one as long as the next line kept is no farther than the
+    smoothing sees. Lines of links have to be dense, with running text as near on both sides, and no
+    lists of short links by their own ratio.
     """
     free = np.array([len(text) - linked for text, _, linked, _ in lines], float)
     tags = np.array([tags for _, tags, _, _ in lines], float)
     size = np.array([len(text) for text, *_ in lines], float)
     running = free > (1 - LINKS) * size
-    if running.all() or not running.any():
-        return [line[0] for line, kept in zip(lines, running, strict=True) if kept]
-    likely = dense(free / tags) & (size / tags >= WORD_A_TAG)
+    clustered = dense(free / tags)
+    # The highest ratio may fall on a line of links amid short lines; its neighbours are the cluster then.
     places = np.flatnonzero(running)
-    kept = running.copy()
+    seeds = places[clustered[places]]
+    if not seeds.size:
+        near = np.convolve(clustered, np.ones(2 * RADIUS + 1), mode="full")[RADIUS:-RADIUS] > 0
+        seeds = places[near[places]]
+    if not seeds.size:
+        return []
+    first, last = np.searchsorted(places, seeds[[0, -1]])
+    while first > 0 and places[first] - places[first - 1] <= RADIUS + 1:
+        first -= 1
+    while last + 1 < len(places) and places[last + 1] - places[last] <= RADIUS + 1:
+        last += 1
+    places = places[first : last + 1]
+    kept = np.zeros(len(lines), bool)
+    kept[places] = True
+    likely = clustered & (size / tags >= WORD_A_TAG)
     for before, after in zip(places[:-1], places[1:], strict=True):
         if 1 < after - before <= RADIUS + 1:
             kept[before + 1 : after] = likely[before + 1 : after]
@@ -311,7 +353,7 @@ def content(lines: list[tuple[str, int, int, int]]) -> list[str]:
     """Texts of the lines that belong to the content, in page order.
 
     Each declared region is judged by its own lines, so a short one counts beside a long one. If no
-    region has running text, the clusters of the page count, and at last regions that are all links.
+    region has running text, the clusters of the page count, and at last clusters of links in regions.
     """
     if not lines:
         return []
@@ -325,18 +367,19 @@ def content(lines: list[tuple[str, int, int, int]]) -> list[str]:
     clustered = dense(np.array([len(text) / tags for text, tags, _, _ in lines], float))
     running = clustered & np.array([linked < LINKS * len(text) for text, _, linked, _ in lines])
     found = [line[0] for line, kept in zip(lines, running, strict=True) if kept]
-    return found or [line[0] for region in regions.values() for line in region]
+    return found or [line[0] for line, kept in zip(lines, clustered, strict=True) if kept and line[3] >= 0]
 
 
 def main_text(html: str | None) -> str:
     """Blocks of the content joined by blanks; empty for a null or empty page or one without any.
 
-    A tag cut off at the end of the page is no text.
+    A tag cut off at the end of the page, with all that follows it, is no text.
     """
     if not html:
         return ""
+    cut = _TAG_START.search(html, html.rfind(">") + 1)
     parser = Lines()
-    parser.feed(_CUT_TAG.sub("", html))
+    parser.feed(html[: cut.start()] if cut else html)
     parser.close()
     parser.flush()
     return " ".join(content(parser.free()))
