@@ -61,6 +61,10 @@ HTML = [
     '<meta name=refresh content="0;url=http://no.net/">', '<link rel="canonical" href="//D.com/de/1">', "plain", None,
     "<link rel=canonical href='mailto:x@y.z'>", "<link rel=canonical>", '<link rel="canonical" href="">',
     "<meta http-equiv=refresh content='5'>", "<link rel='alternate canonical' href=http://e.net>",
+    "<link rel=canonical href=../z.html>", "<link rel=canonical href='https:&#x2F;&#47;d.com/de/./u/../../es/&period;'>",
+    "<base href=//d.com/de/q/?x><link rel=canonical href=../k?a=../b>", "<!-- <link rel=canonical href=http://no.net/1> -->x",
+    "<base><base href='/fr/'><meta http-equiv=refresh content='0;url=#t'><!-- <base href=/no/>",
+    "<link rel=canonical href='/w/&#xD800;&#0;&amp;#47;&copy;&unknown;'>", "<link rel=canonical href=/a//../../../b/..>",
 ]
 
 
@@ -99,6 +103,8 @@ def test_links(spark):
     assert got == {
         "https://b.net/es/2", "https://h.net/x/y", "http://example.org/es/9?a=1&b=2", "https://h.net/a/rel/two#f",
         "https://D.com/de/1", "http://e.net",
+        "https://h.net/z.html", "https://d.com/es/", "https://d.com/de/k?a=../b", "https://h.net/fr/#t",
+        "https://h.net/w/\ufffd\ufffd&#47;&copy;&unknown;", "https://h.net/",
     }
 
 

@@ -9,36 +9,82 @@ WITH RECURSIVE rules(action, rule_host, rule_path) AS (
          ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ),
 tags AS (
-  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages
+  SELECT url, row_number() OVER () AS page, regexp_extract_all(
+    regexp_replace(html, '(?s)<!--.*?(-->|\z)', '', 'g'), '(?is)<(?:link|meta|base)\b[^>]*>') AS tags
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
 ),
 named AS (
-  SELECT url, tag,
+  SELECT url, page, tag, nth, regexp_matches(tag, '(?i)^<base\b') AS is_base,
     regexp_matches(tag, '(?is)^<link\b.*[\s"'']rel\s*=\s*["'']?[^"''>]*\bcanonical\b') AS canonical,
     regexp_matches(tag, '(?is)^<meta\b.*[\s"'']http-equiv\s*=\s*["'']?\s*refresh\b') AS refresh
-  FROM tags
-),
-values_ AS (
-  SELECT url, canonical,
-    regexp_extract(tag, '(?is)[\s"'']href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS h,
-    regexp_extract(tag, '(?is)[\s"'']content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS m
-  FROM named WHERE canonical OR refresh
-),
-links AS (
-  SELECT url, trim(regexp_replace(
-    CASE WHEN canonical THEN h.a || h.b || h.c
-    ELSE regexp_extract(m.a || m.b || m.c, '(?is)url\s*=\s*[''"]?([^''"]*)', 1) END, '(?i)&amp;', '&', 'g')) AS link
-  FROM values_ WHERE url IS NOT NULL
-),
-resolved AS (
-  SELECT url AS source, CASE
+  FROM (SELECT url, page, unnest(tags) AS tag, generate_subscripts(tags, 1) AS nth FROM tags)
+),
+given AS (
+  SELECT url, page, nth, is_base, canonical, v.a || v.b || v.c AS given
+  FROM (SELECT *, CASE WHEN is_base OR canonical
+    THEN regexp_extract(tag, '(?is)[\s"'']href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c'])
+    ELSE regexp_extract(tag, '(?is)[\s"'']content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c'])
+    END AS v FROM named WHERE is_base OR canonical OR refresh)
+),
+decoded AS (
+  SELECT * REPLACE (array_to_string(list_transform(
+    regexp_extract_all(given, '&#[xX][0-9a-fA-F]{1,6};?|&#[0-9]{1,7};?|&[A-Za-z]+;|[^&]+|&'),
+    lambda p: CASE
+      WHEN regexp_matches(p, '^&#[xX]') THEN
+        list_extract([chr(CASE WHEN n BETWEEN 1 AND 55295 OR n BETWEEN 57344 AND 1114111 THEN n ELSE 65533 END)
+          FOR n IN [('0x' || rtrim(p[4:], ';'))::INT]], 1)
+      WHEN regexp_matches(p, '^&#[0-9]') THEN
+        list_extract([chr(CASE WHEN n BETWEEN 1 AND 55295 OR n BETWEEN 57344 AND 1114111 THEN n ELSE 65533 END)
+          FOR n IN [rtrim(p[3:], ';')::INT]], 1)
+      ELSE CASE lower(p) WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' WHEN '&quot;' THEN '"'
+        WHEN '&apos;' THEN '''' WHEN '&sol;' THEN '/' WHEN '&colon;' THEN ':' WHEN '&period;' THEN '.' ELSE p END
+    END), '') AS given)
+  FROM given
+),
+bases AS (
+  SELECT url, page, arg_min(trim(given), nth) AS link FROM decoded WHERE is_base AND given <> '' GROUP BY ALL
+),
+based AS (
+  SELECT page, CASE
     WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
     WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^:/?#]*)://', 1) || ':' || link
     WHEN starts_with(link, '/') THEN regexp_extract(url, '^[^:/?#]*://[^/?#]*') || link
-    WHEN link = '' OR regexp_matches(link, '^[#?]|^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN regexp_matches(link, '^[?#]') THEN regexp_extract(url, '^[^?#]*') || link
     WHEN regexp_matches(url, '^[^:/?#]*://[^/?#]*/') THEN regexp_extract(url, '^[^:/?#]*://[^/?#]*[^?#]*/') || link
-    ELSE regexp_extract(url, '^[^:/?#]*://[^/?#]*') || '/' || link END AS target
+    ELSE regexp_extract(url, '^[^:/?#]*://[^/?#]*') || '/' || link END AS base
+  FROM bases
+),
+links AS (
+  SELECT url, base, coalesce(base, url) AS under, trim(CASE WHEN canonical THEN given
+    ELSE regexp_extract(given, '(?is)url\s*=\s*[''"]?([^''"]*)', 1) END) AS link
+  FROM decoded LEFT JOIN based USING (page) WHERE NOT is_base
+),
+absolute AS (
+  SELECT url, CASE
+    WHEN link = '' OR base IS NULL AND regexp_matches(link, '^[?#]') THEN NULL
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN starts_with(link, '//') THEN regexp_extract(under, '^([^:/?#]*)://', 1) || ':' || link
+    WHEN starts_with(link, '/') THEN regexp_extract(under, '^[^:/?#]*://[^/?#]*') || link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN regexp_matches(link, '^[?#]') THEN regexp_extract(under, '^[^?#]*') || link
+    WHEN regexp_matches(under, '^[^:/?#]*://[^/?#]*/') THEN regexp_extract(under, '^[^:/?#]*://[^/?#]*[^?#]*/') || link
+    ELSE regexp_extract(under, '^[^:/?#]*://[^/?#]*') || '/' || link END AS target
   FROM links
 ),
+-- Dot segments go one after another: first single dots and leading pairs, then each pair with what it follows.
+undotted(url, origin, path) AS (
+  SELECT url, regexp_extract(target, '^[^:/?#]*://[^/?#]*'),
+    regexp_replace(regexp_replace(regexp_extract(target, '^[^:/?#]*://[^/?#]*([^?#]*)', 1),
+      '(/\.)+(/|$)', '/', 'g'), '^(/\.\.)+(/|$)', '/')
+  FROM absolute WHERE target IS NOT NULL
+  UNION
+  SELECT url, origin, regexp_replace(regexp_replace(path, '/[^/]*/\.\.(/|$)', '/'), '^(/\.\.)+(/|$)', '/')
+  FROM undotted WHERE regexp_matches(path, '/\.\.(/|$)')
+),
+resolved AS (
+  SELECT DISTINCT url AS source, origin || path AS target FROM undotted WHERE NOT regexp_matches(path, '/\.\.(/|$)')
+),
 urls AS (
   SELECT url FROM pages UNION SELECT source FROM resolved UNION SELECT target FROM resolved
 ),

@@ -22,6 +22,9 @@ from tradewind.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Character references by name that an address may be spelled with, and all forms of one.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "sol": "/", "colon": ":", "period": "."}
+_PIECES = rf"&#[xX][0-9a-fA-F]{{1,6}};?|&#[0-9]{{1,7}};?|(?i:&(?:{'|'.join(_NAMED)});)|[^&]+|&"
 _VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
@@ -52,39 +55,104 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*(F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)))
 
 
+def _decoded(text: Column) -> Column:
+    """Text with its character references decoded; one without a meaning is U+FFFD, other ``&`` stay."""
+
+    def piece(p: Column) -> Column:
+        digits = F.rtrim(F.substr(p, F.lit(3)), F.lit(";"))
+        hexed = p.rlike("^&#[xX]")
+        code = F.when(hexed, F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(digits).cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        names = F.create_map(*(F.lit(x) for pair in _NAMED.items() for x in pair))
+        named = F.try_element_at(names, F.lower(F.regexp_extract(p, "^&([A-Za-z]+);$", 1)))
+        return (
+            F.when(p.rlike("^&#[0-9xX]"), F.when(known, char).otherwise("\ufffd"))
+            .when(p.rlike("^&[A-Za-z]"), F.coalesce(named, p))
+            .otherwise(p)
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(pieces, piece), "")).otherwise(text)
+
+
+def _resolved(rows: DataFrame, into: str, link: Column, base: Column) -> DataFrame:
+    """``rows`` with the absolute url that a link means on a page or under a base; null for other things
+    than pages. Its path has no segments ``.`` and ``..``.
+
+    Each step is a column of its own, since an expression that names a long one often grows very large.
+    """
+    rows = rows.withColumns({"_link": link, "_base": base})
+    link, base = F.col("_link"), F.col("_base")
+    rows = rows.withColumns(
+        {
+            "_origin": F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*", 0),
+            "_folder": F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*([^?#]*/)", 1),
+        }
+    )
+    origin, folder = F.col("_origin"), F.col("_folder")
+    rows = rows.withColumn(
+        "_url",
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.startswith("//"), F.concat(F.substring_index(origin, "/", 1), link))
+        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(link.rlike(r"^[?#]"), F.concat(F.regexp_extract(base, "^[^?#]*", 0), link))
+        .when(folder != "", F.concat(origin, folder, link))
+        .otherwise(F.concat(origin, F.lit("/"), link)),
+    )
+    split = r"^([^:/?#]*://[^/?#]*)([^?#]*)((?s:.*))$"
+    rows = rows.withColumns({f"_{n}": F.regexp_extract("_url", split, i) for i, n in enumerate(("all", "origin", "path", "rest"))})
+    rows = rows.withColumn("_segments", F.split(F.substr(F.col("_path"), F.lit(2)), "/"))
+    kept = F.aggregate(
+        "_segments",
+        F.array().cast("array<string>"),
+        lambda out, s: F.when(s == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))))
+        .when(s == ".", out)
+        .otherwise(F.concat(out, F.array(s))),
+    )
+    dotted = F.col("_path").rlike(r"/\.\.?(?:/|\z)")
+    rows = rows.withColumn("_kept", F.when(dotted, kept))
+    folder = F.element_at("_segments", -1).isin(".", "..") & (F.size("_kept") > 0)
+    clean = F.concat("_origin", F.lit("/"), F.array_join("_kept", "/"), F.when(folder, "/").otherwise(""), "_rest")
+    rows = rows.withColumn(into, F.when(dotted, clean).otherwise(F.col("_url")))
+    return rows.drop(*(c for c in rows.columns if c.startswith("_")))
+
+
 def html_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(source, target)`` urls of canonical links and of redirects by ``http-equiv="refresh"``.
 
-    Links relative to the page keep its scheme, host or folder; links to the page itself (empty, only a
-    query or fragment) and to other things than pages (``mailto:``) are no edges.
+    Comments are no tags. Character references are decoded, and links relative to the page, or to the first
+    ``<base>`` with an address, keep its scheme, host or folder; segments ``.`` and ``..`` are resolved.
+    Links to the page itself (empty, or without a base only a query or fragment) and to other things than
+    pages (``mailto:``) are no edges.
     """
-    tags = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
+    text = F.regexp_replace(F.col(html), r"(?s)<!--.*?(?:-->|\z)", "")
+    tags = F.regexp_extract_all(text, F.lit(r"(?is)<(?:link|meta|base)\b[^>]*>"), F.lit(0))
     canonical = lambda t: t.rlike(r"""(?is)^<link\b.*[\s"']rel\s*=\s*["']?[^"'>]*\bcanonical\b""")
     refresh = lambda t: t.rlike(r"""(?is)^<meta\b.*[\s"']http-equiv\s*=\s*["']?\s*refresh\b""")
-    named = F.filter(tags, lambda t: canonical(t) | refresh(t))
-    given = F.transform(
-        named,
-        lambda t: F.when(canonical(t), _attribute(t, "href")).otherwise(
-            F.regexp_extract(_attribute(t, "content"), r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
-        ),
-    )
-    links = F.transform(given, lambda v: F.trim(F.regexp_replace(v, "(?i)&amp;", "&")))
-    base, link, origin = map(F.col, ("source", "link", "origin"))
+    based = F.filter(F.col("tags"), lambda t: t.rlike(r"(?i)^<base\b") & (_attribute(t, "href") != ""))
+    named = F.filter(F.col("tags"), lambda t: canonical(t) | refresh(t))
+    tag = F.col("tag")
     found = (
         pages.where(F.col(html).contains("<"))
-        .select(F.col(url).alias("source"), F.explode(links).alias("link"))
-        .withColumn("origin", F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*", 0))
-        .withColumn("folder", F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*([^?#]*/)", 1))
-    )
-    target = (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
-        .when(link.startswith("//"), F.concat(F.substring_index(origin, "/", 1), link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when((link == "") | link.rlike(r"^[#?]|^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
-        .when(F.col("folder") != "", F.concat(origin, F.col("folder"), link))
-        .otherwise(F.concat(origin, F.lit("/"), link))
+        .select(F.col(url).alias("source"), tags.alias("tags"))
+        .select("source", F.get(based, F.lit(0)).alias("base"), F.explode(named).alias("tag"))
+        .withColumn("named", canonical(tag))
+        .withColumn("value", F.when(F.col("named"), _attribute(tag, "href")).otherwise(_attribute(tag, "content")))
+        .withColumn("value", _decoded(F.col("value")))
+        .withColumn("base", _attribute(F.col("base"), "href"))
+        .withColumn("base", F.trim(_decoded(F.col("base"))))
     )
-    return found.select("source", target.alias("target")).dropna()
+    redirect = F.regexp_extract("value", r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1)
+    found = found.withColumn("link", F.trim(F.when(F.col("named"), F.col("value")).otherwise(redirect)))
+    # Stored before each step that filters, since a filter moved below these columns would spell them out.
+    found = materialize(found.select("source", "base", "link"), "named").where("link <> ''")
+    found = _resolved(found, "under", F.col("base"), F.col("source"))
+    found = materialize(found.select("source", "under", "link"), "based")
+    found = found.where(F.col("under").isNotNull() | ~F.col("link").rlike("^[?#]"))
+    found = _resolved(found, "target", F.col("link"), F.coalesce("under", "source"))
+    return materialize(found.select("source", "target"), "edges").dropna()
 
 
 # --- decisions ------------------------------------------------------------------------------------
