@@ -21,14 +21,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A label counts: documents without one have to be as close to a language as its own texts are.
     """
     model = language.train(docs)
-    floors = language.floors(docs, model)
-    kept = docs.columns
     hidden = docs.select(
-        F.struct(*quoted(kept)).alias("doc"), F.col("text").alias("text")
+        F.struct(*quoted(docs.columns)).alias("doc"), F.col("text").alias("text")
     )
-    found = language.identify(hidden, model)
+    # Stored once: the floors come from the scores of all labelled documents, the filter reads them again.
+    found = materialize(language.identify(hidden, model).drop("text"), "identified")
+    floors = language.floors(found, model, "doc.lang", "doc.text")
     labelled = F.col("doc.lang").isNotNull()
-    return language.accepted(found, floors=floors, labelled=labelled).select("doc.*")
+    return language.accepted(found, "doc.text", floors=floors, labelled=labelled).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text, and ``n_chars`` follows; every document stays."""
-    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    model = secret_scan.train(secret_scan.labelled_samples(docs, max_docs=None))
     hidden = docs.select(
         F.struct(*quoted(docs.columns)).alias("doc"), F.col("text").alias("text")
     )

@@ -15,7 +15,7 @@ import test_simhash_dedup
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from tradewind.llm import decontaminate, packing, secret_scan
+from tradewind.llm import decontaminate, language, packing, secret_scan
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -144,3 +144,22 @@ def test_documents_in_unlearned_languages_go(spark, name):
     foreign = [r.doc_id in kept for r in rows if r.source == name]
     own = [r.doc_id in kept for r in rows if r.source != name and r.lang is None]
     assert sum(foreign) <= 0.02 * len(foreign) and sum(own) >= 0.95 * len(own)
+
+
+def test_floors_and_samples_come_from_all_documents(spark):
+    """More documents than the 20,000 that a sample of floors or of labelled tokens once held."""
+    near = " ".join(["the kitten sat on a mat and the dog ran to the house"] * 3)
+    far = " ".join(["a bird flew over an old river while children sang here"] * 3)
+    texts = packing.F.when(packing.F.col("doc_id") % 2 == 0, near).otherwise(far)
+    docs = spark.range(30_000).select(
+        packing.F.col("id").alias("doc_id"), packing.F.lit("en").alias("lang")
+    ).withColumn("text", texts)
+    model = language.train(docs)
+    found = language.identify(docs, model)
+    with pytest.MonkeyPatch.context() as patch:
+        # How many scores a floor is made of.
+        patch.setattr(language.F, "percentile_approx", lambda column, share: language.F.count(column))
+        got = language.floors(found, model, share=1.0)
+    assert max(got.values()) == 30_000
+    tokens = secret_scan.labelled_samples(docs, max_docs=None)
+    assert tokens.count() > 1.2 * secret_scan.labelled_samples(docs).count() > 0

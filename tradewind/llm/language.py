@@ -28,7 +28,7 @@ UNDETERMINED = "und"
 #: Bits of a code point; a packed n-gram of three fits 63 bits.
 CODE_BITS = 21
 #: Letters, texts and n-grams handled at a time, which bounds memory whatever the texts are.
-CHUNK_LETTERS, CHUNK_TEXTS, CHUNK_GRAMS = 1 << 20, 1024, 4096
+CHUNK_LETTERS, CHUNK_TEXTS, CHUNK_GRAMS = 1 << 18, 256, 2048
 
 
 @dataclass(frozen=True)
@@ -161,16 +161,14 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", space: Space
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, texts in batch.groupby("label", sort=False)["text"]:
-                found = []
-                for value in texts:
-                    found.append(grams(value, space.size))
-                    if len(found) >= CHUNK_TEXTS:
-                        found = [_merge(found)]
-                packed, n = _merge(found)
                 vector = total.setdefault(name, np.zeros(space.dimensions, np.int64))
-                for at in range(0, len(packed), CHUNK_GRAMS):
-                    part = slice(at, at + CHUNK_GRAMS)
-                    vector += n[part] @ gram_vectors(packed[part], space).astype(np.int64)
+                for run in _groups(grams(t, space.size) for t in texts):
+                    packed, n = _merge(run)
+                    for at in range(0, len(packed), CHUNK_GRAMS):
+                        part = slice(at, at + CHUNK_GRAMS)
+                        # Whole numbers below 2^53, so the sums are exact.
+                        signs = gram_vectors(packed[part], space).astype(np.float64)
+                        vector += (n[part].astype(np.float64) @ signs).astype(np.int64)
         if total:
             vectors = [v.tolist() for v in total.values()]
             yield pd.DataFrame({"label": list(total), "vector": vectors})
@@ -231,20 +229,20 @@ def _size_class(text: Column) -> Column:
 
 
 def floors(
-    docs: DataFrame, model: Model, label: str = "lang", text: str = "text", max_docs: int = 20_000,
+    found: DataFrame, model: Model, label: str = "lang", text: str = "text",
     share: float = 0.6, letters_: int = 100,
 ) -> dict[tuple[str, int], float]:
     """Least cosine per language and size class (powers of two of the length) of a text in that language.
 
     It is a share of what 95 % of the labelled texts reach, as other languages of the same script are well
-    below that. Taken from about ``max_docs`` rows, chosen by a hash; a size class without texts has
-    the least cosine of the next smaller one.
+    below that. Taken from all rows of ``identify`` with a label; a size class without texts has the least
+    cosine of the next smaller one.
     """
-    rows = docs.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text")).dropna()
-    rows = rows.where(F.length("text") >= letters_)
-    bound = int(min(1.0, max_docs / max(1, docs.count())) * (1 << 32))
-    chosen = rows.where(F.pmod(F.xxhash64("label", "text"), F.lit(1 << 32)) < bound)
-    own = identify(chosen, model).where("label = lang_pred").withColumn("size", _size_class(F.col("text")))
+    rows = found.select(
+        F.col(label).cast("string").alias("label"), F.col(text).alias("text"), "lang_pred", "score"
+    )
+    own = rows.where((F.col("label") == F.col("lang_pred")) & (F.length("text") >= letters_))
+    own = own.withColumn("size", _size_class(F.col("text")))
     low = own.groupBy("label", "size").agg(F.percentile_approx("score", 0.05).alias("low")).collect()
     seen = {(r["label"], r["size"]): share * r["low"] for r in low}
     out = {}
