@@ -184,3 +184,24 @@ def test_bounds_hold_and_are_tight_along_few_directions(dims, directions):
     assert (bounds.basis is None) == (dims == 8)
     if directions == 3:
         assert bounds.basis.shape[1] <= 3 and above.max() < 0.3
+
+
+def test_copies_of_a_vector_do_not_grow_with_the_tables(spark, monkeypatch):
+    """Small blocks grow before a vector meets more than a few of them, and visits leave a task once per query."""
+    grids, visits, store = [], [], similarity.materialize
+
+    def watched(df, label):
+        stored = store(df, label)
+        if label == "grid":
+            grids.extend(max(r.cache_blocks, r.query_blocks) for r in stored.collect())
+        if label == "visits":
+            visits.append((stored.count(), stored.select("query_id", F.size("cells")).collect()))
+        return stored
+
+    monkeypatch.setattr(similarity, "materialize", watched)
+    rng = np.random.default_rng(3)
+    cache, queries = clustered(rng, 600), clustered(rng, 300)
+    got = run(spark, queries, cache, anchor_limit=4, block_rows=5)
+    assert {q: c for q, (c, _) in got.items()} == {q: c for q, (c, _) in brute_force(queries, cache).items()}
+    assert grids and max(grids) == similarity._BLOCKS
+    assert visits and visits[0][0] <= 2 * len(queries)

@@ -43,6 +43,8 @@ DIGITS = 9
 
 # Bytes of vectors in a block, counted as 8 per number.
 BLOCK_BYTES = 32 << 20
+# Blocks of a side of a cell, unless memory asks for more: each vector meets that many of the other side's.
+_BLOCKS = 4
 # Distances computed at once inside a block, which bounds their matrix in memory.
 _CHUNK = 1 << 18
 # Pairs computed in full at once.
@@ -142,16 +144,16 @@ def _outer(stored: DataFrame, anchors: np.ndarray) -> DataFrame:
 def _outer_visits(
     asked: DataFrame, anchors: np.ndarray, reach: dict[int, tuple[float, float]], angle: float
 ) -> DataFrame:
-    """One row per query and outer anchor whose group may hold a match."""
+    """Queries with the outer anchors whose groups may hold a match; one row per query leaves a task."""
     ends = [reach.get(c, (np.inf, -np.inf)) for c in range(len(anchors))]
     nearest, farthest = (np.array(side) for side in zip(*ends))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            row, column = np.nonzero(_possible(_angles(batch["vector"], anchors), nearest, farthest, angle))
-            yield batch.iloc[row].assign(outer=column)
+            possible = _possible(_angles(batch["vector"], anchors), nearest, farthest, angle)
+            yield batch.assign(outers=[np.flatnonzero(row) for row in possible])
 
-    return asked.mapInPandas(visit, "query_id bigint, vector array<float>, outer int")
+    return asked.mapInPandas(visit, "query_id bigint, vector array<float>, outers array<int>")
 
 
 def _nothing(*columns: str) -> pd.DataFrame:
@@ -172,8 +174,13 @@ def _with_inner(rows: DataFrame, identity: str, parts: dict[int, int], inner: Da
     return left.groupBy("outer", "part"), right.groupBy("outer", "part")
 
 
+def _blocks(n: int, block_rows: int, memory_rows: int) -> int:
+    """Blocks of ``block_rows``, but not more than ``_BLOCKS`` where memory holds larger ones."""
+    return min(ceil(n / block_rows), max(_BLOCKS, ceil(n / memory_rows)))
+
+
 def _cells(
-    stored: DataFrame, asked: DataFrame, rows: int, wanted: int, block_rows: int, angle: float
+    stored: DataFrame, asked: DataFrame, rows: int, wanted: int, block_rows: int, memory_rows: int, angle: float
 ) -> tuple[DataFrame, DataFrame]:
     """Stored vectors with their cell, the group of an inner anchor, and queries with the cells to visit."""
     spark = stored.sparkSession
@@ -208,7 +215,7 @@ def _cells(
             cell=near["cell"].to_numpy()[nearest], angle=to_all[np.arange(len(found)), nearest]
         )
 
-    parts = {c: ceil(r["rows"] / block_rows) for c, r in outer.items()}
+    parts = {c: _blocks(r["rows"], block_rows, memory_rows) for c, r in outer.items()}
     left, right = _with_inner(grouped.drop("angle"), "cache_id", parts, inner)
     layout = "cache_id bigint, vector array<float>, cell bigint, angle double"
     assigned = materialize(left.cogroup(right).applyInPandas(assign, layout), "assigned")
@@ -219,21 +226,27 @@ def _cells(
 
     def visit(queries: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(near):
-            return _nothing("query_id", "vector", "cell")
+            return _nothing("query_id", "vector", "cells")
         to_all = _angles(queries["vector"], _unit(near["vector"]))
         lo, hi = near["lo"].fillna(np.inf).to_numpy(), near["hi"].fillna(-np.inf).to_numpy()
-        row, column = np.nonzero(_possible(to_all, lo, hi, angle))
-        return queries[["query_id", "vector"]].iloc[row].assign(cell=near["cell"].to_numpy()[column])
+        cells = near["cell"].to_numpy()
+        return queries[["query_id", "vector"]].assign(cells=[cells[row] for row in _possible(to_all, lo, hi, angle)])
 
     met = materialize(
         _outer_visits(asked, anchors, {c: (r["lo"], r["hi"]) for c, r in outer.items()}, angle), "outer-visits"
-    )
-    parts = {r["outer"]: ceil(r["n"] / block_rows) for r in met.groupBy("outer").agg(F.count("*").alias("n")).collect()}
+    ).select("query_id", "vector", F.explode("outers").alias("outer"))
+    counted = met.groupBy("outer").agg(F.count("*").alias("n")).collect()
+    parts = {r["outer"]: _blocks(r["n"], block_rows, memory_rows) for r in counted}
     left, right = _with_inner(met, "query_id", parts, reach.drop("rows"))
-    layout = "query_id bigint, vector array<float>, cell bigint"
+    # Stored and returned once per query and outer anchor, and repeated per cell on the way to the blocks only.
+    layout = "query_id bigint, vector array<float>, cells array<bigint>"
     visits = materialize(left.cogroup(right).applyInPandas(visit, layout), "visits")
+    visits = visits.select("query_id", "vector", F.explode("cells").alias("cell"))
+
+    def blocks(n: str) -> Column:
+        most = F.greatest(F.lit(_BLOCKS), F.ceil(F.col(n) / memory_rows))
+        return F.least(F.ceil(F.col(n) / block_rows), most)
 
-    blocks = lambda n: F.ceil(F.col(n) / block_rows)
     counts = visits.groupBy("cell").agg(F.count("*").alias("visits"))
     grid = counts.join(sizes, "cell").select(
         "cell", blocks("rows").alias("cache_blocks"), blocks("visits").alias("query_blocks")
@@ -276,9 +289,10 @@ def nearest_within(
     """(query_id, cache_id, distance) of the nearest stored vector closer than the threshold.
 
     ``queries`` has (query_id, vector), ``cache`` has (cache_id, vector). Equal distances go to the
-    smaller id. Queries without such a vector are absent. ``anchor_limit`` sets the number of inner
+    smaller id. Queries without such a vector are absent. ``anchor_limit`` sets the least number of inner
     anchors, ``block_rows`` the vectors of a block; by default a block has ``BLOCK_BYTES`` and an anchor
-    one block's worth.
+    one block's worth. Small blocks grow up to ``BLOCK_BYTES`` before a side of a cell has more than
+    ``_BLOCKS``, so the copies of a vector do not grow with the tables.
     """
     angle = float(np.arccos(1.0 - threshold))
     with ThreadPoolExecutor(2) as pool:
@@ -288,17 +302,18 @@ def nearest_within(
         return cache.sparkSession.createDataFrame(
             [], "query_id bigint, cache_id bigint, distance double"
         )
-    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * width))
-    wanted = anchor_limit or ceil(rows / block_rows)
+    memory_rows = max(1, BLOCK_BYTES // (8 * width))
+    block_rows = min(block_rows or memory_rows, memory_rows)
+    wanted = max(anchor_limit or 1, ceil(rows / memory_rows))
     if wanted == 1:
         here = {
             "cell": F.lit(0),
-            "cache_blocks": F.lit(ceil(rows / block_rows)),
-            "query_blocks": F.lit(max(1, ceil(many / block_rows))),
+            "cache_blocks": F.lit(_blocks(rows, block_rows, memory_rows)),
+            "query_blocks": F.lit(max(1, _blocks(many, block_rows, memory_rows))),
         }
         visits, assigned = asked.withColumns(here), stored.withColumns(here)
     else:
-        assigned, visits = _cells(stored, asked, rows, wanted, block_rows, angle)
+        assigned, visits = _cells(stored, asked, rows, wanted, block_rows, memory_rows, angle)
     left = (
         visits.withColumn("query_block", _block("query_id", "query_blocks"))
         .withColumn("cache_block", _every_block("cache_blocks"))
