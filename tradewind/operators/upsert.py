@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.columns import month_label
-from tradewind.session import file_system, materialize, stored_bytes
+from tradewind.session import STORED_AS, file_system, materialize, stored_bytes
 
 LOOKBACK_DAYS = 3
 # Fixed value: where an empty target starts.
@@ -77,7 +77,7 @@ def _write(rows: DataFrame, path: str) -> None:
     """Write rows with a month in one job; what a failed run left at the path gives way."""
     files, where = file_system(rows.sparkSession, f"{path}/_SUCCESS")
     mode = "error" if files.exists(where) else "overwrite"
-    rows.write.mode(mode).partitionBy(PARTITION).parquet(path)
+    rows.write.mode(mode).option("compression", STORED_AS).partitionBy(PARTITION).parquet(path)
 
 
 def write_monthly(rows: DataFrame, path: str, date_column: str) -> MonthlyTable:
@@ -151,7 +151,7 @@ def _replace_months(target: MonthlyTable, merged: DataFrame, changed: Sequence[s
     # Text order puts rows without a date last; they play no part in the lookback.
     for month in sorted(left):
         writer = rows.where(F.col(PARTITION) == month).write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", STORED_AS)
         writer.partitionBy(PARTITION).parquet(target.path)
 
 

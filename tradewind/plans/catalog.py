@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from tradewind.plans import adhoc, incremental, kept_reports, kpis, marts, repor
 from tradewind.plans.batch import REPORT_MARTS
 from tradewind.plans.cleaning import coerce_numeric, coerce_timestamp
 from tradewind.plans.staging import stage
-from tradewind.plans.warehouse import ITEM_SALES, Warehouse
+from tradewind.plans.warehouse import ITEM_SALES, THREADS, Warehouse
 from tradewind.schemas import MARTS, POSITION, RAW, RULES, STORED_NAME
-from tradewind.session import file_system, fresh_path
+from tradewind.session import file_system, fresh_path, small_splits
 from tradewind.sources import sinks, testdata
 from tradewind.sources.csv_files import extract_all, extract_text, unreadable
 from tradewind.streaming import order_feed
@@ -41,7 +42,10 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     queries and changed source files are seen."""
     key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _OPEN:
-        _OPEN[key] = Warehouse(spark, lambda name: testdata.raw_table(spark, folder, name))
+        reading = small_splits(spark)
+        _OPEN[key] = Warehouse(
+            reading, lambda name: testdata.raw_table(reading, folder, name), late=testdata.by_position
+        )
     return _OPEN[key]
 
 
@@ -96,12 +100,18 @@ def _as_text(df: DataFrame, label: str, name: str) -> DataFrame:
 def _raw_files(spark: SparkSession, folder: str) -> str:
     """All raw tables as CSV files, each in two parts whose headers name the columns in another order."""
     w, out = open_warehouse(spark, folder), fresh_path(spark, "csv")
-    for name, layout in RAW.items():
-        columns = layout.fieldNames()
+
+    def write(part: tuple[str, int]) -> None:
+        name, nth = part
+        columns = RAW[name].fieldNames()
         rows = testdata.as_file_text(name, w.raw(name)).select(*columns)
-        half = F.pmod(F.xxhash64(*columns), F.lit(2))
-        sinks.write_csv_table(rows.where(half == 0), f"{out}/{name}/first")
-        sinks.write_csv_table(rows.where(half == 1).select(*columns[::-1]), f"{out}/{name}/second")
+        half = rows.where(F.pmod(F.xxhash64(*columns), F.lit(2)) == nth)
+        half = half.select(*columns[::-1]) if nth else half
+        sinks.write_csv_table(half, f"{out}/{name}/{('first', 'second')[nth]}")
+
+    # Small tables fill the gaps of large ones.
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(write, [(name, nth) for name in RAW for nth in (0, 1)]))
     return out
 
 
@@ -347,7 +357,9 @@ def build_queries() -> dict[str, Query]:
         "write_summary_csv": write_summary_csv,
         # cleaning
         "dedup_keep_first": _on(
-            lambda w: dedup_keep_first(w.raw("order_items"), RULES["order_items"].key)
+            lambda w: dedup_keep_first(
+                w.raw("order_items"), RULES["order_items"].key, late=w.late("order_items")
+            )
         ),
         "coerce_numeric": lambda s, d: coerce_numeric(testdata.price_text(s, d), ["price", "absent"]),
         "coerce_timestamp": lambda s, d: coerce_timestamp(

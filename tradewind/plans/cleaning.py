@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import cut_to_second, parse_money, parse_timestamp
@@ -34,10 +34,10 @@ def coerce_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _coerced(name: str, raw: DataFrame) -> DataFrame:
+def _coerced(name: str, raw: DataFrame, late: Mapping[str, Column] | None) -> DataFrame:
     """A clean table, and whether a row's key is spelled otherwise than where it was made unique."""
     rules = RULES[name]
-    unique = dedup_keep_first(raw, rules.key)
+    unique = dedup_keep_first(raw, rules.key, late=late)
     coerced = coerce_timestamp(coerce_numeric(unique, rules.money), rules.timestamps)
     # Columns without a rule of their own take the declared type.
     columns = {
@@ -56,15 +56,18 @@ def _coerced(name: str, raw: DataFrame) -> DataFrame:
     return coerced.select(*(column.alias(c) for c, column in columns.items()), rekeyed)
 
 
-def clean_table(name: str, raw: DataFrame) -> DataFrame:
-    return _coerced(name, raw).drop(_REKEYED)
+def clean_table(
+    name: str, raw: DataFrame, late: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``late`` gives columns of ``raw`` by its source position, as ``dedup_keep_first`` takes them."""
+    return _coerced(name, raw, late).drop(_REKEYED)
 
 
 def clean_and_count(
-    name: str, raw: DataFrame
+    name: str, raw: DataFrame, late: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, Callable[[DataFrame], Measured | None]]:
     """``clean_table`` with the counts of its checks, which are taken while it is written."""
-    watched, measured = watch(_coerced(name, raw), name, F.col(_REKEYED))
+    watched, measured = watch(_coerced(name, raw, late), name, F.col(_REKEYED))
     return watched.drop(_REKEYED), measured
 
 

@@ -362,11 +362,10 @@ def flat_items(
     """One row per item with the attributes of its order, product and seller.
 
     Every lookup is a left join on a unique key and adds no rows, so with fewer ``columns`` the
-    joins nobody reads from are left out.
+    joins nobody reads from are left out. Columns made of others come last, so no shuffle carries them.
     """
-    flat = items.withColumns(
-        {"item_revenue": F.col("price"), "shipping_revenue": F.col("freight_value")}
-    )
+    made = {"item_revenue": F.col("price"), "shipping_revenue": F.col("freight_value")}
+    flat = items
     if set(columns) & {
         "product_category_name",
         "product_category_name_english",
@@ -375,24 +374,21 @@ def flat_items(
         categories = products.select("product_id", "product_category_name").join(
             translation, "product_category_name", "left"
         )
-        flat = flat.join(categories, "product_id", "left").withColumns(
-            {
-                "missing_product_category_flag": flag(
-                    F.col("product_category_name_english").isNull()
-                ),
-                "product_category_name_english": F.coalesce(
-                    "product_category_name_english", F.lit("unknown")
-                ),
-            }
-        )
+        flat = flat.join(categories, "product_id", "left")
+        english = F.col("product_category_name_english")
+        made |= {
+            "missing_product_category_flag": flag(english.isNull()),
+            "product_category_name_english": F.coalesce(english, F.lit("unknown")),
+        }
     if set(columns) & {"seller_city", "seller_state"}:
         flat = flat.join(
             sellers.select("seller_id", "seller_city", "seller_state"), "seller_id", "left"
         )
     features = order_features()
     if set(columns) & {*attributes.columns, *features} - {"order_id"}:
-        flat = flat.join(attributes, "order_id", "left").withColumns(features)
-    return flat.select(*columns)
+        flat = flat.join(attributes, "order_id", "left")
+        made |= features
+    return flat.withColumns(made).select(*columns)
 
 
 def delivery_conflict(orders: DataFrame) -> DataFrame:

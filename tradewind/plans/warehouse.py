@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.upsert import MonthlyTable, read_monthly, write_monthly
@@ -20,7 +20,7 @@ from tradewind.operators.quality import Measured, watch
 from tradewind.plans.cleaning import clean_and_count, clean_table, fact_order_item_sales
 from tradewind.plans.staging import stage
 from tradewind.schemas import MARTS, RAW
-from tradewind.session import fresh_path
+from tradewind.session import STORED_AS, fresh_path
 
 #: A plan with counters, and their values once it is stored.
 Watched = tuple[DataFrame, Callable[[DataFrame], Measured | None]]
@@ -33,7 +33,8 @@ FACT_DATE = {"fact_orders": "order_date", "fact_sales": "order_date"}
 
 
 class Warehouse:
-    """``monthly`` stores facts and cleaned orders by month, as the incremental refresh needs them."""
+    """``monthly`` stores facts and cleaned orders by month, as the incremental refresh needs them.
+    ``late`` gives the columns of a raw table that follow from its source position."""
 
     def __init__(
         self,
@@ -41,11 +42,13 @@ class Warehouse:
         read_raw: Callable[[str], DataFrame],
         folder: str | None = None,
         monthly: bool = False,
+        late: Callable[[str], Mapping[str, Column]] = lambda name: {},
     ) -> None:
         self.spark = spark
         self.monthly = monthly
         self._by_month: dict[str, MonthlyTable] = {}
         self.read_raw = read_raw
+        self.late = late
         self.folder = folder or fresh_path(spark, "warehouse")
         #: Counts of the checks, taken while the tables were written.
         self.measured: dict[str, Measured] = {}
@@ -65,7 +68,7 @@ class Warehouse:
         return {name: self.raw(name).select(*RAW[name].fieldNames()) for name in RAW}
 
     def clean(self, name: str) -> DataFrame:
-        return clean_table(name, self.raw(name))
+        return clean_table(name, self.raw(name), self.late(name))
 
     def item_sales(self) -> DataFrame:
         return fact_order_item_sales(
@@ -135,7 +138,7 @@ class Warehouse:
         return self._once(label, lambda path: self._written(plan(), path))
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", STORED_AS).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _counted(
@@ -157,7 +160,7 @@ class Warehouse:
             return self.cleaned_orders().table()
 
         def store(path: str) -> DataFrame:
-            plan = clean_and_count(name, self.raw(name))
+            plan = clean_and_count(name, self.raw(name), self.late(name))
             return self._counted(name, plan, lambda rows: self._written(rows, path))
 
         return self._once(f"clean/{name}", store)
@@ -171,7 +174,7 @@ class Warehouse:
             return self._by_month[label].table()
 
         def store(path: str) -> DataFrame:
-            plan = clean_and_count("orders", self.raw("orders"))
+            plan = clean_and_count("orders", self.raw("orders"), self.late("orders"))
             return self._counted("orders", plan, lambda rows: write(path, rows))
 
         self._once(label, store)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.columns import iso_text
 from tradewind.schemas import STORED_NAME
-from tradewind.session import file_system
+from tradewind.session import STORED_AS, file_system
 
 #: Table that names the loads which are complete, one row each; the newest counts.
 LOADS = "_loads"
@@ -50,7 +50,7 @@ def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str
     load = f"load-{uuid.uuid4().hex}"
     paths = {name: f"{folder}/{load}/{_stored_name(name)}" for name in cleaned}
     for name, df in cleaned.items():
-        df.write.parquet(paths[name])
+        df.write.option("compression", STORED_AS).parquet(paths[name])
     row = [(load, [_stored_name(name) for name in cleaned])]
     row = spark.createDataFrame(row, "load string, tables array<string>").coalesce(1)
     row = row.select("load", F.current_timestamp().alias("loaded_at"), "tables")
