@@ -298,3 +298,17 @@ def test_headers_are_read_by_tasks(spark, scratch):
     # One task for each file, and each stops after its first lines.
     lines = csv_files._first_lines(spark, csv_files._data_files(spark, f"{scratch}/many"))
     assert lines.rdd.getNumPartitions() == 40 and lines.count() == 40
+
+
+def test_headers_leave_the_scan_without_python(spark, scratch):
+    """Only first lines leave the scan, also of a file of several splits; a worker would be sent every line."""
+    from tests.helpers import plan
+    from tradewind.sources import csv_files
+
+    os.makedirs(f"{scratch}/long")
+    for name in ("one.csv", "two.csv"):
+        write(f"{scratch}/long", name, f"{name},b\n" + "x,y\n" * 5_000_000)
+    lines = csv_files._first_lines(spark, csv_files._data_files(spark, f"{scratch}/long"))
+    assert "Python" not in plan(lines) and "MapInArrow" not in plan(lines)
+    assert lines.rdd.getNumPartitions() == 4
+    assert sorted(r.header for r in lines.collect()) == ["one.csv,b", "two.csv,b"]

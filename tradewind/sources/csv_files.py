@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.columns import parse_money, parse_timestamp, parse_whole
 from tradewind.schemas import NA_WORDS, POSITION, RAW, RULES
-from tradewind.session import materialize
+from tradewind.session import materialize, small_splits
 
 # The helpers below travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,22 +52,17 @@ def _data_files(spark: SparkSession, path: str) -> list[str]:
 def _first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """``(file, header)``: the first line of every file, read in tasks and decompressed by the file's extension.
 
-    A file is one split here, and a task stops after the first batch of its lines.
+    No task reads more than one split. All lines are read, but only the first ones of files leave the scan: a worker
+    in Python that stops after a line would still be sent the others.
     """
-    apart = spark.newSession()
-    for setting in ("maxPartitionBytes", "openCostInBytes"):
-        apart.conf.set(f"spark.sql.files.{setting}", str(1 << 50))
-    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
+    apart = small_splits(spark)
+    apart.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
+    first = (F.col("start") == 0) & (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0)
     lines = apart.read.option("lineSep", "\n").text(files)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.rtrim("value", F.lit("\r")).alias("header"))
-    return lines.mapInArrow(first, "file string, header string")
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    return lines.where(first).select("file", F.rtrim("value", F.lit("\r")).alias("header"))
 
 
 def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
@@ -78,7 +73,7 @@ def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
     files = _data_files(spark, path)
     if len(files) == 1:
         return [files]
-    lines = _first_lines(spark, files)
+    lines = materialize(_first_lines(spark, files), "headers")
     if lines.select("header").distinct().count() == 1:
         return [files]
     groups: dict[str, list[str]] = {}
