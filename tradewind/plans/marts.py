@@ -362,9 +362,12 @@ def flat_items(
     """One row per item with the attributes of its order, product and seller.
 
     Every lookup is a left join on a unique key and adds no rows, so with fewer ``columns`` the
-    joins nobody reads from are left out. Columns made of others come last, so no shuffle carries them.
+    joins nobody reads from are left out. Columns made of others come last, so no shuffle carries them;
+    so does the revenue of ``items`` without that column.
     """
     made = {"item_revenue": F.col("price"), "shipping_revenue": F.col("freight_value")}
+    if "revenue" not in items.columns:
+        made["revenue"] = F.col("price") + F.col("freight_value")
     flat = items
     if set(columns) & {
         "product_category_name",

@@ -120,7 +120,11 @@ class Warehouse:
             s("orders"), s("customers"), s("order_items"), s("order_payments"), s("order_reviews")
         )
         return marts.flat_items(
-            s("order_items"), attributes, s("products"), s("category_translation"), s("sellers")
+            s("order_items").drop("revenue"),
+            attributes,
+            s("products"),
+            s("category_translation"),
+            s("sellers"),
         )
 
     # --- layers, stored on first use ---
