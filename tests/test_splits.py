@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from threading import Barrier
 
 import pytest
 
 from tests.helpers import bag, plan
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans.catalog import open_warehouse
+from tradewind.plans.warehouse import ITEM_SALES, Warehouse
 from tradewind.schemas import RULES
 from tradewind.session import _bytes, small_splits
 from tradewind.sources import testdata
@@ -78,3 +80,31 @@ def test_flat_items_shuffle_no_copies_of_amounts(spark, folder):
     assert made and min(made) < first
     above = {name for i, line in made.items() if i < first for name in re.findall(r"AS (\w*revenue)#", line)}
     assert above == {"item_revenue", "shipping_revenue", "revenue"}
+
+
+def test_item_sales_are_left_in_the_order_of_orders(spark, folder):
+    """The join with orders is the last one; rows of an order are stored side by side."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        w = Warehouse(spark, lambda name: testdata.raw_table(spark, folder, name), late=testdata.by_position)
+        joins = [line for line in plan(w.item_sales()).splitlines() if "SortMergeJoin" in line]
+    finally:
+        spark.conf.unset(key)
+    assert "SortMergeJoin [order_id#" in joins[0] and "SortMergeJoin [product_id#" in joins[1]
+
+
+@pytest.mark.parametrize("name", ["fact_orders", ITEM_SALES])
+def test_cleaned_tables_of_a_fact_are_built_together(spark, folder, name):
+    """Each of the four that come first is asked for before any of them is done."""
+    w = Warehouse(spark, lambda table: testdata.raw_table(spark, folder, table), late=testdata.by_position)
+    first, asked, store = Barrier(4), [], w.cleaned
+
+    def cleaned(table):
+        asked.append(table)
+        if len(asked) <= 4:
+            first.wait(30)
+        return store(table)
+
+    w.cleaned = cleaned
+    assert w.build(name).columns and len(asked) > 4

@@ -78,8 +78,9 @@ def fact_order_item_sales(
 
     The category is resolved on the product table first, so the items are shuffled once per key
     instead of once more for the category. The joins use different keys, so each has an exchange of
-    its own and adaptive execution can split a hot key on the item side. A null category matches a
-    null translation.
+    its own and adaptive execution can split a hot key on the item side. Orders come last, so the rows
+    are left in the order of theirs and those of an order, which are alike, are stored side by side. A null
+    category matches a null translation.
     """
     category = products.join(
         translation,
@@ -87,8 +88,8 @@ def fact_order_item_sales(
         "left",
     ).select("product_id", "product_category_name_english")
     return (
-        items.join(orders.select("order_id", "order_purchase_timestamp"), "order_id", "left")
-        .join(category, "product_id", "left")
+        items.join(category, "product_id", "left")
+        .join(orders.select("order_id", "order_purchase_timestamp"), "order_id", "left")
         .withColumn("revenue", F.col("price") + F.col("freight_value"))
         .select(*ITEM_SALES.fieldNames())
     )
