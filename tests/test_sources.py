@@ -13,11 +13,11 @@ from tests.helpers import bag, plan, rows
 from tradewind.operators.dedup import dedup_keep_first
 from tradewind.plans import kept_reports, reports
 from tradewind.plans.batch import ORDER_PARTS, run_batch, run_from_csv, run_refresh, run_reports
-from tradewind.plans.warehouse import ITEM_SALES
+from tradewind.plans.warehouse import ITEM_SALES, Warehouse
 from tradewind.schemas import MARTS, NA_WORDS, POSITION, RAW
 from tradewind.sources import sinks
 from tradewind.sources.csv_files import extract_all, read_csv
-from tradewind.sources.testdata import raw_table
+from tradewind.sources.testdata import by_position, raw_table
 
 
 def write(folder, name, text):
@@ -119,6 +119,21 @@ def test_load_publishes_all_tables_at_once(spark, scratch):
     assert list(sinks.loaded(spark, folder)) == ["orders"] and spark.read.parquet(sinks.loaded(spark, folder)["orders"]).count() == 0
 
 
+def test_load_writes_plans_once_and_derived_tables_from_what_it_wrote(spark, scratch):
+    def loaded(bundle, folder):
+        paths = sinks.load_full_refresh(bundle, folder)
+        return {name: bag(spark.read.parquet(path)) for name, path in paths.items()}
+
+    w = Warehouse(spark, lambda n: raw_table(spark, "/root/testdata/sf0.001", n), late=by_position)
+    direct = loaded(w.to_store(), f"{scratch}/direct")
+    # Nothing was stored beside the load.
+    assert not w._stored
+    stored = {**w.cleaned_all(), ITEM_SALES: w.mart(ITEM_SALES)}
+    assert direct == loaded(stored, f"{scratch}/stored") and set(direct) == {*RAW, ITEM_SALES}
+    # What is stored already is taken as it is.
+    assert w.to_store() == stored
+
+
 def test_build_from_csv_equals_build_from_tables(spark, folder, scratch):
     """All eight tables through CSV files, cleaning, checks and marts."""
     from tradewind.plans.catalog import open_warehouse

@@ -131,12 +131,11 @@ def csv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Contents of every stored table after a full refresh."""
-    w = open_warehouse(spark, folder)
-    bundle = {**w.cleaned_all(), ITEM_SALES: w.mart(ITEM_SALES)}
+    bundle = open_warehouse(spark, folder).to_store()
     paths = sinks.load_full_refresh(bundle, fresh_path(spark, "load"))
 
     def stored(name: str) -> DataFrame:
-        rows = spark.read.schema(bundle[name].schema).parquet(paths[name])
+        rows = spark.read.parquet(paths[name])
         return _as_text(rows, "table_name", STORED_NAME.get(name, name))
 
     return quality.union_all([stored(name) for name in bundle])

@@ -70,14 +70,12 @@ class Warehouse:
     def clean(self, name: str) -> DataFrame:
         return clean_table(name, self.raw(name), self.late(name))
 
-    def item_sales(self) -> DataFrame:
-        self._clean_together("order_items", "orders", "products", "category_translation")
-        return fact_order_item_sales(
-            self.cleaned("order_items"),
-            self.cleaned("orders"),
-            self.cleaned("products"),
-            self.cleaned("category_translation"),
-        )
+    def item_sales(self, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        """Plan of the item fact over the stored cleaned tables, or over ``tables``."""
+        names = ("order_items", "orders", "products", "category_translation")
+        if tables is None:
+            tables = self._clean_together(*names)
+        return fact_order_item_sales(*(tables[name] for name in names))
 
     def stage(self, name: str) -> DataFrame:
         return stage(name, self.cleaned(name))
@@ -190,10 +188,17 @@ class Warehouse:
         """Staged orders with their month."""
         return self.cleaned_orders().rows()
 
-    def _clean_together(self, *names: str) -> None:
-        """Store cleaned tables that a plan is about to read, large ones first: with one after the other, the
-        last tasks of each leave the other cores idle."""
-        self._together(self.cleaned, names)
+    def _clean_together(self, *names: str) -> dict[str, DataFrame]:
+        """Cleaned tables that a plan is about to read, large ones first: stored one after the other, the
+        last tasks of each would leave the other cores idle."""
+        return self._together(self.cleaned, names)
+
+    def to_store(self) -> dict[str, DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]]:
+        """All cleaned tables and the item fact for one who stores them: as they are stored here already, else as
+        plans, so that no table is written twice."""
+        found = {name: self._stored.get(f"clean/{name}") for name in RAW}
+        tables = {name: self.clean(name) if df is None else df for name, df in found.items()}
+        return {**tables, ITEM_SALES: self._stored.get(f"marts/{ITEM_SALES}", self.item_sales)}
 
     def cleaned_all(self) -> dict[str, DataFrame]:
         return self._together(self.cleaned, list(RAW))

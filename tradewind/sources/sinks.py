@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from tradewind.session import STORED_AS, file_system
 #: Table that names the loads which are complete, one row each; the newest counts.
 LOADS = "_loads"
 LOADS_LAYOUT = "load string, loaded_at timestamp, tables array<string>"
+#: A table of a load made of others of the same load, by the name they have in it.
+Derived = Callable[[Mapping[str, DataFrame]], DataFrame]
+# Tables of a load written at the same time, so small ones fill the gaps of large ones.
+WRITERS = 4
 
 
 def _stored_name(name: str) -> str:
@@ -34,9 +39,12 @@ def loaded(spark: SparkSession, folder: str) -> dict[str, str]:
     return {} if newest is None else {name: f"{folder}/{newest.load}/{name}" for name in newest.tables}
 
 
-def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
+def load_full_refresh(cleaned: Mapping[str, DataFrame | Derived], folder: str) -> dict[str, str]:
     """Replace all stored tables at once; each is written by all tasks in parallel. Returns the paths.
 
+    Tables may be given as plans that nothing has stored yet: each is computed and written once. Derived
+    ones follow the others and read what these have written.
+
     The tables go to a folder of this load, and one row appended to the table of loads publishes them
     together. So readers see all old or all new tables, and a load that ends before that row changes
     nothing. The load before stays for those that still read it; older ones and the remains of failed
@@ -45,12 +53,21 @@ def load_full_refresh(cleaned: Mapping[str, DataFrame], folder: str) -> dict[str
     """
     if not cleaned:
         return {}
-    spark = next(iter(cleaned.values())).sparkSession
+    tables = {name: df for name, df in cleaned.items() if isinstance(df, DataFrame)}
+    spark = next(iter(tables.values())).sparkSession
     before = {path.split("/")[-2] for path in loaded(spark, folder).values()}
     load = f"load-{uuid.uuid4().hex}"
     paths = {name: f"{folder}/{load}/{_stored_name(name)}" for name in cleaned}
-    for name, df in cleaned.items():
+
+    def written(name: str, df: DataFrame) -> DataFrame:
         df.write.option("compression", STORED_AS).parquet(paths[name])
+        return df.sparkSession.read.schema(df.schema).parquet(paths[name])
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        done = dict(zip(tables, pool.map(written, tables, tables.values())))
+    for name, made in cleaned.items():
+        if name not in done:
+            done[name] = written(name, made(done))
     row = [(load, [_stored_name(name) for name in cleaned])]
     row = spark.createDataFrame(row, "load string, tables array<string>").coalesce(1)
     row = row.select("load", F.current_timestamp().alias("loaded_at"), "tables")
