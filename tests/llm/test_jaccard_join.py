@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind import session
 from tradewind.llm import jaccard_join as J
 
 
@@ -131,6 +132,37 @@ def test_odd_rows(spark):
     assert {r.component_id for r in J.near_duplicates(names, id_col="name", text_col="body").collect()} == {"a"}
 
 
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """By rows and by bytes, and the caller's settings are as before, also after a failure."""
+    plain, keys = J._sets, list(session._BATCHES)
+    rows, size = (session._BATCHES[f"spark.sql.execution.arrow.max{of}PerBatch"] for of in ("Records", "Bytes"))
+
+    def watched(batches, words):
+        def seen():
+            for batch in batches:
+                if len(batch) > rows or batch["text"].str.len().sum() > 2 * size:
+                    raise ValueError(f"{len(batch)} rows in a batch")
+                yield batch
+
+        return plain(seen(), words)
+
+    monkeypatch.setattr(J, "_sets", watched)
+    text = F.when(F.col("id") < 1500, F.concat_ws(" ", F.lit("text"), "id")).otherwise(F.repeat(F.lit("word " * 40), 1000))
+    docs = spark.range(0, 1560, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    before = [spark.conf.get(key, None) for key in keys]
+    got = {r.doc_id: r.component_id for r in J.near_duplicates(docs).collect()}
+    assert got == {i: min(i, 1500) for i in range(1560)}
+    assert [spark.conf.get(key, None) for key in keys] == before
+    with pytest.raises(KeyError), session.small_batches(spark):
+        assert spark.conf.get(keys[1]) == str(rows)
+        raise KeyError
+    assert [spark.conf.get(key, None) for key in keys] == before
+    # A caller's smaller batches stay.
+    monkeypatch.setitem(session._BATCHES, keys[1], 20_000)
+    with session.small_batches(spark):
+        assert spark.conf.get(keys[1]) == (before[1] or "20000")
+
+
 def test_product_equals_sets():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 400, rng.integers(1, 200))) for _ in range(60)]

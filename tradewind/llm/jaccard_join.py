@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.components import connected_components
 from tradewind.llm.simhash_dedup import Forest
 from tradewind.llm.worker import travels_with_tasks
-from tradewind.session import materialize
+from tradewind.session import materialize, small_batches
 
 travels_with_tasks(__name__)
 
@@ -441,23 +441,25 @@ def near_duplicates(
             keys = pd.array([_key(s) if len(s) else None for s in sets], dtype="Int64")
             yield pd.DataFrame({"id": batch["id"], "n": np.array([len(s) for s in sets], np.int64), "key": keys})
 
-    # Null ids would make pandas turn numbers into floats; they travel as text.
-    named = docs.withColumn("id", F.col("id").cast("string"))
-    sizes = named.mapInPandas(sized, "id string, n long, key long").withColumn("id", F.col("id").cast(kind))
-    sizes = materialize(sizes, "set-sizes")
-    classes = sizes.where("key is not null").groupBy("key")
-    classes = materialize(classes.agg(F.first("n").alias("n"), F.min("id").alias("least")), "classes")
-    linkable = _linkable(docs, classes, shingle).withColumn("least", F.col("least").cast("string"))
-    linkable = materialize(linkable, "linkable")
-    sets = materialize(_incidence(named, linkable, shingle), "incidence")
-    rows = materialize(_rows(sets), "rows")
-    roots = connected_components(_links(rows, _groups(rows)), "a", "b")
-    rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "least", F.coalesce("component", "key").alias("root")
-    )
-    rooted = materialize(rooted, "rooted")
-    smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
-    found = materialize(rooted.join(smallest, "root").select("key", "component_id"), "named")
+    # All Python runs in the tables that are stored here.
+    with small_batches(docs.sparkSession):
+        # Null ids would make pandas turn numbers into floats; they travel as text.
+        named = docs.withColumn("id", F.col("id").cast("string"))
+        sizes = named.mapInPandas(sized, "id string, n long, key long").withColumn("id", F.col("id").cast(kind))
+        sizes = materialize(sizes, "set-sizes")
+        classes = sizes.where("key is not null").groupBy("key")
+        classes = materialize(classes.agg(F.first("n").alias("n"), F.min("id").alias("least")), "classes")
+        linkable = _linkable(docs, classes, shingle).withColumn("least", F.col("least").cast("string"))
+        linkable = materialize(linkable, "linkable")
+        sets = materialize(_incidence(named, linkable, shingle), "incidence")
+        rows = materialize(_rows(sets), "rows")
+        roots = connected_components(_links(rows, _groups(rows)), "a", "b")
+        rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+            "key", "least", F.coalesce("component", "key").alias("root")
+        )
+        rooted = materialize(rooted, "rooted")
+        smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+        found = materialize(rooted.join(smallest, "root").select("key", "component_id"), "named")
     linked = sizes.where("key is not null").join(found, "key").select("id", "n", "component_id")
     rest = sizes.where("key is null").select("id", "n", F.col("id").alias("component_id"))
     return linked.union(rest).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
